@@ -20,9 +20,10 @@ def strip_year_words(c: str | Column) -> Column:
 def age_from_text(c: str | Column) -> Column:
     """Census age text -> int years.
 
-    '10 anos' -> 10, '1 ano' -> 1; a text still mentioning months after the
-    year words are gone ('1 ano e 3 meses') -> 0; ranges ('5 a 9 anos') and
-    open ends ('100 anos ou mais' -> '100 ou mais') are not a number -> NULL.
+    '10 anos' -> 10, '1 ano' -> 1; a text that still holds a word starting
+    with 'm' once the year words are gone -> 0 ('1 ano e 3 meses', and also
+    '100 anos ou mais' -> '100 ou mais', since ' mais' matches the same
+    ``'% m%'`` rule); other texts that are not a number ('5 a 9 anos') -> NULL.
     """
     stripped = F.trim(strip_year_words(c))
     return F.when(stripped.like("% m%"), F.lit(0)).otherwise(to_int(stripped))
