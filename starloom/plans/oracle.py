@@ -326,3 +326,227 @@ FROM orders WHERE month(o_orderdate) IN (1, 2, 3)
 SELECT COUNT(*) AS registros FROM lineitem
 """,
 }
+
+
+# ------------------------------------- star schema on raw-layout text ------
+
+VACC_TEXT = """
+SELECT CAST(l_orderkey AS VARCHAR) AS document_id,
+       CASE WHEN l_linenumber = 7 THEN NULL WHEN l_linestatus = 'O' THEN ' novo pni ' ELSE 'esus ab' END AS sistema_origem,
+       CASE WHEN l_linenumber <= 2 THEN '1a Dose' WHEN l_linenumber <= 4 THEN ' 2a Dose '
+            WHEN l_linenumber <= 6 THEN 'Reforco' END AS vacina_descricao_dose,
+       CAST(l_suppkey AS VARCHAR) AS estabelecimento_valor,
+       CAST(l_linenumber AS VARCHAR) AS vacina_grupoAtendimento_codigo,
+       CASE WHEN l_linestatus = 'O' THEN '2' ELSE 'x' END AS vacina_categoria_codigo,
+       CAST(l_partkey AS VARCHAR) AS vacina_codigo,
+       CAST(l_orderkey AS VARCHAR) AS paciente_id,
+       CASE WHEN l_returnflag = 'N' THEN NULL ELSE '0' || CAST(l_linenumber AS VARCHAR) END AS paciente_racaCor_codigo,
+       CAST(CAST(trunc(l_quantity) AS INTEGER) * 3 AS VARCHAR) AS paciente_idade,
+       CASE WHEN l_returnflag = 'A' THEN 'F' WHEN l_returnflag = 'R' THEN 'M'
+            WHEN l_linestatus = 'O' THEN 'F' ELSE 'I' END AS paciente_enumSexoBiologico,
+       CASE WHEN l_linenumber = 1 THEN 'None' ELSE CAST(l_suppkey + 280000 AS VARCHAR) END AS paciente_endereco_coIbgeMunicipio,
+       CASE WHEN l_linenumber = 2 THEN NULL ELSE CAST(l_suppkey + 280000 AS VARCHAR) END AS estabelecimento_municipio_codigo,
+       CASE WHEN l_linenumber = 3 AND l_linestatus = 'F' THEN 'xx'
+            ELSE strftime(CAST(l_shipdate AS DATE) + INTERVAL 300 MONTH, '%Y-%m-%d') END AS vacina_dataAplicacao,
+       CASE WHEN l_discount > 0.08 THEN 'BA' ELSE 'SE' END AS paciente_endereco_uf,
+       CASE WHEN l_tax > 0.07 THEN 'BA' WHEN l_tax = 0 THEN '-' ELSE 'SE' END AS estabelecimento_uf,
+       CASE WHEN l_linenumber = 5 THEN '1950-02-30'
+            ELSE CAST(CAST(trunc(l_quantity) AS INTEGER) + 1900 AS VARCHAR) || '-01-15' END AS paciente_dataNascimento,
+       CASE WHEN l_linenumber = 4 THEN NULL ELSE ' 49' || lpad(CAST(l_suppkey AS VARCHAR), 3, '0') END AS paciente_endereco_cep,
+       'Estab ' || CAST(l_suppkey AS VARCHAR) AS estabelecimento_razaoSocial,
+       CASE WHEN l_linestatus = 'O' THEN NULL ELSE 'Fantasia ' || CAST(l_suppkey AS VARCHAR) END AS estalecimento_noFantasia,
+       CASE WHEN l_linenumber = 6 THEN NULL ELSE 'Vacina ' || CAST(l_partkey AS VARCHAR) END AS vacina_nome,
+       'Fab' AS vacina_fabricante_nome,
+       'Grupo ' || CAST(l_linenumber AS VARCHAR) AS vacina_grupoAtendimento_nome,
+       CASE WHEN l_linestatus = 'O' THEN 'Cat 2' END AS vacina_categoria_nome,
+       CASE WHEN l_returnflag = 'N' THEN NULL ELSE 'Raca ' || CAST(l_linenumber AS VARCHAR) END AS paciente_racaCor_valor
+FROM lineitem
+"""
+
+_SEX1 = "substr(trim(paciente_enumSexoBiologico), 1, 1)"
+
+VACC_CONF = f"""
+SELECT *,
+       COALESCE(substr(upper(trim(sistema_origem)), 1, 3), '0') AS cod_sistema_origem,
+       COALESCE(sha256(trim(vacina_descricao_dose)), '0') AS cod_dose,
+       COALESCE({INT("estabelecimento_valor")}, 0) AS cod_estabelecimento,
+       COALESCE({INT("vacina_grupoAtendimento_codigo")}, 0) AS cod_grupo,
+       COALESCE({INT("vacina_categoria_codigo")}, 0) AS cod_categoria,
+       COALESCE({INT("vacina_codigo")}, 0) AS cod_vacina,
+       COALESCE(trim(paciente_id), '0') AS cod_paciente,
+       COALESCE({INT("paciente_racaCor_codigo")}, 99) AS cod_raca,
+       COALESCE({INT("paciente_idade")}, 999) AS cod_idade,
+       CASE WHEN {_SEX1} IS NULL OR {_SEX1} = 'I' THEN 'N' ELSE {_SEX1} END AS cod_sexo,
+       COALESCE({INT("COALESCE(replace(trim(paciente_endereco_coIbgeMunicipio), 'None', '0'), '0')")}, 0) AS cod_municipio_paciente,
+       COALESCE({INT("COALESCE(replace(trim(estabelecimento_municipio_codigo), 'None', '0'), '0')")}, 0) AS cod_municipio_estab,
+       CAST(try_strptime(trim(vacina_dataAplicacao), '%Y-%m-%d') AS DATE) AS data_aplicacao
+FROM ({VACC_TEXT})
+"""
+
+SUP_LOC = """
+SELECT CAST(s.s_suppkey + 280000 AS VARCHAR) || '1' AS CD_GEOCODDS, s.s_name AS NM_MUNICIPIO, ' ' || r.r_name AS NM_UF,
+       replace(printf('%.2f', s.s_acctbal), '.', ',') AS LAT,
+       replace(printf('%.2f', -s.s_acctbal), '.', ',') AS LONG
+FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey
+JOIN region r ON n.n_regionkey = r.r_regionkey
+"""
+
+SUP_LOOKUP = f"""
+SELECT cod_municipio, desc_municipio, desc_uf, MAX(latitude) AS latitude, MAX(longitude) AS longitude
+FROM (SELECT {INT("substr(trim(CD_GEOCODDS), 1, 6)")} AS cod_municipio,
+             trim(NM_MUNICIPIO) AS desc_municipio, trim(NM_UF) AS desc_uf,
+             {FLOAT("replace(trim(LAT), ',', '.')")} AS latitude,
+             {FLOAT("replace(trim(LONG), ',', '.')")} AS longitude
+      FROM ({SUP_LOC})) WHERE desc_uf = 'AMERICA'
+GROUP BY cod_municipio, desc_municipio, desc_uf
+"""
+
+
+def _srag_text(with_vaccine: bool, where: str) -> str:
+    day = "strftime(l_shipdate, '%d/%m/%Y')"
+    vac = (", CASE WHEN l_tax = 0 THEN '1' ELSE '2' END AS VACINA_COV,"
+           " CASE WHEN l_linenumber = 1 THEN 'x' END AS DOSE_1_COV,"
+           " CASE WHEN l_returnflag = 'R' THEN ' ' END AS DOSE_2_COV" if with_vaccine else
+           ", NULL AS VACINA_COV, NULL AS DOSE_1_COV, NULL AS DOSE_2_COV")
+    return f"""
+SELECT CASE WHEN l_linenumber = 7 THEN '4' WHEN l_linestatus = 'O' THEN '5' ELSE ' 5 ' END AS CLASSI_FIN,
+       CASE WHEN l_linenumber = 6 THEN NULL WHEN l_returnflag = 'A' THEN '1' ELSE '2' END AS EVOLUCAO,
+       CASE WHEN l_returnflag = 'N' THEN NULL WHEN l_linestatus = 'O' THEN 'S' ELSE 'N' END AS FATOR_RISC,
+       CAST(CAST(trunc(l_quantity) AS INTEGER) * 3 AS VARCHAR) AS NU_IDADE_N,
+       CAST(l_suppkey + 280000 AS VARCHAR) AS CO_MUN_NOT,
+       CASE WHEN l_discount > 0.08 THEN 'BA' ELSE ' SE ' END AS SG_UF,
+       CASE WHEN l_linenumber = 5 THEN NULL ELSE CAST(l_suppkey + 280000 AS VARCHAR) END AS CO_MUN_RES,
+       CASE WHEN l_returnflag = 'N' THEN NULL ELSE CAST(l_linenumber AS VARCHAR) END AS CS_RACA,
+       CASE WHEN l_linenumber IN (1, 3, 5) THEN 'F' WHEN l_linenumber IN (2, 4, 6) THEN 'M' ELSE 'I' END AS CS_SEXO,
+       CASE WHEN l_linestatus = 'O' THEN '1' ELSE '2' END AS HOSPITAL,
+       CASE WHEN l_returnflag = 'R' THEN '1' END AS UTI,
+       CASE WHEN l_linenumber = 4 THEN {day} END AS DT_DOSEUNI,
+       CASE WHEN l_linenumber = 3 THEN {day} END AS DT_1_DOSE,
+       CASE WHEN l_linenumber = 2 THEN {day} END AS DT_2_DOSE,
+       {day} AS DT_DIGITA, {day} AS DT_NOTIFIC {vac}
+FROM lineitem WHERE {where}
+"""
+
+
+SRAG_CASES = f"""
+SELECT * FROM (
+  {_srag_text(False, "l_shipdate < TIMESTAMP '1998-01-01 00:00:00'")}
+  UNION ALL BY NAME
+  {_srag_text(True, "l_shipdate >= TIMESTAMP '1998-01-01 00:00:00'")})
+WHERE trim(SG_UF) = 'SE' AND trim(CLASSI_FIN) = '5'
+"""
+
+
+def _present(c: str) -> str:
+    return f"trim({c}) IS NOT NULL"
+
+
+SRAG_CONF = f"""
+SELECT COALESCE(trim(CLASSI_FIN), '0') AS cod_class_final,
+       COALESCE(trim(EVOLUCAO), '9') AS cod_evolucao,
+       CASE WHEN trim(FATOR_RISC) IS NULL THEN '9' WHEN trim(FATOR_RISC) = 'S' THEN '1'
+            WHEN trim(FATOR_RISC) = 'N' THEN '2' ELSE trim(FATOR_RISC) END AS cod_risco,
+       {INT("COALESCE(trim(NU_IDADE_N), '0')")} AS cod_idade,
+       {INT("COALESCE(trim(CO_MUN_NOT), '0')")} AS cod_municipio_estab,
+       {INT("COALESCE(trim(CO_MUN_RES), '0')")} AS cod_municipio_paciente,
+       trim(SG_UF) AS cod_uf_paciente,
+       CASE WHEN rc IS NULL THEN 99 WHEN rc = 6 THEN 3 WHEN rc = 3 THEN 4 WHEN rc = 9 THEN 99 ELSE rc END AS cod_raca,
+       CASE WHEN trim(CS_SEXO) IS NULL OR trim(CS_SEXO) = 'I' THEN 'N' ELSE trim(CS_SEXO) END AS cod_sexo,
+       COALESCE({INT("HOSPITAL")}, 9) AS cod_internacao,
+       COALESCE({INT("UTI")}, 9) AS cod_uti,
+       COALESCE({INT("VACINA_COV")}, 9) AS cod_vacinado,
+       CASE WHEN {_present("DOSE_1_COV")} THEN 1 WHEN {_present("DOSE_2_COV")} THEN 2
+            WHEN {_present("DT_DOSEUNI")} THEN 1 WHEN {_present("DT_1_DOSE")} THEN 1
+            WHEN {_present("DT_2_DOSE")} THEN 2 ELSE 0 END AS cod_doses,
+       CAST(try_strptime(DT_DIGITA, '%d/%m/%Y') AS DATE) AS dat_encerramento,
+       CAST(try_strptime(DT_NOTIFIC, '%d/%m/%Y') AS DATE) AS dat_notificacao,
+       CAST(try_strptime(DT_NOTIFIC, '%d/%m/%Y') AS DATE) AS data
+FROM (SELECT *, {INT("replace(trim(CS_RACA), '4', '6')")} AS rc FROM ({SRAG_CASES}))
+"""
+
+NOTIF_TEXT = """
+SELECT CASE WHEN o_orderstatus = 'F' THEN ' Confirmado ' WHEN o_orderstatus = 'O' THEN 'Descartado' END AS classificacaoFinal,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN 'Obito' ELSE 'Cura' END AS evolucaoCaso,
+       CASE WHEN o_totalprice >= 100000 THEN 'Diabetes' END AS condicoes,
+       CAST(dayofmonth(o_orderdate) * 4 AS VARCHAR) AS idade,
+       CASE WHEN o_orderpriority = '5-LOW' THEN 'SE'
+            WHEN o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'P' THEN NULL
+            ELSE CAST(o_custkey + 2800000 AS VARCHAR) END AS municipioIBGE,
+       CASE WHEN o_orderstatus = 'P' THEN 'BA' ELSE ' SE ' END AS estadoIBGE,
+       CASE WHEN o_orderpriority IN ('1-URGENT', '3-MEDIUM') THEN 'Feminino'
+            WHEN o_orderpriority = '2-HIGH' THEN ' masculino' END AS sexo,
+       strftime(o_orderdate, '%Y-%m-%d') AS dataNotificacao
+FROM orders
+"""
+
+NOTIF_FACT = f"""
+SELECT cod_idade, cod_municipio_paciente, cod_sexo, data, CAST(COUNT(*) AS REAL) AS qtd_notificacao
+FROM (SELECT COALESCE({INT("idade")}, 0) AS cod_idade,
+             COALESCE({INT("substr(trim(municipioIBGE), 1, 6)")}, 0) AS cod_municipio_paciente,
+             trim(estadoIBGE) AS estado,
+             COALESCE(CASE WHEN sexo IS NULL THEN 'N' ELSE substr(upper(trim(sexo)), 1, 1) END, 'N') AS cod_sexo,
+             CAST(try_strptime(dataNotificacao, '%Y-%m-%d') AS DATE) AS data
+      FROM ({NOTIF_TEXT}) WHERE substr(trim(municipioIBGE), 1, 6) <> 'SE')
+WHERE estado = 'SE' AND cod_sexo IN ('M', 'F') AND cod_idade BETWEEN 10 AND 110
+GROUP BY 1, 2, 3, 4
+"""
+
+
+def _dim(cols: str, where: str) -> str:
+    return f"SELECT DISTINCT {cols} FROM ({VACC_CONF}) WHERE {where}"
+
+
+ORACLE.update({
+    "star_vaccination_fact": f"""
+SELECT cod_sistema_origem, cod_estabelecimento, cod_grupo, cod_categoria, cod_vacina, cod_paciente, cod_dose,
+       cod_raca, cod_sexo, cod_idade, cod_municipio_estab, cod_municipio_paciente, data_aplicacao AS data,
+       COUNT(DISTINCT document_id) AS Qtd_Vacinas_Aplicadas
+FROM ({VACC_CONF})
+WHERE paciente_endereco_uf = 'SE' AND cod_sexo IN ('F', 'M') AND cod_idade BETWEEN 10 AND 110
+  AND cod_dose <> '0' AND data_aplicacao >= DATE '2021-01-19'
+GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13
+""",
+    "star_dm_sistemas": _dim("cod_sistema_origem, upper(sistema_origem) AS sistema_origem", "sistema_origem IS NOT NULL"),
+    "star_dm_doses": _dim("cod_dose, upper(vacina_descricao_dose) AS desc_dose", "vacina_descricao_dose IS NOT NULL"),
+    "star_dm_sexo": f"""
+SELECT * FROM ({_dim("cod_sexo, CASE WHEN cod_sexo = 'F' THEN 'FEMININO' WHEN cod_sexo = 'M' THEN 'MASCULINO' "
+                     "ELSE 'SEM INFORMACAO' END AS des_sexo", "TRUE")}) WHERE cod_sexo IN ('F', 'M')
+""",
+    "star_dm_paciente": _dim("cod_paciente, CAST(try_strptime(paciente_dataNascimento, '%Y-%m-%d') AS DATE) AS data_nascimento, "
+                             "COALESCE(trim(paciente_endereco_cep), '0') AS cep", "cod_paciente IS NOT NULL"),
+    "star_dm_estabelecimento": _dim("cod_estabelecimento, COALESCE(estabelecimento_razaoSocial, 'SEM INFORMACAO') AS razao_social, "
+                                    "COALESCE(estalecimento_noFantasia, 'SEM INFORMACAO') AS nome_fantasia",
+                                    "cod_estabelecimento IS NOT NULL"),
+    "star_dm_vacina": _dim("cod_vacina, COALESCE(vacina_nome, 'SEM INFORMACAO') AS nome_vacina, "
+                           "COALESCE(vacina_fabricante_nome, 'SEM INFORMACAO') AS nome_fabricante", "cod_vacina IS NOT NULL"),
+    "star_dm_grupo": _dim("cod_grupo, COALESCE(vacina_grupoAtendimento_nome, 'SEM INFORMACAO') AS desc_grupo",
+                          "cod_grupo IS NOT NULL"),
+    "star_dm_categoria": _dim("cod_categoria, COALESCE(vacina_categoria_nome, 'SEM INFORMACAO') AS desc_categoria",
+                              "cod_categoria IS NOT NULL"),
+    "star_dm_raca": _dim("cod_raca, COALESCE(paciente_racaCor_valor, 'SEM INFORMACAO') AS desc_raca", "cod_raca IS NOT NULL"),
+    "star_dm_regiao_estab": f"""
+SELECT DISTINCT a.cod_municipio_estab,
+       CASE WHEN a.cod_municipio_estab = 0 THEN '-' ELSE c.desc_municipio END AS desc_municipio_estab,
+       CASE WHEN a.cod_municipio_estab = 0 THEN '-' ELSE c.desc_uf END AS desc_uf_estab,
+       c.latitude, c.longitude
+FROM ({VACC_CONF}) a JOIN ({SUP_LOOKUP}) c ON a.cod_municipio_estab = c.cod_municipio
+WHERE a.cod_municipio_estab IS NOT NULL AND a.estabelecimento_uf IN ('SE', '-')
+""",
+    "star_dm_regiao_paciente": f"""
+SELECT DISTINCT a.cod_municipio_paciente,
+       CASE WHEN a.cod_municipio_paciente = 0 THEN 'SEM INFORMACAO' ELSE c.desc_municipio END AS desc_municipio,
+       CASE WHEN a.cod_municipio_paciente = 0 THEN '-' ELSE c.desc_uf END AS desc_uf,
+       CASE WHEN a.cod_municipio_paciente = 0 THEN '-' ELSE 'Brasil' END AS desc_pais,
+       c.latitude, c.longitude
+FROM ({VACC_CONF}) a JOIN ({SUP_LOOKUP}) c ON a.cod_municipio_paciente = c.cod_municipio
+WHERE a.cod_municipio_paciente IS NOT NULL AND a.paciente_endereco_uf IN ('SE', '-')
+""",
+    "star_srag_conformed": SRAG_CONF,
+    "star_deaths_fact": f"""
+SELECT cod_idade, cod_municipio_paciente, cod_sexo, data, CAST(COUNT(*) AS REAL) AS qtd_obito
+FROM ({SRAG_CONF})
+WHERE {INT("cod_evolucao")} = 2 AND cod_idade BETWEEN 10 AND 110 AND cod_sexo IN ('F', 'M') AND cod_uf_paciente = 'SE'
+GROUP BY 1, 2, 3, 4
+""",
+    "star_notification_fact": NOTIF_FACT,
+})

@@ -473,6 +473,179 @@ def row_count(spark, d):
     return table(spark, d, "lineitem").agg(F.count(F.lit(1)).alias("registros"))
 
 
+# ------------------------------------- star schema on raw-layout text ------
+# Line items re-written as the raw text of each source layout, then run
+# through the real conform projection and fact/dimension specs.
+
+def _s(c: Column) -> Column:
+    return c.cast("string")
+
+
+def _null() -> Column:
+    return F.lit(None).cast("string")
+
+
+def _vaccination_text(spark, d) -> DataFrame:
+    li = table(spark, d, "lineitem")
+    ln, rf, ls = F.col("l_linenumber"), F.col("l_returnflag"), F.col("l_linestatus")
+    qty = F.col("l_quantity").cast("int")
+    muni = _s(F.col("l_suppkey") + 280000)
+    applied = F.date_format(F.add_months(F.to_date("l_shipdate"), 300), "yyyy-MM-dd")
+    return li.select(
+        _s(F.col("l_orderkey")).alias("document_id"),
+        F.when(ln == 7, _null()).when(ls == "O", F.lit(" novo pni ")).otherwise(F.lit("esus ab")).alias("sistema_origem"),
+        F.when(ln <= 2, F.lit("1a Dose")).when(ln <= 4, F.lit(" 2a Dose ")).when(ln <= 6, F.lit("Reforco"))
+        .alias("vacina_descricao_dose"),
+        _s(F.col("l_suppkey")).alias("estabelecimento_valor"),
+        _s(ln).alias("vacina_grupoAtendimento_codigo"),
+        F.when(ls == "O", F.lit("2")).otherwise(F.lit("x")).alias("vacina_categoria_codigo"),
+        _s(F.col("l_partkey")).alias("vacina_codigo"),
+        _s(F.col("l_orderkey")).alias("paciente_id"),
+        F.when(rf == "N", _null()).otherwise(F.concat(F.lit("0"), _s(ln))).alias("paciente_racaCor_codigo"),
+        _s(qty * 3).alias("paciente_idade"),
+        F.when(rf == "A", F.lit("F")).when(rf == "R", F.lit("M")).when(ls == "O", F.lit("F")).otherwise(F.lit("I"))
+        .alias("paciente_enumSexoBiologico"),
+        F.when(ln == 1, F.lit("None")).otherwise(muni).alias("paciente_endereco_coIbgeMunicipio"),
+        F.when(ln == 2, _null()).otherwise(muni).alias("estabelecimento_municipio_codigo"),
+        F.when((ln == 3) & (ls == "F"), F.lit("xx")).otherwise(applied).alias("vacina_dataAplicacao"),
+        F.when(F.col("l_discount") > 0.08, F.lit("BA")).otherwise(F.lit("SE")).alias("paciente_endereco_uf"),
+        F.when(F.col("l_tax") > 0.07, F.lit("BA")).when(F.col("l_tax") == 0, F.lit("-")).otherwise(F.lit("SE"))
+        .alias("estabelecimento_uf"),
+        F.when(ln == 5, F.lit("1950-02-30")).otherwise(F.concat(_s(qty + 1900), F.lit("-01-15")))
+        .alias("paciente_dataNascimento"),
+        F.when(ln == 4, _null()).otherwise(F.concat(F.lit(" 49"), F.lpad(_s(F.col("l_suppkey")), 3, "0")))
+        .alias("paciente_endereco_cep"),
+        F.concat(F.lit("Estab "), _s(F.col("l_suppkey"))).alias("estabelecimento_razaoSocial"),
+        F.when(ls == "O", _null()).otherwise(F.concat(F.lit("Fantasia "), _s(F.col("l_suppkey"))))
+        .alias("estalecimento_noFantasia"),
+        F.when(ln == 6, _null()).otherwise(F.concat(F.lit("Vacina "), _s(F.col("l_partkey")))).alias("vacina_nome"),
+        F.lit("Fab").alias("vacina_fabricante_nome"),
+        F.concat(F.lit("Grupo "), _s(ln)).alias("vacina_grupoAtendimento_nome"),
+        F.when(ls == "O", F.lit("Cat 2")).alias("vacina_categoria_nome"),
+        F.when(rf == "N", _null()).otherwise(F.concat(F.lit("Raca "), _s(ln))).alias("paciente_racaCor_valor"),
+    )
+
+
+def star_vaccination_fact(spark, d):
+    """Vaccination fact (13 keys, distinct documents) through the real spec."""
+    return build_fact(star.conform_vaccination(_vaccination_text(spark, d)), star.vaccination_fact_spec())
+
+
+def _star_dim(name: str):
+    def query(spark, d):
+        conformed = star.conform_vaccination(_vaccination_text(spark, d))
+        if name == "dm_sexo":
+            return build_dim(conformed, star.sex_dim_spec())
+        return build_dim(conformed, star.vaccination_dim_specs()[name])
+    query.__name__ = f"star_{name}"
+    query.__doc__ = f"Vaccination dimension {name} through the real spec."
+    return query
+
+
+def _supplier_localities(spark, d) -> DataFrame:
+    """Suppliers as localities: code 280000 + key (plus a check digit)."""
+    nation = table(spark, d, "nation")
+    region = table(spark, d, "region")
+    sup = table(spark, d, "supplier")
+    comma = lambda c: F.regexp_replace(F.format_string("%.2f", c), r"\.", ",")
+    return (sup.join(nation, sup.s_nationkey == nation.n_nationkey)
+            .join(region, nation.n_regionkey == region.r_regionkey)
+            .select(F.concat(_s(F.col("s_suppkey") + 280000), F.lit("1")).alias("CD_GEOCODDS"),
+                    F.col("s_name").alias("NM_MUNICIPIO"),
+                    F.concat(F.lit(" "), F.col("r_name")).alias("NM_UF"),
+                    comma(F.col("s_acctbal")).alias("LAT"),
+                    comma(-F.col("s_acctbal")).alias("LONG")))
+
+
+def star_dm_regiao_estab(spark, d):
+    lookup = star.localities_lookup(_supplier_localities(spark, d), state_name="AMERICA")
+    return star.establishment_region_dim(star.conform_vaccination(_vaccination_text(spark, d)), lookup)
+
+
+def star_dm_regiao_paciente(spark, d):
+    lookup = star.localities_lookup(_supplier_localities(spark, d), state_name="AMERICA")
+    return star.patient_region_dim(star.conform_vaccination(_vaccination_text(spark, d)), lookup)
+
+
+_LATE = "1998-01-01"
+
+
+def _srag_text(li: DataFrame, with_vaccine: bool) -> DataFrame:
+    ln, rf, ls = F.col("l_linenumber"), F.col("l_returnflag"), F.col("l_linestatus")
+    muni = _s(F.col("l_suppkey") + 280000)
+    day = F.date_format("l_shipdate", "dd/MM/yyyy")
+    cols = [
+        F.when(ln == 7, F.lit("4")).when(ls == "O", F.lit("5")).otherwise(F.lit(" 5 ")).alias("CLASSI_FIN"),
+        F.when(ln == 6, _null()).when(rf == "A", F.lit("1")).otherwise(F.lit("2")).alias("EVOLUCAO"),
+        F.when(rf == "N", _null()).when(ls == "O", F.lit("S")).otherwise(F.lit("N")).alias("FATOR_RISC"),
+        _s(F.col("l_quantity").cast("int") * 3).alias("NU_IDADE_N"),
+        F.lit("SE").alias("SG_UF_NOT"),
+        muni.alias("CO_MUN_NOT"),
+        F.when(F.col("l_discount") > 0.08, F.lit("BA")).otherwise(F.lit(" SE ")).alias("SG_UF"),
+        F.when(ln == 5, _null()).otherwise(muni).alias("CO_MUN_RES"),
+        F.when(rf == "N", _null()).otherwise(_s(ln)).alias("CS_RACA"),
+        F.when(ln.isin(1, 3, 5), F.lit("F")).when(ln.isin(2, 4, 6), F.lit("M")).otherwise(F.lit("I")).alias("CS_SEXO"),
+        F.when(ls == "O", F.lit("1")).otherwise(F.lit("2")).alias("HOSPITAL"),
+        F.when(rf == "R", F.lit("1")).alias("UTI"),
+        F.when(ln == 4, day).alias("DT_DOSEUNI"),
+        F.when(ln == 3, day).alias("DT_1_DOSE"),
+        F.when(ln == 2, day).alias("DT_2_DOSE"),
+        day.alias("DT_DIGITA"),
+        day.alias("DT_NOTIFIC"),
+    ]
+    if with_vaccine:
+        cols += [F.when(F.col("l_tax") == 0, F.lit("1")).otherwise(F.lit("2")).alias("VACINA_COV"),
+                 F.when(ln == 1, F.lit("x")).alias("DOSE_1_COV"),
+                 F.when(rf == "R", F.lit(" ")).alias("DOSE_2_COV")]
+    return li.select(*cols)
+
+
+def _srag_cases(spark, d) -> DataFrame:
+    """Two yearly extracts (the early one lacks the vaccine columns), each
+    filtered to the state's COVID-19 cases, aligned and unioned."""
+    li = table(spark, d, "lineitem")
+    early = _srag_text(li.filter(F.col("l_shipdate") < _ts(_LATE)), with_vaccine=False)
+    late = _srag_text(li.filter(F.col("l_shipdate") >= _ts(_LATE)), with_vaccine=True)
+    frames = [f.filter(star.srag_case_filter()) for f in (early, late)]
+    return union_aligned(frames, V.SRAG_COLUMNS)
+
+
+def star_srag_conformed(spark, d):
+    """All sixteen conformed SRAG columns (race swap, flags, first dose...)."""
+    return star.conform_srag(_srag_cases(spark, d))
+
+
+def star_deaths_fact(spark, d):
+    return build_fact(star.conform_srag(_srag_cases(spark, d)), star.deaths_fact_spec())
+
+
+def _notification_text(spark, d) -> DataFrame:
+    o = table(spark, d, "orders")
+    status, prio = F.col("o_orderstatus"), F.col("o_orderpriority")
+    muni = _s(F.col("o_custkey") + 2800000)
+    return o.select(
+        F.when(status == "F", F.lit(" Confirmado ")).when(status == "O", F.lit("Descartado")).alias("classificacaoFinal"),
+        F.when(prio == "1-URGENT", F.lit("Obito")).otherwise(F.lit("Cura")).alias("evolucaoCaso"),
+        F.when(F.col("o_totalprice") >= 100000, F.lit("Diabetes")).alias("condicoes"),
+        _s(F.dayofmonth("o_orderdate") * 4).alias("idade"),
+        muni.alias("municipioNotificacaoIBGE"),
+        F.when(prio == "5-LOW", F.lit("SE")).when((prio == "4-NOT SPECIFIED") & (status == "P"), _null())
+        .otherwise(muni).alias("municipioIBGE"),
+        F.when(status == "P", F.lit("BA")).otherwise(F.lit(" SE ")).alias("estadoIBGE"),
+        F.lit("parda").alias("racaCor"),
+        F.when(prio.isin("1-URGENT", "3-MEDIUM"), F.lit("Feminino")).when(prio == "2-HIGH", F.lit(" masculino"))
+        .alias("sexo"),
+        F.when(status == "F", F.lit("1")).otherwise(F.lit("x")).alias("codigoRecebeuVacina"),
+        F.when(status == "F", F.lit("1, 2")).when(status == "O", F.lit("9,10")).alias("codigoDosesVacina"),
+        F.date_format(F.date_add(F.to_date("o_orderdate"), 10), "yyyy-MM-dd").alias("dataEncerramento"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("dataNotificacao"),
+    )
+
+
+def star_notification_fact(spark, d):
+    return build_fact(star.conform_notification(_notification_text(spark, d)), star.notification_fact_spec())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_count_distinct": fact_count_distinct,
     "fact_count": fact_count,
@@ -510,4 +683,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parquet_roundtrip": parquet_roundtrip,
     "partitioned_roundtrip": partitioned_roundtrip,
     "row_count": row_count,
+    "star_vaccination_fact": star_vaccination_fact,
+    **{f"star_{n}": _star_dim(n) for n in (
+        "dm_sistemas", "dm_doses", "dm_sexo", "dm_paciente", "dm_estabelecimento", "dm_vacina",
+        "dm_grupo", "dm_categoria", "dm_raca")},
+    "star_dm_regiao_estab": star_dm_regiao_estab,
+    "star_dm_regiao_paciente": star_dm_regiao_paciente,
+    "star_srag_conformed": star_srag_conformed,
+    "star_deaths_fact": star_deaths_fact,
+    "star_notification_fact": star_notification_fact,
 }
