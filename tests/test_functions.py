@@ -117,3 +117,15 @@ def test_recode_keep_and_default(spark):
     assert evaluate(spark, ["HOMENS", "MULHERES", "TOTAL", None],
                     X.recode("s", {"HOMENS": "M", "MULHERES": "F"}, default="N")) == ["M", "F", "N", "N"]
     assert evaluate(spark, ["a", "b", None], X.recode("s", {"a": "A"}, null="?")) == ["A", "b", "?"]
+
+
+def test_date_fast_paths_equal_strict_pattern_parse(spark):
+    days = spark.range(0, 3000).select(F.date_add(F.lit("1999-06-01").cast("date"), F.col("id").cast("int")).alias("d"))
+    iso, br = F.date_format("d", "yyyy-MM-dd"), F.date_format("d", "dd/MM/yyyy")
+    shifted = F.lpad((F.dayofmonth("d") + 3).cast("string"), 2, "0")
+    texts = days.select(F.explode(F.array(
+        iso, br, F.concat(F.date_format("d", "yyyy-MM-"), shifted), F.concat(shifted, F.date_format("d", "/MM/yyyy")),
+        F.concat(iso, F.lit(" ")), F.date_format("d", "yyyy-M-d"), F.date_format("d", "d/M/yyyy"),
+        F.lit("xx"), F.lit(""), F.date_format("d", "yyyy-MM-dd HH:mm"))).alias("s"))
+    for fmt in ("yyyy-MM-dd", "dd/MM/yyyy"):
+        assert texts.filter(~F.try_to_date("s", fmt).eqNullSafe(X.to_date("s", fmt))).count() == 0, fmt
