@@ -129,3 +129,36 @@ def test_date_fast_paths_equal_strict_pattern_parse(spark):
         F.lit("xx"), F.lit(""), F.date_format("d", "yyyy-MM-dd HH:mm"))).alias("s"))
     for fmt in ("yyyy-MM-dd", "dd/MM/yyyy"):
         assert texts.filter(~F.try_to_date("s", fmt).eqNullSafe(X.to_date("s", fmt))).count() == 0, fmt
+
+
+def _lenient_int_model(s):
+    """Plain-Python statement of the lenient text -> int rule."""
+    import re
+    from decimal import Decimal
+
+    if s is None:
+        return None
+    t = s.strip(" ")
+    if not re.fullmatch(r"[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)", t):
+        return None
+    v = int(Decimal(t))  # truncates toward zero
+    return v if -2**31 <= v < 2**31 else None
+
+
+def test_to_int_matches_python_model_on_random_text(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    alphabet = st.sampled_from(list("0123456789 .+-eaN,"))
+    texts = st.lists(st.one_of(st.none(), st.text(alphabet, max_size=14),
+                               st.integers(-2**40, 2**40).map(str),
+                               st.decimals(allow_nan=False, allow_infinity=False, places=3).map(str)),
+                     min_size=50, max_size=300)
+
+    @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(texts)
+    def check(values):
+        got = evaluate(spark, values, X.to_int("s"))
+        assert got == [_lenient_int_model(v) for v in values]
+
+    check()
