@@ -549,4 +549,9 @@ WHERE {INT("cod_evolucao")} = 2 AND cod_idade BETWEEN 10 AND 110 AND cod_sexo IN
 GROUP BY 1, 2, 3, 4
 """,
     "star_notification_fact": NOTIF_FACT,
+    "stream_ingest": f"""
+SELECT document_id, cod_sistema_origem, cod_estabelecimento, cod_grupo, cod_categoria, cod_vacina, cod_paciente,
+       cod_dose, cod_raca, cod_sexo, cod_idade, cod_municipio_estab, cod_municipio_paciente, data_aplicacao
+FROM ({VACC_CONF})
+""",
 })

@@ -29,6 +29,7 @@ from ..operators import (
     union_aligned,
 )
 from ..sources import read_delimited, read_layer, read_positional, scratch_path, write_parquet
+from ..streaming.ingest import ingest_new_files
 from . import star
 from . import vocab as V
 
@@ -646,6 +647,21 @@ def star_notification_fact(spark, d):
     return build_fact(star.conform_notification(_notification_text(spark, d)), star.notification_fact_spec())
 
 
+STREAM_COLUMNS = ["document_id", *star.VACCINATION_KEYS]
+
+
+def stream_ingest(spark, d):
+    """Raw vaccination text dropped as CSV files, conformed by the
+    incremental stream ingest (availableNow, exactly-once file sink)."""
+    src, out = scratch_path(spark, "stream_src"), scratch_path(spark, "stream_out")
+    text = _vaccination_text(spark, d)
+    (text.write.option("header", True).option("sep", ";").option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(src))
+    ingest_new_files(spark, src, text.columns, star.conform_vaccination, out, partition_by=(),
+                     part_token=None, checkpoint=scratch_path(spark, "stream_ckpt"))
+    return spark.read.parquet(out).select(*STREAM_COLUMNS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_count_distinct": fact_count_distinct,
     "fact_count": fact_count,
@@ -692,4 +708,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "star_srag_conformed": star_srag_conformed,
     "star_deaths_fact": star_deaths_fact,
     "star_notification_fact": star_notification_fact,
+    "stream_ingest": stream_ingest,
 }
