@@ -8,6 +8,7 @@ from typing import Any
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..plans import vocab as V
 from .casts import col_of, to_int
 from .text import clean, first_char
 
@@ -59,22 +60,24 @@ def bucketize(c: str | Column, bands: Sequence[tuple[int | None, int | None, str
 
 
 def sex_code(c: str | Column, *, first_letter: bool = True, upper: bool = False,
-             unknown: Sequence[str] = ("I",), missing: str = "N") -> Column:
+             unknown: Sequence[str] = tuple(V.UNKNOWN_SEX), missing: str = V.MISSING_SEX) -> Column:
     """Sex code: the (first letter of the) trimmed text; NULL and the
     ``unknown`` codes become ``missing``."""
     code = first_char(c, upper=upper) if first_letter else clean(c)
     return F.when(code.isNull() | code.isin(*unknown), F.lit(missing)).otherwise(code)
 
 
-def swapped_race_code(c: str | Column, missing: int = 99) -> Column:
+def swapped_race_code(c: str | Column, swap: tuple[str, str] = V.RACE_DIGIT_SWAP,
+                      codes: Mapping[int, int] = V.RACE_RECODE, missing: int = V.RACE_MISSING) -> Column:
     """Race code of the SRAG layout: every digit 4 in the text becomes 6, the
-    text is read as int, then 6 -> 3, 3 -> 4, 9 -> ``missing``, NULL -> ``missing``.
+    text is read as int, then 6 -> 3, 3 -> 4, 9 -> 99, NULL -> 99.
     (So source '4' -> 3, '3' -> 4, '6' -> 3 and '14' -> 16.)"""
-    raw = to_int(F.regexp_replace(clean(c), "4", "6"))
-    return recode(raw, {6: 3, 3: 4, 9: missing}, null=missing)
+    raw = to_int(F.regexp_replace(clean(c), swap[0], swap[1]))
+    return recode(raw, codes, null=missing)
 
 
-def letter_flag(c: str | Column, yes: str = "S", no: str = "N") -> Column:
-    """Yes/no letter code as text: ``yes`` -> '1', ``no`` -> '2', NULL -> '9',
+def letter_flag(c: str | Column, codes: Mapping[str, str] = V.FLAG_RECODE,
+                missing: str = V.FLAG_MISSING) -> Column:
+    """Yes/no letter code as text: 'S' -> '1', 'N' -> '2', NULL -> '9',
     anything else kept as trimmed text."""
-    return recode(clean(c), {yes: "1", no: "2"}, null="9")
+    return recode(clean(c), codes, null=missing)

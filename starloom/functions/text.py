@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..plans import vocab as V
 from .casts import col_of, to_float, to_int
 
 
@@ -39,7 +40,7 @@ def decimal_comma(c: str | Column) -> Column:
 
 def none_as_zero(c: str | Column) -> Column:
     """Replace the literal text ``None`` (a null written as text) by ``0``."""
-    return F.regexp_replace(clean(c), "None", "0")
+    return F.regexp_replace(clean(c), V.NONE_TEXT, V.NO_CODE)
 
 
 def hash_key(c: str | Column) -> Column:

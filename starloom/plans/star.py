@@ -38,8 +38,8 @@ def _between(c: str, lo: int, hi: int) -> Column:
 # ---------------------------------------------------------------------------
 
 def _municipality(c: str) -> Column:
-    # 'None' written as text counts as 0; anything non-numeric ends as 0 too.
-    return X.to_int(F.coalesce(X.none_as_zero(c), F.lit("0")))
+    # 'None' written as text counts as 0; NULL text is 0 before the cast.
+    return X.to_int(F.coalesce(X.none_as_zero(c), F.lit(V.NO_CODE)))
 
 
 def conform_vaccination(raw: DataFrame) -> DataFrame:
@@ -61,11 +61,7 @@ def conform_vaccination(raw: DataFrame) -> DataFrame:
         "data_aplicacao": applied,
         "data": applied,
     })
-    return fill_sentinels(df, {
-        "cod_sistema_origem": "0", "cod_dose": "0", "cod_estabelecimento": 0, "cod_grupo": 0,
-        "cod_categoria": 0, "cod_vacina": 0, "cod_paciente": "0", "cod_raca": 99,
-        "cod_idade": 999, "cod_municipio_estab": 0, "cod_municipio_paciente": 0, "cod_sexo": "N",
-    })
+    return fill_sentinels(df, V.VACCINATION_SENTINELS)
 
 
 VACCINATION_KEYS = (
@@ -83,7 +79,7 @@ def vaccination_fact_spec() -> FactSpec:
         keys=VACCINATION_KEYS,
         measure=Measure("count_distinct", "Qtd_Vacinas_Aplicadas", "document_id"),
         where=((F.col("paciente_endereco_uf") == V.STATE_CODE) & _in("cod_sexo", "F", "M")
-               & _between("cod_idade", V.AGE_MIN, V.AGE_MAX) & (F.col("cod_dose") != "0")
+               & _between("cod_idade", V.AGE_MIN, V.AGE_MAX) & (F.col("cod_dose") != V.NO_CODE)
                & (F.col("data_aplicacao") >= F.lit(V.FIRST_DOSE_DAY).cast("date"))),
         rename={"data_aplicacao": "data"},
     )
@@ -111,7 +107,7 @@ def vaccination_dim_specs() -> dict[str, DimSpec]:
         "dm_sexo": sex_dim_spec(),
         "dm_paciente": DimSpec(columns={"cod_paciente": "cod_paciente",
                                         "data_nascimento": X.to_date("paciente_dataNascimento"),
-                                        "cep": F.coalesce(X.clean("paciente_endereco_cep"), F.lit("0"))},
+                                        "cep": F.coalesce(X.clean("paciente_endereco_cep"), F.lit(V.NO_CODE))},
                                not_null=("cod_paciente",)),
         "dm_estabelecimento": described("cod_estabelecimento",
                                         razao_social=F.col("estabelecimento_razaoSocial"),
@@ -128,7 +124,7 @@ def vaccination_dim_specs() -> dict[str, DimSpec]:
 # Localities lookup and the two geographic dimensions
 # ---------------------------------------------------------------------------
 
-LOCALITY_COLUMNS = ["CD_GEOCODDS", "NM_MUNICIPIO", "NM_UF", "LAT", "LONG"]
+LOCALITY_COLUMNS = V.LOCALITY_COLUMNS
 
 
 def localities_lookup(raw: DataFrame, state_name: str | None = V.STATE_NAME) -> DataFrame:
@@ -202,14 +198,14 @@ def srag_case_filter() -> Column:
 
 def _int_or_zero_text(c: str) -> Column:
     # NULL becomes 0 *before* the cast, so only unreadable text ends NULL.
-    return X.to_int(F.coalesce(X.clean(c), F.lit("0")))
+    return X.to_int(F.coalesce(X.clean(c), F.lit(V.NO_CODE)))
 
 
 def conform_srag(aligned: DataFrame) -> DataFrame:
     notified = X.to_date("DT_NOTIFIC", "dd/MM/yyyy")
-    return aligned.select(
-        F.coalesce(X.clean("CLASSI_FIN"), F.lit("0")).alias("cod_class_final"),
-        F.coalesce(X.clean("EVOLUCAO"), F.lit("9")).alias("cod_evolucao"),
+    df = aligned.select(
+        X.clean("CLASSI_FIN").alias("cod_class_final"),
+        X.clean("EVOLUCAO").alias("cod_evolucao"),
         X.letter_flag("FATOR_RISC").alias("cod_risco"),
         _int_or_zero_text("NU_IDADE_N").alias("cod_idade"),
         _int_or_zero_text("CO_MUN_NOT").alias("cod_municipio_estab"),
@@ -217,15 +213,15 @@ def conform_srag(aligned: DataFrame) -> DataFrame:
         X.clean("SG_UF").alias("cod_uf_paciente"),
         X.swapped_race_code("CS_RACA").alias("cod_raca"),
         X.sex_code("CS_SEXO", first_letter=False).alias("cod_sexo"),
-        F.coalesce(X.to_int("HOSPITAL"), F.lit(9)).alias("cod_internacao"),
-        F.coalesce(X.to_int("UTI"), F.lit(9)).alias("cod_uti"),
-        F.coalesce(X.to_int("VACINA_COV"), F.lit(9)).alias("cod_vacinado"),
-        X.first_present([("DOSE_1_COV", 1), ("DOSE_2_COV", 2), ("DT_DOSEUNI", 1),
-                         ("DT_1_DOSE", 1), ("DT_2_DOSE", 2)], 0).alias("cod_doses"),
+        X.to_int("HOSPITAL").alias("cod_internacao"),
+        X.to_int("UTI").alias("cod_uti"),
+        X.to_int("VACINA_COV").alias("cod_vacinado"),
+        X.first_present(V.DOSE_PRECEDENCE, V.NO_DOSE).alias("cod_doses"),
         X.to_date("DT_DIGITA", "dd/MM/yyyy").alias("dat_encerramento"),
         notified.alias("dat_notificacao"),
         notified.alias("data"),
     )
+    return fill_sentinels(df, V.SRAG_SENTINELS)
 
 
 def deaths_fact_spec() -> FactSpec:
@@ -250,26 +246,26 @@ def conform_notification(raw: DataFrame) -> DataFrame:
     notified = X.to_date("dataNotificacao")
     df = raw.filter(patient_muni != V.STATE_CODE)
     out = df.select(
-        F.coalesce(X.hash_key("classificacaoFinal"), F.lit("0")).alias("cod_class_final"),
+        X.hash_key("classificacaoFinal").alias("cod_class_final"),
         F.upper(F.rtrim(F.ltrim("classificacaoFinal"))).alias("des_class_final"),
-        F.coalesce(X.hash_key("evolucaoCaso"), F.lit("0")).alias("cod_evolucao"),
+        X.hash_key("evolucaoCaso").alias("cod_evolucao"),
         F.upper(F.rtrim(F.ltrim("evolucaoCaso"))).alias("des_evolucao"),
-        F.coalesce(X.hash_key("condicoes"), F.lit("0")).alias("cod_condicoes"),
+        X.hash_key("condicoes").alias("cod_condicoes"),
         F.upper(F.rtrim(F.ltrim("condicoes"))).alias("des_condicoes"),
-        F.coalesce(X.to_int("idade"), F.lit(0)).alias("cod_idade"),
-        F.coalesce(F.substring(X.clean("municipioNotificacaoIBGE"), 1, 6), F.lit("0")).alias("cod_municipio_estab"),
-        F.coalesce(X.to_int(patient_muni), F.lit(0)).alias("cod_municipio_paciente"),
+        X.to_int("idade").alias("cod_idade"),
+        F.substring(X.clean("municipioNotificacaoIBGE"), 1, 6).alias("cod_municipio_estab"),
+        X.to_int(patient_muni).alias("cod_municipio_paciente"),
         X.clean("estadoIBGE").alias("estado"),
         X.clean_upper("racaCor").alias("des_raca"),
-        F.coalesce(F.when(F.col("sexo").isNull(), F.lit("N")).otherwise(X.first_char("sexo", upper=True)),
-                   F.lit("N")).alias("cod_sexo"),
-        F.coalesce(X.to_int("codigoRecebeuVacina"), F.lit(0)).alias("cod_vacinado"),
-        F.coalesce(X.split_max("codigoDosesVacina"), F.lit("0")).alias("cod_doses"),
+        F.when(F.col("sexo").isNull(), F.lit(V.MISSING_SEX)).otherwise(X.first_char("sexo", upper=True))
+        .alias("cod_sexo"),
+        X.to_int("codigoRecebeuVacina").alias("cod_vacinado"),
+        X.split_max("codigoDosesVacina").alias("cod_doses"),
         X.to_date("dataEncerramento").alias("dat_encerramento"),
         notified.alias("dat_notificacao"),
         notified.alias("data"),
     )
-    return out
+    return fill_sentinels(out, V.NOTIFICATION_SENTINELS)
 
 
 def notification_fact_spec() -> FactSpec:
@@ -311,13 +307,13 @@ def population_fact_spec() -> FactSpec:
     return FactSpec(
         keys=("cod_sexo", "cod_municipio_paciente", "cod_idade"),
         measure=Measure("sum", "qtd_populacao", "qtd"),
-        shift={"cod_idade": 9},
+        shift={"cod_idade": V.POPULATION_AGE_SHIFT},
         having=_between("cod_idade", V.AGE_MIN, V.AGE_MAX) & _in("cod_sexo", "F", "M"),
     )
 
 
 def population_fact(conformed: DataFrame) -> DataFrame:
-    with_sex = conformed.withColumn("cod_sexo", X.recode("desc_sexo", V.CENSUS_SEX, default="N"))
+    with_sex = conformed.withColumn("cod_sexo", X.recode("desc_sexo", V.CENSUS_SEX, default=V.MISSING_SEX))
     return build_fact(with_sex, population_fact_spec())
 
 

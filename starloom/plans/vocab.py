@@ -49,6 +49,44 @@ SRAG_COLUMNS = [
 CENSUS_COLUMNS = ["Situacao_domicilio", "Sexo", "Cor_raca", "Cod", "Municipio", "Idade", "Qtd"]
 CENSUS_EMPTY_QTD = ["-", "", " "]
 
+# --- fixed values: NULL -> sentinel code, per source ----------------------
+# (applied after the codes are derived; a text column gets the text form)
+NO_CODE = "0"
+NONE_TEXT = "None"
+MISSING_SEX = "N"
+UNKNOWN_SEX = ["I"]
+VACCINATION_SENTINELS = {
+    "cod_sistema_origem": "0", "cod_dose": "0", "cod_estabelecimento": 0, "cod_grupo": 0,
+    "cod_categoria": 0, "cod_vacina": 0, "cod_paciente": "0", "cod_raca": 99, "cod_idade": 999,
+    "cod_municipio_estab": 0, "cod_municipio_paciente": 0, "cod_sexo": "N",
+}
+SRAG_SENTINELS = {
+    "cod_class_final": "0", "cod_evolucao": "9", "cod_internacao": 9, "cod_uti": 9, "cod_vacinado": 9,
+}
+NOTIFICATION_SENTINELS = {
+    "cod_class_final": "0", "cod_evolucao": "0", "cod_condicoes": "0", "cod_idade": 0,
+    "cod_municipio_estab": "0", "cod_municipio_paciente": 0, "cod_sexo": "N", "cod_vacinado": 0,
+    "cod_doses": "0",
+}
+
+# --- fixed values: recodes ------------------------------------------------
+RACE_DIGIT_SWAP = ("4", "6")            # text replace before the int cast
+RACE_RECODE = {6: 3, 3: 4, 9: 99}
+RACE_MISSING = 99
+FLAG_RECODE = {"S": "1", "N": "2"}
+FLAG_MISSING = "9"
+
+# --- fixed values: SRAG dose precedence (first present column wins) -------
+DOSE_PRECEDENCE = [("DOSE_1_COV", 1), ("DOSE_2_COV", 2), ("DT_DOSEUNI", 1), ("DT_1_DOSE", 1), ("DT_2_DOSE", 2)]
+NO_DOSE = 0
+
+# --- fixed values: population age key is published shifted ---------------
+POPULATION_AGE_SHIFT = 9
+
+# --- fixed values: localities CSV columns and raw file part token ---------
+LOCALITY_COLUMNS = ["CD_GEOCODDS", "NM_MUNICIPIO", "NM_UF", "LAT", "LONG"]
+PART_TOKEN = r"^[^-]*-([^-]+)"          # 'vacinacao-07-2021.csv' -> '07'
+
 # --- fixed values: output file caps of the source jobs --------------------
 MAX_FILES_FACT = 100
 MAX_FILES_POPULATION = 60

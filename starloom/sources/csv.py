@@ -8,9 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-# Part token of a raw file name: the text between the first two dashes
-# ('vacinacao-07-2021.csv' -> '07').
-PART_TOKEN = r"^[^-]*-([^-]+)"
+from ..plans.vocab import PART_TOKEN  # noqa: F401  (re-exported default)
 
 
 def string_schema(columns: Sequence[str]) -> StructType:
