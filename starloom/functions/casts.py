@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 # A number as a lenient text cast accepts it: optional sign, digits with an
 # optional fraction. Exponents and thousands separators are rejected.
 _NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)$"
+_SMALL_INT = r"^[+-]?[0-9]{1,9}$"
 
 
 def col_of(c: str | Column) -> Column:
@@ -31,11 +32,16 @@ def to_int(c: str | Column) -> Column:
 
 
 def _to_integral(c: str | Column, t: str) -> Column:
-    # Plain integers take the cheap cast; only text that fails it (fractions,
-    # words, overflow) is checked against the number shape and truncated.
+    # Up to nine digits always fit: a plain cast, no parse failure possible.
+    # Other number-shaped text is read as a decimal, truncated, and kept when
+    # it lies in the type's range. Nothing else is cast at all, so no row
+    # pays for a failed parse.
     text = F.trim(col_of(c).cast("string"))
-    lenient = F.when(text.rlike(_NUMBER), text.try_cast("decimal(38,10)").try_cast(t))
-    return F.coalesce(text.try_cast(t), lenient)
+    bound = 2**31 if t == "int" else 2**63
+    dec = text.try_cast("decimal(38,10)")
+    in_range = (dec > F.lit(str(-bound - 1)).cast("decimal(38,10)")) & (dec < F.lit(str(bound)).cast("decimal(38,10)"))
+    return (F.when(text.rlike(_SMALL_INT), text.cast(t))
+            .when(text.rlike(_NUMBER) & in_range, dec.cast(t)))
 
 
 def to_long(c: str | Column) -> Column:

@@ -28,6 +28,21 @@ def test_to_int_lenient_same_under_both_ansi_modes(spark, ansi):
     assert got == [7, 10, 12, None, None, None, None, 0, None, 3]
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_int_range_edges_truncate_before_range_check(spark, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        vals = ["2147483647", "2147483648", "-2147483648", "-2147483648.9", "-2147483649", "2147483647.99",
+                "9223372036854775807", "9223372036854775808", "-9223372036854775808.5"]
+        ints = evaluate(spark, vals, X.to_int("s"))
+        longs = evaluate(spark, vals, X.to_long("s"))
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+    assert ints == [2147483647, None, -2147483648, -2147483648, None, 2147483647, None, None, None]
+    assert longs == [2147483647, 2147483648, -2147483648, -2147483648, -2147483649, 2147483647,
+                     9223372036854775807, None, -9223372036854775808]
+
+
 def test_to_date_invalid_days_are_null(spark):
     got = evaluate(spark, ["31/02/2021", "15/03/2020", "1/02/2021", None, "xx"], X.to_date("s", "dd/MM/yyyy"))
     assert got == [None, dt.date(2020, 3, 15), None, None, None]
