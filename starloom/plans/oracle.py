@@ -258,6 +258,11 @@ FROM (SELECT o_orderkey, o_orderstatus, o_orderpriority,
                   WHEN o_orderstatus = 'P' THEN 'n' || CAST(o_custkey AS VARCHAR)
                   ELSE CAST(o_custkey AS VARCHAR) || '.' || CAST(dayofmonth(o_orderdate) AS VARCHAR) END AS txt
       FROM orders)
+""",
+    "filter_predicates": """
+SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS data FROM orders
+WHERE o_orderstatus = 'F' AND o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_totalprice BETWEEN 1000 AND 200000
+  AND CAST(o_orderdate AS DATE) >= DATE '1996-01-19'
 """,
     "filter_trim_eq": """
 SELECT o_orderkey, o_custkey, o_totalprice FROM orders

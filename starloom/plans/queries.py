@@ -336,6 +336,14 @@ def scalar_cast(spark, d):
 
 # --------------------------------------------------------------- filters ---
 
+def filter_predicates(spark, d):
+    """Equality, IN, inclusive BETWEEN and a date lower bound given as text."""
+    o = table(spark, d, "orders").withColumn("data", F.to_date("o_orderdate"))
+    return o.filter((F.col("o_orderstatus") == "F") & F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
+                    & F.col("o_totalprice").between(1000, 200000) & (F.col("data") >= "1996-01-19")).select(
+        "o_orderkey", "o_custkey", "data")
+
+
 def filter_trim_eq(spark, d):
     o = table(spark, d, "orders")
     status = F.concat(F.lit(" "), F.col("o_orderstatus"), F.lit("  "))
@@ -686,6 +694,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scalar_regexp": scalar_regexp,
     "scalar_date_parse": scalar_date_parse,
     "scalar_cast": scalar_cast,
+    "filter_predicates": filter_predicates,
     "filter_trim_eq": filter_trim_eq,
     "filter_notin_like": filter_notin_like,
     "filter_null_rejecting": filter_null_rejecting,
