@@ -1,7 +1,7 @@
 """DataFrame -> DataFrame operators: conformance, alignment, facts, dims, lookups, spines."""
 
 from .align import align_columns, union_aligned
-from .conform import cast_columns, derive, fill_sentinels
+from .conform import cast_columns, fill_sentinels
 from .dims import DimSpec, build_dim
 from .facts import FactSpec, Measure, build_fact
 from .lookup import BROADCAST_MAX_ROWS, checked_broadcast, collapse_lookup, fits_broadcast, lookup_dim
@@ -10,6 +10,6 @@ from .spines import day_spine, day_spine_over, int_spine
 __all__ = [
     "BROADCAST_MAX_ROWS", "DimSpec", "FactSpec", "Measure", "align_columns", "build_dim",
     "build_fact", "cast_columns", "checked_broadcast", "collapse_lookup", "day_spine",
-    "day_spine_over", "derive", "fill_sentinels", "fits_broadcast", "int_spine", "lookup_dim",
+    "day_spine_over", "fill_sentinels", "fits_broadcast", "int_spine", "lookup_dim",
     "union_aligned",
 ]

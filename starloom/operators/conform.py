@@ -36,12 +36,3 @@ def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
         else:
             out[name] = _CASTS[t](name)
     return df.withColumns(out)
-
-
-def derive(df: DataFrame, columns: Mapping[str, Column], keep: list[str] | None = None) -> DataFrame:
-    """Add the derived ``columns`` in one projection; optionally keep only
-    ``keep`` (plus the derived ones) so later scans prune the rest."""
-    out = df.withColumns(dict(columns))
-    if keep is not None:
-        out = out.select(*keep, *[c for c in columns if c not in keep])
-    return out

@@ -284,19 +284,19 @@ FROM (SELECT o_orderkey, trim(substr(o_orderpriority, 1, 1)) AS cod_evolucao FRO
 WHERE {INT("cod_evolucao")} = 2
 """,
     "project_select": """
-SELECT n_nationkey AS cod_nacao, trim(n_name) AS desc_nacao, n_regionkey FROM nation
+SELECT c_custkey AS cod_cliente, trim(c_name) AS desc_cliente, c_nationkey, c_mktsegment AS segmento FROM customer
 """,
     "yearly_align": """
 SELECT o_orderkey, o_orderstatus,
-       CASE WHEN year(o_orderdate) <= 1996 THEN NULL ELSE o_orderpriority END AS o_orderpriority,
+       CASE WHEN o_orderdate < TIMESTAMP '1997-01-01 00:00:00' THEN NULL ELSE o_orderpriority END AS o_orderpriority,
        CAST(year(o_orderdate) AS VARCHAR) AS ano
-FROM orders WHERE year(o_orderdate) IN (1996, 1997, 1998)
+FROM orders
 """,
     "csv_scan": """
 SELECT s_suppkey, trim(s_name) AS s_name, s_nationkey, s_acctbal FROM supplier
 """,
     "csv_glob_scan": """
-SELECT n_nationkey, trim(n_name) AS n_name, n_regionkey FROM nation
+SELECT c_custkey, trim(c_name) AS c_name, c_nationkey, c_acctbal, trim(c_mktsegment) AS c_mktsegment FROM customer
 """,
     "csv_preamble_scan": f"""
 WITH c AS (

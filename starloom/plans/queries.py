@@ -373,25 +373,23 @@ def filter_code_eq(spark, d):
 # ------------------------------------------------------- column plumbing ---
 
 def project_select(spark, d):
-    n = table(spark, d, "nation")
-    return (n.select("n_nationkey", "n_name", "n_regionkey")
-            .withColumn("desc_nacao", F.trim("n_name")).drop("n_name")
-            .select(F.col("n_nationkey").alias("cod_nacao"), "desc_nacao", "n_regionkey"))
+    c = table(spark, d, "customer")
+    return (c.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+            .withColumn("desc_cliente", F.trim("c_name")).drop("c_name")
+            .select(F.col("c_custkey").alias("cod_cliente"), "desc_cliente", "c_nationkey",
+                    F.col("c_mktsegment").alias("segmento")))
 
 
-def yearly_align(spark, d, years=(1996, 1997, 1998)):
-    """Per-year extracts whose columns drift (early years lack the priority
-    column) aligned to one list and unioned; ``years`` selects sources."""
-    orders = table(spark, d, "orders")
+def yearly_align(spark, d, years=None):
+    """Yearly extracts whose columns drift (years before 1997 lack the
+    priority column) aligned to one list and unioned by name. ``years``
+    selects sources (None = every year); the registered query reads all."""
+    orders = table(spark, d, "orders").withColumn("ano", F.year("o_orderdate").cast("string"))
     canonical = ["o_orderkey", "o_orderstatus", "o_orderpriority", "ano"]
-    frames = []
-    for y in years:
-        f = orders.filter((F.col("o_orderdate") >= _ts(f"{y}-01-01")) & (F.col("o_orderdate") < _ts(f"{y + 1}-01-01")))
-        f = f.select("o_orderkey", "o_orderstatus", "o_orderpriority").withColumn("ano", F.lit(str(y)))
-        if y <= 1996:
-            f = f.drop("o_orderpriority")
-        frames.append(f)
-    return union_aligned(frames, canonical)
+    early = orders.filter(F.col("o_orderdate") < _ts("1997-01-01")).select("o_orderkey", "o_orderstatus", "ano")
+    late = orders.filter(F.col("o_orderdate") >= _ts("1997-01-01")).select(*canonical)
+    out = union_aligned([early, late], canonical)
+    return out.filter(F.col("ano").isin(*[str(y) for y in years])) if years else out
 
 
 # -------------------------------------------------------- sources / sinks --
@@ -406,12 +404,14 @@ def csv_scan(spark, d):
 
 
 def csv_glob_scan(spark, d):
-    """Nation written as several CSV files, read back through one glob."""
+    """Customers written as several CSV files, read back through one glob."""
     path = scratch_path(spark, "csv_glob")
-    table(spark, d, "nation").repartition(3).write.option("header", True).option("sep", ";").csv(path)
+    (table(spark, d, "customer").repartition(4).write.option("header", True).option("sep", ";")
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     raw = read_delimited(spark, f"{path}/*.csv")
-    return raw.select(X.to_int("n_nationkey").alias("n_nationkey"), X.clean("n_name").alias("n_name"),
-                      X.to_int("n_regionkey").alias("n_regionkey"))
+    return raw.select(X.to_long("c_custkey").alias("c_custkey"), X.clean("c_name").alias("c_name"),
+                      X.to_int("c_nationkey").alias("c_nationkey"), X.to_double("c_acctbal").alias("c_acctbal"),
+                      X.clean("c_mktsegment").alias("c_mktsegment"))
 
 
 def _census_lines(spark, d) -> DataFrame:

@@ -112,3 +112,15 @@ def test_spines(spark):
     src = spark.createDataFrame([("2021-01-05 10:00:00",), ("2021-01-01 00:00:00",)], "t string").select(
         F.col("t").cast("timestamp").alias("t"))
     assert day_spine_over(src, "t").count() == 5
+
+
+def test_yearly_align_selects_sources(spark):
+    from conftest import SF_SMALL
+
+    from starloom.plans.queries import yearly_align
+
+    every = yearly_align(spark, SF_SMALL)
+    one = yearly_align(spark, SF_SMALL, years=[1996])
+    assert one.count() == every.filter("ano = '1996'").count() > 0
+    assert one.filter("o_orderpriority IS NOT NULL").count() == 0
+    assert every.filter("ano = '1998' AND o_orderpriority IS NULL").count() == 0
