@@ -490,12 +490,25 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Spread an under-partitioned scan over the session's task slots.
+
+    The driver's tables are single-file, single-row-group Parquet, so their
+    scan is one task and the per-row conform work after it would run on one
+    core. When the scan has fewer partitions than the default parallelism a
+    round-robin repartition spreads it; on real inputs (many files and row
+    groups) the condition is false and no shuffle is added.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
 def _null() -> Column:
     return F.lit(None).cast("string")
 
 
 def _vaccination_text(spark, d) -> DataFrame:
-    li = table(spark, d, "lineitem")
+    li = _spread(table(spark, d, "lineitem"))
     ln, rf, ls = F.col("l_linenumber"), F.col("l_returnflag"), F.col("l_linestatus")
     qty = F.col("l_quantity").cast("int")
     muni = _s(F.col("l_suppkey") + 280000)
@@ -612,7 +625,7 @@ def _srag_text(li: DataFrame, with_vaccine: bool) -> DataFrame:
 def _srag_cases(spark, d) -> DataFrame:
     """Two yearly extracts (the early one lacks the vaccine columns), each
     filtered to the state's COVID-19 cases, aligned and unioned."""
-    li = table(spark, d, "lineitem")
+    li = _spread(table(spark, d, "lineitem"))
     early = _srag_text(li.filter(F.col("l_shipdate") < _ts(_LATE)), with_vaccine=False)
     late = _srag_text(li.filter(F.col("l_shipdate") >= _ts(_LATE)), with_vaccine=True)
     frames = [f.filter(star.srag_case_filter()) for f in (early, late)]
