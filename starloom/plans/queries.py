@@ -23,7 +23,6 @@ from ..operators import (
     Measure,
     build_dim,
     build_fact,
-    checked_broadcast,
     day_spine_over,
     fill_sentinels,
     union_aligned,
@@ -96,9 +95,11 @@ def fact_sum_shifted(spark, d):
 
 def _localities_text(spark, d) -> DataFrame:
     """Supplier rows written as a localities extract: padded 7-digit code,
-    municipality and state names, coordinates with a decimal comma."""
-    nation = checked_broadcast(table(spark, d, "nation"))
-    region = checked_broadcast(table(spark, d, "region"))
+    municipality and state names, coordinates with a decimal comma. (Nation
+    and region are plain scans of small files: the planner broadcasts them
+    from their file-size statistics.)"""
+    nation = table(spark, d, "nation")
+    region = table(spark, d, "region")
     sup = table(spark, d, "supplier")
     comma = lambda c: F.regexp_replace(F.format_string("%.2f", c), r"\.", ",")
     return (sup.join(nation, sup.s_nationkey == nation.n_nationkey)
