@@ -168,3 +168,13 @@ def test_cli_calendar(workdir):
     assert r.returncode == 0, r.stderr[-2000:]
     import pyarrow.parquet as pq
     assert pq.read_table(out).num_rows == 31
+
+
+def test_files_sharing_a_part_token_do_not_overwrite_each_other(spark, workdir):
+    rows = [r for _, r in fx.vaccination_rows()]
+    fx.write_csv(f"{workdir}/raw/vacinacao-07-a.csv", fx.VACC_COLUMNS, rows[:5])
+    fx.write_csv(f"{workdir}/raw/vacinacao-07-b.csv", fx.VACC_COLUMNS, rows[5:9])
+    assert jobs.ingest_vaccination(spark, f"{workdir}/raw/*.csv", f"{workdir}/pre") == 9
+    from starloom.sources import read_layer
+    layer = read_layer(spark, f"{workdir}/pre", {"parte": "string"})
+    assert [(r.parte, r["count"]) for r in layer.groupBy("parte").count().collect()] == [("07", 9)]
