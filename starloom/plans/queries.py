@@ -301,7 +301,7 @@ def scalar_regexp(spark, d):
     return p.select(
         "p_partkey",
         F.regexp_replace("p_name", "[aeiou]", "").alias("sem_vogais"),
-        star._municipality(code_text).alias("cod_municipio"),
+        star.municipality_code(code_text).alias("cod_municipio"),
     )
 
 

@@ -37,7 +37,7 @@ def _between(c: str, lo: int, hi: int) -> Column:
 # Vaccination: raw CSV rows -> conformed rows (kept with all raw columns)
 # ---------------------------------------------------------------------------
 
-def _municipality(c: str) -> Column:
+def municipality_code(c: str | Column) -> Column:
     # 'None' written as text counts as 0; NULL text is 0 before the cast.
     return X.to_int(F.coalesce(X.none_as_zero(c), F.lit(V.NO_CODE)))
 
@@ -56,8 +56,8 @@ def conform_vaccination(raw: DataFrame) -> DataFrame:
         "cod_raca": X.to_int("paciente_racaCor_codigo"),
         "cod_idade": X.to_int("paciente_idade"),
         "cod_sexo": X.sex_code("paciente_enumSexoBiologico"),
-        "cod_municipio_paciente": _municipality("paciente_endereco_coIbgeMunicipio"),
-        "cod_municipio_estab": _municipality("estabelecimento_municipio_codigo"),
+        "cod_municipio_paciente": municipality_code("paciente_endereco_coIbgeMunicipio"),
+        "cod_municipio_estab": municipality_code("estabelecimento_municipio_codigo"),
         "data_aplicacao": applied,
         "data": applied,
     })

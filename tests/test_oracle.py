@@ -28,3 +28,17 @@ def test_entry_smoke(spark):
     df = entry(spark)
     assert df.columns == ["o_orderstatus", "o_orderpriority", "data", "qtd_clientes"]
     assert df.count() > 0
+
+
+ANSI_SENSITIVE = ["scalar_cast", "recode_map", "parse_age_text", "code_prefix", "scalar_regexp",
+                  "filter_code_eq", "star_srag_conformed", "star_vaccination_fact", "csv_preamble_scan"]
+
+
+@pytest.mark.parametrize("key", ANSI_SENSITIVE)
+def test_conform_keys_match_oracle_with_ansi_off(spark, con, key):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        r = compare(spark, con, SF_SMALL, key, queries()[key], oracle_sql()[key])
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+    assert r["status"] == "ok", r
