@@ -560,3 +560,6 @@ SELECT document_id, cod_sistema_origem, cod_estabelecimento, cod_grupo, cod_cate
 FROM ({VACC_CONF})
 """,
 })
+
+ORACLE["star_vaccination_pipeline"] = ORACLE["star_vaccination_fact"]
+ORACLE["star_deaths_pipeline"] = ORACLE["star_deaths_fact"]

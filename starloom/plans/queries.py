@@ -29,6 +29,7 @@ from ..operators import (
 )
 from ..sources import read_delimited, read_layer, read_positional, scratch_path, write_parquet
 from ..streaming.ingest import ingest_new_files
+from .jobs import ingest_srag, ingest_vaccination
 from . import star
 from . import vocab as V
 
@@ -669,6 +670,37 @@ def star_notification_fact(spark, d):
     return build_fact(star.conform_notification(_notification_text(spark, d)), star.notification_fact_spec())
 
 
+def _write_raw_csv(df: DataFrame, path: str) -> None:
+    """Write text rows as raw ';' CSV extracts, blanks kept as they are."""
+    (df.write.option("header", True).option("sep", ";").option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
+def star_vaccination_pipeline(spark, d):
+    """The two vaccination jobs as run in production: raw CSV files ->
+    ``ingest_vaccination`` (one scan, ``parte`` partitions) -> fact built
+    from the written layer, whose stored ``cod_*`` columns take the filters
+    at the Parquet scan."""
+    raw, layer = scratch_path(spark, "vacc_raw"), scratch_path(spark, "vacc_layer")
+    _write_raw_csv(_vaccination_text(spark, d), raw)
+    ingest_vaccination(spark, f"{raw}/*.csv", layer)
+    return build_fact(read_layer(spark, layer, {"parte": "string"}), star.vaccination_fact_spec())
+
+
+def star_deaths_pipeline(spark, d):
+    """SRAG jobs as run in production: one raw CSV extract per year (the
+    early one lacks the vaccine columns) -> ``ingest_srag`` (filter, align,
+    ``ano`` partitions) -> deaths fact from the written layer."""
+    li = _spread(table(spark, d, "lineitem"))
+    early, late = scratch_path(spark, "srag_early"), scratch_path(spark, "srag_late")
+    _write_raw_csv(_srag_text(li.filter(F.col("l_shipdate") < _ts(_LATE)), with_vaccine=False), early)
+    _write_raw_csv(_srag_text(li.filter(F.col("l_shipdate") >= _ts(_LATE)), with_vaccine=True), late)
+    layer = scratch_path(spark, "srag_layer")
+    ingest_srag(spark, {1997: f"{early}/*.csv", 1998: f"{late}/*.csv"}, layer)
+    cases = star.conform_srag(read_layer(spark, layer, {"ano": "string"}))
+    return build_fact(cases, star.deaths_fact_spec())
+
+
 STREAM_COLUMNS = ["document_id", *star.VACCINATION_KEYS]
 
 
@@ -732,4 +764,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "star_deaths_fact": star_deaths_fact,
     "star_notification_fact": star_notification_fact,
     "stream_ingest": stream_ingest,
+    "star_vaccination_pipeline": star_vaccination_pipeline,
+    "star_deaths_pipeline": star_deaths_pipeline,
 }

@@ -11,7 +11,7 @@ from starloom.plans.queries import QUERIES
 PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
 # Queries that write an intermediate table first: skip them here (they run in the oracle test).
 WRITES = {"csv_scan", "csv_glob_scan", "csv_preamble_scan", "csv_part_token", "parquet_roundtrip",
-          "partitioned_roundtrip", "stream_ingest"}
+          "partitioned_roundtrip", "stream_ingest", "star_vaccination_pipeline", "star_deaths_pipeline"}
 
 
 @pytest.mark.parametrize("key", sorted(set(QUERIES) - WRITES))
@@ -49,3 +49,13 @@ def test_geo_dimension_dedups_then_broadcasts_lookup(spark):
     tree = text.split("\n\n")[0]
     join_line = next(i for i, ln in enumerate(tree.splitlines()) if "BroadcastHashJoin Inner" in ln)
     assert "HashAggregate" in tree.splitlines()[join_line + 1]
+
+
+def test_fact_over_written_layer_pushes_every_filter_to_the_scan(spark):
+    text = plan_text(QUERIES["star_vaccination_pipeline"](spark, SF_SMALL), "formatted")
+    pushed = re.search(r"PushedFilters: \[(.*)\]", text).group(1)
+    for f in ("EqualTo(paciente_endereco_uf,SE)", "In(cod_sexo", "GreaterThanOrEqual(cod_idade,10)",
+              "LessThanOrEqual(cod_idade,110)", "Not(EqualTo(cod_dose,0))", "GreaterThanOrEqual(data_aplicacao"):
+        assert f in pushed, f
+    schema = re.search(r"ReadSchema: struct<(.*)>", text).group(1)
+    assert "vacina_nome" not in schema and "paciente_dataNascimento" not in schema
