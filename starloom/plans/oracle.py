@@ -563,3 +563,13 @@ FROM ({VACC_CONF})
 
 ORACLE["star_vaccination_pipeline"] = ORACLE["star_vaccination_fact"]
 ORACLE["star_deaths_pipeline"] = ORACLE["star_deaths_fact"]
+ORACLE["star_notification_pipeline"] = ORACLE["star_notification_fact"]
+
+_TABLES = {
+    "fato_vacinas": "star_vaccination_fact", "dm_sistemas": "star_dm_sistemas", "dm_doses": "star_dm_doses",
+    "dm_sexo": "star_dm_sexo", "dm_paciente": "star_dm_paciente", "dm_estabelecimento": "star_dm_estabelecimento",
+    "dm_vacina": "star_dm_vacina", "dm_grupo": "star_dm_grupo", "dm_categoria": "star_dm_categoria",
+    "dm_raca": "star_dm_raca", "dm_regiao_estab": "star_dm_regiao_estab", "dm_regiao_paciente": "star_dm_regiao_paciente",
+}
+ORACLE["star_vaccination_tables"] = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS tabela, COUNT(*) AS linhas FROM ({ORACLE[k]})" for t, k in _TABLES.items())

@@ -29,7 +29,7 @@ from ..operators import (
 )
 from ..sources import read_delimited, read_layer, read_positional, scratch_path, write_parquet
 from ..streaming.ingest import ingest_new_files
-from .jobs import ingest_srag, ingest_vaccination
+from .jobs import build_vaccination_tables, ingest_srag, ingest_vaccination
 from . import star
 from . import vocab as V
 
@@ -701,6 +701,30 @@ def star_deaths_pipeline(spark, d):
     return build_fact(cases, star.deaths_fact_spec())
 
 
+def star_notification_pipeline(spark, d):
+    """Notification job as run in production: raw CSV files read through
+    one header-checked glob -> conform -> notification fact."""
+    raw = scratch_path(spark, "not_raw")
+    _write_raw_csv(_notification_text(spark, d), raw)
+    rows = star.conform_notification(read_delimited(spark, f"{raw}/*.csv"))
+    return build_fact(rows, star.notification_fact_spec())
+
+
+def star_vaccination_tables(spark, d):
+    """The whole vaccination table job (fact + 11 dimensions, concurrent
+    writes) from a written layer and a localities CSV; returns the row count
+    of every table written."""
+    raw, layer, loc = (scratch_path(spark, n) for n in ("tables_raw", "tables_layer", "tables_loc"))
+    out = scratch_path(spark, "tables_out")
+    _write_raw_csv(_vaccination_text(spark, d), raw)
+    _write_raw_csv(_supplier_localities(spark, d), loc)
+    ingest_vaccination(spark, f"{raw}/*.csv", layer)
+    paths = build_vaccination_tables(spark, layer, f"{loc}/*.csv", out, state_name="AMERICA")
+    counts = [spark.read.parquet(p).agg(F.count(F.lit(1)).alias("linhas")).withColumn("tabela", F.lit(n))
+              for n, p in paths.items()]
+    return union_aligned(counts, ["tabela", "linhas"])
+
+
 STREAM_COLUMNS = ["document_id", *star.VACCINATION_KEYS]
 
 
@@ -766,4 +790,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_ingest": stream_ingest,
     "star_vaccination_pipeline": star_vaccination_pipeline,
     "star_deaths_pipeline": star_deaths_pipeline,
+    "star_notification_pipeline": star_notification_pipeline,
+    "star_vaccination_tables": star_vaccination_tables,
 }

@@ -11,7 +11,8 @@ from starloom.plans.queries import QUERIES
 PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
 # Queries that write an intermediate table first: skip them here (they run in the oracle test).
 WRITES = {"csv_scan", "csv_glob_scan", "csv_preamble_scan", "csv_part_token", "parquet_roundtrip",
-          "partitioned_roundtrip", "stream_ingest", "star_vaccination_pipeline", "star_deaths_pipeline"}
+          "partitioned_roundtrip", "stream_ingest", "star_vaccination_pipeline", "star_deaths_pipeline",
+          "star_notification_pipeline", "star_vaccination_tables"}
 
 
 @pytest.mark.parametrize("key", sorted(set(QUERIES) - WRITES))
