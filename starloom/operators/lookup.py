@@ -41,7 +41,7 @@ def lookup_dim(
     lookup_key: str,
     columns: Mapping[str, Column],
     where: Column | None = None,
-    max_rows: int = BROADCAST_MAX_ROWS,
+    max_rows: int | None = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Dimension from the distinct codes of ``rows`` joined to ``lookup``.
 
@@ -50,9 +50,11 @@ def lookup_dim(
     key and lookup columns: the codes are deduplicated *before* the join, so
     only one row per code (not every fact row) reaches the join. ``columns``
     may refer to ``key`` and to any lookup column; codes without a lookup
-    row are dropped (inner join).
+    row are dropped (inner join). ``max_rows=None`` means the caller already
+    sized ``lookup`` (e.g. with :func:`checked_broadcast`) and it is used as is.
     """
     keyed = rows.filter(where) if where is not None else rows
     codes = keyed.select(F.col(key).cast("int").alias(key)).filter(F.col(key).isNotNull()).distinct()
-    joined = codes.join(checked_broadcast(lookup, max_rows), F.col(key) == F.col(lookup_key), "inner")
+    side = checked_broadcast(lookup, max_rows) if max_rows else lookup
+    joined = codes.join(side, F.col(key) == F.col(lookup_key), "inner")
     return joined.select(*[c.alias(n) for n, c in columns.items()]).distinct()

@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 
 from .. import functions as X
 from ..operators import (
+    BROADCAST_MAX_ROWS,
     DimSpec,
     FactSpec,
     Measure,
     build_dim,
     build_fact,
+    checked_broadcast,
     collapse_lookup,
     fill_sentinels,
     lookup_dim,
@@ -144,7 +146,8 @@ def localities_lookup(raw: DataFrame, state_name: str | None = V.STATE_NAME) ->
 
 
 def establishment_region_dim(rows: DataFrame, lookup: DataFrame, uf_column: str = "estabelecimento_uf",
-                             key: str = "cod_municipio_estab") -> DataFrame:
+                             key: str = "cod_municipio_estab",
+                             max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
     zero = F.col(key) == 0
     return lookup_dim(
         rows, key, lookup, "cod_municipio",
@@ -156,11 +159,13 @@ def establishment_region_dim(rows: DataFrame, lookup: DataFrame, uf_column: str
             "longitude": F.col("longitude"),
         },
         where=F.col(uf_column).isin(V.STATE_CODE, V.NO_STATE),
+        max_rows=max_rows,
     )
 
 
 def patient_region_dim(rows: DataFrame, lookup: DataFrame, uf_column: str = "paciente_endereco_uf",
-                       key: str = "cod_municipio_paciente") -> DataFrame:
+                       key: str = "cod_municipio_paciente",
+                       max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
     zero = F.col(key) == 0
     return lookup_dim(
         rows, key, lookup, "cod_municipio",
@@ -173,6 +178,7 @@ def patient_region_dim(rows: DataFrame, lookup: DataFrame, uf_column: str = "pac
             "longitude": F.col("longitude"),
         },
         where=F.col(uf_column).isin(V.STATE_CODE, V.NO_STATE),
+        max_rows=max_rows,
     )
 
 
@@ -181,8 +187,9 @@ def vaccination_star(conformed: DataFrame, lookup: DataFrame) -> dict[str, DataF
     out = {"fato_vacinas": build_fact(conformed, vaccination_fact_spec())}
     for name, spec in vaccination_dim_specs().items():
         out[name] = build_dim(conformed, spec)
-    out["dm_regiao_estab"] = establishment_region_dim(conformed, lookup)
-    out["dm_regiao_paciente"] = patient_region_dim(conformed, lookup)
+    sized = checked_broadcast(lookup)  # one size check for both region dimensions
+    out["dm_regiao_estab"] = establishment_region_dim(conformed, sized, max_rows=None)
+    out["dm_regiao_paciente"] = patient_region_dim(conformed, sized, max_rows=None)
     return out
 
 
