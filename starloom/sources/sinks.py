@@ -22,14 +22,15 @@ def write_parquet(
     * ``partition_by``: one ``col=value`` directory per value, and only the
       partitions present in ``df`` are replaced (dynamic overwrite), so a
       re-run of one part or year leaves the others alone.
-    * ``max_files`` caps the task count of the write with ``repartition``:
-      unlike ``coalesce`` it does not shrink the parallelism of the stage
-      that computes ``df`` (a coalesce after an aggregation would run the
-      final aggregate in ``max_files`` tasks). Leave it unset at scale and
-      let AQE size the output partitions; ``max_records_per_file`` bounds
-      file size instead.
+    * ``max_files`` caps the task count of the write. Above the cap the
+      frame is repartitioned: unlike ``coalesce`` that does not shrink the
+      parallelism of the stage computing ``df`` (a coalesce after an
+      aggregation would run the final aggregate in ``max_files`` tasks).
+      At or under the cap nothing changes, so the cap never raises the
+      file count. Leave it unset at scale and let AQE size the output
+      partitions; ``max_records_per_file`` bounds file size instead.
     """
-    out = df.repartition(max_files) if max_files else df
+    out = df.repartition(max_files) if max_files and df.rdd.getNumPartitions() > max_files else df
     writer = out.write.mode("overwrite").format("parquet")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)

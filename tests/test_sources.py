@@ -64,6 +64,9 @@ def test_full_refresh_and_file_cap(spark, workdir):
     assert 1 <= len(files) <= 3
     write_parquet(spark.range(0, 10), out)
     assert spark.read.parquet(out).count() == 10
+    single = f"{workdir}/one"
+    write_parquet(spark.range(0, 10).coalesce(1), single, max_files=50)   # the cap never raises the count
+    assert len([f for f in os.listdir(single) if f.endswith(".parquet")]) == 1
 
 
 def test_write_counted_observes_rows(spark, workdir):
