@@ -24,6 +24,8 @@ from .plans import vocab as V
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="starloom")
+    ap.add_argument("--source-caps", action="store_true",
+                    help="cap fact output files as the source system did (small data only)")
     sub = ap.add_subparsers(dest="job", required=True)
     p = sub.add_parser("vaccination-ingest")
     p.add_argument("--raw", required=True)
@@ -54,19 +56,22 @@ def main(argv=None) -> None:
     a = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"starloom-{a.job}").getOrCreate()
+    fact_cap = V.MAX_FILES_FACT if a.source_caps else None
     if a.job == "vaccination-ingest":
         result = {"rows": jobs.ingest_vaccination(spark, a.raw, a.out)}
     elif a.job == "vaccination-tables":
-        result = jobs.build_vaccination_tables(spark, a.prestructured, a.localities, a.out, a.state_name)
+        result = jobs.build_vaccination_tables(spark, a.prestructured, a.localities, a.out, a.state_name,
+                                               max_files=fact_cap)
     elif a.job == "srag-ingest":
         sources = {int(y): path for y, path in (s.split("=", 1) for s in a.source)}
         result = {"rows": jobs.ingest_srag(spark, sources, a.out, a.year or None, a.fill)}
     elif a.job == "deaths":
-        result = jobs.build_deaths_fact(spark, a.prestructured, a.out) or {"out": a.out}
+        result = jobs.build_deaths_fact(spark, a.prestructured, a.out, fact_cap) or {"out": a.out}
     elif a.job == "notifications":
-        result = jobs.build_notification_fact(spark, a.raw, a.out) or {"out": a.out}
+        result = jobs.build_notification_fact(spark, a.raw, a.out, fact_cap) or {"out": a.out}
     elif a.job == "population":
-        result = jobs.build_population(spark, a.census, a.out)
+        result = jobs.build_population(spark, a.census, a.out,
+                                       V.MAX_FILES_POPULATION if a.source_caps else None)
     else:
         result = jobs.build_calendar(spark, a.out, a.start, a.end) or {"out": a.out}
     print(json.dumps(result))

@@ -39,7 +39,8 @@ def ingest_vaccination(spark: SparkSession, raw: str | Sequence[str], out: str,
 
 
 def build_vaccination_tables(spark: SparkSession, prestructured: str, localities: str, out: str,
-                             state_name: str = V.STATE_NAME, concurrent_writes: int = 4) -> dict[str, str]:
+                             state_name: str = V.STATE_NAME, concurrent_writes: int = 4,
+                             max_files: int | None = None) -> dict[str, str]:
     """Vaccination fact + eleven dimensions from the prestructured layer.
 
     Each table reads only the columns it uses from the Parquet layer
@@ -53,7 +54,9 @@ def build_vaccination_tables(spark: SparkSession, prestructured: str, localities
     tables = star.vaccination_star(conformed, lookup)
     paths = {name: f"{out.rstrip('/')}/{name}" for name in tables}
     with ThreadPoolExecutor(max_workers=max(1, concurrent_writes)) as pool:
-        for done in [pool.submit(write_parquet, df, paths[name]) for name, df in tables.items()]:
+        caps = {"fato_vacinas": max_files}
+        for done in [pool.submit(write_parquet, df, paths[name], max_files=caps.get(name))
+                     for name, df in tables.items()]:
             done.result()
     return paths
 
@@ -72,21 +75,25 @@ def ingest_srag(spark: SparkSession, sources: Mapping[int, str], out: str,
     return write_counted(aligned, out, partition_by=["ano"])
 
 
-def build_deaths_fact(spark: SparkSession, prestructured: str, out: str) -> None:
+def build_deaths_fact(spark: SparkSession, prestructured: str, out: str, max_files: int | None = None) -> None:
+    """``max_files``: optional output file cap (the source system used
+    ``vocab.MAX_FILES_FACT``); leave unset at scale."""
     cases = star.conform_srag(read_layer(spark, prestructured, {"ano": "string"}))
-    write_parquet(build_fact(cases, star.deaths_fact_spec()), out)
+    write_parquet(build_fact(cases, star.deaths_fact_spec()), out, max_files=max_files)
 
 
-def build_notification_fact(spark: SparkSession, raw: str | Sequence[str], out: str) -> None:
+def build_notification_fact(spark: SparkSession, raw: str | Sequence[str], out: str,
+                            max_files: int | None = None) -> None:
     rows = star.conform_notification(read_delimited(spark, raw))
-    write_parquet(build_fact(rows, star.notification_fact_spec()), out)
+    write_parquet(build_fact(rows, star.notification_fact_spec()), out, max_files=max_files)
 
 
-def build_population(spark: SparkSession, census: str | Sequence[str], out: str) -> dict[str, str]:
+def build_population(spark: SparkSession, census: str | Sequence[str], out: str,
+                     max_files: int | None = None) -> dict[str, str]:
     """Census export -> population fact; plus the 10-110 age dimension."""
     base = out.rstrip("/")
     fact = star.population_fact(star.conform_census(read_positional(spark, census, V.CENSUS_COLUMNS)))
-    write_parquet(fact, f"{base}/fato_populacao")
+    write_parquet(fact, f"{base}/fato_populacao", max_files=max_files)
     ages = star.age_dim(int_spine(spark, V.AGE_MIN, V.AGE_MAX, "cod_idade"))
     write_parquet(ages, f"{base}/dm_faixa_etaria")
     return {"fato_populacao": f"{base}/fato_populacao", "dm_faixa_etaria": f"{base}/dm_faixa_etaria"}
