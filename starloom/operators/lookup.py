@@ -52,9 +52,19 @@ def lookup_dim(
     may refer to ``key`` and to any lookup column; codes without a lookup
     row are dropped (inner join). ``max_rows=None`` means the caller already
     sized ``lookup`` (e.g. with :func:`checked_broadcast`) and it is used as is.
+
+    Join strategy: broadcast the lookup when it is proven small; otherwise
+    broadcast the distinct codes when they are; only when neither side is
+    proven small does Spark plan a shuffle join (both sides already small
+    per key: one row per code).
     """
     keyed = rows.filter(where) if where is not None else rows
     codes = keyed.select(F.col(key).cast("int").alias(key)).filter(F.col(key).isNotNull()).distinct()
-    side = checked_broadcast(lookup, max_rows) if max_rows else lookup
+    side = lookup
+    if max_rows:
+        if fits_broadcast(lookup, max_rows):
+            side = F.broadcast(lookup)
+        elif fits_broadcast(codes, max_rows):
+            codes = F.broadcast(codes)
     joined = codes.join(side, F.col(key) == F.col(lookup_key), "inner")
     return joined.select(*[c.alias(n) for n, c in columns.items()]).distinct()

@@ -22,8 +22,12 @@ from ..sources.scratch import shared_root
 
 def raw_csv_stream(spark: SparkSession, source_dir: str, columns: Sequence[str], *,
                    sep: str = ";", glob: str = "*.csv", part_token: str | None = PART_TOKEN,
-                   token_column: str = "parte", max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming scan of header CSV files dropped into ``source_dir``."""
+                   token_column: str = "parte", max_files_per_trigger: int | None = 1000) -> DataFrame:
+    """Streaming scan of header CSV files dropped into ``source_dir``.
+
+    ``max_files_per_trigger`` splits a large backlog into micro-batches:
+    each one commits on its own, so a failure repeats one batch, not the run.
+    """
     reader = (spark.readStream.schema(string_schema(columns)).option("header", True).option("sep", sep)
               .option("enforceSchema", False).option("pathGlobFilter", glob))
     if max_files_per_trigger:

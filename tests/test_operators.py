@@ -124,3 +124,12 @@ def test_yearly_align_selects_sources(spark):
     assert one.count() == every.filter("ano = '1996'").count() > 0
     assert one.filter("o_orderpriority IS NOT NULL").count() == 0
     assert every.filter("ano = '1998' AND o_orderpriority IS NULL").count() == 0
+
+
+def test_lookup_dim_broadcasts_codes_when_lookup_is_large(spark):
+    rows = spark.createDataFrame([(1,), (2,), (2,)], "k int")
+    big = spark.range(0, 500).select(F.col("id").cast("int").alias("cod"), (F.col("id") * 2).alias("v"))
+    out = lookup_dim(rows, "k", big, "cod", {"k": F.col("k"), "v": F.col("v")}, max_rows=100)
+    assert sorted(tuple(r) for r in out.collect()) == [(1, 2), (2, 4)]
+    text = plan_text(out)
+    assert "BroadcastHashJoin" in text and "BuildLeft" in text
