@@ -561,9 +561,9 @@ FROM ({VACC_CONF})
 """,
 })
 
-ORACLE["star_vaccination_pipeline"] = ORACLE["star_vaccination_fact"]
-ORACLE["star_deaths_pipeline"] = ORACLE["star_deaths_fact"]
-ORACLE["star_notification_pipeline"] = ORACLE["star_notification_fact"]
+ORACLE["star_vaccination_jobs"] = ORACLE["star_vaccination_fact"]
+ORACLE["star_deaths_jobs"] = ORACLE["star_deaths_fact"]
+ORACLE["star_notification_jobs"] = ORACLE["star_notification_fact"]
 
 _TABLES = {
     "fato_vacinas": "star_vaccination_fact", "dm_sistemas": "star_dm_sistemas", "dm_doses": "star_dm_doses",

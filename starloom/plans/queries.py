@@ -676,7 +676,7 @@ def _write_raw_csv(df: DataFrame, path: str) -> None:
      .option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
-def star_vaccination_pipeline(spark, d):
+def star_vaccination_jobs(spark, d):
     """The two vaccination jobs as run in production: raw CSV files ->
     ``ingest_vaccination`` (one scan, ``parte`` partitions) -> fact built
     from the written layer, whose stored ``cod_*`` columns take the filters
@@ -687,7 +687,7 @@ def star_vaccination_pipeline(spark, d):
     return build_fact(read_layer(spark, layer, {"parte": "string"}), star.vaccination_fact_spec())
 
 
-def star_deaths_pipeline(spark, d):
+def star_deaths_jobs(spark, d):
     """SRAG jobs as run in production: one raw CSV extract per year (the
     early one lacks the vaccine columns) -> ``ingest_srag`` (filter, align,
     ``ano`` partitions) -> deaths fact from the written layer."""
@@ -701,7 +701,7 @@ def star_deaths_pipeline(spark, d):
     return build_fact(cases, star.deaths_fact_spec())
 
 
-def star_notification_pipeline(spark, d):
+def star_notification_jobs(spark, d):
     """Notification job as run in production: raw CSV files read through
     one header-checked glob -> conform -> notification fact."""
     raw = scratch_path(spark, "not_raw")
@@ -788,8 +788,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "star_deaths_fact": star_deaths_fact,
     "star_notification_fact": star_notification_fact,
     "stream_ingest": stream_ingest,
-    "star_vaccination_pipeline": star_vaccination_pipeline,
-    "star_deaths_pipeline": star_deaths_pipeline,
-    "star_notification_pipeline": star_notification_pipeline,
+    "star_vaccination_jobs": star_vaccination_jobs,
+    "star_deaths_jobs": star_deaths_jobs,
+    "star_notification_jobs": star_notification_jobs,
     "star_vaccination_tables": star_vaccination_tables,
 }

@@ -11,8 +11,8 @@ from starloom.plans.queries import QUERIES
 PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
 # Queries that write an intermediate table first: skip them here (they run in the oracle test).
 WRITES = {"csv_scan", "csv_glob_scan", "csv_preamble_scan", "csv_part_token", "parquet_roundtrip",
-          "partitioned_roundtrip", "stream_ingest", "star_vaccination_pipeline", "star_deaths_pipeline",
-          "star_notification_pipeline", "star_vaccination_tables"}
+          "partitioned_roundtrip", "stream_ingest", "star_vaccination_jobs", "star_deaths_jobs",
+          "star_notification_jobs", "star_vaccination_tables"}
 
 
 @pytest.mark.parametrize("key", sorted(set(QUERIES) - WRITES))
@@ -53,7 +53,7 @@ def test_geo_dimension_dedups_then_broadcasts_lookup(spark):
 
 
 def test_fact_over_written_layer_pushes_every_filter_to_the_scan(spark):
-    text = plan_text(QUERIES["star_vaccination_pipeline"](spark, SF_SMALL), "formatted")
+    text = plan_text(QUERIES["star_vaccination_jobs"](spark, SF_SMALL), "formatted")
     pushed = re.search(r"PushedFilters: \[(.*)\]", text).group(1)
     for f in ("EqualTo(paciente_endereco_uf,SE)", "In(cod_sexo", "GreaterThanOrEqual(cod_idade,10)",
               "LessThanOrEqual(cod_idade,110)", "Not(EqualTo(cod_dose,0))", "GreaterThanOrEqual(data_aplicacao"):
