@@ -1,6 +1,6 @@
 """Command line for the batch jobs (``spark-submit -m``-style entry).
 
-    python -m starloom vaccination-ingest --raw 's3://.../vacinacao/*.csv' --out .../prestructured/vacinacao
+    python -m starloom vaccination-ingest --raw '<raw>/vacinacao/*.csv' --out <prestructured>/vacinacao
     python -m starloom vaccination-tables --prestructured ... --localities ... --out .../structured/vacinacao
     python -m starloom srag-ingest --source 2020=.../INFLUD20.csv --source 2021=... [--year 2021] --out ...
     python -m starloom deaths --prestructured ... --out ...
