@@ -28,6 +28,7 @@ from ..operators import (
     union_aligned,
 )
 from ..sources import read_delimited, read_layer, read_positional, scratch_path, write_parquet
+from ..sources.partitions import partition_count, task_slots
 from ..streaming.ingest import ingest_new_files
 from .jobs import build_vaccination_tables, ingest_srag, ingest_vaccination
 from . import star
@@ -501,8 +502,8 @@ def _spread(df: DataFrame) -> DataFrame:
     round-robin repartition spreads it; on real inputs (many files and row
     groups) the condition is false and no shuffle is added.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+    slots, parts = task_slots(df), partition_count(df)
+    return df.repartition(slots) if slots and parts is not None and parts < slots else df
 
 
 def _null() -> Column:

@@ -1,0 +1,22 @@
+"""Partition counts of a DataFrame, where the session can tell them."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def partition_count(df: DataFrame) -> int | None:
+    """Number of partitions of ``df``'s plan, or None when the session does
+    not expose it (e.g. a Spark Connect session has no RDD view)."""
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - any session without the RDD view
+        return None
+
+
+def task_slots(df: DataFrame) -> int | None:
+    """The session's default parallelism, or None when it is not exposed."""
+    try:
+        return df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001
+        return None

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from .partitions import partition_count
+
 
 def write_parquet(
     df: DataFrame,
@@ -30,7 +32,8 @@ def write_parquet(
       file count. Leave it unset at scale and let AQE size the output
       partitions; ``max_records_per_file`` bounds file size instead.
     """
-    out = df.repartition(max_files) if max_files and df.rdd.getNumPartitions() > max_files else df
+    over_cap = max_files and (partition_count(df) or max_files + 1) > max_files
+    out = df.repartition(max_files) if over_cap else df
     writer = out.write.mode("overwrite").format("parquet")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
