@@ -56,3 +56,16 @@ def test_lookup_dim_hot_code_reaches_join_once(spark):
     assert out.filter("k = 0").count() == 1
     tree = plan_text(out, "formatted").split("\n\n")[0]
     assert "BroadcastHashJoin" in tree
+
+
+def test_hot_partition_value_is_written_by_many_tasks(spark, workdir):
+    import os
+
+    from starloom.sources import write_parquet
+
+    df = spark.range(0, 80_000, numPartitions=8).select(
+        "id", F.when(F.col("id") % 10 < 8, F.lit("quente")).otherwise(F.lit("frio")).alias("parte"))
+    write_parquet(df, f"{workdir}/layer", partition_by=["parte"])
+    hot = [f for f in os.listdir(f"{workdir}/layer/parte=quente") if f.endswith(".parquet")]
+    assert len(hot) == 8           # one file per writing task: no shuffle funnels the hot value into one task
+    assert spark.read.parquet(f"{workdir}/layer").filter("parte = 'quente'").count() == 64_000
