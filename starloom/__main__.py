@@ -37,7 +37,7 @@ def main(argv=None) -> None:
     p.add_argument("--state-name", default=V.STATE_NAME)
     p = sub.add_parser("srag-ingest")
     p.add_argument("--source", action="append", required=True, help="YEAR=PATH")
-    p.add_argument("--year", action="append", type=int, default=[])
+    p.add_argument("--year", action="append", type=int, default=[], help="repeatable; 0 or none = every year")
     p.add_argument("--fill", default=None)
     p.add_argument("--out", required=True)
     p = sub.add_parser("deaths")
@@ -64,7 +64,8 @@ def main(argv=None) -> None:
                                                max_files=fact_cap)
     elif a.job == "srag-ingest":
         sources = {int(y): path for y, path in (s.split("=", 1) for s in a.source)}
-        result = {"rows": jobs.ingest_srag(spark, sources, a.out, a.year or None, a.fill)}
+        years = [y for y in a.year if y != 0] or None
+        result = {"rows": jobs.ingest_srag(spark, sources, a.out, years, a.fill)}
     elif a.job == "deaths":
         result = jobs.build_deaths_fact(spark, a.prestructured, a.out, fact_cap) or {"out": a.out}
     elif a.job == "notifications":
