@@ -178,3 +178,17 @@ def test_files_sharing_a_part_token_do_not_overwrite_each_other(spark, workdir):
     from starloom.sources import read_layer
     layer = read_layer(spark, f"{workdir}/pre", {"parte": "string"})
     assert [(r.parte, r["count"]) for r in layer.groupBy("parte").count().collect()] == [("07", 9)]
+
+
+def test_cli_srag_ingest_year_zero_means_all(workdir):
+    import json
+    import subprocess
+    import sys
+    sources = fx.write_srag(workdir)
+    out = f"{workdir}/cli_srag"
+    args = [sys.executable, "-m", "starloom", "srag-ingest", "--out", out, "--year", "0"]
+    for y, p in sources.items():
+        args += ["--source", f"{y}={p}"]
+    r = subprocess.run(args, cwd=fx.__file__.rsplit("/tests/", 1)[0], capture_output=True, text=True, timeout=300)
+    assert r.returncode == 0, r.stderr[-2000:]
+    assert json.loads(r.stdout.strip().splitlines()[-1]) == {"rows": 7}
