@@ -573,3 +573,7 @@ _TABLES = {
 }
 ORACLE["star_vaccination_tables"] = "\nUNION ALL\n".join(
     f"SELECT '{t}' AS tabela, COUNT(*) AS linhas FROM ({ORACLE[k]})" for t, k in _TABLES.items())
+
+ORACLE["sql_projection"] = f"""
+SELECT *, CASE WHEN cod_idade < 60 THEN 'adulto' ELSE 'idoso' END AS faixa FROM ({FACT_COUNT})
+"""

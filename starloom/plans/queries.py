@@ -383,6 +383,19 @@ def project_select(spark, d):
                     F.col("c_mktsegment").alias("segmento")))
 
 
+def sql_projection(spark, d):
+    """SQL text over a DataFrame argument (no global temp view) plus an
+    ``expr`` column: the count fact written the way the source jobs wrote
+    their SQL, planned by the same Catalyst as the DataFrame form."""
+    fact = spark.sql("""
+        SELECT CAST(user_id AS INT) AS cod_idade, event_type, CAST(ts AS DATE) AS data,
+               CAST(COUNT(*) AS FLOAT) AS qtd_eventos
+        FROM {events}
+        WHERE event_type IN ('click', 'view') AND user_id BETWEEN 10 AND 110
+        GROUP BY 1, 2, 3""", events=table(spark, d, "events"))
+    return fact.withColumn("faixa", F.expr("CASE WHEN cod_idade < 60 THEN 'adulto' ELSE 'idoso' END"))
+
+
 def yearly_align(spark, d, years=None):
     """Yearly extracts whose columns drift (years before 1997 lack the
     priority column) aligned to one list and unioned by name. ``years``
@@ -771,6 +784,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "filter_null_rejecting": filter_null_rejecting,
     "filter_code_eq": filter_code_eq,
     "project_select": project_select,
+    "sql_projection": sql_projection,
     "yearly_align": yearly_align,
     "csv_scan": csv_scan,
     "csv_glob_scan": csv_glob_scan,
