@@ -54,9 +54,10 @@ def lookup_dim(
     sized ``lookup`` (e.g. with :func:`checked_broadcast`) and it is used as is.
 
     Join strategy: broadcast the lookup when it is proven small; otherwise
-    broadcast the distinct codes when they are; only when neither side is
-    proven small does Spark plan a shuffle join (both sides already small
-    per key: one row per code).
+    broadcast the distinct codes when they are (that check computes the
+    distinct codes once more: one pruned key column, and only when the
+    lookup is over the bound); only when neither side is proven small does
+    Spark plan a shuffle join (both sides already one row per code).
     """
     keyed = rows.filter(where) if where is not None else rows
     codes = keyed.select(F.col(key).cast("int").alias(key)).filter(F.col(key).isNotNull()).distinct()
