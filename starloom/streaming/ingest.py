@@ -44,7 +44,10 @@ def ingest_new_files(spark: SparkSession, source_dir: str, columns: Sequence[str
                      **scan_options) -> StreamingQuery:
     """Conform every not-yet-seen raw file into the partitioned Parquet layer
     at ``out`` and stop when the backlog is drained. The checkpoint goes to
-    the shared checkpoint folder unless given."""
+    the shared checkpoint folder unless given. ``out`` belongs to the stream:
+    its ``_spark_metadata`` log names the committed files (readers see only
+    those), so batch writes must not target the same folder. A failed batch
+    raises here."""
     ckpt = checkpoint or f"{shared_root(spark)}/starloom/stream-{hashlib.sha1(out.encode()).hexdigest()[:16]}"
     rows = conform(raw_csv_stream(spark, source_dir, columns, **scan_options))
     query = (rows.writeStream.format("parquet").option("checkpointLocation", ckpt)
