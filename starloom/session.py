@@ -8,7 +8,10 @@ import os
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "starloom") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "starloom",
+                  event_log_dir: str | None = None) -> SparkSession:
+    """``event_log_dir``: write Spark's event log there (stage and task
+    times for ``tests/stage_times.py``); the web UI stays off."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -21,6 +24,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("STARLOOM_DRIVER_MEMORY", "8g"))
     )
+    if event_log_dir:
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
