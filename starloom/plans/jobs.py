@@ -30,11 +30,14 @@ from . import vocab as V
 
 
 def ingest_vaccination(spark: SparkSession, raw: str | Sequence[str], out: str,
-                       part_token: str = PART_TOKEN, max_records_per_file: int | None = None) -> int:
+                       part_token: str = PART_TOKEN, max_records_per_file: int | None = None,
+                       columns: Sequence[str] | None = None) -> int:
     """Raw vaccination CSV files -> conformed rows, one ``parte=<token>``
     partition per file part token. One scan over all files; only the parts
-    present in this run are replaced. Returns the rows written."""
-    rows = star.conform_vaccination(read_delimited(spark, raw, part_token=part_token))
+    present in this run are replaced. Returns the rows written. ``columns``
+    (the expected header) skips header inference and checks every file's
+    header against it."""
+    rows = star.conform_vaccination(read_delimited(spark, raw, columns, part_token=part_token))
     return write_counted(rows, out, partition_by=["parte"], max_records_per_file=max_records_per_file)
 
 
@@ -83,8 +86,8 @@ def build_deaths_fact(spark: SparkSession, prestructured: str, out: str, max_fil
 
 
 def build_notification_fact(spark: SparkSession, raw: str | Sequence[str], out: str,
-                            max_files: int | None = None) -> None:
-    rows = star.conform_notification(read_delimited(spark, raw))
+                            max_files: int | None = None, columns: Sequence[str] | None = None) -> None:
+    rows = star.conform_notification(read_delimited(spark, raw, columns))
     write_parquet(build_fact(rows, star.notification_fact_spec()), out, max_files=max_files)
 
 

@@ -709,8 +709,9 @@ def star_vaccination_jobs(spark, d):
     from the written layer, whose stored ``cod_*`` columns take the filters
     at the Parquet scan."""
     raw, layer = scratch_path(spark, "vacc_raw"), scratch_path(spark, "vacc_layer")
-    _write_raw_csv(_vaccination_text(spark, d), raw)
-    ingest_vaccination(spark, f"{raw}/*.csv", layer)
+    text = _vaccination_text(spark, d)
+    _write_raw_csv(text, raw)
+    ingest_vaccination(spark, f"{raw}/*.csv", layer, columns=text.columns)
     return build_fact(read_layer(spark, layer, {"parte": "string"}), star.vaccination_fact_spec())
 
 
@@ -732,8 +733,9 @@ def star_notification_jobs(spark, d):
     """Notification job as run in production: raw CSV files read through
     one header-checked glob -> conform -> notification fact."""
     raw = scratch_path(spark, "not_raw")
-    _write_raw_csv(_notification_text(spark, d), raw)
-    rows = star.conform_notification(read_delimited(spark, f"{raw}/*.csv"))
+    text = _notification_text(spark, d)
+    _write_raw_csv(text, raw)
+    rows = star.conform_notification(read_delimited(spark, f"{raw}/*.csv", text.columns))
     return build_fact(rows, star.notification_fact_spec())
 
 
@@ -743,9 +745,10 @@ def star_vaccination_tables(spark, d):
     of every table written."""
     raw, layer, loc = (scratch_path(spark, n) for n in ("tables_raw", "tables_layer", "tables_loc"))
     out = scratch_path(spark, "tables_out")
-    _write_raw_csv(_vaccination_text(spark, d), raw)
+    text = _vaccination_text(spark, d)
+    _write_raw_csv(text, raw)
     _write_raw_csv(_supplier_localities(spark, d), loc)
-    ingest_vaccination(spark, f"{raw}/*.csv", layer)
+    ingest_vaccination(spark, f"{raw}/*.csv", layer, columns=text.columns)
     paths = build_vaccination_tables(spark, layer, f"{loc}/*.csv", out, state_name="AMERICA")
     counts = [spark.read.parquet(p).agg(F.count(F.lit(1)).alias("linhas")).withColumn("tabela", F.lit(n))
               for n, p in paths.items()]
