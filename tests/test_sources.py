@@ -73,3 +73,10 @@ def test_write_counted_observes_rows(spark, workdir):
     df = spark.range(0, 12345).filter(F.col("id") % 2 == 0)
     assert write_counted(df, f"{workdir}/c") == 6173
     assert spark.read.parquet(f"{workdir}/c").count() == 6173
+
+
+def test_named_columns_must_match_each_files_header(spark, workdir):
+    fx.write_csv(f"{workdir}/h/a.csv", ["idade", "sexo"], [{"idade": "30", "sexo": "F"}])
+    assert read_delimited(spark, f"{workdir}/h/*.csv", ["idade", "sexo"]).count() == 1
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        read_delimited(spark, f"{workdir}/h/*.csv", ["idade", "raca"]).collect()
