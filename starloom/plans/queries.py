@@ -179,6 +179,7 @@ def dim_calendar(spark, d):
 
 
 def epi_week(spark, d):
+    """Epidemiological week of every order day."""
     orders = table(spark, d, "orders")
     day = F.to_date("o_orderdate")
     week = X.epi_week(day)
@@ -195,6 +196,7 @@ def dim_age_band(spark, d):
 # ------------------------------------------------------------ conformance --
 
 def null_sentinel(spark, d):
+    """NULL -> sentinel per column, in the column's own type."""
     o = table(spark, d, "orders")
     df = o.select(
         "o_orderkey",
@@ -206,6 +208,7 @@ def null_sentinel(spark, d):
 
 
 def recode_map(spark, d):
+    """Race digit swap, letter flag, sex codes, census sex words."""
     o = table(spark, d, "orders")
     status, prio = F.col("o_orderstatus"), F.col("o_orderpriority")
     race_text = F.when((status == "F") & (prio == "1-URGENT"), F.lit(None).cast("string")).otherwise(
@@ -227,6 +230,7 @@ def recode_map(spark, d):
 
 
 def first_present_case(spark, d):
+    """First present column wins, else 0."""
     o = table(spark, d, "orders")
     status, prio, price = F.col("o_orderstatus"), F.col("o_orderpriority"), F.col("o_totalprice")
     pairs = [
@@ -240,6 +244,7 @@ def first_present_case(spark, d):
 
 
 def code_prefix(spark, d):
+    """Six-digit municipality prefix of padded text -> int."""
     c = table(spark, d, "customer")
     text = (F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit(V.STATE_CODE))
             .otherwise(F.concat(F.lit("  "), (F.col("c_custkey") + 2800000).cast("string"), F.lit("7 "))))
@@ -257,6 +262,7 @@ def _age_text(size: Column, ptype: Column) -> Column:
 
 
 def parse_age_text(spark, d):
+    """Census age text -> years and label."""
     p = table(spark, d, "part").withColumn("Idade", _age_text(F.col("p_size"), F.col("p_type")))
     rows = p.filter(F.trim(F.col("Idade")).like("%ano%"))
     age = X.age_from_text("Idade")
@@ -264,6 +270,7 @@ def parse_age_text(spark, d):
 
 
 def decimal_comma(spark, d):
+    """Decimal comma repaired, text -> float."""
     p = table(spark, d, "part")
     s = F.col("p_size").cast("string")
     text = (F.when(F.col("p_type") == "SMALL", F.concat(s, F.lit("."), s))
@@ -287,6 +294,7 @@ def hash_key(spark, d):
 
 
 def array_split_max(spark, d):
+    """Lexicographic largest element of a comma list."""
     e = table(spark, d, "events")
     u, h = F.col("user_id").cast("string"), F.hour("ts").cast("string")
     text = (F.when(F.col("event_type") == "error", F.lit(None).cast("string"))
@@ -296,6 +304,7 @@ def array_split_max(spark, d):
 
 
 def scalar_string(spark, d):
+    """trim, ltrim/rtrim, upper, substring."""
     o = table(spark, d, "orders")
     padded = F.concat(F.lit("  "), F.lower("o_orderpriority"), F.lit(" "))
     return o.select(
@@ -309,6 +318,7 @@ def scalar_string(spark, d):
 
 
 def scalar_regexp(spark, d):
+    """regexp_replace and the 'None' -> 0 code."""
     p = table(spark, d, "part")
     code_text = (F.when(F.col("p_type") == "PROMO", F.lit("None"))
                  .when(F.col("p_type") == "SMALL", F.lit(None).cast("string"))
@@ -321,6 +331,7 @@ def scalar_regexp(spark, d):
 
 
 def scalar_date_parse(spark, d):
+    """Dates in dd/MM/yyyy and yyyy-MM-dd, impossible days NULL."""
     e = table(spark, d, "events")
     etype = F.col("event_type")
     day = F.dayofmonth("ts") + F.when(etype == "error", F.lit(10)).otherwise(F.lit(0))
@@ -335,6 +346,7 @@ def scalar_date_parse(spark, d):
 
 
 def scalar_cast(spark, d):
+    """Lenient text -> int: blanks, fractions, words, overflow."""
     o = table(spark, d, "orders")
     status, prio = F.col("o_orderstatus"), F.col("o_orderpriority")
     key = F.col("o_custkey").cast("string")
@@ -361,6 +373,7 @@ def filter_predicates(spark, d):
 
 
 def filter_trim_eq(spark, d):
+    """Conjunctive equality on trimmed text (F2)."""
     o = table(spark, d, "orders")
     status = F.concat(F.lit(" "), F.col("o_orderstatus"), F.lit("  "))
     code = F.concat(_digit("o_orderpriority"), F.lit(" "))
@@ -369,12 +382,14 @@ def filter_trim_eq(spark, d):
 
 
 def filter_notin_like(spark, d):
+    """NOT IN after trim, and LIKE."""
     p = table(spark, d, "part")
     return p.filter(~F.trim(F.col("p_type")).isin("SMALL", "", " ")).filter(
         F.col("p_name").like("%ring%")).select("p_partkey", "p_name", "p_type")
 
 
 def filter_null_rejecting(spark, d):
+    """<> and NOT IN reject NULL rows."""
     o = table(spark, d, "orders").withColumn(
         "status", F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderstatus")))
     return o.filter(F.col("status") != "F").filter(~F.col("o_orderpriority").isin("1-URGENT")).select(
@@ -382,6 +397,7 @@ def filter_null_rejecting(spark, d):
 
 
 def filter_code_eq(spark, d):
+    """Text code compared with an int after the lenient cast."""
     o = table(spark, d, "orders").withColumn("cod_evolucao", F.trim(_digit("o_orderpriority")))
     return o.filter(X.to_int("cod_evolucao") == 2).select("o_orderkey", "cod_evolucao")
 
@@ -389,6 +405,7 @@ def filter_code_eq(spark, d):
 # ------------------------------------------------------- column plumbing ---
 
 def project_select(spark, d):
+    """select, drop, alias."""
     c = table(spark, d, "customer")
     return (c.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
             .withColumn("desc_cliente", F.trim("c_name")).drop("c_name")
@@ -508,6 +525,7 @@ def partitioned_roundtrip(spark, d):
 
 
 def row_count(spark, d):
+    """Global row count."""
     return table(spark, d, "lineitem").agg(F.count(F.lit(1)).alias("registros"))
 
 
@@ -609,11 +627,13 @@ def _supplier_localities(spark, d) -> DataFrame:
 
 
 def star_dm_regiao_estab(spark, d):
+    """Establishment region dimension through the real spec."""
     lookup = star.localities_lookup(_supplier_localities(spark, d), state_name="AMERICA")
     return star.establishment_region_dim(star.conform_vaccination(_vaccination_text(spark, d)), lookup)
 
 
 def star_dm_regiao_paciente(spark, d):
+    """Patient region dimension through the real spec."""
     lookup = star.localities_lookup(_supplier_localities(spark, d), state_name="AMERICA")
     return star.patient_region_dim(star.conform_vaccination(_vaccination_text(spark, d)), lookup)
 
@@ -667,6 +687,7 @@ def star_srag_conformed(spark, d):
 
 
 def star_deaths_fact(spark, d):
+    """Deaths fact through the real conform and spec."""
     return build_fact(star.conform_srag(_srag_cases(spark, d)), star.deaths_fact_spec())
 
 
@@ -694,6 +715,7 @@ def _notification_text(spark, d) -> DataFrame:
 
 
 def star_notification_fact(spark, d):
+    """Notification fact through the real conform and spec."""
     return build_fact(star.conform_notification(_notification_text(spark, d)), star.notification_fact_spec())
 
 
