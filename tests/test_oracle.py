@@ -42,3 +42,16 @@ def test_conform_keys_match_oracle_with_ansi_off(spark, con, key):
     finally:
         spark.conf.unset("spark.sql.ansi.enabled")
     assert r["status"] == "ok", r
+
+
+def test_contract_loads_by_path_from_another_directory(tmp_path):
+    import os
+    import subprocess
+    import sys
+    entry_file = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "__spark_entry__.py")
+    code = ("import importlib.util as u; s = u.spec_from_file_location('e', %r); m = u.module_from_spec(s); "
+            "s.loader.exec_module(m); q, o = m.queries(), m.oracle_sql(); "
+            "assert q and set(q) == set(o) and all(callable(f) for f in q.values()); print(len(q))") % entry_file
+    r = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120)
+    assert r.returncode == 0, r.stderr[-2000:]
+    assert int(r.stdout.strip()) == len(queries())
