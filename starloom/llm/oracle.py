@@ -2,4 +2,48 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+
+def _fill(nodes: str, parent: str, budget: str) -> str:
+    """Water-filling of ``nodes`` (weight, cap) under ``parent``."""
+    return f"""
+    SELECT *, least(cap::DOUBLE, greatest(max(lvl) OVER (PARTITION BY {parent}) * weight, 0.0)) AS share FROM (
+      SELECT *, ({budget} - coalesce(sum(cap) OVER before, 0)) / (sum(weight) OVER (PARTITION BY {parent}) - coalesce(sum(weight) OVER before, 0.0)) AS lvl
+      FROM {nodes} WINDOW before AS (PARTITION BY {parent} ORDER BY cap / weight, cap ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""
+
+
+MIXING = f"""
+WITH docs AS (
+  SELECT doc_id, 'd' || (regexp_extract(source, '(\\d+)$', 1)::INT % 4) AS domain, lang, source,
+         len(regexp_extract_all(text, '\\S+'))::BIGINT AS n_tokens FROM documents),
+leaves AS (
+  SELECT domain, lang, source, sum(n_tokens) AS tokens, sum(n_tokens) * 2 AS cap, 1.0::DOUBLE AS weight FROM docs GROUP BY ALL),
+n1 AS (
+  SELECT domain, sum(cap) AS cap, CASE domain WHEN 'd1' THEN 2.0 ELSE 1.0 END::DOUBLE AS weight,
+         (SELECT sum(tokens) FROM leaves)::DOUBLE AS above, 0 AS root FROM leaves GROUP BY domain),
+g1 AS ({_fill('n1', 'root', 'above')}),
+n2 AS (
+  SELECT domain, lang, sum(l.cap) AS cap, CASE lang WHEN 'en' THEN 4.0 ELSE 1.0 END::DOUBLE AS weight, any_value(g1.share) AS above
+  FROM leaves l JOIN g1 USING (domain) GROUP BY domain, lang),
+g2 AS ({_fill('n2', 'domain', 'above')}),
+n3 AS (SELECT l.*, g2.share AS above FROM leaves l JOIN g2 USING (domain, lang)),
+g3 AS ({_fill('n3', 'domain, lang', 'above')}),
+plan AS (SELECT domain, lang, source, floor(share)::BIGINT // tokens::BIGINT AS full_epochs, floor(share)::BIGINT % tokens::BIGINT AS rest FROM g3),
+ordered AS (
+  SELECT doc_id, domain, lang, source, n_tokens, full_epochs, rest,
+         sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY md5('42:' || full_epochs || ':' || doc_id), n_tokens
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+  FROM docs JOIN plan USING (domain, lang, source))
+SELECT doc_id, domain, lang, source, n_tokens, (full_epochs + CASE WHEN upto <= rest THEN 1 ELSE 0 END)::BIGINT AS copies FROM ordered
+"""
+
+CHAT = """
+WITH t AS (
+  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS p FROM conversations),
+c AS (SELECT conv_id, count(*) AS n, list({'r': role, 't': text} ORDER BY p) AS l FROM t GROUP BY conv_id),
+w AS (SELECT min(conv_id) AS conv_id, n, l, count(*) AS logged FROM c GROUP BY n, l)
+SELECT conv_id, n::BIGINT AS n_turns, logged AS n_logged,
+       array_to_string(list_transform(l, lambda x: '<|im_start|>' || coalesce(x.r, '') || chr(10) || coalesce(x.t, '') || '<|im_end|>' || chr(10)), '') AS text
+FROM w WHERE NOT EXISTS (SELECT 1 FROM c d WHERE d.n > w.n AND d.l[1:w.n] = w.l)
+"""
+
+ORACLE: dict[str, str] = {"op7_mixing": MIXING, "op8_chat": CHAT}
