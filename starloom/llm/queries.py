@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import bpe, chat, langid, mixing, tokencount
+from starloom.llm import bpe, chat, jaccard, langid, mixing, tokencount
 from starloom.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -18,6 +18,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class and link count of every document."""
+    return jaccard.join(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often each document is taken into the mix."""
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
@@ -38,4 +43,4 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_token_counts, op7_mixing, op8_chat, op9_byte_bpe, op10_language_id)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_token_counts, op4_ngram_jaccard, op7_mixing, op8_chat, op9_byte_bpe, op10_language_id)}
