@@ -46,4 +46,19 @@ SELECT conv_id, n::BIGINT AS n_turns, logged AS n_logged,
 FROM w WHERE NOT EXISTS (SELECT 1 FROM c d WHERE d.n > w.n AND d.l[1:w.n] = w.l)
 """
 
-ORACLE: dict[str, str] = {"op7_mixing": MIXING, "op8_chat": CHAT}
+NEAR_VECTORS = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_max(list_transform(embedding, lambda x: abs(x))) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (
+  SELECT vec_id AS id, vec_id AS other FROM embeddings
+  UNION SELECT reach.id, links.b FROM reach JOIN links ON reach.other = links.a),
+least AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
+SELECT id AS vec_id, (SELECT count(*) FROM links WHERE links.a = least.id) AS n_links, component_id, component_id = id AS kept FROM least
+"""
+
+ORACLE: dict[str, str] = {"op1_embedding_neardup": NEAR_VECTORS, "op7_mixing": MIXING, "op8_chat": CHAT}

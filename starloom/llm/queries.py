@@ -7,12 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import bpe, chat, jaccard, langid, mixing, tokencount
+from starloom.llm import bpe, chat, jaccard, langid, mixing, neighbours, tokencount
 from starloom.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op1_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings."""
+    return neighbours.near_dedup(table(spark, sf_dir, "embeddings"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unigram token count of every whole document text."""
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
@@ -43,4 +48,4 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_token_counts, op4_ngram_jaccard, op7_mixing, op8_chat, op9_byte_bpe, op10_language_id)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_embedding_neardup, op3_token_counts, op4_ngram_jaccard, op7_mixing, op8_chat, op9_byte_bpe, op10_language_id)}
