@@ -48,3 +48,11 @@ def partitions(spark: SparkSession) -> int:
 def utf8(col: str):
     """Text as bytes; null counts as empty."""
     return F.coalesce(F.col(col), F.lit("")).cast("binary")
+
+
+def even_labels(spark: SparkSession) -> list[int]:
+    """One label for each shuffle partition: rows that ``repartition`` deals
+    by these labels fill every partition, one label each."""
+    n = partitions(spark)
+    found = spark.range(24 * n + 200, numPartitions=1).groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("p")).agg(F.min("id").alias("id")).collect()
+    return [r["id"] for r in sorted(found, key=lambda r: r["p"])]

@@ -61,4 +61,24 @@ least AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
 SELECT id AS vec_id, (SELECT count(*) FROM links WHERE links.a = least.id) AS n_links, component_id, component_id = id AS kept FROM least
 """
 
-ORACLE: dict[str, str] = {"op1_embedding_neardup": NEAR_VECTORS, "op7_mixing": MIXING, "op8_chat": CHAT}
+SUFFIXES = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+block AS (SELECT doc_id, 500 * k AS base, substr(h, 1000 * k + 1, 1198) AS s FROM (SELECT *, unnest(range(0, length(h) // 1000 + 1)) AS k FROM d)),
+w AS (SELECT doc_id, base + i AS start, substr(s, 2 * i + 1, 200) AS s FROM (SELECT *, unnest(range(0, least(500, length(s) // 2 - 99))) AS i FROM block)),
+again AS (
+  SELECT doc_id, start FROM (SELECT doc_id, start, row_number() OVER (PARTITION BY md5(s) ORDER BY doc_id, start) AS nth FROM w)
+  WHERE nth > 1),
+edge AS (SELECT doc_id, start, coalesce(start > lag(start) OVER (PARTITION BY doc_id ORDER BY start) + 100, true)::INT AS opens FROM again),
+run AS (
+  SELECT doc_id, min(start) AS a, max(start) + 100 AS b
+  FROM (SELECT doc_id, start, sum(opens) OVER (PARTITION BY doc_id ORDER BY start) AS nth FROM edge) GROUP BY doc_id, nth),
+piece AS (
+  SELECT doc_id, a, b - a AS gone, substr(h, 2 * coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) + 1,
+         2 * (a - coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0))) AS before FROM run JOIN d USING (doc_id)),
+kept AS (SELECT doc_id, sum(gone) AS n_removed, count(*) AS n_spans, string_agg(before, '' ORDER BY a) AS head, max(a + gone) AS last FROM piece GROUP BY doc_id)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {"op1_embedding_neardup": NEAR_VECTORS, "op5_suffix_dedup": SUFFIXES, "op7_mixing": MIXING, "op8_chat": CHAT}
