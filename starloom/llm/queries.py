@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import bpe, chat, jaccard, langid, mixing, neighbours, suffixes, tokencount
+from starloom.llm import bpe, chat, jaccard, langid, mixing, neighbours, parsing, suffixes, tokencount
 from starloom.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -33,6 +33,11 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.digests(table(spark, sf_dir, "documents"))
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document, its edited text and the next document."""
+    return parsing.beside_next(table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often each document is taken into the mix."""
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
@@ -53,4 +58,4 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_embedding_neardup, op3_token_counts, op4_ngram_jaccard, op5_suffix_dedup, op7_mixing, op8_chat, op9_byte_bpe, op10_language_id)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_embedding_neardup, op3_token_counts, op4_ngram_jaccard, op5_suffix_dedup, op6_fingerprints, op7_mixing, op8_chat, op9_byte_bpe, op10_language_id)}
