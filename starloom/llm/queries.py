@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from starloom.llm import bpe, chat, jaccard, langid, mixing, neighbours, parsing, suffixes, tokencount
+from starloom.llm import bpe, chat, jaccard, langid, mixing, neighbours, parsing, suffixes, surrogates, tokencount
 from starloom.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -18,6 +19,12 @@ def op1_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.near_dedup(table(spark, sf_dir, "embeddings"))
 
 
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole document text with surrogates for personal data."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.pseudonymise(docs, surrogates.EXAMPLE_KEY).withColumn("n_entities", F.size("entities").cast("long"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unigram token count of every whole document text."""
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
@@ -58,4 +65,4 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_embedding_neardup, op3_token_counts, op4_ngram_jaccard, op5_suffix_dedup, op6_fingerprints, op7_mixing, op8_chat, op9_byte_bpe, op10_language_id)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_embedding_neardup, op2_pii_surrogates, op3_token_counts, op4_ngram_jaccard, op5_suffix_dedup, op6_fingerprints, op7_mixing, op8_chat, op9_byte_bpe, op10_language_id)}
