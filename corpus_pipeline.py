@@ -1,9 +1,71 @@
-"""The training-data pipeline over ``documents``."""
+"""The training-data pipeline over ``documents``.
 
-STAGES: list = []
+``STAGES`` are (name, function) pairs; a function takes ``(spark, docs,
+sf_dir)`` and returns a DataFrame. Every stage but the last returns the
+columns of ``documents`` (``doc_id, text, lang, source, n_chars``).
+``run`` applies them one after the other, each result written as Parquet in
+the shared folder and read back as the next one's ``docs``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from starloom.llm import bpe, jaccard, langid, mixing, queries, surrogates
+from starloom.llm.common import ship, write_cut
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: The result's documents' rows are no SQL: language ID and PII have none.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    """Every stage in turn."""
-    raise ValueError("no stages")
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of no determined language go; ``lang`` becomes the predicted one."""
+    ship(spark)
+    filters = langid.learn(docs.where(langid.fold() != 1).select("lang", "text"))
+    found = langid.label(docs.select(*COLUMNS), filters)
+    return found.where(F.col("lang_pred") != langid.UNDETERMINED).select(
+        "doc_id", "text", F.col("lang_pred").alias("lang"), "source", "n_chars")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class stays, that of least id."""
+    ship(spark)
+    return jaccard.representatives(docs.select(*COLUMNS))
+
+
+def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and secrets get surrogates."""
+    ship(spark)
+    done = surrogates.pseudonymise(docs.select(*COLUMNS), surrogates.EXAMPLE_KEY)
+    return done.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in the numbers that the mix takes them: left out, once, or
+    once an epoch."""
+    return mixing.take(docs.select(*COLUMNS)).select(*COLUMNS)
+
+
+def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id, n_tokens, ids``: the token ids, little-endian unsigned 32-bit."""
+    ship(spark)
+    return bpe.encode(docs, queries.RANKS, queries.PATTERN)
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("ngram_jaccard", drop_near_duplicates),
+    ("pii", replace_personal_data),
+    ("mixing", mix_sources),
+    ("byte_bpe", encode_tokens),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents' token ids after all stages."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = write_cut(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -56,3 +56,8 @@ def even_labels(spark: SparkSession) -> list[int]:
     n = partitions(spark)
     found = spark.range(24 * n + 200, numPartitions=1).groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("p")).agg(F.min("id").alias("id")).collect()
     return [r["id"] for r in sorted(found, key=lambda r: r["p"])]
+
+
+def ddl(df: DataFrame, *more: str) -> str:
+    """The columns of ``df`` and further ones as a schema string."""
+    return ", ".join([f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema.fields] + list(more))

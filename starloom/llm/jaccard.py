@@ -20,7 +20,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.common import write_cut
@@ -247,3 +247,15 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     return out.select(
         "doc_id", "text_hash", F.when(F.col("_fp").isNull(), F.col("doc_id")).otherwise(F.col("class.doc_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"), (F.col("_fp").isNull() | first).alias("kept"))
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (``doc_id, text`` and any others) that name their
+    near-duplicate class, one of each; equal rows are one."""
+    def keyed(df: DataFrame, text_hash) -> DataFrame:
+        return df.withColumn("_a", F.xxhash64("doc_id", text_hash)).withColumn("_b", F.xxhash64(F.lit(1), "doc_id", text_hash))
+
+    kept = keyed(join(docs).where("kept"), F.col("text_hash")).select("_a", "_b").distinct()
+    first = Window.partitionBy("_a", "_b").orderBy(*[F.col(c) for c in docs.columns if c != "text"])
+    found = keyed(docs, F.xxhash64("text")).join(kept, ["_a", "_b"])
+    return found.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").select(*docs.columns)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import write_cut
+from starloom.llm.common import ddl, write_cut
 
 UNDETERMINED = "und"
 #: Rows of the bit-sliced table (a power of two) and hashes a gram.
@@ -174,26 +174,27 @@ def learn(labelled: DataFrame) -> Filters:
     return Filters(langs, most[0]["lang"] if most else UNDETERMINED, grams_of)
 
 
-def predict(docs: DataFrame, filters: Filters, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` reduced to ``doc_id, text`` with ``lang_pred, score``.
+def label(docs: DataFrame, filters: Filters, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``lang_pred, score`` (existing columns of these names
+    are replaced).
 
     The prediction reads the text alone. A null text, or one without a
     letter, is ``und`` with score 0; repeated rows get equal answers; with
     nothing learned every text is ``und``.
     """
+    rows = docs.drop("lang_pred", "score")
     model = docs.sparkSession.sparkContext.broadcast(filters)
+    at = rows.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = model.value
         for batch in batches:
-            found = [f.decide(t.as_py()) for t in batch.column(1)]
+            found = [f.decide(t.as_py()) for t in batch.column(at)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
-                ["doc_id", "text", "lang_pred", "score"])
+                [*batch.schema.names, "lang_pred", "score"])
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, text string, lang_pred string, score double")
+    return rows.mapInArrow(run, ddl(rows, "lang_pred string", "score double"))
 
 
 def fold(id_col: str = "doc_id"):
@@ -206,5 +207,5 @@ def identify(docs: DataFrame) -> DataFrame:
     learned from the folds 0 and 2, predicted from the text alone. A row
     with a null id is neither learned from nor held out."""
     filters = learn(docs.where(fold() != 1).select("lang", "text"))
-    return predict(docs, filters).select(
+    return label(docs.select("doc_id", "text"), filters).select(
         "doc_id", F.coalesce(fold() == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")

@@ -125,3 +125,16 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     """``doc_id, domain, lang, source, n_tokens, copies`` for every row."""
     rows = docs.select("doc_id", source_domain().alias("domain"), "lang", "source", n_tokens().alias("n_tokens"))
     return select(rows, LEVELS, document_weights())
+
+
+def take(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (``doc_id, text, lang, source`` and any others) in
+    the numbers of ``copies``. Rows equal in these four are one kind, taken
+    as often as they are together."""
+    kind = ["doc_id", "text", "lang", "source"]
+    keyed = docs.withColumn("_a", F.xxhash64(*kind, *[F.col(c).isNull() for c in kind])).withColumn("_b", F.xxhash64(F.lit(1), *kind, *[F.col(c).isNull() for c in kind]))
+    rows = keyed.select("_a", "_b", "doc_id", source_domain().alias("domain"), "lang", "source", n_tokens().alias("n_tokens"))
+    chosen = select(rows, LEVELS, document_weights()).groupBy("_a", "_b").agg(F.sum("copies").cast("int").alias("_copies")).where("_copies > 0")
+    own = Window.partitionBy("_a", "_b").orderBy("_copies")
+    found = keyed.join(chosen, ["_a", "_b"]).withColumn("_nth", F.row_number().over(own)).where("_nth = 1")
+    return found.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(*docs.columns)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from starloom.llm import bpe, chat, jaccard, langid, mixing, neighbours, parsing, suffixes, surrogates, tokencount
 from starloom.llm.common import table
 
-RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
 def op1_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,7 +27,7 @@ def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unigram token count of every whole document text."""
-    return tokencount.count_tokens(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
+    return tokencount.count_tokens(table(spark, sf_dir, "documents"), RANKS, PATTERN)
 
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +57,7 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every whole document text."""
-    return bpe.digests(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
+    return bpe.digests(table(spark, sf_dir, "documents"), RANKS, PATTERN)
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

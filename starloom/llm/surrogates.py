@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.llm.common import ddl
+
 ROUNDS = 8
 #: The key of the registered queries, which must give equal results in every
 #: run. Anyone who publishes a corpus passes a secret one.
@@ -299,11 +301,7 @@ def pseudonymise(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "entities"])
 
     rows = docs.drop("entities") if "entities" in docs.columns else docs
-    return rows.mapInArrow(run, _ddl(rows) + ", entities array<struct<start:int,end:int,type:string>>")
-
-
-def _ddl(df: DataFrame) -> str:
-    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    return rows.mapInArrow(run, ddl(rows, "entities array<struct<start:int,end:int,type:string>>"))
 
 
 def collisions(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFrame:
