@@ -20,11 +20,11 @@ from starloom.llm.common import write_cut
 BLOCK = 1024
 
 
-def in_blocks(members: DataFrame, size: str, key: str, block: int = BLOCK) -> DataFrame:
+def in_blocks(members: DataFrame, size: str, key: str, block: int | None = None) -> DataFrame:
     """``members`` of groups (``size``: the group's) with ``own, lo, hi``:
     the member's block and, a row each, the block pairs that it takes part
     in. A group of one block has the pair (0, 0) alone."""
-    n = F.ceil(F.col(size) / block).cast("int")
+    n = F.ceil(F.col(size) / (block or BLOCK)).cast("int")
     own = members.withColumn("_n", n).withColumn("own", F.when(F.col("_n") > 1, F.pmod(F.xxhash64(F.lit(7), key), F.col("_n"))).otherwise(0).cast("int"))
     own = own.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
     return own.withColumn("lo", F.least("own", "_other")).withColumn("hi", F.greatest("own", "_other")).drop("_n", "_other")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.common import write_cut
-from starloom.llm.links import BLOCK, block_pairs, components, groups, in_blocks, linked_batch, local_links
+from starloom.llm.links import block_pairs, components, groups, in_blocks, linked_batch, local_links
 
 THRESHOLD = 0.98
 TREES = 6
@@ -70,7 +70,7 @@ def _projected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out)], ["fp", "node", "at"])
 
 
-def leaves(vectors: DataFrame, trees: int = TREES, leaf: int = LEAF) -> DataFrame:
+def leaves(vectors: DataFrame, trees: int, leaf: int) -> DataFrame:
     """``fp, leaf, members``: the leaves of the forest over ``vectors``
     (``fp, label, dim, vec``, distinct), every vector in each tree.
 
@@ -141,7 +141,8 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield linked_batch(out)
 
 
-def near_dedup(embeddings: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
+def near_dedup(embeddings: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label",
+               trees: int = TREES, leaf: int = LEAF) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row.
 
     Rows link if their labels are equal and not null and their vectors'
@@ -156,10 +157,10 @@ def near_dedup(embeddings: DataFrame, id_col: str = "vec_id", vec_col: str = "em
     clean = write_cut(rows.mapInArrow(_clean, "vec_id long, label string, fp binary, dim int, vec binary"), "near-clean")
     vectors = write_cut(
         clean.where("fp is not null").groupBy("fp").agg(F.min("vec_id").alias("name"), F.count("*").alias("copies"), F.min("label").alias("label"), F.min("dim").alias("dim"), F.min("vec").alias("vec")), "near-vectors")
-    placed = write_cut(leaves(vectors), "near-leaves")
+    placed = write_cut(leaves(vectors, trees, leaf), "near-leaves")
     held = placed.groupBy("fp").agg(F.sort_array(F.collect_set("leaf")).alias("leaves"))
     unit = ["leaf", "lo", "hi"]
-    members = in_blocks(placed.where("members > 1"), "members", "fp", BLOCK)
+    members = in_blocks(placed.where("members > 1"), "members", "fp")
     members = members.join(held.join(vectors.select("fp", "copies", "vec"), "fp"), "fp").select(*unit, "own", "fp", "copies", "leaves", "vec")
     linked = write_cut(members.repartition(*unit).sortWithinPartitions(*unit).mapInArrow(_compared, "id binary, links long, least binary"), "near-linked")
 
