@@ -40,6 +40,8 @@ PIECE = 1 << 21
 FLUSH = 48 << 20
 #: Windows of a part that are treated at a time (whole anchors always).
 CHUNK = 400_000
+#: Stands for a null id in the order of documents.
+NO_ID = -(1 << 63)
 
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
 _POSITION = np.uint64((1 << 24) - 1)
@@ -164,10 +166,10 @@ class Contexts:
         self.clear()
         length = rows["size"].astype(np.int64) + self.n - 1
         at = np.cumsum(length) - length
-        again = self.combined(rows, text, at, length)
-        if again.any():
-            found = rows[again]
-            found["size"] = length[again]
+        again, same_row = self.combined(rows, text, at, length)
+        if (again & ~same_row).any():
+            found = rows[again & ~same_row]
+            found["size"] = length[again & ~same_row]
             for p, own in by_part(found, (found["key"] % self.parts).astype(np.int64), self.parts):
                 yield mapped(self.labels[p], found[own], None)
         rows, anchor, at, length = rows[~again], anchor[~again], at[~again], length[~again]
@@ -177,20 +179,22 @@ class Contexts:
             # of the anchor, 32 further bits go with the text: enough to tell a part's anchors apart
             yield mapped(self.labels[p], rows[own], press.compress((anchor[own] >> np.uint64(32)).astype("<u4").tobytes() + text[gathered(at[own], length[own])].tobytes()))
 
-    def combined(self, rows: np.ndarray, text: np.ndarray, at: np.ndarray, length: np.ndarray) -> np.ndarray:
-        """Which contexts equal one that starts earlier here."""
+    def combined(self, rows: np.ndarray, text: np.ndarray, at: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which contexts equal one that starts earlier here (or at the same
+        place of a repeated row: the second result)."""
         order = np.lexsort((rows["start"], rows["key"], rows["doc"], rows["name"]))
         same = np.concatenate(([False], rows["name"][order][1:] == rows["name"][order][:-1]))
         lead = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))]
-        out = np.zeros(len(rows), bool)
+        out, same_row = np.zeros(len(rows), bool), np.zeros(len(rows), bool)
         copies, heads = order[same], lead[same]
+        same_row[copies] = (rows["doc"][copies] == rows["doc"][heads]) & (rows["key"][copies] == rows["key"][heads]) & (rows["start"][copies] == rows["start"][heads])
         fits = length[copies] == length[heads]
         copies, heads = copies[fits], heads[fits]
         for k in range(0, len(copies), 20_000):  # names may collide: the bytes decide
             c, h = copies[k : k + 20_000], heads[k : k + 20_000]
             differ = text[gathered(at[c], length[c])] != text[gathered(at[h], length[c])]
             out[c] = np.add.reduceat(differ, np.cumsum(length[c]) - length[c], dtype=np.int64) == 0
-        return out
+        return out, same_row
 
 
 def _contexts(n: int, labels: list[int]):
@@ -278,8 +282,10 @@ def maximal(rows: np.ndarray, data: np.ndarray, n: int) -> Iterator[tuple[np.nda
         window = np.arange(n)
         equal[k : k + 50_000] &= (data[a[:, None] + window] == data[b[:, None] + window]).all(1)
     lcp = np.concatenate(([0], np.where(equal, shared, 0)))
-    rank = np.empty(len(of), np.int64)
-    rank[np.lexsort((rows["start"][of] + place, rows["key"][of], rows["doc"][of]))] = np.arange(len(of))
+    triple = (rows["start"][of] + place, rows["key"][of], rows["doc"][of])
+    by = np.lexsort(triple)
+    rank = np.empty(len(of), np.int64)  # equal for the same place of repeated rows
+    rank[by] = np.concatenate(([0], np.cumsum(np.any([x[by][1:] != x[by][:-1] for x in triple], axis=0))))
     found = np.array(list(intervals(lcp.tolist(), before.tolist(), rank.tolist(), n)), np.int64).reshape(-1, 4)
     if not len(found):
         return
@@ -367,7 +373,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``doc_id, doc, key, data``: order (null ids first) and identity of a document."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(text_col).alias("data"))
     key = F.pmod(F.xxhash64("doc_id", "data"), F.lit(1 << 32))
-    return rows.select("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc"), key.alias("key"), "data")
+    return rows.select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), key.alias("key"), "data")
 
 
 def _found(keyed: DataFrame, n: int, labels: list[int], every: bool) -> DataFrame:
@@ -412,12 +418,13 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             raw = data.as_py()
             a, b = np.searchsorted(spans["key"], key.as_py(), "left"), np.searchsorted(spans["key"], key.as_py(), "right")
+            own = spans[a:b][spans["doc"][a:b] == (doc_id.as_py() if doc_id.is_valid else NO_ID)]
             edges = []
-            if b > a:
+            if len(own):
                 step = np.zeros(len(raw) + 1, np.int32)
-                start = spans["start"][a:b].astype(np.int64)
+                start = own["start"].astype(np.int64)
                 np.add.at(step, start, 1)
-                np.add.at(step, start + spans["size"][a:b], -1)
+                np.add.at(step, start + own["size"], -1)
                 gone = np.cumsum(step[:-1]) > 0
                 turn = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False]))))
                 edges = [{"start": int(x), "end": int(y)} for x, y in zip(turn[::2], turn[1::2])]

@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-LONG = "word " * 4000 + "".join(random.Random(7).choice("abcdefgh ") for _ in range(60_000))
+LONG = "word " * 4000 + "".join(random.Random(7).choices("abcdefgh ", k=60_000))
 #: Null, empty, blank and one-letter texts, a null id, very long texts,
 #: repeated rows, ties.
 EDGE = [

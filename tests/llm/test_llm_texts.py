@@ -1,0 +1,247 @@
+"""Suffix dedup, fingerprints, language ID and surrogates."""
+
+import random
+from hashlib import sha256
+
+import numpy as np
+import pytest
+from conftest import SF_ORACLE, SF_SMALL
+from llm_cases import EDGE, documents
+
+from pyspark.sql import functions as F
+from starloom.llm import langid, parsing, suffixes, surrogates
+from starloom.llm.common import ship
+
+
+def brute_removed(rows, n=100):
+    """Rows of distinct ids, null first."""
+    seen, out = set(), []
+    for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0])):
+        data = (t or "").encode()
+        gone = np.zeros(len(data), bool)
+        for k in range(len(data) - n + 1):
+            if data[k : k + n] in seen:
+                gone[k : k + n] = True
+            seen.add(data[k : k + n])
+        runs = int((np.diff(np.concatenate(([0], gone.astype(int), [0]))) == 1).sum())
+        out.append((i or -1, len(data), int(gone.sum()), runs, sha256(np.frombuffer(data, np.uint8)[~gone].tobytes()).hexdigest()))
+    return sorted(out)
+
+
+def removed(docs):
+    return sorted((r["doc_id"] or -1, *r[1:]) for r in suffixes.digests(docs).collect())
+
+
+def repeated_texts(seed, n=40):
+    r = random.Random(seed)
+    alphabet = r.choice(["ab", "abcdefgh é", " the of"])
+    base = ["".join(r.choice(alphabet) for _ in range(r.randrange(500))) for _ in range(6)]
+    rows = []
+    for k in range(n):
+        text = "".join(r.choice(base)[r.randrange(200):] for _ in range(r.randrange(4)))
+        rows.append((k, r.choice(["ab", "x", "abc "]) * r.randrange(200) if r.random() < 0.2 else text))
+    return rows
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_removal_equals_brute_force(spark, seed, monkeypatch):
+    ship(spark)
+    rows = repeated_texts(seed)
+    assert removed(documents(spark, rows).repartition(3)) == brute_removed(rows)
+
+
+@pytest.mark.parametrize(("flush", "piece", "chunk"), [(2000, 1 << 21, 400_000), (10**7, 150, 300)])
+def test_bounds_change_nothing(monkeypatch, flush, piece, chunk):
+    """Small flushes, pieces and chunks give the same removed bytes."""
+    import pyarrow as pa
+
+    def gone():
+        out = []
+        for seed in range(6):
+            rows = [(k, t) for k, t in repeated_texts(seed, 14) if len(t.encode()) >= 100]
+            batch = pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows]), pa.array([k for k, _ in rows]), pa.array([t.encode() for _, t in rows], pa.binary())], ["doc", "key", "data"])
+            sent = pa.Table.from_batches(list(suffixes._contexts(100, [0, 1, 2])(iter([batch]))), schema=suffixes.MAPPED).sort_by("part")
+            found = np.concatenate([suffixes.unpack(x["head"][0].as_py()) for x in suffixes._repeats(100, [0, 1, 2], False)(iter(sent.to_batches()))])
+            out.append({(int(x["doc"]), k) for x in found for k in range(x["start"], x["start"] + x["size"])})
+        return out
+
+    want = gone()
+    monkeypatch.setattr(suffixes, "FLUSH", flush)
+    monkeypatch.setattr(suffixes, "PIECE", piece)
+    monkeypatch.setattr(suffixes, "CHUNK", chunk)
+    assert gone() == want
+
+
+def test_removal_edge_rows(spark):
+    ship(spark)
+    distinct = [r for k, r in enumerate(EDGE) if k != 6]
+    assert removed(documents(spark, distinct, extra=True)) == brute_removed(distinct)
+    assert suffixes.digests(documents(spark, EDGE).limit(0)).count() == 0
+    twice = removed(documents(spark, EDGE))  # rows equal in id and text are one document
+    assert [r for r in twice if r[0] == 5] == [r for r in brute_removed(distinct) if r[0] == 5] * 2
+
+
+def test_maximal_repeats_name_all_occurrences(spark):
+    ship(spark)
+    r = random.Random(4)
+    passage = "".join(r.choice("abcdefghij ") for _ in range(180))
+    rows = [(k, "".join(r.choice("klmnop") for _ in range(50 + k)) + passage + "".join(r.choice("qrst") for _ in range(60))) for k in range(12)]
+    found = suffixes.maximal_repeats(documents(spark, rows).repartition(4)).collect()
+    covered, named = {}, {}
+    for x in found:
+        assert x["length"] >= 100
+        named.setdefault(x["repeat"], set()).add(rows[x["doc_id"]][1].encode()[x["start"] : x["start"] + x["length"]])
+        covered.setdefault(x["doc_id"], set()).update(range(x["start"], x["start"] + x["length"]))
+    assert all(set(range(50 + k, 230 + k)) <= covered[k] for k in range(12))
+    assert all(len(texts) == 1 for texts in named.values())
+    assert sum(x["doc_id"] == 0 for x in found if x["first"]) >= 2
+
+
+def test_fingerprints_beside_the_next_document(spark):
+    ship(spark)
+    docs = documents(spark, EDGE, extra=True).unionByName(
+        spark.read.parquet(f"{SF_SMALL}/documents.parquet").where("doc_id >= 20"), allowMissingColumns=True)
+    rows = [(i, t or "") for i, t in docs.select("doc_id", "text").collect()]
+    rows.sort(key=lambda r: (r[0] is None, -(r[0] or 0)))
+    want = []
+    for k, (i, t) in enumerate(rows):
+        following = rows[(k + 1) % len(rows)][1]
+        half = len(t) // 2
+        changed = t[: len(t) - half] + following[:half]
+        a, b, c = (parsing.fingerprints([x])[0] for x in (t, changed, following))
+        want.append((i or -1, len(t), sha256(changed.encode()).hexdigest(), a.hex(), b.hex(), parsing.likeness(a, b), parsing.likeness(a, c)))
+    got = [((r[0] or -1), *r[1:]) for r in parsing.beside_next(docs.repartition(5)).collect()]
+    assert sorted(got) == sorted(want)
+
+
+def test_fingerprint_of_few_rows(spark):
+    ship(spark)
+    assert parsing.beside_next(documents(spark, EDGE).limit(0)).count() == 0
+    alone = parsing.beside_next(documents(spark, [(3, "one text alone in the table")])).collect()[0]
+    assert (alone["near_next"], alone["n_chars"]) == (1.0, 27)
+    two = parsing.fingerprint(documents(spark, EDGE, extra=True)).where("doc_id in (6, 7)").collect()
+    assert two[0]["fingerprint"] == two[1]["fingerprint"] != ""
+
+
+def test_equal_substrings_share_phrases_at_any_offset():
+    text = "".join(random.Random(9).choices("abcdefgh ", k=4000))
+    a, b, c = parsing.fingerprints([text, "some words before it " + text, "".join(random.Random(8).choices("abcdefgh ", k=4000))])
+    assert parsing.likeness(a, b) > 0.9
+    assert parsing.likeness(a, c) < 0.1
+
+
+def test_coin_tossing_labels():
+    x = np.random.default_rng(1).integers(0, 40, 50_000).astype(np.uint64)
+    x = parsing.mixed(x[np.concatenate(([True], x[1:] != x[:-1]))])
+    opens = np.zeros(len(x), bool)
+    opens[0] = True
+    labels = parsing.tossed(x, opens)
+    assert labels.max() < 6
+    assert (labels[1:] != labels[:-1]).all()
+
+
+def test_held_out_accuracy(spark):
+    ship(spark)
+    docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet")
+    got = langid.identify(docs).join(docs, "doc_id").where("held_out and length(text) >= 20")
+    right, n = got.agg(F.sum((F.col("lang") == F.col("lang_pred")).cast("int")), F.count("*")).collect()[0]
+    assert n > 250
+    assert right / n >= 0.97
+
+
+def test_language_edge_rows(spark):
+    ship(spark)
+    learned = documents(spark, [(k + 100, "the water and the house of the people") for k in range(9)]).unionByName(
+        documents(spark, [(k + 200, "der Hund und die Katze mit dem Haus") for k in range(9)]).withColumn("lang", F.lit("de")))
+    got = {r["doc_id"]: r for r in langid.identify(documents(spark, EDGE, extra=True).withColumn("lang", F.lit(None).cast("string")).unionByName(learned, allowMissingColumns=True)).collect()}
+    assert [got[k]["lang_pred"] for k in (1, 2, 3, 8)] == ["und"] * 4
+    assert got[100]["lang_pred"] == "en" and got[200]["lang_pred"] == "de"
+    assert all(0 <= r["score"] <= 1 for r in got.values())
+    assert got[None]["held_out"] is False
+    nothing = langid.identify(documents(spark, EDGE).withColumn("lang", F.lit(None).cast("string"))).collect()
+    assert {r["lang_pred"] for r in nothing} == {"und"}
+    assert langid.identify(documents(spark, EDGE).limit(0)).count() == 0
+
+
+def test_language_does_not_read_label_source_or_id(spark):
+    ship(spark)
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    filters = langid.learn(docs.where(langid.fold() != 1).select("lang", "text"))
+    other = docs.select((F.col("doc_id") + 5000).alias("doc_id"), "text", F.lit("xx").alias("lang"), F.lit("other").alias("source"))
+    a = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.label(docs, filters).collect()}
+    assert a == {r["doc_id"] - 5000: (r["lang_pred"], r["score"]) for r in langid.label(other, filters).collect()}
+
+
+def test_more_than_one_mask_word():
+    grams = {f"l{k:02}": np.arange(k * 50, k * 50 + 50, dtype=np.uint64) for k in range(80)}
+    f = langid.Filters(sorted(grams), "l00", grams)
+    for k in (0, 40, 79):
+        counts = f.popcounts(grams[f"l{k:02}"])
+        assert int(np.argmax(counts)) == k and counts[k] == 50
+
+
+KEY = b"a key of the tests, 32 bytes...."
+
+PERSONAL = ("Mr. John Smith <john.smith@mail3.example.com> wrote to Maria Lopez. Mr. Smith called +1 (084) 555-3661 from 152.143.123.131; "
+            'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff", card 4111 1111 1111 1111, IBAN GB82 WEST 1234 5698 7654 32, 123-45-6789, Анна Каренина.')
+
+
+def test_surrogates_keep_type_and_format():
+    text, found = surrogates.replaced(PERSONAL, KEY)
+    by = {}
+    for start, end, kind, old, new in found:
+        assert text[start:end] == new != old
+        assert len(new) == len(old) or kind in ("first_name", "ip")
+        by.setdefault(kind, {})[old] = new
+    assert set(by) == {"first_name", "surname", "email", "phone", "ip", "secret", "card", "iban", "ssn"}
+    assert surrogates.luhn(by["card"]["4111 1111 1111 1111"])
+    assert surrogates.iban_valid(by["iban"]["GB82 WEST 1234 5698 7654 32"])
+    assert by["first_name"]["John"] in surrogates.FIRST_NAMES["latin", "m"]
+    assert by["first_name"]["Maria"] in surrogates.FIRST_NAMES["latin", "f"]
+    assert by["first_name"]["Анна"] in surrogates.FIRST_NAMES["cyrillic", "f"]
+    assert text.count(by["surname"]["Smith"]) == 2  # one person, one surrogate
+    assert by["phone"]["+1 (084) 555-3661"].startswith("+1 (")
+    assert not any(old in text for kind in ("email", "secret", "card", "ssn", "ip") for old in by[kind])
+
+
+def test_surrogates_depend_on_the_key_alone():
+    assert surrogates.replaced(PERSONAL, KEY)[0] == surrogates.replaced(PERSONAL, KEY)[0]
+    assert surrogates.replaced(PERSONAL, KEY)[0] != surrogates.replaced(PERSONAL, KEY[::-1])[0]
+
+
+@pytest.mark.parametrize(("sizes", "allowed"), [((2,), None), ((3, 5), None), ((10, 10, 10), lambda v: sum(v) % 7 == 0), ((4, 4, 4), lambda v: v[0] != 1)])
+def test_drawn_is_one_to_one_without_fixed_points(sizes, allowed):
+    import itertools
+
+    values = [list(v) for v in itertools.product(*map(range, sizes)) if allowed is None or allowed(list(v))]
+    images = [surrogates.drawn(KEY, "t", v, sizes, allowed) for v in values]
+    assert sorted(images) == values
+    assert all(a != b for a, b in zip(values, images))
+
+
+def test_upper_case_emails_are_the_same_entity():
+    low, up = (surrogates.replaced(x, KEY)[0] for x in ("write to the.72@mail3.example.com", "WRITE TO THE.72@MAIL3.EXAMPLE.COM"))
+    assert low.split()[-1].lower() == up.split()[-1].lower()
+
+
+def test_pseudonymise(spark):
+    ship(spark)
+    docs = documents(spark, [*EDGE, (10, PERSONAL), (11, PERSONAL)], extra=True)
+    got = surrogates.pseudonymise(docs, KEY)
+    assert set(got.columns) == set(docs.columns)
+    assert {r["doc_id"]: r["text"] for r in got.collect() if r["doc_id"] in (10, 11)} == {k: surrogates.replaced(PERSONAL, KEY)[0] for k in (10, 11)}
+    clean = sorted((r["doc_id"] or -1, r["text"] or "", len(r["entities"])) for r in got.collect() if r["doc_id"] not in (10, 11))
+    assert clean == sorted((i or -1, t or "", 0) for i, t in EDGE)
+    assert surrogates.collisions(docs, KEY).count() == 0
+    assert surrogates.pseudonymise(docs.limit(0), KEY).count() == 0
+    with pytest.raises(ValueError, match="key"):
+        surrogates.pseudonymise(docs, b"short")
+
+
+def test_no_collisions_in_documents(spark):
+    ship(spark)
+    docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet")
+    assert surrogates.collisions(docs, KEY).count() == 0
+    done = surrogates.pseudonymise(docs, KEY)
+    assert done.where(F.size("entities") > 0).count() > 20
+    assert done.where(F.size("entities") == 0).join(docs.withColumnRenamed("text", "old"), "doc_id").where("text <> old").count() == 0
