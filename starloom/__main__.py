@@ -8,6 +8,9 @@
     python -m starloom population --census .../tabela3175.csv --out .../structured
     python -m starloom calendar --out .../structured/tempo/dm_data [--start 2021-01-01 --end 2023-02-01]
 
+Before the job: --state-code, --state-name, --first-day and --ages restrict the
+tables (the source system's state, days and ages by default).
+
 The session comes from the environment (``spark-submit`` / cluster config).
 """
 
@@ -20,12 +23,17 @@ from pyspark.sql import SparkSession
 
 from .plans import jobs
 from .plans import vocab as V
+from .plans.star import Scope
 
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="starloom")
     ap.add_argument("--source-caps", action="store_true",
                     help="cap fact output files as the source system did (small data only)")
+    ap.add_argument("--state-code", default=V.STATE_CODE, help="letters of the state in the data")
+    ap.add_argument("--state-name", default=V.STATE_NAME, help="its name in the localities")
+    ap.add_argument("--first-day", default=V.FIRST_DOSE_DAY, help="first day of the vaccination fact")
+    ap.add_argument("--ages", default=f"{V.AGE_MIN}-{V.AGE_MAX}", help="MIN-MAX, inclusive")
     sub = ap.add_subparsers(dest="job", required=True)
     p = sub.add_parser("vaccination-ingest")
     p.add_argument("--raw", required=True)
@@ -34,7 +42,6 @@ def main(argv=None) -> None:
     p.add_argument("--prestructured", required=True)
     p.add_argument("--localities", required=True)
     p.add_argument("--out", required=True)
-    p.add_argument("--state-name", default=V.STATE_NAME)
     p = sub.add_parser("srag-ingest")
     p.add_argument("--source", action="append", required=True, help="YEAR=PATH")
     p.add_argument("--year", action="append", type=int, default=[], help="repeatable; 0 or none = every year")
@@ -56,23 +63,25 @@ def main(argv=None) -> None:
     a = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"starloom-{a.job}").getOrCreate()
+    low, high = (int(x) for x in a.ages.split("-"))
+    scope = Scope(a.state_code, a.state_name, a.first_day, low, high)
     fact_cap = V.MAX_FILES_FACT if a.source_caps else None
     if a.job == "vaccination-ingest":
         result = {"rows": jobs.ingest_vaccination(spark, a.raw, a.out)}
     elif a.job == "vaccination-tables":
-        result = jobs.build_vaccination_tables(spark, a.prestructured, a.localities, a.out, a.state_name,
+        result = jobs.build_vaccination_tables(spark, a.prestructured, a.localities, a.out, scope,
                                                max_files=fact_cap)
     elif a.job == "srag-ingest":
         sources = {int(y): path for y, path in (s.split("=", 1) for s in a.source)}
         years = [y for y in a.year if y != 0] or None
-        result = {"rows": jobs.ingest_srag(spark, sources, a.out, years, a.fill)}
+        result = {"rows": jobs.ingest_srag(spark, sources, a.out, years, a.fill, scope=scope)}
     elif a.job == "deaths":
-        result = jobs.build_deaths_fact(spark, a.prestructured, a.out, fact_cap) or {"out": a.out}
+        result = jobs.build_deaths_fact(spark, a.prestructured, a.out, fact_cap, scope) or {"out": a.out}
     elif a.job == "notifications":
-        result = jobs.build_notification_fact(spark, a.raw, a.out, fact_cap) or {"out": a.out}
+        result = jobs.build_notification_fact(spark, a.raw, a.out, fact_cap, scope=scope) or {"out": a.out}
     elif a.job == "population":
         result = jobs.build_population(spark, a.census, a.out,
-                                       V.MAX_FILES_POPULATION if a.source_caps else None)
+                                       V.MAX_FILES_POPULATION if a.source_caps else None, scope)
     else:
         result = jobs.build_calendar(spark, a.out, a.start, a.end) or {"out": a.out}
     print(json.dumps(result))

@@ -13,8 +13,11 @@ from .codes import bucketize
 
 
 def strip_year_words(c: str | Column) -> Column:
-    """Remove the words ' anos' / ' ano' from an age text ('10 anos' -> '10')."""
-    return F.regexp_replace(F.regexp_replace(col_of(c), " anos", ""), " ano", "")
+    """Remove the year words from an age text ('10 anos' -> '10')."""
+    text = col_of(c)
+    for word in vocab.YEAR_WORDS:
+        text = F.replace(text, F.lit(word), F.lit(""))
+    return text
 
 
 def age_from_text(c: str | Column) -> Column:
@@ -26,7 +29,7 @@ def age_from_text(c: str | Column) -> Column:
     ``'% m%'`` rule); other texts that are not a number ('5 a 9 anos') -> NULL.
     """
     stripped = F.trim(strip_year_words(c))
-    return F.when(stripped.like("% m%"), F.lit(0)).otherwise(to_int(stripped))
+    return F.when(stripped.like(vocab.MONTHS_PATTERN), F.lit(0)).otherwise(to_int(stripped))
 
 
 def age_text_label(c: str | Column, age: Column) -> Column:

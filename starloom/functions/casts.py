@@ -11,12 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A number as a lenient text cast accepts it: optional sign, digits with an
-# optional fraction. Exponents and thousands separators are rejected.
-_NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)$"
-_SMALL_INT = r"^[+-]?[0-9]{1,9}$"
-
-
 def col_of(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -32,16 +26,12 @@ def to_int(c: str | Column) -> Column:
 
 
 def _to_integral(c: str | Column, t: str) -> Column:
-    # Up to nine digits always fit: a plain cast, no parse failure possible.
-    # Other number-shaped text is read as a decimal, truncated, and kept when
-    # it lies in the type's range. Nothing else is cast at all, so no row
-    # pays for a failed parse.
-    text = F.trim(col_of(c).cast("string"))
-    bound = 2**31 if t == "int" else 2**63
-    dec = text.try_cast("decimal(38,10)")
-    in_range = (dec > F.lit(str(-bound - 1)).cast("decimal(38,10)")) & (dec < F.lit(str(bound)).cast("decimal(38,10)"))
-    return (F.when(text.rlike(_SMALL_INT), text.cast(t))
-            .when(text.rlike(_NUMBER) & in_range, dec.cast(t)))
+    # The input stands here once: filters and conform projections copy this
+    # expression, so whatever feeds it is not multiplied. Text is read as a
+    # decimal and truncated; both steps give NULL for what doesn't fit. An
+    # exponent is no number here, so its letter is spoilt first.
+    text = F.translate(F.trim(col_of(c).cast("string")), "eE", "xx")
+    return text.try_cast("decimal(38,10)").try_cast(t)
 
 
 def to_long(c: str | Column) -> Column:

@@ -4,12 +4,11 @@ from .align import align_columns, union_aligned
 from .conform import cast_columns, fill_sentinels
 from .dims import DimSpec, build_dim
 from .facts import FactSpec, Measure, build_fact
-from .lookup import BROADCAST_MAX_ROWS, checked_broadcast, collapse_lookup, fits_broadcast, lookup_dim
+from .lookup import collapse_lookup, lookup_dim
 from .spines import day_spine, day_spine_over, int_spine
 
 __all__ = [
-    "BROADCAST_MAX_ROWS", "DimSpec", "FactSpec", "Measure", "align_columns", "build_dim",
-    "build_fact", "cast_columns", "checked_broadcast", "collapse_lookup", "day_spine",
-    "day_spine_over", "fill_sentinels", "fits_broadcast", "int_spine", "lookup_dim",
-    "union_aligned",
+    "DimSpec", "FactSpec", "Measure", "align_columns", "build_dim", "build_fact",
+    "cast_columns", "collapse_lookup", "day_spine", "day_spine_over", "fill_sentinels",
+    "int_spine", "lookup_dim", "union_aligned",
 ]

@@ -7,10 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A broadcast side must be proven small before it is hinted. 200k rows of a
-# (code, two names, two coordinates) lookup is about 20 MB on each executor.
-BROADCAST_MAX_ROWS = 200_000
-
 
 def collapse_lookup(df: DataFrame, keys: Sequence[str], maxes: Sequence[str]) -> DataFrame:
     """One row per ``keys``: several localities of a municipality collapse to
@@ -18,22 +14,6 @@ def collapse_lookup(df: DataFrame, keys: Sequence[str], maxes: Sequence[str]) ->
     return df.groupBy(*keys).agg(*[F.max(c).alias(c) for c in maxes])
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Runs ``limit(max_rows + 1).count()``: the check stops pulling rows once
-    the bound is passed, so asking it of a large side costs little.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` if its row count is proven under ``max_rows``;
-    otherwise ``df`` unhinted, so Spark plans a shuffle join (and AQE may
-    still switch to a broadcast from runtime sizes)."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
-
 def lookup_dim(
     rows: DataFrame,
     key: str,
@@ -41,7 +21,6 @@ def lookup_dim(
     lookup_key: str,
     columns: Mapping[str, Column],
     where: Column | None = None,
-    max_rows: int | None = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Dimension from the distinct codes of ``rows`` joined to ``lookup``.
 
@@ -50,22 +29,14 @@ def lookup_dim(
     key and lookup columns: the codes are deduplicated *before* the join, so
     only one row per code (not every fact row) reaches the join. ``columns``
     may refer to ``key`` and to any lookup column; codes without a lookup
-    row are dropped (inner join). ``max_rows=None`` means the caller already
-    sized ``lookup`` (e.g. with :func:`checked_broadcast`) and it is used as is.
+    row are dropped (inner join).
 
-    Join strategy: broadcast the lookup when it is proven small; otherwise
-    broadcast the distinct codes when they are (that check computes the
-    distinct codes once more: one pruned key column, and only when the
-    lookup is over the bound); only when neither side is proven small does
-    Spark plan a shuffle join (both sides already one row per code).
+    No join hint is given and nothing is counted here: both sides are one
+    row per code, and Spark broadcasts one of them when its size (from file
+    statistics, or measured at run time by AQE) is below the session's
+    threshold.
     """
     keyed = rows.filter(where) if where is not None else rows
     codes = keyed.select(F.col(key).cast("int").alias(key)).filter(F.col(key).isNotNull()).distinct()
-    side = lookup
-    if max_rows:
-        if fits_broadcast(lookup, max_rows):
-            side = F.broadcast(lookup)
-        elif fits_broadcast(codes, max_rows):
-            codes = F.broadcast(codes)
-    joined = codes.join(side, F.col(key) == F.col(lookup_key), "inner")
+    joined = codes.join(lookup, F.col(key) == F.col(lookup_key), "inner")
     return joined.select(*[c.alias(n) for n, c in columns.items()]).distinct()

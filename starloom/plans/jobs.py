@@ -13,12 +13,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import build_fact, day_spine, int_spine, union_aligned
+from ..operators import align_columns, build_fact, day_spine, int_spine, union_aligned
 from ..sources import (
     PART_TOKEN,
+    read_by_header,
     read_delimited,
     read_layer,
     read_positional,
@@ -32,29 +33,47 @@ from . import vocab as V
 def ingest_vaccination(spark: SparkSession, raw: str | Sequence[str], out: str,
                        part_token: str = PART_TOKEN, max_records_per_file: int | None = None,
                        columns: Sequence[str] | None = None) -> int:
-    """Raw vaccination CSV files -> conformed rows, one ``parte=<token>``
-    partition per file part token. One scan over all files; only the parts
-    present in this run are replaced. Returns the rows written. ``columns``
-    (the expected header) skips header inference and checks every file's
-    header against it."""
-    rows = star.conform_vaccination(read_delimited(spark, raw, columns, part_token=part_token))
-    return write_counted(rows, out, partition_by=["parte"], max_records_per_file=max_records_per_file)
+    """Raw vaccination CSV files -> conformed rows, one
+    ``parte=<token>/arquivo=<file name>`` partition per file. Returns the
+    rows written.
+
+    A run replaces the partitions of the files it reads and no others: files
+    that share a token, in one run or in several, stand beside each other,
+    and a file delivered again replaces itself (files are known by name). A
+    file name without a token fails the run. Files may differ in the order
+    of their columns and in further columns (one scan for each header);
+    ``columns`` names the header that all files have, which saves reading
+    the headers and checks every file against it.
+    """
+    if columns is not None:
+        scan = read_delimited(spark, raw, columns, part_token=part_token, file_column="arquivo")
+    else:
+        scan = read_by_header(spark, raw, part_token=part_token, file_column="arquivo")
+    return write_counted(star.conform_vaccination(scan), out, partition_by=["parte", "arquivo"],
+                         max_records_per_file=max_records_per_file)
+
+
+def read_vaccination_layer(spark: SparkSession, prestructured: str) -> DataFrame:
+    """The layer that :func:`ingest_vaccination` writes."""
+    return read_layer(spark, prestructured, {"parte": "string", "arquivo": "string"})
 
 
 def build_vaccination_tables(spark: SparkSession, prestructured: str, localities: str, out: str,
-                             state_name: str = V.STATE_NAME, concurrent_writes: int = 4,
+                             scope: star.Scope = star.DEFAULT_SCOPE, concurrent_writes: int = 4,
                              max_files: int | None = None) -> dict[str, str]:
     """Vaccination fact + eleven dimensions from the prestructured layer.
 
-    Each table reads only the columns it uses from the Parquet layer
-    (column pruning), so twelve narrow scans cost about one wide one; the
-    layer is not cached because at scale it does not fit in memory. Up to
-    ``concurrent_writes`` tables are submitted as concurrent Spark jobs, so
-    the small dimensions fill the slots the fact's tail leaves idle.
+    The localities file is read by its own header; five of its columns are
+    used, in whatever order and beside whatever others. Each table reads
+    only the columns it uses from the Parquet layer (column pruning), so
+    twelve narrow scans cost about one wide one; the layer is not cached
+    because at scale it does not fit in memory. Up to ``concurrent_writes``
+    tables are submitted as concurrent Spark jobs, so the small dimensions
+    fill the slots the fact's tail leaves idle.
     """
-    conformed = read_layer(spark, prestructured, {"parte": "string"})
-    lookup = star.localities_lookup(read_delimited(spark, localities, star.LOCALITY_COLUMNS), state_name)
-    tables = star.vaccination_star(conformed, lookup)
+    conformed = read_vaccination_layer(spark, prestructured)
+    raw = read_delimited(spark, localities).select(*star.LOCALITY_COLUMNS)
+    tables = star.vaccination_star(conformed, star.localities_lookup(raw, scope.state_name), scope)
     paths = {name: f"{out.rstrip('/')}/{name}" for name in tables}
     with ThreadPoolExecutor(max_workers=max(1, concurrent_writes)) as pool:
         caps = {"fato_vacinas": max_files}
@@ -65,39 +84,54 @@ def build_vaccination_tables(spark: SparkSession, prestructured: str, localities
 
 
 def ingest_srag(spark: SparkSession, sources: Mapping[int, str], out: str,
-                years: Sequence[int] | None = None, fill=None) -> int:
+                years: Sequence[int] | None = None, fill=None, replace: Mapping[int, Sequence[str]] | None = None,
+                columns: Mapping[int, Sequence[str]] | None = None,
+                scope: star.Scope = star.DEFAULT_SCOPE) -> int:
     """Yearly SRAG CSV files -> state COVID-19 cases aligned to one column
-    list, written as ``ano=<year>`` partitions (dynamic overwrite: a run for
-    one year leaves the other years in place). ``years`` empty or None means
-    every source. Columns a year lacks are filled with ``fill`` (NULL by
-    default; the source system used the text '0')."""
-    chosen = {y: p for y, p in sources.items() if not years or y in years}
-    frames = [read_delimited(spark, p).filter(star.srag_case_filter()).withColumn("ano", F.lit(str(y)))
-              for y, p in sorted(chosen.items())]
-    aligned = union_aligned(frames, [*V.SRAG_COLUMNS, "ano"], fill=fill)
-    return write_counted(aligned, out, partition_by=["ano"])
-
-
-def build_deaths_fact(spark: SparkSession, prestructured: str, out: str, max_files: int | None = None) -> None:
+    list, with their conformed columns, written as ``ano=<year>`` partitions
+    (dynamic overwrite: a run for one year leaves the other years in place).
+
+    ``years`` empty or None means every source; an unknown year is an error.
+    Columns a year lacks are filled with ``fill`` (NULL by default; the
+    source system used the text '0'), and so are those that ``replace``
+    names for the year although it has them. ``columns`` (a year's header)
+    saves its inference and has every file checked against it.
+    """
+    unknown = sorted(set(years or ()) - set(sources))
+    if unknown:
+        raise ValueError(f"no source for the years {unknown}; there are {sorted(sources)}")
+    frames = []
+    for year in sorted(years or sources):
+        # the cases are chosen by the file's own columns, whatever is replaced
+        cases = read_delimited(spark, sources[year], (columns or {}).get(year)).filter(star.srag_case_filter(scope))
+        aligned = align_columns(cases, V.SRAG_COLUMNS, fill, replace=(replace or {}).get(year, ()))
+        frames.append(aligned.withColumn("ano", F.lit(str(year))))
+    return write_counted(star.conform_srag(union_aligned(frames, [*V.SRAG_COLUMNS, "ano"])), out, partition_by=["ano"])
+
+
+def build_deaths_fact(spark: SparkSession, prestructured: str, out: str, max_files: int | None = None,
+                      scope: star.Scope = star.DEFAULT_SCOPE) -> None:
     """``max_files``: optional output file cap (the source system used
-    ``vocab.MAX_FILES_FACT``); leave unset at scale."""
-    cases = star.conform_srag(read_layer(spark, prestructured, {"ano": "string"}))
-    write_parquet(build_fact(cases, star.deaths_fact_spec()), out, max_files=max_files)
+    ``vocab.MAX_FILES_FACT``); leave unset at scale. The layer stores the
+    conformed columns, so every filter reaches its scan."""
+    cases = read_layer(spark, prestructured, {"ano": "string"})
+    write_parquet(build_fact(cases, star.deaths_fact_spec(scope)), out, max_files=max_files)
 
 
 def build_notification_fact(spark: SparkSession, raw: str | Sequence[str], out: str,
-                            max_files: int | None = None, columns: Sequence[str] | None = None) -> None:
-    rows = star.conform_notification(read_delimited(spark, raw, columns))
-    write_parquet(build_fact(rows, star.notification_fact_spec()), out, max_files=max_files)
+                            max_files: int | None = None, columns: Sequence[str] | None = None,
+                            scope: star.Scope = star.DEFAULT_SCOPE) -> None:
+    rows = star.conform_notification(read_delimited(spark, raw, columns), scope)
+    write_parquet(build_fact(rows, star.notification_fact_spec(scope)), out, max_files=max_files)
 
 
 def build_population(spark: SparkSession, census: str | Sequence[str], out: str,
-                     max_files: int | None = None) -> dict[str, str]:
-    """Census export -> population fact; plus the 10-110 age dimension."""
+                     max_files: int | None = None, scope: star.Scope = star.DEFAULT_SCOPE) -> dict[str, str]:
+    """Census export -> population fact; plus the age dimension of the scope."""
     base = out.rstrip("/")
-    fact = star.population_fact(star.conform_census(read_positional(spark, census, V.CENSUS_COLUMNS)))
+    fact = star.population_fact(star.conform_census(read_positional(spark, census, V.CENSUS_COLUMNS)), scope)
     write_parquet(fact, f"{base}/fato_populacao", max_files=max_files)
-    ages = star.age_dim(int_spine(spark, V.AGE_MIN, V.AGE_MAX, "cod_idade"))
+    ages = star.age_dim(int_spine(spark, scope.age_min, scope.age_max, "cod_idade"))
     write_parquet(ages, f"{base}/dm_faixa_etaria")
     return {"fato_populacao": f"{base}/fato_populacao", "dm_faixa_etaria": f"{base}/dm_faixa_etaria"}
 

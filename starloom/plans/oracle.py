@@ -324,11 +324,19 @@ SELECT o_orderkey, o_orderstatus, o_orderstatus AS parte FROM orders
 """,
     "parquet_roundtrip": FACT_COUNT,
     "partitioned_roundtrip": """
-SELECT o_orderkey, o_orderstatus, lpad(CAST(month(o_orderdate) AS VARCHAR), 5, '0') AS parte
-FROM orders WHERE month(o_orderdate) IN (1, 2, 3)
+SELECT o_orderkey, o_orderstatus, lpad(CAST(month(o_orderdate) AS VARCHAR), 5, '0') AS parte FROM orders
 """,
     "row_count": """
 SELECT COUNT(*) AS registros FROM lineitem
+""",
+    "write_counted": """
+SELECT COUNT(*) AS gravados, COUNT(*) AS contados FROM events WHERE event_type IN ('click', 'view')
+""",
+    "yearly_fill": """
+SELECT o_orderkey, CASE WHEN o_orderdate < TIMESTAMP '1997-01-01 00:00:00' THEN o_orderstatus ELSE '0' END AS o_orderstatus,
+       CASE WHEN o_orderdate < TIMESTAMP '1997-01-01 00:00:00' THEN '0' ELSE o_orderpriority END AS o_orderpriority,
+       CAST(year(o_orderdate) AS VARCHAR) AS ano
+FROM orders
 """,
 }
 
@@ -433,6 +441,17 @@ FROM lineitem WHERE {where}
 """
 
 
+CENSUS = """
+SELECT CASE WHEN l_returnflag = 'A' THEN 'Homens' WHEN l_returnflag = 'R' THEN 'Mulheres' ELSE 'Total' END AS Sexo, l_linestatus,
+       CAST(l_suppkey + 280000 AS VARCHAR) || '1' AS Cod,
+       CASE WHEN q = 1 THEN '1 ano'
+            WHEN l_linenumber = 7 THEN CAST(q AS VARCHAR) || ' a ' || CAST(q + 4 AS VARCHAR) || ' anos'
+            WHEN q = 50 THEN '100 anos ou mais'
+            ELSE CAST(q AS VARCHAR) || ' anos' END AS Idade,
+       CASE WHEN l_linenumber = 6 THEN '-' ELSE CAST(l_linenumber AS VARCHAR) END AS Qtd
+FROM (SELECT *, CAST(trunc(l_quantity) AS INTEGER) AS q FROM lineitem)
+"""
+
 SRAG_CASES = f"""
 SELECT * FROM (
   {_srag_text(False, "l_shipdate < TIMESTAMP '1998-01-01 00:00:00'")}
@@ -469,11 +488,23 @@ SELECT COALESCE(trim(CLASSI_FIN), '0') AS cod_class_final,
 FROM (SELECT *, {INT("replace(trim(CS_RACA), '4', '6')")} AS rc FROM ({SRAG_CASES}))
 """
 
+SRAG_YEARS = SRAG_CONF.replace(SRAG_CASES, f"""
+SELECT * FROM (
+  {_srag_text(False, "year(l_shipdate) = 1995")}
+  UNION ALL BY NAME
+  {_srag_text(True, "year(l_shipdate) = 1997")})
+WHERE trim(SG_UF) = 'SE' AND trim(CLASSI_FIN) = '5'
+""")
+
 NOTIF_TEXT = """
 SELECT CASE WHEN o_orderstatus = 'F' THEN ' Confirmado ' WHEN o_orderstatus = 'O' THEN 'Descartado' END AS classificacaoFinal,
        CASE WHEN o_orderpriority = '1-URGENT' THEN 'Obito' ELSE 'Cura' END AS evolucaoCaso,
        CASE WHEN o_totalprice >= 100000 THEN 'Diabetes' END AS condicoes,
        CAST(dayofmonth(o_orderdate) * 4 AS VARCHAR) AS idade,
+       CAST(o_custkey + 2800000 AS VARCHAR) AS municipioNotificacaoIBGE, 'parda' AS racaCor,
+       CASE WHEN o_orderstatus = 'F' THEN '1' ELSE 'x' END AS codigoRecebeuVacina,
+       CASE WHEN o_orderstatus = 'F' THEN '1, 2' WHEN o_orderstatus = 'O' THEN '9,10' END AS codigoDosesVacina,
+       strftime(CAST(o_orderdate AS DATE) + 10, '%Y-%m-%d') AS dataEncerramento,
        CASE WHEN o_orderpriority = '5-LOW' THEN 'SE'
             WHEN o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'P' THEN NULL
             ELSE CAST(o_custkey + 2800000 AS VARCHAR) END AS municipioIBGE,
@@ -484,6 +515,23 @@ SELECT CASE WHEN o_orderstatus = 'F' THEN ' Confirmado ' WHEN o_orderstatus = 'O
 FROM orders
 """
 
+NOTIF_CONF = f"""
+SELECT COALESCE(sha256(classificacaoFinal), '0') AS cod_class_final, upper(trim(classificacaoFinal)) AS des_class_final,
+       COALESCE(sha256(evolucaoCaso), '0') AS cod_evolucao, upper(trim(evolucaoCaso)) AS des_evolucao,
+       COALESCE(sha256(condicoes), '0') AS cod_condicoes, upper(trim(condicoes)) AS des_condicoes,
+       COALESCE({INT("idade")}, 0) AS cod_idade,
+       COALESCE(substr(trim(municipioNotificacaoIBGE), 1, 6), '0') AS cod_municipio_estab,
+       COALESCE({INT("substr(trim(municipioIBGE), 1, 6)")}, 0) AS cod_municipio_paciente,
+       trim(estadoIBGE) AS estado, upper(trim(racaCor)) AS des_raca,
+       COALESCE(CASE WHEN sexo IS NULL THEN 'N' ELSE substr(upper(trim(sexo)), 1, 1) END, 'N') AS cod_sexo,
+       COALESCE({INT("codigoRecebeuVacina")}, 0) AS cod_vacinado,
+       COALESCE(list_max(string_split(trim(codigoDosesVacina), ',')), '0') AS cod_doses,
+       CAST(try_strptime(dataEncerramento, '%Y-%m-%d') AS DATE) AS dat_encerramento,
+       CAST(try_strptime(dataNotificacao, '%Y-%m-%d') AS DATE) AS dat_notificacao,
+       CAST(try_strptime(dataNotificacao, '%Y-%m-%d') AS DATE) AS data
+FROM ({NOTIF_TEXT}) WHERE substr(trim(municipioIBGE), 1, 6) <> 'SE'
+"""
+
 NOTIF_FACT = f"""
 SELECT cod_idade, cod_municipio_paciente, cod_sexo, data, CAST(COUNT(*) AS REAL) AS qtd_notificacao
 FROM (SELECT COALESCE({INT("idade")}, 0) AS cod_idade,
@@ -554,6 +602,17 @@ WHERE {INT("cod_evolucao")} = 2 AND cod_idade BETWEEN 10 AND 110 AND cod_sexo IN
 GROUP BY 1, 2, 3, 4
 """,
     "star_notification_fact": NOTIF_FACT,
+    "star_notification_conformed": NOTIF_CONF,
+    "srag_year_selection": f"""
+SELECT CAST(year(data) AS VARCHAR) AS ano, cod_idade, cod_doses, cod_vacinado, data FROM ({SRAG_YEARS})
+""",
+    "star_census_conformed": f"""
+SELECT 'Urbana' AS situacao_domicilio, upper(trim(Sexo)) AS desc_sexo, l_linestatus AS cor_raca,
+       {INT("substr(trim(Cod), 1, 6)")} AS cod_municipio_paciente, a AS cod_idade,
+       CASE WHEN a = 0 THEN 'Meses Idade' ELSE trim({STRIP}) END AS desc_idade, {INT("Qtd")} AS qtd
+FROM (SELECT *, CASE WHEN trim({STRIP}) LIKE '% m%' THEN 0 ELSE {INT(f"trim({STRIP})")} END AS a FROM ({CENSUS}))
+WHERE NOT (trim(Qtd) IN ('-', '', ' ')) AND trim(Idade) LIKE '%ano%'
+""",
     "stream_ingest": f"""
 SELECT document_id, cod_sistema_origem, cod_estabelecimento, cod_grupo, cod_categoria, cod_vacina, cod_paciente,
        cod_dose, cod_raca, cod_sexo, cod_idade, cod_municipio_estab, cod_municipio_paciente, data_aplicacao
@@ -561,6 +620,7 @@ FROM ({VACC_CONF})
 """,
 })
 
+ORACLE["ingest_incremental"] = ORACLE["stream_ingest"]
 ORACLE["star_vaccination_jobs"] = ORACLE["star_vaccination_fact"]
 ORACLE["star_deaths_jobs"] = ORACLE["star_deaths_fact"]
 ORACLE["star_notification_jobs"] = ORACLE["star_notification_fact"]
@@ -571,8 +631,29 @@ _TABLES = {
     "dm_vacina": "star_dm_vacina", "dm_grupo": "star_dm_grupo", "dm_categoria": "star_dm_categoria",
     "dm_raca": "star_dm_raca", "dm_regiao_estab": "star_dm_regiao_estab", "dm_regiao_paciente": "star_dm_regiao_paciente",
 }
-ORACLE["star_vaccination_tables"] = "\nUNION ALL\n".join(
-    f"SELECT '{t}' AS tabela, COUNT(*) AS linhas FROM ({ORACLE[k]})" for t, k in _TABLES.items())
+
+
+#: The columns of each table, sorted by name; numbers with a fraction as two digits.
+_TABLE_COLUMNS = {
+    "fato_vacinas": "Qtd_Vacinas_Aplicadas cod_categoria cod_dose cod_estabelecimento cod_grupo cod_idade cod_municipio_estab "
+                    "cod_municipio_paciente cod_paciente cod_raca cod_sexo cod_sistema_origem cod_vacina data",
+    "dm_sistemas": "cod_sistema_origem sistema_origem", "dm_doses": "cod_dose desc_dose", "dm_sexo": "cod_sexo des_sexo",
+    "dm_paciente": "cep cod_paciente data_nascimento", "dm_estabelecimento": "cod_estabelecimento nome_fantasia razao_social",
+    "dm_vacina": "cod_vacina nome_fabricante nome_vacina", "dm_grupo": "cod_grupo desc_grupo",
+    "dm_categoria": "cod_categoria desc_categoria", "dm_raca": "cod_raca desc_raca",
+    "dm_regiao_estab": "cod_municipio_estab desc_municipio_estab desc_uf_estab latitude longitude",
+    "dm_regiao_paciente": "cod_municipio_paciente desc_municipio desc_pais desc_uf latitude longitude",
+}
+
+
+def _digest(t: str, sql: str) -> str:
+    text = [f"CAST({c} AS DECIMAL(12,2))" if c in ("latitude", "longitude") else c for c in _TABLE_COLUMNS[t].split()]
+    row = "concat_ws('|', " + ", ".join(f"COALESCE(CAST({c} AS VARCHAR), '~')" for c in text) + ")"
+    return (f"SELECT '{t}' AS tabela, COUNT(*) AS linhas, "
+            f"CAST(SUM(CAST('0x' || substr(md5({row}), 1, 8) AS BIGINT)) AS BIGINT) AS conteudo FROM ({sql})")
+
+
+ORACLE["star_vaccination_tables"] = "\nUNION ALL\n".join(_digest(t, ORACLE[k]) for t, k in _TABLES.items())
 
 ORACLE["sql_projection"] = f"""
 SELECT *, CASE WHEN cod_idade < 60 THEN 'adulto' ELSE 'idoso' END AS faixa FROM ({FACT_COUNT})

@@ -15,41 +15,37 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from .. import functions as X
 from ..operators import (
     DimSpec,
     FactSpec,
     Measure,
+    align_columns,
     build_dim,
     build_fact,
     day_spine_over,
     fill_sentinels,
     union_aligned,
 )
-from ..sources import read_delimited, read_layer, read_positional, scratch_path, write_parquet
-from ..sources.partitions import partition_count, task_slots
+from ..sources import (
+    read_by_header,
+    read_delimited,
+    read_layer,
+    read_positional,
+    scratch_path,
+    write_counted,
+    write_parquet,
+)
 from ..streaming.ingest import ingest_new_files
-from .jobs import build_vaccination_tables, ingest_srag, ingest_vaccination
+from .jobs import build_vaccination_tables, ingest_srag, ingest_vaccination, read_vaccination_layer
 from . import star
 from . import vocab as V
 
 
-_SCHEMAS: dict[str, StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan of one driver table. Its schema is inferred on the first read
-    and passed explicitly afterwards, which skips the footer-reading job
-    Spark runs to infer a Parquet schema (the tables are read-only)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    known = _SCHEMAS.get(path)
-    if known is not None:
-        return spark.read.schema(known).parquet(path)
-    df = spark.read.parquet(path)
-    _SCHEMAS[path] = df.schema
-    return df
+    """Scan of one driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _ts(day: str) -> Column:
@@ -108,27 +104,35 @@ def fact_sum_shifted(spark, d):
 
 # --------------------------------------------------------------- lookups ---
 
-def _localities_text(spark, d) -> DataFrame:
+def _localities_text(spark, d, code: Column, municipality: str) -> DataFrame:
     """Supplier rows written as a localities extract: padded 7-digit code,
-    municipality and state names, coordinates with a decimal comma. (Nation
-    and region are plain scans of small files: the planner broadcasts them
-    from their file-size statistics.)"""
+    municipality and state names, coordinates with a decimal comma."""
     nation = table(spark, d, "nation")
     region = table(spark, d, "region")
     sup = table(spark, d, "supplier")
     comma = lambda c: F.regexp_replace(F.format_string("%.2f", c), r"\.", ",")
     return (sup.join(nation, sup.s_nationkey == nation.n_nationkey)
             .join(region, nation.n_regionkey == region.r_regionkey)
-            .select(F.concat(F.lpad(F.col("s_nationkey").cast("string"), 6, "0"), F.lit("1")).alias("CD_GEOCODDS"),
-                    F.col("n_name").alias("NM_MUNICIPIO"),
+            .select(F.concat(code, F.lit("1")).alias("CD_GEOCODDS"),
+                    F.col(municipality).alias("NM_MUNICIPIO"),
                     F.concat(F.lit(" "), F.col("r_name")).alias("NM_UF"),
                     comma(F.col("s_acctbal")).alias("LAT"),
                     comma(-F.col("s_acctbal")).alias("LONG")))
 
 
+def _nation_localities(spark, d) -> DataFrame:
+    """Suppliers as localities of their nation (several to a municipality)."""
+    return _localities_text(spark, d, F.lpad(F.col("s_nationkey").cast("string"), 6, "0"), "n_name")
+
+
+def _supplier_localities(spark, d) -> DataFrame:
+    """Suppliers as municipalities: code 280000 + key."""
+    return _localities_text(spark, d, (F.col("s_suppkey") + 280000).cast("string"), "s_name")
+
+
 def lookup_max_coords(spark, d):
     """Localities collapsed to one row per municipality (max coordinates)."""
-    return star.localities_lookup(_localities_text(spark, d), state_name=None)
+    return star.localities_lookup(_nation_localities(spark, d), state_name=None)
 
 
 def _customer_rows(spark, d) -> DataFrame:
@@ -145,13 +149,13 @@ def _customer_rows(spark, d) -> DataFrame:
 
 def dim_geo_join(spark, d):
     """Establishment region dimension: distinct codes joined to the lookup."""
-    lookup = star.localities_lookup(_localities_text(spark, d), state_name="AFRICA")
+    lookup = star.localities_lookup(_nation_localities(spark, d), state_name="AFRICA")
     return star.establishment_region_dim(_customer_rows(spark, d), lookup)
 
 
 def dim_geo_join_country(spark, d):
     """Patient region dimension (adds the country column)."""
-    lookup = star.localities_lookup(_localities_text(spark, d), state_name="AFRICA")
+    lookup = star.localities_lookup(_nation_localities(spark, d), state_name="AFRICA")
     return star.patient_region_dim(_customer_rows(spark, d), lookup)
 
 
@@ -426,16 +430,26 @@ def sql_projection(spark, d):
     return fact.withColumn("faixa", F.expr("CASE WHEN cod_idade < 60 THEN 'adulto' ELSE 'idoso' END"))
 
 
-def yearly_align(spark, d, years=None):
+YEAR_COLUMNS = ["o_orderkey", "o_orderstatus", "o_orderpriority", "ano"]
+
+
+def yearly_align(spark, d):
     """Yearly extracts whose columns drift (years before 1997 lack the
-    priority column) aligned to one list and unioned by name. ``years``
-    selects sources (None = every year); the registered query reads all."""
+    priority column) aligned to one list and unioned by name."""
     orders = table(spark, d, "orders").withColumn("ano", F.year("o_orderdate").cast("string"))
-    canonical = ["o_orderkey", "o_orderstatus", "o_orderpriority", "ano"]
     early = orders.filter(F.col("o_orderdate") < _ts("1997-01-01")).select("o_orderkey", "o_orderstatus", "ano")
-    late = orders.filter(F.col("o_orderdate") >= _ts("1997-01-01")).select(*canonical)
-    out = union_aligned([early, late], canonical)
-    return out.filter(F.col("ano").isin(*[str(y) for y in years])) if years else out
+    late = orders.filter(F.col("o_orderdate") >= _ts("1997-01-01")).select(*YEAR_COLUMNS)
+    return union_aligned([early, late], YEAR_COLUMNS)
+
+
+def yearly_fill(spark, d):
+    """Alignment with a value for absent columns, which also replaces a
+    column that one extract has (P5, X22)."""
+    orders = table(spark, d, "orders").withColumn("ano", F.year("o_orderdate").cast("string"))
+    early = orders.filter(F.col("o_orderdate") < _ts("1997-01-01")).select("o_orderkey", "o_orderstatus", "ano")
+    late = orders.filter(F.col("o_orderdate") >= _ts("1997-01-01")).select(*YEAR_COLUMNS)
+    return union_aligned([align_columns(early, YEAR_COLUMNS, "0"),
+                          align_columns(late, YEAR_COLUMNS, "0", replace=["o_orderstatus"])], YEAR_COLUMNS)
 
 
 # -------------------------------------------------------- sources / sinks --
@@ -461,7 +475,7 @@ def csv_glob_scan(spark, d):
 
 
 def _census_lines(spark, d) -> DataFrame:
-    li = _spread(table(spark, d, "lineitem"))
+    li = table(spark, d, "lineitem")
     flag, qty = F.col("l_returnflag"), F.col("l_quantity").cast("int")
     sexo = F.when(flag == "A", F.lit("Homens")).when(flag == "R", F.lit("Mulheres")).otherwise(F.lit("Total"))
     idade = (F.when(qty == 1, F.lit("1 ano"))
@@ -490,14 +504,17 @@ def csv_preamble_scan(spark, d):
 
 
 def csv_part_token(spark, d):
-    """Files whose path carries a part token; one scan adds it as a column."""
+    """Files whose path carries a part token and whose columns come in two
+    orders, one with a further column; read by header, the token a column."""
     path = scratch_path(spark, "csv_parts")
-    o = table(spark, d, "orders").select(
-        "o_orderkey", "o_orderstatus",
-        F.concat(F.lit("vacinacao-"), F.col("o_orderstatus"), F.lit("-2021")).alias("lote"))
-    o.write.option("header", True).option("sep", ";").partitionBy("lote").csv(path)
-    raw = read_delimited(spark, f"{path}/*/*.csv", part_token=r"vacinacao-([^-/]+)-",
-                         token_source="file_path")
+    o = table(spark, d, "orders").withColumn(
+        "lote", F.concat(F.lit("vacinacao-"), F.col("o_orderstatus"), F.lit("-2021")))
+    first = F.col("o_orderstatus") == "F"
+    writer = lambda df: df.write.mode("append").option("header", True).option("sep", ";").partitionBy("lote")
+    writer(o.filter(first).select("o_orderkey", "o_orderstatus", "lote")).csv(path)
+    writer(o.filter(~first).select("o_orderstatus", "o_custkey", "o_orderkey", "lote")).csv(path)
+    raw = read_by_header(spark, f"{path}/*/*.csv", ["o_orderkey", "o_orderstatus"],
+                         part_token=r"vacinacao-([^-/]+)-", token_source="file_path")
     return raw.select(X.to_long("o_orderkey").alias("o_orderkey"), "o_orderstatus", "parte")
 
 
@@ -512,16 +529,24 @@ def parquet_roundtrip(spark, d):
 
 def partitioned_roundtrip(spark, d):
     """Orders partitioned by a zero-padded part token with dynamic overwrite;
-    one partition is rewritten, then the layer is read with the token kept as
-    text and pruned to three parts."""
+    one partition is rewritten, then the whole layer is read with the token
+    kept as text."""
     path = scratch_path(spark, "partitioned")
     o = table(spark, d, "orders").select(
         "o_orderkey", "o_orderstatus",
         F.lpad(F.month("o_orderdate").cast("string"), 5, "0").alias("parte"))
     write_parquet(o, path, partition_by=["parte"])
     write_parquet(o.filter(F.col("parte") == "00002"), path, partition_by=["parte"])
-    layer = read_layer(spark, path, {"parte": "string"})
-    return layer.filter(F.col("parte").isin("00001", "00002", "00003"))
+    return read_layer(spark, path, {"parte": "string"})
+
+
+def write_counted_rows(spark, d):
+    """The row count that a counted write observed, beside the count of what
+    it wrote (K5)."""
+    path = scratch_path(spark, "counted")
+    events = table(spark, d, "events").filter(F.col("event_type").isin("click", "view"))
+    seen = write_counted(events, path)
+    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("gravados")).withColumn("contados", F.lit(seen).cast("bigint"))
 
 
 def row_count(spark, d):
@@ -537,25 +562,12 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Spread an under-partitioned scan over the session's task slots.
-
-    The driver's tables are single-file, single-row-group Parquet, so their
-    scan is one task and the per-row conform work after it would run on one
-    core. When the scan has fewer partitions than the default parallelism a
-    round-robin repartition spreads it; on real inputs (many files and row
-    groups) the condition is false and no shuffle is added.
-    """
-    slots, parts = task_slots(df), partition_count(df)
-    return df.repartition(slots) if slots and parts is not None and parts < slots else df
-
-
 def _null() -> Column:
     return F.lit(None).cast("string")
 
 
 def _vaccination_text(spark, d) -> DataFrame:
-    li = _spread(table(spark, d, "lineitem"))
+    li = table(spark, d, "lineitem")
     ln, rf, ls = F.col("l_linenumber"), F.col("l_returnflag"), F.col("l_linestatus")
     qty = F.col("l_quantity").cast("int")
     muni = _s(F.col("l_suppkey") + 280000)
@@ -611,21 +623,6 @@ def _star_dim(name: str):
     return query
 
 
-def _supplier_localities(spark, d) -> DataFrame:
-    """Suppliers as localities: code 280000 + key (plus a check digit)."""
-    nation = table(spark, d, "nation")
-    region = table(spark, d, "region")
-    sup = table(spark, d, "supplier")
-    comma = lambda c: F.regexp_replace(F.format_string("%.2f", c), r"\.", ",")
-    return (sup.join(nation, sup.s_nationkey == nation.n_nationkey)
-            .join(region, nation.n_regionkey == region.r_regionkey)
-            .select(F.concat(_s(F.col("s_suppkey") + 280000), F.lit("1")).alias("CD_GEOCODDS"),
-                    F.col("s_name").alias("NM_MUNICIPIO"),
-                    F.concat(F.lit(" "), F.col("r_name")).alias("NM_UF"),
-                    comma(F.col("s_acctbal")).alias("LAT"),
-                    comma(-F.col("s_acctbal")).alias("LONG")))
-
-
 def star_dm_regiao_estab(spark, d):
     """Establishment region dimension through the real spec."""
     lookup = star.localities_lookup(_supplier_localities(spark, d), state_name="AMERICA")
@@ -674,7 +671,7 @@ def _srag_text(li: DataFrame, with_vaccine: bool) -> DataFrame:
 def _srag_cases(spark, d) -> DataFrame:
     """Two yearly extracts (the early one lacks the vaccine columns), each
     filtered to the state's COVID-19 cases, aligned and unioned."""
-    li = _spread(table(spark, d, "lineitem"))
+    li = table(spark, d, "lineitem")
     early = _srag_text(li.filter(F.col("l_shipdate") < _ts(_LATE)), with_vaccine=False)
     late = _srag_text(li.filter(F.col("l_shipdate") >= _ts(_LATE)), with_vaccine=True)
     frames = [f.filter(star.srag_case_filter()) for f in (early, late)]
@@ -683,7 +680,7 @@ def _srag_cases(spark, d) -> DataFrame:
 
 def star_srag_conformed(spark, d):
     """All sixteen conformed SRAG columns (race swap, flags, first dose...)."""
-    return star.conform_srag(_srag_cases(spark, d))
+    return star.conform_srag(_srag_cases(spark, d)).drop(*V.SRAG_COLUMNS, "cod_evolucao_num")
 
 
 def star_deaths_fact(spark, d):
@@ -719,6 +716,18 @@ def star_notification_fact(spark, d):
     return build_fact(star.conform_notification(_notification_text(spark, d)), star.notification_fact_spec())
 
 
+def star_notification_conformed(spark, d):
+    """All seventeen conformed notification columns."""
+    return star.conform_notification(_notification_text(spark, d))
+
+
+def star_census_conformed(spark, d):
+    """All conformed census columns, read by position from the export."""
+    path = scratch_path(spark, "census")
+    _census_lines(spark, d).write.text(path)
+    return star.conform_census(read_positional(spark, path, V.CENSUS_COLUMNS))
+
+
 def _write_raw_csv(df: DataFrame, path: str) -> None:
     """Write text rows as raw ';' CSV extracts, blanks kept as they are."""
     (df.write.option("header", True).option("sep", ";").option("ignoreLeadingWhiteSpace", False)
@@ -734,21 +743,45 @@ def star_vaccination_jobs(spark, d):
     text = _vaccination_text(spark, d)
     _write_raw_csv(text, raw)
     ingest_vaccination(spark, f"{raw}/*.csv", layer, columns=text.columns)
-    return build_fact(read_layer(spark, layer, {"parte": "string"}), star.vaccination_fact_spec())
+    return build_fact(read_vaccination_layer(spark, layer), star.vaccination_fact_spec())
+
+
+def ingest_incremental(spark, d):
+    """Two runs of the vaccination ingest into one layer, with files of one
+    part token in both runs; the layer then holds all rows."""
+    layer = scratch_path(spark, "incremental_layer")
+    text = _vaccination_text(spark, d)
+    for half in (F.col("vacina_categoria_codigo") == "2", F.col("vacina_categoria_codigo") != "2"):
+        raw = scratch_path(spark, "incremental_raw")
+        _write_raw_csv(text.filter(half), raw)
+        ingest_vaccination(spark, f"{raw}/*.csv", layer, columns=text.columns, part_token="^([a-z]+)-")
+    return read_vaccination_layer(spark, layer).select(*STREAM_COLUMNS)
 
 
 def star_deaths_jobs(spark, d):
     """SRAG jobs as run in production: one raw CSV extract per year (the
     early one lacks the vaccine columns) -> ``ingest_srag`` (filter, align,
     ``ano`` partitions) -> deaths fact from the written layer."""
-    li = _spread(table(spark, d, "lineitem"))
+    li = table(spark, d, "lineitem")
     early, late = scratch_path(spark, "srag_early"), scratch_path(spark, "srag_late")
     _write_raw_csv(_srag_text(li.filter(F.col("l_shipdate") < _ts(_LATE)), with_vaccine=False), early)
     _write_raw_csv(_srag_text(li.filter(F.col("l_shipdate") >= _ts(_LATE)), with_vaccine=True), late)
     layer = scratch_path(spark, "srag_layer")
     ingest_srag(spark, {1997: f"{early}/*.csv", 1998: f"{late}/*.csv"}, layer)
-    cases = star.conform_srag(read_layer(spark, layer, {"ano": "string"}))
-    return build_fact(cases, star.deaths_fact_spec())
+    return build_fact(read_layer(spark, layer, {"ano": "string"}), star.deaths_fact_spec())
+
+
+def srag_year_selection(spark, d):
+    """Two of three yearly extracts chosen for the ingest (S10): rows of the
+    layer per year."""
+    li = table(spark, d, "lineitem")
+    sources = {}
+    for year in (1995, 1996, 1997):
+        sources[year] = scratch_path(spark, f"srag_{year}")
+        _write_raw_csv(_srag_text(li.filter(F.year("l_shipdate") == year), with_vaccine=year > 1995), sources[year])
+    layer = scratch_path(spark, "srag_years")
+    ingest_srag(spark, {y: f"{p}/*.csv" for y, p in sources.items()}, layer, years=[1995, 1997])
+    return read_layer(spark, layer, {"ano": "string"}).select("ano", "cod_idade", "cod_doses", "cod_vacinado", "data")
 
 
 def star_notification_jobs(spark, d):
@@ -763,18 +796,28 @@ def star_notification_jobs(spark, d):
 
 def star_vaccination_tables(spark, d):
     """The whole vaccination table job (fact + 11 dimensions, concurrent
-    writes) from a written layer and a localities CSV; returns the row count
-    of every table written."""
+    writes) from a written layer and a localities CSV with further columns in
+    another order; returns the row count and a content digest of every table
+    written."""
     raw, layer, loc = (scratch_path(spark, n) for n in ("tables_raw", "tables_layer", "tables_loc"))
     out = scratch_path(spark, "tables_out")
     text = _vaccination_text(spark, d)
     _write_raw_csv(text, raw)
-    _write_raw_csv(_supplier_localities(spark, d), loc)
+    wide = _supplier_localities(spark, d).withColumns({"ID": F.col("CD_GEOCODDS"), "TIPO": F.lit("URBANO")})
+    _write_raw_csv(wide.select("TIPO", "LONG", "NM_UF", "LAT", "ID", "CD_GEOCODDS", "NM_MUNICIPIO"), loc)
     ingest_vaccination(spark, f"{raw}/*.csv", layer, columns=text.columns)
-    paths = build_vaccination_tables(spark, layer, f"{loc}/*.csv", out, state_name="AMERICA")
-    counts = [spark.read.parquet(p).agg(F.count(F.lit(1)).alias("linhas")).withColumn("tabela", F.lit(n))
-              for n, p in paths.items()]
-    return union_aligned(counts, ["tabela", "linhas"])
+    paths = build_vaccination_tables(spark, layer, f"{loc}/*.csv", out, star.Scope(state_name="AMERICA"))
+    counts = [_digest(spark.read.parquet(p)).withColumn("tabela", F.lit(n)) for n, p in paths.items()]
+    return union_aligned(counts, ["tabela", "linhas", "conteudo"])
+
+
+def _digest(df: DataFrame) -> DataFrame:
+    """Row count and an order-free digest of all columns: each row's values
+    as text, in the order of the column names, hashed, the hashes summed."""
+    text = [F.col(c).cast("decimal(12,2)") if t in ("float", "double") else F.col(c) for c, t in sorted(df.dtypes)]
+    row = F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("~")) for c in text])
+    value = F.conv(F.substring(F.md5(row.cast("binary")), 1, 8), 16, 10).cast("bigint")
+    return df.agg(F.count(F.lit(1)).alias("linhas"), F.sum(value).alias("conteudo"))
 
 
 STREAM_COLUMNS = ["document_id", *star.VACCINATION_KEYS]
@@ -785,8 +828,7 @@ def stream_ingest(spark, d):
     incremental stream ingest (availableNow, exactly-once file sink)."""
     src, out = scratch_path(spark, "stream_src"), scratch_path(spark, "stream_out")
     text = _vaccination_text(spark, d)
-    (text.write.option("header", True).option("sep", ";").option("ignoreLeadingWhiteSpace", False)
-     .option("ignoreTrailingWhiteSpace", False).csv(src))
+    _write_raw_csv(text, src)
     ingest_new_files(spark, src, text.columns, star.conform_vaccination, out, partition_by=(),
                      part_token=None, checkpoint=scratch_path(spark, "stream_ckpt"))
     return spark.read.parquet(out).select(*STREAM_COLUMNS)
@@ -824,6 +866,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "project_select": project_select,
     "sql_projection": sql_projection,
     "yearly_align": yearly_align,
+    "yearly_fill": yearly_fill,
+    "srag_year_selection": srag_year_selection,
     "csv_scan": csv_scan,
     "csv_glob_scan": csv_glob_scan,
     "csv_preamble_scan": csv_preamble_scan,
@@ -831,6 +875,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parquet_roundtrip": parquet_roundtrip,
     "partitioned_roundtrip": partitioned_roundtrip,
     "row_count": row_count,
+    "write_counted": write_counted_rows,
     "star_vaccination_fact": star_vaccination_fact,
     **{f"star_{n}": _star_dim(n) for n in (
         "dm_sistemas", "dm_doses", "dm_sexo", "dm_paciente", "dm_estabelecimento", "dm_vacina",
@@ -840,7 +885,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "star_srag_conformed": star_srag_conformed,
     "star_deaths_fact": star_deaths_fact,
     "star_notification_fact": star_notification_fact,
+    "star_notification_conformed": star_notification_conformed,
+    "star_census_conformed": star_census_conformed,
     "stream_ingest": stream_ingest,
+    "ingest_incremental": ingest_incremental,
     "star_vaccination_jobs": star_vaccination_jobs,
     "star_deaths_jobs": star_deaths_jobs,
     "star_notification_jobs": star_notification_jobs,

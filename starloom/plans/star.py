@@ -8,18 +8,18 @@ generic builders in :mod:`starloom.operators`.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as X
 from ..operators import (
-    BROADCAST_MAX_ROWS,
     DimSpec,
     FactSpec,
     Measure,
     build_dim,
     build_fact,
-    checked_broadcast,
     collapse_lookup,
     fill_sentinels,
     lookup_dim,
@@ -27,6 +27,22 @@ from ..operators import (
 from . import vocab as V
 
 
+@dataclass(frozen=True)
+class Scope:
+    """What the tables are restricted to: a state (its letters in the data,
+    its name in the localities; None keeps every state's localities), the
+    first day and the ages."""
+
+    state_code: str = V.STATE_CODE
+    state_name: str | None = V.STATE_NAME
+    first_day: str = V.FIRST_DOSE_DAY
+    age_min: int = V.AGE_MIN
+    age_max: int = V.AGE_MAX
+
+
+DEFAULT_SCOPE = Scope()
+
+
 def _in(c: str, *values) -> Column:
     return F.col(c).isin(*values)
 
@@ -73,16 +89,16 @@ VACCINATION_KEYS = (
 )
 
 
-def vaccination_fact_spec() -> FactSpec:
+def vaccination_fact_spec(scope: Scope = DEFAULT_SCOPE) -> FactSpec:
     """Distinct vaccination documents per 13 keys, restricted to residents of
     the state, defined sex, ages 10-110, known dose, and days from the first
     dose given in the state. (All 13 selected keys are grouped.)"""
     return FactSpec(
         keys=VACCINATION_KEYS,
         measure=Measure("count_distinct", "Qtd_Vacinas_Aplicadas", "document_id"),
-        where=((F.col("paciente_endereco_uf") == V.STATE_CODE) & _in("cod_sexo", "F", "M")
-               & _between("cod_idade", V.AGE_MIN, V.AGE_MAX) & (F.col("cod_dose") != V.NO_CODE)
-               & (F.col("data_aplicacao") >= F.lit(V.FIRST_DOSE_DAY).cast("date"))),
+        where=((F.col("paciente_endereco_uf") == scope.state_code) & _in("cod_sexo", "F", "M")
+               & _between("cod_idade", scope.age_min, scope.age_max) & (F.col("cod_dose") != V.NO_CODE)
+               & (F.col("data_aplicacao") >= F.lit(scope.first_day).cast("date"))),
         rename={"data_aplicacao": "data"},
     )
 
@@ -146,8 +162,7 @@ def localities_lookup(raw: DataFrame, state_name: str | None = V.STATE_NAME) ->
 
 
 def establishment_region_dim(rows: DataFrame, lookup: DataFrame, uf_column: str = "estabelecimento_uf",
-                             key: str = "cod_municipio_estab",
-                             max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
+                             key: str = "cod_municipio_estab", scope: Scope = DEFAULT_SCOPE) -> DataFrame:
     zero = F.col(key) == 0
     return lookup_dim(
         rows, key, lookup, "cod_municipio",
@@ -158,14 +173,12 @@ def establishment_region_dim(rows: DataFrame, lookup: DataFrame, uf_column: str
             "latitude": F.col("latitude"),
             "longitude": F.col("longitude"),
         },
-        where=F.col(uf_column).isin(V.STATE_CODE, V.NO_STATE),
-        max_rows=max_rows,
+        where=F.col(uf_column).isin(scope.state_code, V.NO_STATE),
     )
 
 
 def patient_region_dim(rows: DataFrame, lookup: DataFrame, uf_column: str = "paciente_endereco_uf",
-                       key: str = "cod_municipio_paciente",
-                       max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
+                       key: str = "cod_municipio_paciente", scope: Scope = DEFAULT_SCOPE) -> DataFrame:
     zero = F.col(key) == 0
     return lookup_dim(
         rows, key, lookup, "cod_municipio",
@@ -177,19 +190,17 @@ def patient_region_dim(rows: DataFrame, lookup: DataFrame, uf_column: str = "pac
             "latitude": F.col("latitude"),
             "longitude": F.col("longitude"),
         },
-        where=F.col(uf_column).isin(V.STATE_CODE, V.NO_STATE),
-        max_rows=max_rows,
+        where=F.col(uf_column).isin(scope.state_code, V.NO_STATE),
     )
 
 
-def vaccination_star(conformed: DataFrame, lookup: DataFrame) -> dict[str, DataFrame]:
+def vaccination_star(conformed: DataFrame, lookup: DataFrame, scope: Scope = DEFAULT_SCOPE) -> dict[str, DataFrame]:
     """All twelve vaccination tables from one conformed input (lazy)."""
-    out = {"fato_vacinas": build_fact(conformed, vaccination_fact_spec())}
+    out = {"fato_vacinas": build_fact(conformed, vaccination_fact_spec(scope))}
     for name, spec in vaccination_dim_specs().items():
         out[name] = build_dim(conformed, spec)
-    sized = checked_broadcast(lookup)  # one size check for both region dimensions
-    out["dm_regiao_estab"] = establishment_region_dim(conformed, sized, max_rows=None)
-    out["dm_regiao_paciente"] = patient_region_dim(conformed, sized, max_rows=None)
+    out["dm_regiao_estab"] = establishment_region_dim(conformed, lookup, scope=scope)
+    out["dm_regiao_paciente"] = patient_region_dim(conformed, lookup, scope=scope)
     return out
 
 
@@ -197,9 +208,9 @@ def vaccination_star(conformed: DataFrame, lookup: DataFrame) -> dict[str, DataF
 # SRAG hospital cases: yearly rows -> conformed rows -> deaths fact
 # ---------------------------------------------------------------------------
 
-def srag_case_filter() -> Column:
+def srag_case_filter(scope: Scope = DEFAULT_SCOPE) -> Column:
     """Rows of the state with a COVID-19 final classification."""
-    return ((F.trim(F.col("SG_UF")) == V.STATE_CODE)
+    return ((F.trim(F.col("SG_UF")) == scope.state_code)
             & (F.trim(F.col("CLASSI_FIN")) == V.SRAG_FINAL_CLASS))
 
 
@@ -208,36 +219,43 @@ def _int_or_zero_text(c: str) -> Column:
     return X.to_int(F.coalesce(X.clean(c), F.lit(V.NO_CODE)))
 
 
-def conform_srag(aligned: DataFrame) -> DataFrame:
+def _srag_columns() -> dict[str, Column]:
     notified = X.to_date("DT_NOTIFIC", "dd/MM/yyyy")
-    df = aligned.select(
-        X.clean("CLASSI_FIN").alias("cod_class_final"),
-        X.clean("EVOLUCAO").alias("cod_evolucao"),
-        X.letter_flag("FATOR_RISC").alias("cod_risco"),
-        _int_or_zero_text("NU_IDADE_N").alias("cod_idade"),
-        _int_or_zero_text("CO_MUN_NOT").alias("cod_municipio_estab"),
-        _int_or_zero_text("CO_MUN_RES").alias("cod_municipio_paciente"),
-        X.clean("SG_UF").alias("cod_uf_paciente"),
-        X.swapped_race_code("CS_RACA").alias("cod_raca"),
-        X.sex_code("CS_SEXO", first_letter=False).alias("cod_sexo"),
-        X.to_int("HOSPITAL").alias("cod_internacao"),
-        X.to_int("UTI").alias("cod_uti"),
-        X.to_int("VACINA_COV").alias("cod_vacinado"),
-        X.first_present(V.DOSE_PRECEDENCE, V.NO_DOSE).alias("cod_doses"),
-        X.to_date("DT_DIGITA", "dd/MM/yyyy").alias("dat_encerramento"),
-        notified.alias("dat_notificacao"),
-        notified.alias("data"),
-    )
-    return fill_sentinels(df, V.SRAG_SENTINELS)
+    return {
+        "cod_class_final": X.clean("CLASSI_FIN"),
+        "cod_evolucao": X.clean("EVOLUCAO"),
+        "cod_risco": X.letter_flag("FATOR_RISC"),
+        "cod_idade": _int_or_zero_text("NU_IDADE_N"),
+        "cod_municipio_estab": _int_or_zero_text("CO_MUN_NOT"),
+        "cod_municipio_paciente": _int_or_zero_text("CO_MUN_RES"),
+        "cod_uf_paciente": X.clean("SG_UF"),
+        "cod_raca": X.swapped_race_code("CS_RACA"),
+        "cod_sexo": X.sex_code("CS_SEXO", first_letter=False),
+        "cod_internacao": X.to_int("HOSPITAL"),
+        "cod_uti": X.to_int("UTI"),
+        "cod_vacinado": X.to_int("VACINA_COV"),
+        "cod_doses": X.first_present(V.DOSE_PRECEDENCE, V.NO_DOSE),
+        "dat_encerramento": X.to_date("DT_DIGITA", "dd/MM/yyyy"),
+        "dat_notificacao": notified,
+        "data": notified,
+    }
+
+
+def conform_srag(aligned: DataFrame) -> DataFrame:
+    """Aligned SRAG rows with the sixteen conformed columns beside the raw
+    ones, and the outcome as a number (``cod_evolucao_num``, NULL where it is
+    none), which the deaths fact filters on."""
+    out = fill_sentinels(aligned.withColumns(_srag_columns()), V.SRAG_SENTINELS)
+    return out.withColumn("cod_evolucao_num", X.to_int("cod_evolucao"))
 
 
-def deaths_fact_spec() -> FactSpec:
+def deaths_fact_spec(scope: Scope = DEFAULT_SCOPE) -> FactSpec:
     return FactSpec(
         keys=("cod_idade", "cod_municipio_paciente", "cod_sexo", "data"),
         measure=Measure("count", "qtd_obito", cast="float"),
-        where=((X.to_int("cod_evolucao") == V.DEATH_OUTCOME)
-               & _between("cod_idade", V.AGE_MIN, V.AGE_MAX) & _in("cod_sexo", "F", "M")
-               & (F.col("cod_uf_paciente") == V.STATE_CODE)),
+        where=((F.col("cod_evolucao_num") == V.DEATH_OUTCOME)
+               & _between("cod_idade", scope.age_min, scope.age_max) & _in("cod_sexo", "F", "M")
+               & (F.col("cod_uf_paciente") == scope.state_code)),
     )
 
 
@@ -245,13 +263,13 @@ def deaths_fact_spec() -> FactSpec:
 # Case notifications: raw rows -> conformed rows -> notification fact
 # ---------------------------------------------------------------------------
 
-def conform_notification(raw: DataFrame) -> DataFrame:
+def conform_notification(raw: DataFrame, scope: Scope = DEFAULT_SCOPE) -> DataFrame:
     """Notification rows of all states with their keys. Rows whose patient
     municipality reads as the state letters are dropped (NULL as well:
     ``<>`` rejects NULL)."""
     patient_muni = F.substring(X.clean("municipioIBGE"), 1, 6)
     notified = X.to_date("dataNotificacao")
-    df = raw.filter(patient_muni != V.STATE_CODE)
+    df = raw.filter(patient_muni != scope.state_code)
     out = df.select(
         X.hash_key("classificacaoFinal").alias("cod_class_final"),
         F.upper(F.rtrim(F.ltrim("classificacaoFinal"))).alias("des_class_final"),
@@ -275,12 +293,12 @@ def conform_notification(raw: DataFrame) -> DataFrame:
     return fill_sentinels(out, V.NOTIFICATION_SENTINELS)
 
 
-def notification_fact_spec() -> FactSpec:
+def notification_fact_spec(scope: Scope = DEFAULT_SCOPE) -> FactSpec:
     return FactSpec(
         keys=("cod_idade", "cod_municipio_paciente", "cod_sexo", "data"),
         measure=Measure("count", "qtd_notificacao", cast="float"),
-        where=((F.col("estado") == V.STATE_CODE) & _in("cod_sexo", "M", "F")
-               & _between("cod_idade", V.AGE_MIN, V.AGE_MAX)),
+        where=((F.col("estado") == scope.state_code) & _in("cod_sexo", "M", "F")
+               & _between("cod_idade", scope.age_min, scope.age_max)),
     )
 
 
@@ -295,7 +313,7 @@ def conform_census(raw: DataFrame) -> DataFrame:
     'ano', so the row predicate drops them with the empty quantities.
     """
     rows = raw.filter(~F.trim(F.col("Qtd")).isin(*V.CENSUS_EMPTY_QTD)).filter(
-        F.trim(F.col("Idade")).like("%ano%"))
+        F.trim(F.col("Idade")).like(V.AGE_PATTERN))
     age = X.age_from_text("Idade")
     return rows.select(
         X.clean("Situacao_domicilio").alias("situacao_domicilio"),
@@ -308,20 +326,20 @@ def conform_census(raw: DataFrame) -> DataFrame:
     )
 
 
-def population_fact_spec() -> FactSpec:
+def population_fact_spec(scope: Scope = DEFAULT_SCOPE) -> FactSpec:
     """Population per sex, municipality and age, the age emitted shifted by
     nine years (as the source job publishes it), kept for 10-110 and F/M."""
     return FactSpec(
         keys=("cod_sexo", "cod_municipio_paciente", "cod_idade"),
         measure=Measure("sum", "qtd_populacao", "qtd"),
         shift={"cod_idade": V.POPULATION_AGE_SHIFT},
-        having=_between("cod_idade", V.AGE_MIN, V.AGE_MAX) & _in("cod_sexo", "F", "M"),
+        having=_between("cod_idade", scope.age_min, scope.age_max) & _in("cod_sexo", "F", "M"),
     )
 
 
-def population_fact(conformed: DataFrame) -> DataFrame:
+def population_fact(conformed: DataFrame, scope: Scope = DEFAULT_SCOPE) -> DataFrame:
     with_sex = conformed.withColumn("cod_sexo", X.recode("desc_sexo", V.CENSUS_SEX, default=V.MISSING_SEX))
-    return build_fact(with_sex, population_fact_spec())
+    return build_fact(with_sex, population_fact_spec(scope))
 
 
 # ---------------------------------------------------------------------------

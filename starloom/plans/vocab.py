@@ -12,6 +12,9 @@ MONTHS_LABEL = "Meses Idade"
 YEAR_SINGULAR = "Ano"
 YEAR_PLURAL = "Anos"
 COUNTRY = "Brasil"
+YEAR_WORDS = (" anos", " ano")          # removed from age texts, in this order
+MONTHS_PATTERN = "% m%"                 # an age text in months, once these are gone
+AGE_PATTERN = "%ano%"                   # rows of the census export that carry an age
 SEX_LABELS = {"F": "FEMININO", "M": "MASCULINO"}
 
 # --- fixed values: age bands (inclusive bounds, None = open) --------------

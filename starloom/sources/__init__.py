@@ -1,11 +1,12 @@
 """Scans (CSV variants, Parquet layers) and sinks (Parquet writes)."""
 
-from .csv import PART_TOKEN, read_delimited, read_positional, string_schema
+from .csv import PART_TOKEN, list_files, read_by_header, read_delimited, read_positional, string_schema, with_source
 from .parquet import read_layer
-from .scratch import scratch_path, shared_root
+from .scratch import path_exists, scratch_path, shared_root
 from .sinks import write_counted, write_parquet
 
 __all__ = [
-    "PART_TOKEN", "read_delimited", "read_layer", "read_positional", "scratch_path",
-    "shared_root", "string_schema", "write_counted", "write_parquet",
+    "PART_TOKEN", "list_files", "path_exists", "read_by_header", "read_delimited", "read_layer",
+    "read_positional", "scratch_path", "shared_root", "string_schema", "with_source",
+    "write_counted", "write_parquet",
 ]

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +27,7 @@ def read_delimited(
     part_token: str | None = None,
     token_column: str = "parte",
     token_source: str = "file_name",
+    file_column: str | None = None,
 ) -> DataFrame:
     """Header CSV scan (one file, a glob or a list), all columns text.
 
@@ -36,16 +39,77 @@ def read_delimited(
     ``part_token`` is a regex with one group applied to each row's source
     file name (``_metadata.file_name``, or the full ``file_path`` when
     ``token_source='file_path'``), adding ``token_column``: one scan over
-    all files replaces a loop over a file listing.
+    all files replaces a loop over a file listing. A file whose name has no
+    token fails the read, naming the file. ``file_column`` adds the source
+    file's name.
     """
     reader = (spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
               .option("enforceSchema", False).option("mode", "PERMISSIVE"))
     if columns is not None:
         reader = reader.schema(string_schema(columns))
     df = reader.csv(path if isinstance(path, str) else list(path))
+    return with_source(df, part_token, token_column, token_source, file_column)
+
+
+def with_source(df: DataFrame, part_token: str | None, token_column: str = "parte",
+                token_source: str = "file_name", file_column: str | None = None) -> DataFrame:
+    """``df`` (a file scan) with the part token and the name of its files."""
+    added = {}
     if part_token is not None:
-        df = df.withColumn(token_column, F.regexp_extract(F.col(f"_metadata.{token_source}"), part_token, 1))
-    return df
+        source = F.col(f"_metadata.{token_source}")
+        token = F.regexp_extract(source, part_token, 1)
+        added[token_column] = F.when(token != "", token).otherwise(
+            F.raise_error(F.concat(F.lit("no part token in the file name "), source)).cast("string"))
+    if file_column is not None:
+        added[file_column] = F.col("_metadata.file_name")
+    return df.withColumns(added) if added else df
+
+
+def list_files(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
+    """The files of a path, a glob or a list of them (names only are read)."""
+    found = spark.read.format("binaryFile").load(path if isinstance(path, str) else list(path)).select("path")
+    return sorted(r["path"] for r in found.collect())
+
+
+def read_by_header(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    columns: Sequence[str] | None = None,
+    *,
+    sep: str = ";",
+    encoding: str = "UTF-8",
+    header_jobs: int = 16,
+    **source,
+) -> DataFrame:
+    """Header CSV scan of files whose columns differ in order or number.
+
+    Each file's header line is read first (a job of one task a file,
+    ``header_jobs`` at a time); files of one header are one scan, and the
+    scans are united by name. ``columns`` picks and orders the result, a
+    column that a file lacks being NULL; by default it is every column, in
+    the order of the first file that has it. ``source``: as for
+    :func:`read_delimited`.
+    """
+    files = list_files(spark, path)
+    if not files:
+        raise ValueError(f"no files at {path}")
+
+    def header(file: str) -> tuple[str, ...]:
+        return tuple(spark.read.option("header", True).option("sep", sep).option("encoding", encoding).csv(file).columns)
+
+    with ThreadPoolExecutor(max_workers=header_jobs) as pool:
+        headers = list(pool.map(header, files))
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file, names in zip(files, headers):
+        by_header.setdefault(names, []).append(file)
+    wanted = list(columns) if columns is not None else list(dict.fromkeys(c for names in by_header for c in names))
+    scans = []
+    for names, own in by_header.items():
+        scan = read_delimited(spark, own, names, sep=sep, encoding=encoding, **source)
+        added = [c for c in scan.columns if c not in names]
+        have = {c.lower() for c in names}
+        scans.append(scan.select(*[F.col(c) if c.lower() in have else F.lit(None).cast("string").alias(c) for c in wanted], *added))
+    return reduce(DataFrame.unionByName, scans)
 
 
 def read_positional(

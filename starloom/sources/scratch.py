@@ -11,25 +11,29 @@ from pyspark.sql import SparkSession
 def shared_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Intermediate tables go there because every executor can read it. Only
-    when the session names none (a bare local test session) is a local
-    folder made and registered as the checkpoint dir.
+    Intermediate tables go there because every executor can read it. A local
+    session that names none (tests, a laptop) gets a fresh local folder,
+    kept for the session; on a cluster a missing setting is an error, since
+    a folder of one machine would leave each executor with its own part.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        try:
-            root = spark.sparkContext.getCheckpointDir()
-        except Exception:  # noqa: BLE001 - sessions without a local SparkContext
-            root = None
-    if not root:
-        root = tempfile.mkdtemp(prefix="starloom-ckpt-")
-        try:
-            spark.sparkContext.setCheckpointDir(root)
-        except Exception:  # noqa: BLE001
-            pass
+        context = spark.sparkContext
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = context.getCheckpointDir()
+        if not root:
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="starloom-ckpt-"))
+            root = context.getCheckpointDir()
     return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared root for one run's table."""
     return f"{shared_root(spark)}/starloom/{name}-{uuid.uuid4().hex}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists in whatever store Spark resolves it to."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)

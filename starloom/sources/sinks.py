@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .partitions import partition_count
-
 
 def write_parquet(
     df: DataFrame,
@@ -24,16 +22,13 @@ def write_parquet(
     * ``partition_by``: one ``col=value`` directory per value, and only the
       partitions present in ``df`` are replaced (dynamic overwrite), so a
       re-run of one part or year leaves the others alone.
-    * ``max_files`` caps the task count of the write. Above the cap the
-      frame is repartitioned: unlike ``coalesce`` that does not shrink the
-      parallelism of the stage computing ``df`` (a coalesce after an
-      aggregation would run the final aggregate in ``max_files`` tasks).
-      At or under the cap nothing changes, so the cap never raises the
-      file count. Leave it unset at scale and let AQE size the output
-      partitions; ``max_records_per_file`` bounds file size instead.
+    * ``max_files`` caps the tasks of the write with ``coalesce``: it starts
+      no job of its own and never raises the file count, but the stage that
+      computes ``df`` runs in so few tasks too. Leave it unset at scale and
+      let AQE size the output partitions; ``max_records_per_file`` bounds
+      file size instead.
     """
-    over_cap = max_files and (partition_count(df) or max_files + 1) > max_files
-    out = df.repartition(max_files) if over_cap else df
+    out = df.coalesce(max_files) if max_files else df
     writer = out.write.mode("overwrite").format("parquet")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)

@@ -9,15 +9,13 @@ dies midway restarts from the checkpoint without duplicating rows.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.csv import PART_TOKEN, string_schema
-from ..sources.scratch import shared_root
+from ..sources.csv import PART_TOKEN, string_schema, with_source
+from ..sources.scratch import path_exists
 
 
 def raw_csv_stream(spark: SparkSession, source_dir: str, columns: Sequence[str], *,
@@ -32,10 +30,7 @@ def raw_csv_stream(spark: SparkSession, source_dir: str, columns: Sequence[str],
               .option("enforceSchema", False).option("pathGlobFilter", glob))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = reader.csv(source_dir)
-    if part_token is not None:
-        df = df.withColumn(token_column, F.regexp_extract(F.col("_metadata.file_name"), part_token, 1))
-    return df
+    return with_source(reader.csv(source_dir), part_token, token_column)
 
 
 def ingest_new_files(spark: SparkSession, source_dir: str, columns: Sequence[str],
@@ -43,14 +38,20 @@ def ingest_new_files(spark: SparkSession, source_dir: str, columns: Sequence[str
                      checkpoint: str | None = None, partition_by: Sequence[str] = ("parte",),
                      **scan_options) -> StreamingQuery:
     """Conform every not-yet-seen raw file into the partitioned Parquet layer
-    at ``out`` and stop when the backlog is drained. The checkpoint goes to
-    the shared checkpoint folder unless given. ``out`` belongs to the stream:
-    its ``_spark_metadata`` log names the committed files (readers see only
-    those), so batch writes must not target the same folder. A failed batch
-    raises here."""
-    ckpt = checkpoint or f"{shared_root(spark)}/starloom/stream-{hashlib.sha1(out.encode()).hexdigest()[:16]}"
+    at ``out`` and stop when the backlog is drained. The checkpoint is the
+    sibling folder ``<out>_checkpoint`` unless given, so every session finds
+    the same one. ``out`` belongs to the stream: its ``_spark_metadata`` log
+    names the committed files (readers see only those), so batch writes must
+    not target the same folder. An ``out`` that a stream has written without
+    its checkpoint is refused: a new checkpoint would number its batches
+    from 0 again, and the sink would skip them as already committed. A
+    failed batch raises here."""
+    base = out.rstrip("/")
+    ckpt = checkpoint or f"{base}_checkpoint"
+    if path_exists(spark, f"{base}/_spark_metadata") and not path_exists(spark, f"{ckpt}/commits"):
+        raise ValueError(f"{base} was written by a stream whose checkpoint is not at {ckpt}")
     rows = conform(raw_csv_stream(spark, source_dir, columns, **scan_options))
     query = (rows.writeStream.format("parquet").option("checkpointLocation", ckpt)
-             .partitionBy(*partition_by).trigger(availableNow=True).start(out))
+             .partitionBy(*partition_by).trigger(availableNow=True).start(base))
     query.awaitTermination()
     return query

@@ -11,12 +11,10 @@ from starloom.operators import (
     build_dim,
     build_fact,
     cast_columns,
-    checked_broadcast,
     collapse_lookup,
     day_spine,
     day_spine_over,
     fill_sentinels,
-    fits_broadcast,
     int_spine,
     lookup_dim,
     union_aligned,
@@ -96,15 +94,6 @@ def test_lookup_dim_dedups_before_join(spark):
     assert sorted(tuple(r) for r in out.collect()) == [(0, "-", 0.0), (10, "A", 2.0)]
 
 
-def test_broadcast_only_under_bound(spark):
-    small = spark.range(10)
-    assert fits_broadcast(small, 10) and not fits_broadcast(small, 9)
-    plan_small = spark.range(1000).join(checked_broadcast(small, 100), "id")
-    plan_big = spark.range(1000).join(checked_broadcast(spark.range(500), 100), "id")
-    assert "BroadcastHashJoin" in plan_text(plan_small, "formatted")
-    assert "strategy=broadcast" not in plan_text(plan_big)
-
-
 def test_spines(spark):
     days = day_spine(spark, "2021-01-01", "2023-02-01")
     assert days.count() == 762
@@ -114,22 +103,23 @@ def test_spines(spark):
     assert day_spine_over(src, "t").count() == 5
 
 
-def test_yearly_align_selects_sources(spark):
-    from conftest import SF_SMALL
+def test_align_replaces_a_present_column_on_request(spark):
+    df = spark.createDataFrame([("a", "b")], "x string, y string")
+    assert [tuple(r) for r in align_columns(df, ["X", "y", "z"], "0", replace=["Y"]).collect()] == [("a", "0", "0")]
+    assert [tuple(r) for r in align_columns(df, ["x", "y", "z"]).collect()] == [("a", "b", None)]
+
 
-    from starloom.plans.queries import yearly_align
+def test_union_of_no_frames_is_an_error():
+    import pytest
 
-    every = yearly_align(spark, SF_SMALL)
-    one = yearly_align(spark, SF_SMALL, years=[1996])
-    assert one.count() == every.filter("ano = '1996'").count() > 0
-    assert one.filter("o_orderpriority IS NOT NULL").count() == 0
-    assert every.filter("ano = '1998' AND o_orderpriority IS NULL").count() == 0
+    with pytest.raises(ValueError, match="no frames"):
+        union_aligned([], ["x"])
 
 
-def test_lookup_dim_broadcasts_codes_when_lookup_is_large(spark):
+def test_lookup_dim_plans_the_join_by_size_without_a_job(spark):
     rows = spark.createDataFrame([(1,), (2,), (2,)], "k int")
-    big = spark.range(0, 500).select(F.col("id").cast("int").alias("cod"), (F.col("id") * 2).alias("v"))
-    out = lookup_dim(rows, "k", big, "cod", {"k": F.col("k"), "v": F.col("v")}, max_rows=100)
+    lookup = spark.range(0, 500).select(F.col("id").cast("int").alias("cod"), (F.col("id") * 2).alias("v"))
+    out = lookup_dim(rows, "k", lookup, "cod", {"k": F.col("k"), "v": F.col("v")})
     assert sorted(tuple(r) for r in out.collect()) == [(1, 2), (2, 4)]
     text = plan_text(out)
-    assert "BroadcastHashJoin" in text and "BuildLeft" in text
+    assert "BroadcastHashJoin" in text and "strategy=broadcast" not in text

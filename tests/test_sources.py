@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import fixtures as fx
 from starloom.sources import (
+    read_by_header,
     read_delimited,
     read_layer,
     read_positional,
@@ -65,7 +66,7 @@ def test_full_refresh_and_file_cap(spark, workdir):
     write_parquet(spark.range(0, 10), out)
     assert spark.read.parquet(out).count() == 10
     single = f"{workdir}/one"
-    write_parquet(spark.range(0, 10).coalesce(1), single, max_files=50)   # the cap never raises the count
+    write_parquet(spark.range(0, 10, 1, 1), single, max_files=50)   # the cap never raises the count
     assert len([f for f in os.listdir(single) if f.endswith(".parquet")]) == 1
 
 
@@ -80,3 +81,36 @@ def test_named_columns_must_match_each_files_header(spark, workdir):
     assert read_delimited(spark, f"{workdir}/h/*.csv", ["idade", "sexo"]).count() == 1
     with pytest.raises(Exception, match="(?i)header|schema"):
         read_delimited(spark, f"{workdir}/h/*.csv", ["idade", "raca"]).collect()
+
+
+def test_files_of_other_headers_are_united_by_name(spark, workdir):
+    rows = [{"idade": "30", "sexo": "F"}]
+    fx.write_csv(f"{workdir}/d/a-01-x.csv", ["idade", "sexo"], rows)
+    fx.write_csv(f"{workdir}/d/b-02-x.csv", ["sexo", "idade"], rows)
+    fx.write_csv(f"{workdir}/d/c-03-x.csv", ["raca", "sexo", "idade"], [{**rows[0], "raca": "1"}])
+    df = read_by_header(spark, f"{workdir}/d/*.csv", part_token=r"^[^-]*-([^-]+)", file_column="arquivo")
+    assert sorted((tuple(r) for r in df.select("idade", "sexo", "raca", "parte", "arquivo").collect()), key=lambda r: r[3]) == [
+        ("30", "F", None, "01", "a-01-x.csv"), ("30", "F", None, "02", "b-02-x.csv"), ("30", "F", "1", "03", "c-03-x.csv")]
+    assert read_by_header(spark, f"{workdir}/d/*.csv", ["sexo"]).columns == ["sexo"]
+
+
+def test_a_name_without_part_token_fails_the_read(spark, workdir):
+    fx.write_csv(f"{workdir}/t/vacinacao.csv", ["idade"], [{"idade": "30"}])
+    with pytest.raises(Exception, match="no part token in the file name vacinacao.csv"):
+        read_delimited(spark, f"{workdir}/t/*.csv", part_token=r"^[^-]*-([^-]+)").collect()
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from starloom.sources import shared_root
+
+    class Cluster:
+        class conf:  # noqa: N801
+            @staticmethod
+            def get(key, default):
+                return None
+
+        class sparkContext:  # noqa: N801
+            master = "spark://somewhere:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_root(Cluster())

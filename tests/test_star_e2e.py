@@ -84,7 +84,7 @@ def test_srag_ingest_and_deaths(spark, workdir):
     assert got == [(45, 0, "F", D(2021, 5, 10), 1.0),
                    (45, 280030, "F", None, 1.0),
                    (45, 280030, "F", D(2020, 3, 15), 2.0)]
-    cases = star.conform_srag(spark.read.parquet(pre)).orderBy("dat_notificacao", "cod_doses").collect()
+    cases = spark.read.parquet(pre).orderBy("dat_notificacao", "cod_doses").collect()
     assert {r.cod_raca for r in cases} == {3, 99}
     doses_2020 = sorted(r.cod_doses for r in cases if r.dat_notificacao == D(2020, 3, 15))
     assert doses_2020 == [0, 0, 0, 1]
@@ -105,7 +105,7 @@ def test_srag_absent_column_fill_value(spark, workdir):
     sources = fx.write_srag(workdir)
     pre = f"{workdir}/pre/srag0"
     jobs.ingest_srag(spark, sources, pre, years=[2020], fill="0")
-    doses = [r.cod_doses for r in star.conform_srag(spark.read.parquet(pre)).collect()]
+    doses = [r.cod_doses for r in spark.read.parquet(pre).collect()]
     assert doses == [1, 1, 1, 1]
 
 
@@ -192,3 +192,65 @@ def test_cli_srag_ingest_year_zero_means_all(workdir):
     r = subprocess.run(args, cwd=fx.__file__.rsplit("/tests/", 1)[0], capture_output=True, text=True, timeout=300)
     assert r.returncode == 0, r.stderr[-2000:]
     assert json.loads(r.stdout.strip().splitlines()[-1]) == {"rows": 7}
+
+
+def parts(spark, layer):
+    return sorted((r.parte, r.arquivo, r["count"]) for r in jobs.read_vaccination_layer(spark, layer).groupBy("parte", "arquivo").count().collect())
+
+
+def test_a_token_in_two_runs_keeps_both_files(spark, workdir):
+    rows = [r for _, r in fx.vaccination_rows()]
+    for name, own in (("a", rows[:5]), ("b", rows[5:8])):
+        fx.write_csv(f"{workdir}/{name}/vacinacao-07-{name}.csv", fx.VACC_COLUMNS, own)
+        jobs.ingest_vaccination(spark, f"{workdir}/{name}/*.csv", f"{workdir}/pre")
+    assert parts(spark, f"{workdir}/pre") == [("07", "vacinacao-07-a.csv", 5), ("07", "vacinacao-07-b.csv", 3)]
+    fx.write_csv(f"{workdir}/again/vacinacao-07-b.csv", fx.VACC_COLUMNS, rows[5:9])
+    jobs.ingest_vaccination(spark, f"{workdir}/again/*.csv", f"{workdir}/pre")  # a file replaces itself alone
+    assert parts(spark, f"{workdir}/pre") == [("07", "vacinacao-07-a.csv", 5), ("07", "vacinacao-07-b.csv", 4)]
+
+
+def test_a_file_name_without_token_fails_the_ingest(spark, workdir):
+    fx.write_csv(f"{workdir}/raw/vacinacao.csv", fx.VACC_COLUMNS, [r for _, r in fx.vaccination_rows()][:5])
+    with pytest.raises(Exception, match="vacinacao.csv"):
+        jobs.ingest_vaccination(spark, f"{workdir}/raw/*.csv", f"{workdir}/pre")
+
+
+def test_files_with_columns_in_another_order(spark, workdir):
+    rows = [r for _, r in fx.vaccination_rows()]
+    fx.write_csv(f"{workdir}/raw/vacinacao-01-a.csv", fx.VACC_COLUMNS, rows[:5])
+    fx.write_csv(f"{workdir}/raw/vacinacao-02-b.csv", list(reversed(fx.VACC_COLUMNS)), rows[5:9])
+    assert jobs.ingest_vaccination(spark, f"{workdir}/raw/*.csv", f"{workdir}/pre") == 9
+    fx.write_csv(f"{workdir}/same/vacinacao-01-a.csv", fx.VACC_COLUMNS, rows[:9])
+    jobs.ingest_vaccination(spark, f"{workdir}/same/*.csv", f"{workdir}/one")
+    both = [sorted(map(str, jobs.read_vaccination_layer(spark, f"{workdir}/{x}").select("document_id", *star.VACCINATION_KEYS).collect())) for x in ("pre", "one")]
+    assert both[0] == both[1]
+
+
+def test_scope_of_another_state_reaches_facts_and_dimensions(spark, workdir):
+    rows = [{**r, "paciente_endereco_uf": "BA" if r["paciente_endereco_uf"] == "SE" else r["paciente_endereco_uf"],
+             "estabelecimento_uf": "BA" if r["estabelecimento_uf"] == "SE" else r["estabelecimento_uf"]} for _, r in fx.vaccination_rows()]
+    fx.write_csv(f"{workdir}/raw/vacinacao-01-a.csv", fx.VACC_COLUMNS, rows)
+    loc = fx.write_localities(workdir)
+    text = open(loc, encoding="utf-8").read().replace("SERGIPE", "BAHIA")
+    with open(f"{workdir}/other.csv", "w", encoding="utf-8") as f:
+        f.write(text)
+    jobs.ingest_vaccination(spark, f"{workdir}/raw/*.csv", f"{workdir}/pre")
+    scope = star.Scope("BA", "BAHIA")
+    p = jobs.build_vaccination_tables(spark, f"{workdir}/pre", f"{workdir}/other.csv", f"{workdir}/out", scope)
+    assert spark.read.parquet(p["fato_vacinas"]).count() == 4
+    assert spark.read.parquet(p["dm_regiao_estab"]).count() == spark.read.parquet(p["dm_regiao_paciente"]).count() == 1
+    p = jobs.build_vaccination_tables(spark, f"{workdir}/pre", f"{workdir}/other.csv", f"{workdir}/default")
+    assert spark.read.parquet(p["fato_vacinas"]).count() == spark.read.parquet(p["dm_regiao_estab"]).count() == 0
+
+
+def test_an_unknown_year_is_an_error(spark, workdir):
+    sources = fx.write_srag(workdir)
+    with pytest.raises(ValueError, match=r"no source for the years \[1999\]"):
+        jobs.ingest_srag(spark, sources, f"{workdir}/pre", years=[1999])
+
+
+def test_srag_replaces_a_present_column(spark, workdir):
+    """A year's column can be overwritten by the fill value though the file has it."""
+    sources = fx.write_srag(workdir)
+    jobs.ingest_srag(spark, sources, f"{workdir}/pre", years=[2021], fill="0", replace={2021: ["DOSE_1_COV"]})
+    assert {r.cod_doses for r in spark.read.parquet(f"{workdir}/pre").collect()} == {1}
