@@ -41,13 +41,13 @@ def shape(text: str) -> dict:
 
 
 def main(argv):
-    from __spark_entry__ import queries
+    from starloom.plans.queries import QUERIES
     from starloom.session import local_session
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
     spark = local_session(8)
     rows, full = [], {}
-    for name, fn in queries().items():
+    for name, fn in QUERIES.items():
         text = formatted(fn(spark, sf_dir))
         rows.append((name, shape(text)))
         if name in HEADLINE:
