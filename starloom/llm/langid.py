@@ -32,7 +32,7 @@ OF_BEST = 0.3
 #: ... and keeps at most so many grams, the most frequent ones.
 PROFILE = 20_000
 #: More languages than this are refused: the table is sent to every executor.
-MAX_LANGUAGES = 1024
+MAX_LANGUAGES = 256
 #: Code points treated at once, and distinct grams gathered before a flush.
 SLICE, FLUSH = 1 << 20, 1 << 20
 

@@ -60,14 +60,15 @@ def _projected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         nodes = batch.column(1).to_numpy()
         vecs = batch.column(2)
-        out = np.zeros(len(nodes))
+        out, dim = np.zeros(len(nodes)), np.zeros(len(nodes), np.int32)
         kinds, at = np.unique(nodes, return_inverse=True)
         order = np.argsort(at, kind="stable")
         for rows in np.split(order, np.flatnonzero(np.diff(at[order])) + 1):
             if len(rows):
                 x = np.frombuffer(b"".join(vecs[r].as_py() for r in rows.tolist()), "<f8").reshape(len(rows), -1)
+                dim[rows] = x.shape[1]
                 out[rows] = x @ direction(int(nodes[rows[0]]), x.shape[1]) / np.linalg.norm(x, axis=1)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out)], ["fp", "node", "at"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out), pa.array(dim)], ["fp", "node", "at", "dim"])
 
 
 def leaves(vectors: DataFrame, trees: int, leaf: int) -> DataFrame:
@@ -91,12 +92,11 @@ def leaves(vectors: DataFrame, trees: int, leaf: int) -> DataFrame:
         large = sized.where(F.col("members") > leaf)
         if large.isEmpty():
             break
-        placed = large.join(vectors.select("fp", "vec"), "fp").select("fp", "node", "vec").mapInArrow(_projected, "fp binary, node long, at double")
+        placed = large.join(vectors.select("fp", "vec"), "fp").select("fp", "node", "vec").mapInArrow(_projected, "fp binary, node long, at double, dim int")
         placed = write_cut(placed, "forest-placed")
         cut = placed.groupBy("node").agg(F.count("*").alias("members"), F.percentile_approx("at", [0.1, 0.5, 0.9], 2000).alias("q"))
         margin = F.lit(half) / F.sqrt(F.lit(1.0) * F.col("dim"))
-        dims = vectors.groupBy("fp").agg(F.first("dim").alias("dim"))
-        split = placed.join(cut, "node").join(dims, "fp").withColumn("margin", margin)
+        split = placed.join(cut, "node").withColumn("margin", margin)
         tight = (F.col("q")[0] >= F.col("q")[1] - F.col("margin")) & (F.col("q")[2] <= F.col("q")[1] + F.col("margin"))
         split = write_cut(split.withColumn("tight", tight), "forest-split")
         done.append(split.where("tight").select("fp", F.col("node").alias("leaf"), "members"))
