@@ -29,6 +29,7 @@ from ..operators import (
     union_aligned,
 )
 from ..sources import (
+    drop_scratch,
     read_by_header,
     read_delimited,
     read_layer,
@@ -743,6 +744,7 @@ def star_vaccination_jobs(spark, d):
     text = _vaccination_text(spark, d)
     _write_raw_csv(text, raw)
     ingest_vaccination(spark, f"{raw}/*.csv", layer, columns=text.columns)
+    drop_scratch(spark, raw)
     return build_fact(read_vaccination_layer(spark, layer), star.vaccination_fact_spec())
 
 
@@ -755,6 +757,7 @@ def ingest_incremental(spark, d):
         raw = scratch_path(spark, "incremental_raw")
         _write_raw_csv(text.filter(half), raw)
         ingest_vaccination(spark, f"{raw}/*.csv", layer, columns=text.columns, part_token="^([a-z]+)-")
+        drop_scratch(spark, raw)
     return read_vaccination_layer(spark, layer).select(*STREAM_COLUMNS)
 
 
@@ -768,6 +771,7 @@ def star_deaths_jobs(spark, d):
     _write_raw_csv(_srag_text(li.filter(F.col("l_shipdate") >= _ts(_LATE)), with_vaccine=True), late)
     layer = scratch_path(spark, "srag_layer")
     ingest_srag(spark, {1997: f"{early}/*.csv", 1998: f"{late}/*.csv"}, layer)
+    drop_scratch(spark, early, late)
     return build_fact(read_layer(spark, layer, {"ano": "string"}), star.deaths_fact_spec())
 
 
@@ -781,6 +785,7 @@ def srag_year_selection(spark, d):
         _write_raw_csv(_srag_text(li.filter(F.year("l_shipdate") == year), with_vaccine=year > 1995), sources[year])
     layer = scratch_path(spark, "srag_years")
     ingest_srag(spark, {y: f"{p}/*.csv" for y, p in sources.items()}, layer, years=[1995, 1997])
+    drop_scratch(spark, *sources.values())
     return read_layer(spark, layer, {"ano": "string"}).select("ano", "cod_idade", "cod_doses", "cod_vacinado", "data")
 
 
@@ -807,6 +812,7 @@ def star_vaccination_tables(spark, d):
     _write_raw_csv(wide.select("TIPO", "LONG", "NM_UF", "LAT", "ID", "CD_GEOCODDS", "NM_MUNICIPIO"), loc)
     ingest_vaccination(spark, f"{raw}/*.csv", layer, columns=text.columns)
     paths = build_vaccination_tables(spark, layer, f"{loc}/*.csv", out, star.Scope(state_name="AMERICA"))
+    drop_scratch(spark, raw, loc, layer)
     counts = [_digest(spark.read.parquet(p)).withColumn("tabela", F.lit(n)) for n, p in paths.items()]
     return union_aligned(counts, ["tabela", "linhas", "conteudo"])
 
@@ -830,7 +836,8 @@ def stream_ingest(spark, d):
     text = _vaccination_text(spark, d)
     _write_raw_csv(text, src)
     ingest_new_files(spark, src, text.columns, star.conform_vaccination, out, partition_by=(),
-                     part_token=None, checkpoint=scratch_path(spark, "stream_ckpt"))
+                     part_token=None, checkpoint=(ckpt := scratch_path(spark, "stream_ckpt")))
+    drop_scratch(spark, src, ckpt)
     return spark.read.parquet(out).select(*STREAM_COLUMNS)
 
 

@@ -2,11 +2,11 @@
 
 from .csv import PART_TOKEN, list_files, read_by_header, read_delimited, read_positional, string_schema, with_source
 from .parquet import read_layer
-from .scratch import path_exists, scratch_path, shared_root
+from .scratch import drop_scratch, path_exists, scratch_path, shared_root
 from .sinks import write_counted, write_parquet
 
 __all__ = [
-    "PART_TOKEN", "list_files", "path_exists", "read_by_header", "read_delimited", "read_layer",
+    "PART_TOKEN", "drop_scratch", "list_files", "path_exists", "read_by_header", "read_delimited", "read_layer",
     "read_positional", "scratch_path", "shared_root", "string_schema", "with_source",
     "write_counted", "write_parquet",
 ]

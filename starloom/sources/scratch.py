@@ -33,6 +33,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/starloom/{name}-{uuid.uuid4().hex}"
 
 
+def drop_scratch(spark: SparkSession, *paths: str) -> None:
+    """Delete scratch tables of this run that nothing reads any more. Only
+    paths that :func:`scratch_path` made are accepted."""
+    base = f"{shared_root(spark)}/starloom/"
+    for path in paths:
+        if not path.startswith(base) or "/" in path[len(base):]:
+            raise ValueError(f"not a scratch table: {path}")
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists in whatever store Spark resolves it to."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)

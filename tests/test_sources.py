@@ -100,6 +100,19 @@ def test_a_name_without_part_token_fails_the_read(spark, workdir):
         read_delimited(spark, f"{workdir}/t/*.csv", part_token=r"^[^-]*-([^-]+)").collect()
 
 
+def test_only_scratch_tables_are_dropped(spark, workdir):
+    from starloom.sources import drop_scratch, path_exists, scratch_path
+
+    path = scratch_path(spark, "test")
+    spark.range(3).write.parquet(path)
+    assert path_exists(spark, path)
+    drop_scratch(spark, path)
+    assert not path_exists(spark, path)
+    for other in (workdir, f"{path}/part", f"{path}/../x"):
+        with pytest.raises(ValueError, match="not a scratch table"):
+            drop_scratch(spark, other)
+
+
 def test_scratch_needs_a_shared_folder_on_a_cluster():
     from starloom.sources import shared_root
 
