@@ -32,7 +32,8 @@ from . import vocab as V
 
 def ingest_vaccination(spark: SparkSession, raw: str | Sequence[str], out: str,
                        part_token: str = PART_TOKEN, max_records_per_file: int | None = None,
-                       columns: Sequence[str] | None = None) -> int:
+                       columns: Sequence[str] | None = None,
+                       sort_within: Sequence[str] = ("paciente_endereco_uf",)) -> int:
     """Raw vaccination CSV files -> conformed rows, one
     ``parte=<token>/arquivo=<file name>`` partition per file. Returns the
     rows written.
@@ -43,14 +44,16 @@ def ingest_vaccination(spark: SparkSession, raw: str | Sequence[str], out: str,
     file name without a token fails the run. Files may differ in the order
     of their columns and in further columns (one scan for each header);
     ``columns`` names the header that all files have, which saves reading
-    the headers and checks every file against it.
+    the headers and checks every file against it. ``sort_within``: rows of a
+    file are stored by these columns, so that the tables of one state read
+    the row groups that hold it.
     """
     if columns is not None:
         scan = read_delimited(spark, raw, columns, part_token=part_token, file_column="arquivo")
     else:
         scan = read_by_header(spark, raw, part_token=part_token, file_column="arquivo")
     return write_counted(star.conform_vaccination(scan), out, partition_by=["parte", "arquivo"],
-                         max_records_per_file=max_records_per_file)
+                         max_records_per_file=max_records_per_file, sort_within=sort_within)
 
 
 def read_vaccination_layer(spark: SparkSession, prestructured: str) -> DataFrame:

@@ -15,6 +15,7 @@ def write_parquet(
     partition_by: Sequence[str] | None = None,
     max_files: int | None = None,
     max_records_per_file: int | None = None,
+    sort_within: Sequence[str] = (),
 ) -> None:
     """Overwrite ``path`` with ``df`` as Parquet.
 
@@ -27,8 +28,12 @@ def write_parquet(
       computes ``df`` runs in so few tasks too. Leave it unset at scale and
       let AQE size the output partitions; ``max_records_per_file`` bounds
       file size instead.
+    * ``sort_within`` sorts each task's rows (no shuffle), so that row groups
+      hold few values of these columns and filters on them skip the others.
     """
     out = df.coalesce(max_files) if max_files else df
+    if sort_within:
+        out = out.sortWithinPartitions(*(partition_by or ()), *sort_within)
     writer = out.write.mode("overwrite").format("parquet")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)

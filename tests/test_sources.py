@@ -100,6 +100,18 @@ def test_a_name_without_part_token_fails_the_read(spark, workdir):
         read_delimited(spark, f"{workdir}/t/*.csv", part_token=r"^[^-]*-([^-]+)").collect()
 
 
+def test_sort_within_orders_each_file(spark, workdir):
+    import pyarrow.parquet as pq
+
+    df = spark.range(100, numPartitions=1).selectExpr("id", "cast(id * 37 % 5 as string) as uf", "cast(id % 2 as string) as parte")
+    write_parquet(df, f"{workdir}/sorted", partition_by=["parte"], sort_within=["uf"])
+    files = [os.path.join(d, f) for d, _, names in os.walk(f"{workdir}/sorted") for f in names if f.endswith(".parquet")]
+    assert len(files) == 2
+    for f in files:
+        uf = pq.ParquetFile(f).read().column("uf").to_pylist()
+        assert uf == sorted(uf) and len(uf) == 50
+
+
 def test_only_scratch_tables_are_dropped(spark, workdir):
     from starloom.sources import drop_scratch, path_exists, scratch_path
 
