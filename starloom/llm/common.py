@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +33,23 @@ def write_cut(df: DataFrame, name: str) -> DataFrame:
     """
     path = f"{shared_root(df.sparkSession)}/starloom-llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _CUTS[id(out)] = (weakref.ref(out, lambda _, key=id(out): _CUTS.pop(key, None)), path)
+    return out
+
+
+#: Tables of ``write_cut`` by the identity of their DataFrame.
+_CUTS: dict[int, tuple[weakref.ref, str]] = {}
+
+
+def drop_cut(*tables: DataFrame) -> None:
+    """Delete tables that ``write_cut`` returned. Only for those whose every
+    reader has been written itself: nothing reads them again, not even to
+    recover a lost executor's work."""
+    for table in tables:
+        spark, path = table.sparkSession, _CUTS.pop(id(table))[1]
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

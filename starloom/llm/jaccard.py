@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import write_cut
+from starloom.llm.common import drop_cut, write_cut
 from starloom.llm.links import block_pairs, components, groups, in_blocks, linked_batch, local_links
 
 WORDS = 5
@@ -234,12 +234,14 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     rows = rows.join(sets, "fp").select(*unit, "at", "fp", "copies", "pairs", "set")
     linked = write_cut(rows.repartition(*unit).sortWithinPartitions(*unit).mapInArrow(_verified, "id binary, links long, least binary"), "jaccard-linked")
 
+    drop_cut(pruned)
     links = linked.groupBy("id").agg(F.sum("links").alias("links"))
     found = components(linked.select(F.col("id").alias("a"), F.col("least").alias("b")))
     named = (classes.select("fp", "name", "copies").join(links, F.col("fp") == F.col("id"), "left").drop("id")
              .join(found, F.col("fp") == F.col("id"), "left").drop("id")
              .select("fp", "name", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "fp").alias("component")))
     named = write_cut(named, "jaccard-named")
+    drop_cut(classes, linked)
     heads = named.groupBy(F.col("component").alias("head")).agg(F.min("name").alias("class"))
     named = named.join(heads, F.col("component") == F.col("head")).select(F.col("fp").alias("_fp"), "class", "n_links")
     out = signed.select("doc_id", "text_hash", "fp", "size").join(named, (F.col("fp") == F.col("_fp")) & (F.col("size") > 0), "left")

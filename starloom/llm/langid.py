@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import ddl, write_cut
+from starloom.llm.common import ddl, drop_cut, write_cut
 
 UNDETERMINED = "und"
 #: Rows of the bit-sliced table (a power of two) and hashes a gram.
@@ -105,7 +105,10 @@ def profiles(labelled: DataFrame) -> DataFrame:
     best = rate.groupBy("gram").agg(F.max("rate").alias("best"))
     kept = rate.where(F.col("rate") >= MIN_RATE).join(best, "gram").where(F.col("rate") >= OF_BEST * F.col("best"))
     order = Window.partitionBy("lang").orderBy(F.desc("rate"), "gram")
-    return kept.withColumn("at", F.row_number().over(order)).where(F.col("at") <= PROFILE).select("lang", "gram", "rate")
+    kept = kept.withColumn("at", F.row_number().over(order)).where(F.col("at") <= PROFILE).select("lang", "gram", "rate")
+    kept = write_cut(kept, "langid-profiles")
+    drop_cut(counts)
+    return kept
 
 
 class Filters:
@@ -163,7 +166,7 @@ def learn(labelled: DataFrame) -> Filters:
     What reaches the driver is bounded: PROFILE grams for each of at most
     MAX_LANGUAGES languages.
     """
-    kept = write_cut(profiles(labelled), "langid-profiles")
+    kept = profiles(labelled)
     held = kept.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()
     if len(held) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
@@ -171,6 +174,7 @@ def learn(labelled: DataFrame) -> Filters:
     found = kept.select("lang", "gram").toPandas()
     grams_of = {lang: part["gram"].to_numpy(np.int64).astype(np.uint64) for lang, part in found.groupby("lang")}
     langs = sorted(grams_of)
+    drop_cut(kept)
     return Filters(langs, most[0]["lang"] if most else UNDETERMINED, grams_of)
 
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import write_cut
+from starloom.llm.common import drop_cut, write_cut
 
 #: Members of a block; a unit of work holds two blocks at most.
 BLOCK = 1024
@@ -106,8 +106,9 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         large = both.join(least, F.col("a") == F.col("u")).where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         small = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u")
         hung = large.join(small, F.col("a") == F.col("u"))
-        now = write_cut(
+        before, now = now, write_cut(
             hung.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(small.select(F.col("u").alias("a"), F.col("m").alias("b"))).where("a <> b").distinct(), "components")
+        drop_cut(before)
         seen = now.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).collect()[0]
         if tuple(seen) == mark:
             return now.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(

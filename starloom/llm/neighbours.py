@@ -12,13 +12,14 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import write_cut
+from starloom.llm.common import drop_cut, write_cut
 from starloom.llm.links import block_pairs, components, groups, in_blocks, linked_batch, local_links
 
 THRESHOLD = 0.98
@@ -82,6 +83,7 @@ def leaves(vectors: DataFrame, trees: int, leaf: int) -> DataFrame:
     roots = vectors.select("fp", F.explode(F.transform(F.sequence(F.lit(1), F.lit(trees)), lambda t: F.xxhash64(t, "label", "dim"))).alias("node"))
     half = SPILL * math.sqrt(2 * (1 - THRESHOLD))
     done, now = [], write_cut(roots, "forest-nodes")
+    spent = [now]
     for level in range(MAX_LEVELS + 1):
         sizes = now.groupBy("node").agg(F.count("*").alias("members"))
         if level == MAX_LEVELS:
@@ -91,22 +93,25 @@ def leaves(vectors: DataFrame, trees: int, leaf: int) -> DataFrame:
         done.append(sized.where(F.col("members") <= leaf).select("fp", F.col("node").alias("leaf"), "members"))
         large = sized.where(F.col("members") > leaf)
         if large.isEmpty():
+            spent.append(sized)
             break
         placed = large.join(vectors.select("fp", "vec"), "fp").select("fp", "node", "vec").mapInArrow(_projected, "fp binary, node long, at double, dim int")
         placed = write_cut(placed, "forest-placed")
+        spent += [sized, placed]
         cut = placed.groupBy("node").agg(F.count("*").alias("members"), F.percentile_approx("at", [0.1, 0.5, 0.9], 2000).alias("q"))
         margin = F.lit(half) / F.sqrt(F.lit(1.0) * F.col("dim"))
         split = placed.join(cut, "node").withColumn("margin", margin)
         tight = (F.col("q")[0] >= F.col("q")[1] - F.col("margin")) & (F.col("q")[2] <= F.col("q")[1] + F.col("margin"))
         split = write_cut(split.withColumn("tight", tight), "forest-split")
+        spent.append(split)
         done.append(split.where("tight").select("fp", F.col("node").alias("leaf"), "members"))
         sides = F.array_compact(F.array(
             F.when(F.col("at") <= F.col("q")[1] + F.col("margin"), F.xxhash64("node", F.lit(0))),
             F.when(F.col("at") > F.col("q")[1] - F.col("margin"), F.xxhash64("node", F.lit(1)))))
         now = write_cut(split.where("not tight").select("fp", F.explode(sides).alias("node")), "forest-nodes")
-    out = done[0]
-    for more in done[1:]:
-        out = out.unionByName(more)
+        spent.append(now)
+    out = write_cut(reduce(DataFrame.unionByName, done), "forest-leaves")
+    drop_cut(*spent)
     return out
 
 
@@ -157,19 +162,21 @@ def near_dedup(embeddings: DataFrame, id_col: str = "vec_id", vec_col: str = "em
     clean = write_cut(rows.mapInArrow(_clean, "vec_id long, label string, fp binary, dim int, vec binary"), "near-clean")
     vectors = write_cut(
         clean.where("fp is not null").groupBy("fp").agg(F.min("vec_id").alias("name"), F.count("*").alias("copies"), F.min("label").alias("label"), F.min("dim").alias("dim"), F.min("vec").alias("vec")), "near-vectors")
-    placed = write_cut(leaves(vectors, trees, leaf), "near-leaves")
+    placed = leaves(vectors, trees, leaf)
     held = placed.groupBy("fp").agg(F.sort_array(F.collect_set("leaf")).alias("leaves"))
     unit = ["leaf", "lo", "hi"]
     members = in_blocks(placed.where("members > 1"), "members", "fp")
     members = members.join(held.join(vectors.select("fp", "copies", "vec"), "fp"), "fp").select(*unit, "own", "fp", "copies", "leaves", "vec")
     linked = write_cut(members.repartition(*unit).sortWithinPartitions(*unit).mapInArrow(_compared, "id binary, links long, least binary"), "near-linked")
 
+    drop_cut(placed)
     links = linked.groupBy("id").agg(F.sum("links").alias("links"))
     found = components(linked.select(F.col("id").alias("a"), F.col("least").alias("b")))
     named = write_cut(
         vectors.select("fp", "name", "copies").join(links, F.col("fp") == F.col("id"), "left").drop("id")
         .join(found, F.col("fp") == F.col("id"), "left").drop("id")
         .select("fp", "name", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "fp").alias("component")), "near-named")
+    drop_cut(vectors, linked)
     heads = named.groupBy(F.col("component").alias("head")).agg(F.min("name").alias("component_id"))
     named = named.join(heads, F.col("component") == F.col("head")).select(F.col("fp").alias("_fp"), "n_links", "component_id")
     return clean.select("vec_id", "fp").join(named, F.col("fp") == F.col("_fp"), "left").select(
