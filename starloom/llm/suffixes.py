@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -413,12 +414,13 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spans = np.concatenate(heads) if heads else np.empty(0, ROW)
         spans = spans[np.argsort(spans["key"], kind="stable")]
         out: list[list] = [[], [], [], []]
-        for doc_id, key, data in zip(*(g.column(c) for c in ("doc_id", "key", "data"))):
-            if not data.is_valid:
-                continue
+        g = g.filter(pc.is_valid(g.column("data")))
+        keys = g.column("key").to_numpy().astype(np.uint32)
+        begin, end = np.searchsorted(spans["key"], keys, "left"), np.searchsorted(spans["key"], keys, "right")
+        for doc_id, data, a, b in zip(g.column("doc_id"), g.column("data"), begin.tolist(), end.tolist()):
             raw = data.as_py()
-            a, b = np.searchsorted(spans["key"], key.as_py(), "left"), np.searchsorted(spans["key"], key.as_py(), "right")
-            own = spans[a:b][spans["doc"][a:b] == (doc_id.as_py() if doc_id.is_valid else NO_ID)]
+            own = spans[a:b]
+            own = own[own["doc"] == (doc_id.as_py() if doc_id.is_valid else NO_ID)]
             edges = []
             if len(own):
                 step = np.zeros(len(raw) + 1, np.int32)
