@@ -24,7 +24,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -73,9 +72,9 @@ def span_hash(mixed: np.ndarray, n: int, at: np.ndarray | None = None) -> np.nda
     return out
 
 
-def anchors(data: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def anchors(data: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
     """Runs of windows (n bytes) of ``data`` that have one anchor: the first
-    window, how many, the anchor's hash, and the mixed words."""
+    window, how many, the anchor's place and hash, and the mixed words."""
     mixed = words(data)
     h = span_hash(mixed, ANCHOR)
     low = (h & ~_POSITION) | np.arange(len(h), dtype=np.uint64)
@@ -86,7 +85,7 @@ def anchors(data: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
         have += step
     at = (low & _POSITION).astype(np.int64)
     first = np.concatenate(([0], np.flatnonzero(np.diff(at)) + 1))
-    return first, np.diff(np.append(first, len(at))), h[at[first]], mixed
+    return first, np.diff(np.append(first, len(at))), at[first], h[at[first]], mixed
 
 
 def gathered(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -98,6 +97,7 @@ def gathered(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 #: What a row of a blob holds: a document (its id, and 32 bits of the hash of
 #: id and text), a place in it, a number of windows or bytes, a name, a flag.
 ROW = np.dtype([("doc", "<i8"), ("key", "<u4"), ("name", "<u8"), ("start", "<u4"), ("size", "<u4"), ("first", "?")])
+ROWS = np.empty(0, ROW)
 
 
 def table(**columns: np.ndarray) -> np.ndarray:
@@ -124,6 +124,7 @@ def unpack(blob: bytes) -> np.ndarray:
 
 
 MAPPED = pa.schema([("part", pa.int64()), ("head", pa.binary()), ("body", pa.binary())])
+SENT = "part long, head binary, body binary"
 
 
 def mapped(part: int, rows: np.ndarray, body: bytes | None) -> pa.RecordBatch:
@@ -149,21 +150,23 @@ class Contexts:
         self.size = 0
         self.rows: list[np.ndarray] = []
         self.anchor: list[np.ndarray] = []
+        self.offset: list[np.ndarray] = []
         self.text: list[np.ndarray] = []
 
     def add(self, doc: int, key: int, offset: int, data: np.ndarray) -> None:
-        first, count, anchor, mixed = anchors(data, self.n)
+        first, count, place, anchor, mixed = anchors(data, self.n)
         ends = span_hash(mixed, self.n, np.concatenate([first, first + count - 1]))
         name = ends[: len(first)] * _M[3] ^ ends[len(first) :] * _M[4] ^ count.astype(np.uint64)
         self.rows.append(table(doc=np.full(len(first), doc), key=key, name=name, start=first + offset, size=count))
         self.anchor.append(anchor)
+        self.offset.append((place - first).astype(np.uint16))
         self.text.append(data[gathered(first, count + self.n - 1)])
         self.size += len(self.text[-1])
 
     def flush(self) -> Iterator[pa.RecordBatch]:
         if not self.rows:
             return
-        rows, anchor, text = np.concatenate(self.rows), np.concatenate(self.anchor), np.concatenate(self.text)
+        rows, anchor, offset, text = (np.concatenate(x) for x in (self.rows, self.anchor, self.offset, self.text))
         self.clear()
         length = rows["size"].astype(np.int64) + self.n - 1
         at = np.cumsum(length) - length
@@ -173,12 +176,11 @@ class Contexts:
             found["size"] = length[again & ~same_row]
             for p, own in by_part(found, (found["key"] % self.parts).astype(np.int64), self.parts):
                 yield mapped(self.labels[p], found[own], None)
-        rows, anchor, at, length = rows[~again], anchor[~again], at[~again], length[~again]
+        rows, anchor, offset, at, length = (x[~again] for x in (rows, anchor, offset, at, length))
         press = zstandard.ZstdCompressor(level=6)
         rows["name"] = 0
         for p, own in by_part(rows, (anchor % np.uint64(self.parts)).astype(np.int64), self.parts):
-            # of the anchor, 32 further bits go with the text: enough to tell a part's anchors apart
-            yield mapped(self.labels[p], rows[own], press.compress((anchor[own] >> np.uint64(32)).astype("<u4").tobytes() + text[gathered(at[own], length[own])].tobytes()))
+            yield mapped(self.labels[p], rows[own], press.compress(offset[own].tobytes() + text[gathered(at[own], length[own])].tobytes()))
 
     def combined(self, rows: np.ndarray, text: np.ndarray, at: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which contexts equal one that starts earlier here (or at the same
@@ -329,14 +331,17 @@ def _repeats(n: int, labels: list[int], every: bool):
     def one(heads: list[np.ndarray], bodies: list[bytes]) -> Iterator[np.ndarray]:
         rows = np.concatenate(heads)
         expand = zstandard.ZstdDecompressor()
-        anchor, text = [], []
+        offset, text = [], []
         for head, body in zip(heads, bodies):
             raw = expand.decompress(body)
-            anchor.append(np.frombuffer(raw, "<u4", len(head)))
-            text.append(np.frombuffer(raw, np.uint8, offset=4 * len(head)))
-        anchor, text = np.concatenate(anchor), np.concatenate(text)
+            offset.append(np.frombuffer(raw, np.uint16, len(head)))
+            text.append(np.frombuffer(raw, np.uint8, offset=2 * len(head)))
+        offset, text = np.concatenate(offset), np.concatenate(text)
         length = rows["size"].astype(np.int64) + n - 1
         at = np.cumsum(length) - length
+        place = at + offset
+        anchor = np.concatenate([span_hash(words(text[gathered(p, np.full(len(p), ANCHOR))]), ANCHOR, np.arange(len(p)) * ANCHOR)
+                                 for p in np.array_split(place, max(1, len(place) // 100_000))])
         order = np.argsort(anchor, kind="stable")
         edge = np.concatenate(([0], np.flatnonzero(np.diff(anchor[order])) + 1, [len(order)]))
         several = np.diff(edge) > 1
@@ -361,7 +366,7 @@ def _repeats(n: int, labels: list[int], every: bool):
         yield from handed(held)
 
     def handed(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        found = np.concatenate(held) if held else np.empty(0, ROW)
+        found = np.concatenate([ROWS, *held])
         if not every:
             found["name"] = 0
         for p, own in by_part(found, (found["key"] % len(labels)).astype(np.int64), len(labels)):
@@ -371,18 +376,18 @@ def _repeats(n: int, labels: list[int], every: bool):
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, doc, key, data``: order (null ids first) and identity of a document."""
+    """``doc, key, data``: a document's id (NO_ID for null, which comes first)
+    and 32 bits of the hash of id and text."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(text_col).alias("data"))
     key = F.pmod(F.xxhash64("doc_id", "data"), F.lit(1 << 32))
-    return rows.select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), key.alias("key"), "data")
+    return rows.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), key.alias("key"), "data")
 
 
 def _found(keyed: DataFrame, n: int, labels: list[int], every: bool) -> DataFrame:
-    if n < ANCHOR + 8:
-        raise ValueError(f"min_length must be at least {ANCHOR + 8}")
-    kind = "part long, head binary, body binary"
-    contexts = keyed.where(F.length("data") >= n).select("doc", "key", "data").mapInArrow(_contexts(n, labels), kind)
-    return contexts.repartition("part").sortWithinPartitions("part").mapInArrow(_repeats(n, labels, every), kind)
+    if not ANCHOR + 8 <= n <= 1 << 16:
+        raise ValueError(f"min_length must be from {ANCHOR + 8} to {1 << 16}")
+    contexts = keyed.where(F.length("data") >= n).select("doc", "key", "data").mapInArrow(_contexts(n, labels), SENT)
+    return contexts.repartition("part").sortWithinPartitions("part").mapInArrow(_repeats(n, labels, every), SENT)
 
 
 def maximal_repeats(docs: DataFrame, min_length: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -405,37 +410,54 @@ def maximal_repeats(docs: DataFrame, min_length: int = 100, id_col: str = "doc_i
     return found.mapInArrow(run, "repeat long, length long, doc_id long, start long, first boolean")
 
 
+def _texts(labels: list[int]):
+    """Whole texts, packed by the part of their document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            doc, key = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            data = batch.column(2).to_pylist()
+            rows = table(doc=doc, key=key, size=np.array([len(x) for x in data], np.int64))
+            for p, own in by_part(rows, key % len(labels), len(labels)):
+                yield mapped(labels[p], rows[own], press.compress(b"".join([data[k] for k in own.tolist()])))
+
+    return run
+
+
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts and repeats of a part -> texts without the bytes of the repeats."""
     names = ["doc_id", "n_bytes", "spans", "kept"]
     kinds = [pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary()]
+    expand = zstandard.ZstdDecompressor()
     for g in groups(batches, ["part"]):
-        heads = [unpack(h) for h in g.column("head").to_pylist() if h is not None]
-        spans = np.concatenate(heads) if heads else np.empty(0, ROW)
+        heads, bodies = [unpack(h) for h in g.column("head").to_pylist()], g.column("body").to_pylist()
+        spans = np.concatenate([ROWS, *[h for h, b in zip(heads, bodies) if b is None]])
         spans = spans[np.argsort(spans["key"], kind="stable")]
-        out: list[list] = [[], [], [], []]
-        g = g.filter(pc.is_valid(g.column("data")))
-        keys = g.column("key").to_numpy().astype(np.uint32)
-        begin, end = np.searchsorted(spans["key"], keys, "left"), np.searchsorted(spans["key"], keys, "right")
-        for doc_id, data, a, b in zip(g.column("doc_id"), g.column("data"), begin.tolist(), end.tolist()):
-            raw = data.as_py()
-            own = spans[a:b]
-            own = own[own["doc"] == (doc_id.as_py() if doc_id.is_valid else NO_ID)]
-            edges = []
-            if len(own):
-                step = np.zeros(len(raw) + 1, np.int32)
-                start = own["start"].astype(np.int64)
-                np.add.at(step, start, 1)
-                np.add.at(step, start + own["size"], -1)
-                gone = np.cumsum(step[:-1]) > 0
-                turn = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False]))))
-                edges = [{"start": int(x), "end": int(y)} for x, y in zip(turn[::2], turn[1::2])]
-                kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
-            else:
-                kept = raw
-            for column, value in zip(out, (doc_id.as_py(), len(raw), edges, kept)):
-                column.append(value)
-        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds)], names)
+        for rows, body in zip(heads, bodies):
+            if body is None:
+                continue
+            data, at = expand.decompress(body), 0
+            begin, end = np.searchsorted(spans["key"], rows["key"], "left"), np.searchsorted(spans["key"], rows["key"], "right")
+            out: list[list] = [[], [], [], []]
+            for doc, size, a, b in zip(rows["doc"].tolist(), rows["size"].tolist(), begin.tolist(), end.tolist()):
+                text = data[at : at + size]
+                at += size
+                own = spans[a:b]
+                own = own[own["doc"] == doc]
+                edges = []
+                if len(own):
+                    step = np.zeros(size + 1, np.int32)
+                    start = own["start"].astype(np.int64)
+                    np.add.at(step, start, 1)
+                    np.add.at(step, start + own["size"], -1)
+                    gone = np.cumsum(step[:-1]) > 0
+                    turn = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False]))))
+                    edges = [{"start": int(x), "end": int(y)} for x, y in zip(turn[::2], turn[1::2])]
+                    text = np.frombuffer(text, np.uint8)[~gone].tobytes()
+                for column, value in zip(out, (None if doc == NO_ID else doc, size, edges, text)):
+                    column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds)], names)
 
 
 def dedup(docs: DataFrame, min_length: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -452,9 +474,8 @@ def dedup(docs: DataFrame, min_length: int = 100, id_col: str = "doc_id", text_c
     """
     labels = even_labels(docs.sparkSession)
     keyed = _keyed(docs, id_col, text_col)
-    found = _found(keyed, min_length, labels, False).select("part", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("key"), F.lit(None).cast("binary").alias("data"), "head")
-    texts = keyed.select(F.get(F.lit(labels), F.pmod("key", F.lit(len(labels))).cast("int")).alias("part"), "doc_id", "key", "data", F.lit(None).cast("binary").alias("head"))
-    both = texts.unionByName(found).repartition("part").sortWithinPartitions("part")
+    texts = keyed.select("doc", "key", "data").mapInArrow(_texts(labels), SENT)
+    both = texts.unionByName(_found(keyed, min_length, labels, False)).repartition("part").sortWithinPartitions("part")
     return both.mapInArrow(_removed, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
 
 

@@ -6,7 +6,7 @@ import sys
 import numpy as np
 import pytest
 import tiktoken
-from conftest import ROOT, SF_ORACLE, SF_SMALL
+from conftest import ROOT, SF_SMALL
 from llm_cases import EDGE, documents, roots, shingle_set
 
 import corpus_pipeline

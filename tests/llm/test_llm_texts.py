@@ -77,6 +77,8 @@ def test_removal_edge_rows(spark):
     distinct = [r for k, r in enumerate(EDGE) if k != 6]
     assert removed(documents(spark, distinct, extra=True)) == brute_removed(distinct)
     assert suffixes.digests(documents(spark, EDGE).limit(0)).count() == 0
+    with pytest.raises(ValueError, match="min_length"):
+        suffixes.dedup(documents(spark, EDGE), 20)
     twice = removed(documents(spark, EDGE))  # rows equal in id and text are one document
     assert [r for r in twice if r[0] == 5] == [r for r in brute_removed(distinct) if r[0] == 5] * 2
 
