@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from starloom.llm.common import drop_cut, write_cut
 
 #: Members of a block; a unit of work holds two blocks at most.
-BLOCK = 1024
+BLOCK = 512
 
 
 def in_blocks(members: DataFrame, size: str, key: str, block: int | None = None) -> DataFrame:
