@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 #: A vocabulary file above this is refused: it is sent to every executor.
 MAX_VOCABULARY_BYTES = 64 << 20
 #: Entries of a worker's memo of encoded pre-tokens; at the bound it starts anew.
-MEMO_ENTRIES = 500_000
+MEMO_ENTRIES = 700_000
 #: Longer pre-tokens are encoded each time, not remembered.
 MEMO_LENGTH = 64
 
