@@ -16,11 +16,18 @@ overlapping pieces, one for each anchor.
 
 Contexts that are equal within one map task are combined there: the first
 is sent on, the others are given out as its repeats.
+
+A k-gram that very many places share (a common line, the edge of a common
+passage) would bring all of them to one part. A first pass over a sample
+finds these k-grams; they are anchors only of windows that hold no other.
+Such windows, wherever their contexts differ, go on one by one, each to the
+part of its own hash. The sample decides how the work is dealt, never what
+is found: windows that are equal choose alike.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +47,14 @@ PIECE = 1 << 21
 FLUSH = 48 << 20
 #: Windows of a part that are treated at a time (whole anchors always).
 CHUNK = 400_000
+#: One of so many stretches of so many bytes is sampled for common k-grams.
+SAMPLE, STRETCH = 128, 4096
+#: Occurrences in the sample from which a k-gram is hot: about 6,400 in all.
+HOT = 50
+#: The offset of a context that meets others by the hash of all its bytes.
+WHOLE = 0xFFFF
+#: Windows of hot anchors that a map task treats at a time.
+SINGLE = 200_000
 #: Stands for a null id in the order of documents.
 NO_ID = -(1 << 63)
 
@@ -72,12 +87,32 @@ def span_hash(mixed: np.ndarray, n: int, at: np.ndarray | None = None) -> np.nda
     return out
 
 
-def anchors(data: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
+class Hot:
+    """Sorted hashes, behind a table that most others miss."""
+
+    def __init__(self, hashes: np.ndarray) -> None:
+        self.hashes = hashes
+        self.table = np.zeros(1 << 20, bool)
+        self.table[hashes >> np.uint64(44)] = True
+
+    def among(self, h: np.ndarray) -> np.ndarray:
+        """Which of ``h`` are held."""
+        out = np.zeros(len(h), bool)
+        some = np.flatnonzero(self.table[h >> np.uint64(44)])
+        if len(some):
+            out[some] = self.hashes[np.minimum(np.searchsorted(self.hashes, h[some]), len(self.hashes) - 1)] == h[some]
+        return out
+
+
+def anchors(data: np.ndarray, n: int, hot: Hot) -> tuple[np.ndarray, ...]:
     """Runs of windows (n bytes) of ``data`` that have one anchor: the first
-    window, how many, the anchor's place and hash, and the mixed words."""
+    window, how many, the anchor's place and hash, whether it is ``hot``
+    (then all k-grams of these windows are), and the mixed words."""
     mixed = words(data)
     h = span_hash(mixed, ANCHOR)
-    low = (h & ~_POSITION) | np.arange(len(h), dtype=np.uint64)
+    low = (h >> np.uint64(1) & ~_POSITION) | np.arange(len(h), dtype=np.uint64)
+    if len(hot.hashes):
+        low |= hot.among(h).astype(np.uint64) << np.uint64(63)
     width, have = n - ANCHOR + 1, 1
     while have < width:
         step = min(have, width - have)
@@ -85,7 +120,7 @@ def anchors(data: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
         have += step
     at = (low & _POSITION).astype(np.int64)
     first = np.concatenate(([0], np.flatnonzero(np.diff(at)) + 1))
-    return first, np.diff(np.append(first, len(at))), at[first], h[at[first]], mixed
+    return first, np.diff(np.append(first, len(at))), at[first], h[at[first]], low[first] >> np.uint64(63) != 0, mixed
 
 
 def gathered(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -142,8 +177,8 @@ def by_part(rows: np.ndarray, part: np.ndarray, parts: int) -> Iterator[tuple[in
 class Contexts:
     """Contexts gathered by a map task, to be handed on by part."""
 
-    def __init__(self, n: int, labels: list[int]) -> None:
-        self.n, self.labels, self.parts = n, labels, len(labels)
+    def __init__(self, n: int, labels: list[int], hot: np.ndarray) -> None:
+        self.n, self.labels, self.parts, self.hot = n, labels, len(labels), Hot(hot)
         self.clear()
 
     def clear(self) -> None:
@@ -154,12 +189,12 @@ class Contexts:
         self.text: list[np.ndarray] = []
 
     def add(self, doc: int, key: int, offset: int, data: np.ndarray) -> None:
-        first, count, place, anchor, mixed = anchors(data, self.n)
+        first, count, place, anchor, hot, mixed = anchors(data, self.n, self.hot)
         ends = span_hash(mixed, self.n, np.concatenate([first, first + count - 1]))
         name = ends[: len(first)] * _M[3] ^ ends[len(first) :] * _M[4] ^ count.astype(np.uint64)
         self.rows.append(table(doc=np.full(len(first), doc), key=key, name=name, start=first + offset, size=count))
         self.anchor.append(anchor)
-        self.offset.append((place - first).astype(np.uint16))
+        self.offset.append(np.where(hot, WHOLE, place - first).astype(np.uint16))
         self.text.append(data[gathered(first, count + self.n - 1)])
         self.size += len(self.text[-1])
 
@@ -170,16 +205,44 @@ class Contexts:
         self.clear()
         length = rows["size"].astype(np.int64) + self.n - 1
         at = np.cumsum(length) - length
+        again = yield from self.repeats(rows, text, at, length)
+        rows, anchor, offset, at = (x[~again] for x in (rows, anchor, offset, at))
+        whole = offset == WHOLE
+        yield from self.sent(rows[~whole], anchor[~whole], offset[~whole], text, at[~whole])
+        yield from self.singles(rows[whole], text, at[whole])
+
+    def singles(self, rows: np.ndarray, text: np.ndarray, at: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Windows of hot anchors, each a context of its own."""
+        ends = np.cumsum(rows["size"].astype(np.int64))
+        for low in range(0, int(ends[-1]) if len(ends) else 0, SINGLE):
+            window = np.arange(low, min(low + SINGLE, int(ends[-1])))
+            of = np.searchsorted(ends, window, "right")
+            place = window - (ends[of] - rows["size"][of])
+            body = text[gathered(at[of] + place, np.full(len(of), self.n))]
+            start, length = np.arange(len(of)) * self.n, np.full(len(of), self.n)
+            h = span_hash(words(body), self.n, start)
+            own = rows[of]
+            own["start"] += place.astype(np.uint32)
+            own["size"], own["name"] = 1, h * _M[3] ^ h * _M[4] ^ np.uint64(1)
+            again = yield from self.repeats(own, body, start, length)
+            yield from self.sent(own[~again], h[~again], np.full(int((~again).sum()), WHOLE, np.uint16), body, start[~again])
+
+    def repeats(self, rows: np.ndarray, text: np.ndarray, at: np.ndarray, length: np.ndarray) -> Generator[pa.RecordBatch, None, np.ndarray]:
+        """Gives out the contexts that equal an earlier one, and tells which."""
         again, same_row = self.combined(rows, text, at, length)
         if (again & ~same_row).any():
             found = rows[again & ~same_row]
             found["size"] = length[again & ~same_row]
             for p, own in by_part(found, (found["key"] % self.parts).astype(np.int64), self.parts):
                 yield mapped(self.labels[p], found[own], None)
-        rows, anchor, offset, at, length = (x[~again] for x in (rows, anchor, offset, at, length))
+        return again
+
+    def sent(self, rows: np.ndarray, meet: np.ndarray, offset: np.ndarray, text: np.ndarray, at: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Contexts, to the part of the hash by which they ``meet``."""
         press = zstandard.ZstdCompressor(level=6)
+        length = rows["size"].astype(np.int64) + self.n - 1
         rows["name"] = 0
-        for p, own in by_part(rows, (anchor % np.uint64(self.parts)).astype(np.int64), self.parts):
+        for p, own in by_part(rows, (meet % np.uint64(self.parts)).astype(np.int64), self.parts):
             yield mapped(self.labels[p], rows[own], press.compress(offset[own].tobytes() + text[gathered(at[own], length[own])].tobytes()))
 
     def combined(self, rows: np.ndarray, text: np.ndarray, at: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -200,11 +263,11 @@ class Contexts:
         return out, same_row
 
 
-def _contexts(n: int, labels: list[int]):
+def _contexts(n: int, labels: list[int], hot: np.ndarray = np.empty(0, np.uint64)):
     """Map side: (doc, key, bytes) -> contexts, and the repeats combined here."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = Contexts(n, labels)
+        held = Contexts(n, labels, hot)
         for batch in batches:
             docs, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for doc, key, value in zip(docs, keys, batch.column(2)):
@@ -339,9 +402,11 @@ def _repeats(n: int, labels: list[int], every: bool):
         offset, text = np.concatenate(offset), np.concatenate(text)
         length = rows["size"].astype(np.int64) + n - 1
         at = np.cumsum(length) - length
-        place = at + offset
-        anchor = np.concatenate([span_hash(words(text[gathered(p, np.full(len(p), ANCHOR))]), ANCHOR, np.arange(len(p)) * ANCHOR)
-                                 for p in np.array_split(place, max(1, len(place) // 100_000))])
+        anchor = np.zeros(len(rows), np.uint64)
+        for own, place, size in ((np.flatnonzero(offset != WHOLE), at + offset, ANCHOR), (np.flatnonzero(offset == WHOLE), at, n)):
+            for k in np.array_split(own, len(own) * size // 2_400_000 + 1):
+                if len(k):
+                    anchor[k] = span_hash(words(text[gathered(place[k], np.full(len(k), size))]), size, np.arange(len(k)) * size)
         order = np.argsort(anchor, kind="stable")
         edge = np.concatenate(([0], np.flatnonzero(np.diff(anchor[order])) + 1, [len(order)]))
         several = np.diff(edge) > 1
@@ -383,10 +448,28 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), key.alias("key"), "data")
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stretches of text -> the hashes of their k-grams, and how many."""
+    for batch in batches:
+        held = [span_hash(words(np.frombuffer(x.as_buffer(), np.uint8)), ANCHOR) for x in batch.column(0)]
+        found, times = np.unique(np.concatenate(held), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(times)], ["h", "times"])
+
+
+def hot_anchors(keyed: DataFrame, n: int) -> np.ndarray:
+    """Sorted hashes of the k-grams that stand in very many places."""
+    picked = F.filter(F.sequence(F.lit(0), F.floor((F.length("data") - ANCHOR) / STRETCH).cast("int")),
+                      lambda k: F.pmod(F.xxhash64("doc", "key", k), F.lit(SAMPLE)) == 0)
+    cut = F.transform(picked, lambda k: F.substring("data", k * STRETCH + 1, F.lit(STRETCH + ANCHOR - 1)))
+    sample = keyed.where(F.length("data") >= n).select(F.explode(cut).alias("data")).mapInArrow(_counted, "h long, times long")
+    common = sample.groupBy("h").agg(F.sum("times").alias("times")).where(F.col("times") >= HOT).select("h").toArrow()
+    return np.sort(common.column(0).to_numpy().astype(np.int64).view(np.uint64))
+
+
 def _found(keyed: DataFrame, n: int, labels: list[int], every: bool) -> DataFrame:
     if not ANCHOR + 8 <= n <= 1 << 16:
         raise ValueError(f"min_length must be from {ANCHOR + 8} to {1 << 16}")
-    contexts = keyed.where(F.length("data") >= n).select("doc", "key", "data").mapInArrow(_contexts(n, labels), SENT)
+    contexts = keyed.where(F.length("data") >= n).select("doc", "key", "data").mapInArrow(_contexts(n, labels, hot_anchors(keyed, n)), SENT)
     return contexts.repartition("part").sortWithinPartitions("part").mapInArrow(_repeats(n, labels, every), SENT)
 
 

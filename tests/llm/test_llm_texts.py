@@ -83,6 +83,38 @@ def test_removal_edge_rows(spark):
     assert [r for r in twice if r[0] == 5] == [r for r in brute_removed(distinct) if r[0] == 5] * 2
 
 
+def test_common_line_spreads_over_anchors(spark, monkeypatch):
+    """A line below the least length in every document, a passage above it in
+    half of them: the same removal, and no anchor with a large share."""
+    import pyarrow as pa
+
+    ship(spark)
+    r = random.Random(3)
+    line, passage = ("".join(r.choices("abcdefgh ", k=k)) for k in (53, 260))
+    rows = [(k, "".join(r.choices("ijklmnop", k=150)) + line + "".join(r.choices("qrstuv", k=150)) + passage * (k % 2) + "".join(r.choices("wxyz", k=150))) for k in range(120)]
+    rows += [(200 + k, "".join(r.choices([line, passage[:60], passage[90:150]], k=6))) for k in range(60)]
+    docs = documents(spark, rows).repartition(3)
+    monkeypatch.setattr(suffixes, "SAMPLE", 1)
+    monkeypatch.setattr(suffixes, "HOT", 15)
+    hot = suffixes.hot_anchors(suffixes._keyed(docs, "doc_id", "text"), 100)
+    assert len(hot) > 200
+    batch = pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows]), pa.array([k for k, _ in rows]), pa.array([t.encode() for _, t in rows], pa.binary())], ["doc", "key", "data"])
+    most = []
+    for found in (hot[:0], hot):
+        sent = pa.Table.from_batches(list(suffixes._contexts(100, list(range(97)), found)(iter([batch]))), schema=suffixes.MAPPED)
+        windows = np.zeros(97, int)
+        for part, head, body in zip(*(c.to_pylist() for c in sent.columns)):
+            windows[part] += 0 if body is None else int(suffixes.unpack(head)["size"].sum())
+        most.append(windows.max() / windows.mean())
+    assert most[0] > 8 and most[1] < 3
+    assert removed(docs) == brute_removed(rows)
+    named = {}
+    texts = dict(rows)
+    for x in suffixes.maximal_repeats(docs).collect():
+        named.setdefault(x["repeat"], set()).add(texts[x["doc_id"]].encode()[x["start"] : x["start"] + x["length"]])
+    assert all(len(t) == 1 for t in named.values())
+
+
 def test_maximal_repeats_name_all_occurrences(spark):
     ship(spark)
     r = random.Random(4)
