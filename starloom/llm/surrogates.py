@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
@@ -52,18 +53,21 @@ _LETTER = {c: (a, a.index(c)) for a in ALPHABETS for c in a}
 _NAME = {name: kind for kind, names in FIRST_NAMES.items() for name in names}
 
 _EMAIL = re.compile(r"[^\W_][\w.+-]*@[\w-]+(?:\.[\w-]+)+")
-_ASSIGNED = re.compile(r"(?i)\b(?:token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key)\b\W{0,6}?[=:]\W{0,6}?([A-Za-z0-9_+/-]{8,}=*)")
+# up to the closing quote, else to white space
+_ASSIGNED = re.compile(r"""(?i)(?:token|secret(?:[_-]?key)?|password|passwd|pwd|api[_-]?key|access[_-]?key)\b\W{0,6}?[=:](?:[\s=>(\[{*]{0,6}[bruf]{0,2}(\\?["'`])((?:(?!\1)(?:\\.|[^\\\n])){8,}?)\1|\W{0,6}?(\w\S{7,}))""")
 _HEX = re.compile(r"(?<![^\W_])(?=[0-9A-Fa-f]*\d)[0-9A-Fa-f]{32,}(?![^\W_])")
-_KEY = re.compile(r"(?<!\w)(?:sk-|ghp_|gho_|AKIA|xox[bp]-)([A-Za-z0-9-]{12,})")
+_KEY = re.compile(r"(?<!\w)(?:sk-|ghp_|gho_|AKIA|xox[bp]-)([A-Za-z0-9_-]{12,})")
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _IP = re.compile(rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.\d)")
 _IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")
 _CARD = re.compile(r"(?<![\w.])\d(?:[ -]?\d){12,18}(?!\w)")
 _SSN = re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")
 _PHONE = re.compile(r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,5}\)[ .-]?|\d{2,4}[ .-])?\d{3,4}[ .-]\d{4}(?![\w-])|(?<![\w.])\+\d{7,15}(?!\w)|(?<![\w.])\+\d{1,3}(?:[ .-]\d{2,4}){2,5}(?!\w)")
-_TITLED = re.compile(rf"(?<!\w)(?:{'|'.join(TITLES)})\.? ([^\W\d_][\w'-]+)(?: ([^\W\d_][\w'-]+))?")
-_FIRST = re.compile(rf"(?<!\w)({'|'.join(sorted(_NAME, key=len, reverse=True))}) ([^\W\d_][\w'-]+)")
-_DIGIT = re.compile(r"[0-9]{2}")
+_TITLED = re.compile(rf"(?<!\w)(?:{'|'.join(TITLES)})\.? (?=[^\W\d_])")
+_FIRST = re.compile(rf"(?<!\w)(?:{'|'.join(sorted(_NAME, key=len, reverse=True))})(?= )")
+# a part of a name, after what may stand before it in lower case
+_PART = re.compile(r"(?:(?:de|da|do|dos|das|del|della|di|du|la|le|van|von|der|den|ter|zu|bin|al|el) ){0,3}([^\W\d_](?:\w|['’-](?=\w))*)")
+_DIGIT = re.compile(r"\d[\d.]")
 
 
 @lru_cache(maxsize=100_000)
@@ -113,20 +117,35 @@ def drawn(key: bytes, tweak: str, digits: Sequence[int], sizes: Sequence[int], a
             return out
 
 
+@lru_cache(maxsize=10_000)
+def _signs(c: str) -> str:
+    """What a letter or digit is drawn from: ten digits, one of ALPHABETS, or
+    the letters of its script and category within 256 code points."""
+    if c.isdecimal():
+        zero = ord(c) - unicodedata.decimal(c)
+        return "".join(map(chr, range(zero, zero + 10)))
+    if c in _LETTER:
+        return _LETTER[c][0]
+
+    def kind(x: str) -> tuple:
+        return unicodedata.category(x), unicodedata.name(x, "").split(" ")[0].split("-")[0], x.upper().lower() == x and len(x.upper()) == 1
+
+    start = ord(c) & ~0xFF
+    return "".join(x for x in map(chr, range(start, start + 256)) if x.isalpha() and x not in _LETTER and kind(x) == kind(c))
+
+
 def respelled(key: bytes, kind: str, text: str, hexadecimal: bool = False, fixed: int = 0, allowed: Callable[[str], bool] | None = None) -> str:
     """``text`` with other digits and letters, of the same scripts, cases and
-    places; the first ``fixed`` characters and those of no known script stay."""
-    lower = text.lower() if len(text.lower()) == len(text) else text
+    places; the first ``fixed`` characters and other signs stay."""
+    lower = "".join(c.lower() if len(c.lower()) == 1 and c.lower().upper() == c else c for c in text)
     places, digits, sizes, signs, form = [], [], [], [], []
     for k, c in enumerate(lower):
         signs_here = None
         if k >= fixed:
             if hexadecimal and c in "0123456789abcdef":
                 signs_here = "0123456789abcdef"
-            elif "0" <= c <= "9":
-                signs_here = "0123456789"
-            elif c in _LETTER and (text[k] == c or c.upper() == text[k]):
-                signs_here = _LETTER[c][0]
+            elif c.isdecimal() or c.isalpha():
+                signs_here = _signs(c)
         if signs_here is None:
             form.append(c)
             continue
@@ -172,6 +191,8 @@ def _email(key: bytes, value: str) -> str:
 
 
 def _ip(key: bytes, value: str) -> str:
+    if not value.isascii():
+        return respelled(key, "ip", value, allowed=lambda v: bool(_IP.fullmatch(v)))
     octets = [int(x) for x in value.split(".")]
     kind = _address(octets)
     if kind != "public":  # the network part of a special address is its class
@@ -220,6 +241,28 @@ SURROGATE: dict[str, Callable[[bytes, str], str]] = {
 }
 
 
+def _name_parts(text: str, at: int) -> list[tuple[int, int]]:
+    """The capitalised words and initials (with a point) from ``at`` on."""
+    out: list[tuple[int, int]] = []
+    while m := _PART.match(text, at):
+        start, end = m.span(1)
+        word = text[start:end]
+        point = text[end : end + 1] == "."
+        if not word[0].isupper() or len(word) == 1 and not point:
+            break
+        owner = word.endswith(("'s", "’s"))
+        if word not in TITLES:
+            out.append((start, end - 2 * owner))
+        at = end + (point and (len(word) == 1 or word in TITLES))
+        if text[at : at + 1] == " ":
+            at += 1
+        elif at == end:
+            break
+        if owner:
+            break
+    return out
+
+
 def entities(text: str) -> list[tuple[int, int, str]]:
     """(start, end, type) of the entities of a text, in their order; where
     patterns overlap, the one named first here holds."""
@@ -231,12 +274,15 @@ def entities(text: str) -> list[tuple[int, int, str]]:
             taken[start:end] = b"\x01" * (end - start)
             found.append((start, end, kind))
 
+    if "=" in text or ":" in text:  # first: a password may look like an e-mail
+        for m in _ASSIGNED.finditer(text):
+            value = m.group(2) or m.group(3).rstrip("\"'`,;:.!?)]}>\\")
+            start = m.start(2 if m.group(2) else 3)
+            if len(value) >= 8 and not _EMAIL.fullmatch(value):
+                take(start, start + len(value), "secret")
     if "@" in text:
         for m in _EMAIL.finditer(text):
             take(*m.span(), "email")
-    if "=" in text or ":" in text:
-        for m in _ASSIGNED.finditer(text):
-            take(*m.span(1), "secret")
     for m in _HEX.finditer(text):
         take(*m.span(), "secret")
     for m in _KEY.finditer(text):
@@ -245,18 +291,28 @@ def entities(text: str) -> list[tuple[int, int, str]]:
         for pattern, kind in ((_IP, "ip"), (_IBAN, "iban"), (_CARD, "card"), (_SSN, "ssn"), (_PHONE, "phone")):
             for m in pattern.finditer(text):
                 take(*m.span(), kind)
+    names: dict[str, str] = {}
+
+    def name(spans: list[tuple[int, int]]) -> None:
+        for k, (start, end) in enumerate(spans):
+            kind = "first_name" if k == 0 and text[start:end] in _NAME else "surname"
+            take(start, end, kind)
+            if end - start > 1:
+                names.setdefault(text[start:end], kind)
+
     for m in _TITLED.finditer(text):
-        first, last = m.group(1), m.group(2)
-        if first in _NAME:
-            take(*m.span(1), "first_name")
-            if last and last[0].isupper():
-                take(*m.span(2), "surname")
-        elif first[0].isupper():
-            take(*m.span(1), "surname")
+        name(_name_parts(text, m.end()))
     for m in _FIRST.finditer(text):
-        if m.group(2)[0].isupper():
-            take(*m.span(1), "first_name")
-            take(*m.span(2), "surname")
+        more = _name_parts(text, m.end() + 1)
+        if any(end - start > 1 for start, end in more):
+            name([m.span(), *more])
+    for value, kind in names.items():  # other mentions of the same names
+        start = text.find(value)
+        while start >= 0:
+            end = start + len(value)
+            if not any(c.isalnum() or c == "_" for c in text[max(start - 1, 0) : start] + text[end : end + 1]):
+                take(start, end, kind)
+            start = text.find(value, end)
     return sorted(found)
 
 

@@ -279,3 +279,26 @@ def test_no_collisions_in_documents(spark):
     done = surrogates.pseudonymise(docs, KEY)
     assert done.where(F.size("entities") > 0).count() > 20
     assert done.where(F.size("entities") == 0).join(docs.withColumnRenamed("text", "old"), "doc_id").where("text <> old").count() == 0
+
+
+@pytest.mark.parametrize(("text", "gone"), [
+    ('token = "eyJhbGciOi.eyJzdWIiOjEy.SflKxwRJSM"', ["eyJhbGciOi", "eyJzdWIiOjEy", "SflKxwRJSM"]),
+    ('password = "p@ss!w0rd#2024" # set', ["ss!w0rd", "2024"]),
+    ("password: p@ss.word!2024, then", ["ss.word", "2024"]),
+    ("auth_token=abcdefgh1234 client_secret: 'zyxwvuts98'", ["abcdefgh", "1234", "zyxwvuts"]),
+    ('{\\"token\\": \\"abcd.efgh\\", \\"n\\": 1}', ["abcd", "efgh"]),
+    ("write to 漢字@例子.com or سلام@مثال.com, שלום@דוגמה.com", ["漢", "字", "سلام", "שלום", "例子", "مثال"]),
+    ("call +٤٩ ٣٠٥ ٥٥٥ ٣٦٦١ or ٠٣٠-٥٥٥-٣٦٦١", ["٥٥٥", "٣٦٦١"]),
+    ("Dr Ana Lopez Garcia came. Lopez said no, Garcia's son and Ana left; Lopez agreed.", ["Lopez", "Garcia", "Ana "]),
+    ("John F. Kennedy and Maria de la Cruz met. Kennedy left, Cruz's dog too.", ["Kennedy", "Cruz", "John", "Maria"]),
+])
+def test_entities_are_replaced_whole(text, gone):
+    new, found = surrogates.replaced(text, KEY)
+    assert found and not any(part in new for part in gone)
+    assert all(a != b and new[s:e] == b for s, e, _, a, b in found)
+
+
+def test_text_beside_entities_stays():
+    text = 'password = "" and then say "hello there"; Mr. Smith. Then Monday came: https://example.com/a_page is no secret'
+    new, found = surrogates.replaced(text, KEY)
+    assert [(k, a) for _, _, k, a, _ in found] == [("surname", "Smith")]
