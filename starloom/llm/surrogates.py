@@ -10,7 +10,7 @@ themselves, so two entities never share a surrogate. Every draw is checked:
 it must keep the type's rules (check digits, address class) and differ from
 the original; a draw that collides with a rule moves on along the map's
 single cycle, which keeps it one-to-one. ``collisions`` checks a corpus
-after the fact.
+after the fact, and ``checked`` does so before it is rewritten.
 """
 
 from __future__ import annotations
@@ -134,7 +134,7 @@ def _signs(c: str) -> str:
     return "".join(x for x in map(chr, range(start, start + 256)) if x.isalpha() and x not in _LETTER and kind(x) == kind(c))
 
 
-def respelled(key: bytes, kind: str, text: str, hexadecimal: bool = False, fixed: int = 0, allowed: Callable[[str], bool] | None = None) -> str:
+def respelled(key: bytes, kind: str, text: str, fixed: int = 0, allowed: Callable[[str], bool] | None = None) -> str:
     """``text`` with other digits and letters, of the same scripts, cases and
     places; the first ``fixed`` characters and other signs stay."""
     lower = "".join(c.lower() if len(c.lower()) == 1 and c.lower().upper() == c else c for c in text)
@@ -142,9 +142,7 @@ def respelled(key: bytes, kind: str, text: str, hexadecimal: bool = False, fixed
     for k, c in enumerate(lower):
         signs_here = None
         if k >= fixed:
-            if hexadecimal and c in "0123456789abcdef":
-                signs_here = "0123456789abcdef"
-            elif c.isdecimal() or c.isalpha():
+            if c.isdecimal() or c.isalpha():
                 signs_here = _signs(c)
         if signs_here is None:
             form.append(c)
@@ -174,7 +172,10 @@ def luhn(text: str) -> bool:
 
 def iban_valid(text: str) -> bool:
     s = text.replace(" ", "")
-    return int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
+    try:
+        return int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
+    except ValueError:
+        return False
 
 
 def _address(octets: Sequence[int]) -> str:
@@ -206,19 +207,30 @@ def _card(key: bytes, value: str) -> str:
 
 
 def _iban(key: bytes, value: str) -> str:
-    try:
-        valid = iban_valid(value)
-    except ValueError:
-        valid = False
-    return respelled(key, "iban", value, fixed=2, allowed=iban_valid if valid else None)
+    valid = iban_valid(value)
+    return respelled(key, "iban", value, fixed=2, allowed=lambda v: iban_valid(v) == valid)
 
 
 def _secret(key: bytes, value: str) -> str:
     if _is_hex(value):
-        return respelled(key, "secret", value, hexadecimal=True)
+        return _hex(key, value)
     return respelled(key, "secret", value, allowed=lambda v: not _is_hex(v))
 
 
+def _hex(key: bytes, value: str) -> str:
+    """Hex of the same case: lower (or digits alone), upper, or both."""
+    signs, allowed = "0123456789abcdef", None
+    if value != value.lower():
+        mixed = value != value.upper()
+        signs = "0123456789abcdefABCDEF" if mixed else "0123456789ABCDEF"
+
+        def allowed(v: list[int]) -> bool:
+            return any(x > 15 for x in v) and any(9 < x < 16 for x in v) if mixed else any(x > 9 for x in v)
+
+    n = len(value)
+    return "".join(signs[x] for x in drawn(key, "secret\x01" + "\x000" * n, [signs.index(c) for c in value], [len(signs)] * n, allowed))
+
+
 def _is_hex(text: str) -> bool:
     return all(c in "0123456789abcdefABCDEF" for c in text)
 
@@ -372,3 +384,11 @@ def collisions(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFrame
     seen = docs.select(text_col).mapInArrow(run, "type string, original string, surrogate string").distinct()
     many = seen.groupBy("type", "surrogate").agg(F.count("*").alias("originals"), F.max(F.col("original") == F.col("surrogate")).alias("same"))
     return many.where("originals > 1 or same").select("type", "surrogate", "originals")
+
+
+def checked(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFrame:
+    """``docs``, after a job that fails if surrogates collide in them."""
+    found = collisions(docs, key, text_col).limit(5).collect()
+    if found:  # by type and count alone: a surrogate may be an original here
+        raise ValueError(f"surrogates collide: {[(r['type'], r['originals']) for r in found]}")
+    return docs

@@ -302,3 +302,24 @@ def test_text_beside_entities_stays():
     text = 'password = "" and then say "hello there"; Mr. Smith. Then Monday came: https://example.com/a_page is no secret'
     new, found = surrogates.replaced(text, KEY)
     assert [(k, a) for _, _, k, a, _ in found] == [("surname", "Smith")]
+
+
+def test_letter_case_and_wrong_check_digits_never_collide():
+    tokens = [x for k in range(60) for x in (f"deadbee{k % 10}{k:02}e", f"deadbee{k % 10}{k:02}E", f"DEADBEE{k % 10}{k:02}E")]
+    images = {t: surrogates.surrogate(KEY, "secret", t) for t in tokens}
+    assert len(set(images.values())) == len(images)
+    for t, new in images.items():
+        assert new != t and surrogates._is_hex(new)
+        assert (new == new.lower()) == (t == t.lower()) and (new == new.upper()) == (t == t.upper())
+    for k in range(300):
+        iban = f"GB82 WEST 1234 5698 7{k:03} 32"
+        assert surrogates.iban_valid(surrogates.surrogate(KEY, "iban", iban)) == surrogates.iban_valid(iban)
+
+
+def test_collisions_stop_the_query(spark, monkeypatch):
+    ship(spark)
+    docs = documents(spark, [(1, PERSONAL)])
+    assert surrogates.checked(docs, KEY) is docs
+    monkeypatch.setattr(surrogates, "collisions", lambda *_: spark.sql("select 'iban' type, 'x' surrogate, 2L originals"))
+    with pytest.raises(ValueError, match="iban"):
+        surrogates.checked(docs, KEY)
