@@ -49,9 +49,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, n_tokens, ids``: the token ids, little-endian unsigned 32-bit."""
+    """``doc_id, n_tokens, ids, decoded_sha256, same``: the token ids,
+    little-endian unsigned 32-bit, the hash of what they decode to, and
+    whether that is the text."""
     ship(spark)
-    return bpe.encode(docs, queries.RANKS, queries.PATTERN)
+    return bpe.round_trip(docs, queries.RANKS, queries.PATTERN)
 
 
 STAGES = [
@@ -64,7 +66,7 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents' token ids after all stages."""
+    """The documents' token ids, decoded again, after all stages."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = write_cut(stage(spark, docs, sf_dir), f"pipeline-{name}")

@@ -11,6 +11,7 @@ they surface. A pre-token of n bytes costs O(n log n) whatever its length.
 from __future__ import annotations
 
 import base64
+import hashlib
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
@@ -187,6 +188,27 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, n_tokens long, ids binary, decoded binary")
 
 
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, n_tokens, ids, decoded_sha256, same``: ``encode``, then the
+    ids decoded, and whether that gives the text's bytes again."""
+    blob = vocabulary(docs, ranks_path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        e = encoder(blob.value, pattern)
+        for batch in batches:
+            out: list[list] = [[], [], [], []]
+            for text in map(pa.StringScalar.as_py, batch.column(1)):
+                ids = e.encode(text) if text else b""
+                decoded = e.decode(ids)
+                for column, value in zip(out, (len(ids) // 4, ids, hashlib.sha256(decoded).hexdigest(), decoded == (text or "").encode())):
+                    column.append(value)
+            kinds = (pa.int64(), pa.binary(), pa.string(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, out, kinds)], ["doc_id", "n_tokens", "ids", "decoded_sha256", "same"])
+
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids binary, decoded_sha256 string, same boolean")
+
+
 def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256``: encode, then decode."""
     done = decode(encode(docs, ranks_path, pattern), ranks_path)

@@ -1,5 +1,6 @@
 """The pipeline: each stage against a plain version of it, and the registry."""
 
+import hashlib
 import subprocess
 import sys
 
@@ -88,6 +89,12 @@ def test_run_chains_the_stages(spark):
     assert len(got) > 50
 
 
+def test_byte_bpe_stage_decodes(spark, source):
+    got = STAGE["byte_bpe"](spark, source, SF_SMALL).select("doc_id", "decoded_sha256", "same").collect()
+    want = [(r["doc_id"], hashlib.sha256((r["text"] or "").encode()).hexdigest(), True) for r in source.select("doc_id", "text").collect()]
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
 def test_pipeline_of_an_empty_table(spark):
     docs = documents(spark, EDGE).limit(0)
     for name, stage in corpus_pipeline.STAGES:
