@@ -43,7 +43,8 @@ def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 fp.append(None), vec.append(None), dim.append(None)
                 continue
             x = x + 0.0  # one zero
-            fp.append(hashlib.blake2b(x.tobytes(), digest_size=16, key=str(label).encode()[:64]).digest())
+            name = str(label).encode()
+            fp.append(hashlib.blake2b(len(name).to_bytes(8, "little") + name + x.tobytes(), digest_size=16).digest())
             vec.append(x.tobytes())
             dim.append(len(x))
         yield pa.RecordBatch.from_arrays(

@@ -153,3 +153,12 @@ def test_edge_vectors(spark):
 def test_repeated_rows_count_each(spark, rows):
     ship(spark)
     assert near(vectors(spark, rows)) == [(0, 2, 0)] * 3
+
+
+def test_long_labels_are_told_apart():
+    """Equal vectors whose labels differ after 64 bytes are two members."""
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array(["x" * 64 + "a", "x" * 64 + "b", "x" * 64 + "a"]), pa.array([[1.0, 2.0]] * 3)], ["vec_id", "label", "vec"])
+    fp = next(neighbours._clean(iter([batch]))).column(2).to_pylist()
+    assert fp[0] == fp[2] != fp[1]
