@@ -96,4 +96,30 @@ least AS (SELECT id, min(other) AS class_id FROM reach GROUP BY id)
 SELECT id AS doc_id, class_id, (SELECT count(*) FROM links WHERE links.a = least.id) AS n_links, class_id = id AS kept FROM least
 """
 
-ORACLE: dict[str, str] = {"op1_embedding_neardup": NEAR_VECTORS, "op4_ngram_jaccard": JACCARD, "op5_suffix_dedup": SUFFIXES, "op7_mixing": MIXING, "op8_chat": CHAT}
+DIVERGENCE = """
+WITH d AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+t AS (SELECT doc, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT doc) >= 3),
+size AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+grp AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS c FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+n AS (SELECT g.lang, g.source, v, coalesce(sum(c), 0) AS n FROM grp g JOIN size USING (lang) LEFT JOIN c USING (lang, source) GROUP BY ALL),
+p AS (
+  SELECT n.lang, n.source, kept.term, coalesce(c, 0) AS c, 1 + (1000000000::HUGEINT * (coalesce(c, 0) + 1)) // (n + v)::HUGEINT AS p
+  FROM n JOIN kept USING (lang) LEFT JOIN c USING (lang, source, term)),
+q AS (
+  SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(c) + 1)) // (sum(sum(c)) OVER (PARTITION BY lang) + count(*) OVER (PARTITION BY lang))::HUGEINT AS q
+  FROM p GROUP BY lang, term),
+listed AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+         coalesce((SELECT sum((x.p - y.p) * (x.p - y.p) // y.p) FROM p x JOIN p y USING (lang, term) WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0) AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p JOIN q USING (lang, term) WHERE c > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM listed)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+ORACLE: dict[str, str] = {"op1_embedding_neardup": NEAR_VECTORS, "op4_ngram_jaccard": JACCARD, "op5_suffix_dedup": SUFFIXES, "op7_mixing": MIXING, "op8_chat": CHAT, "op11_source_divergence": DIVERGENCE}
