@@ -122,4 +122,21 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY
 SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 200
 """
 
-ORACLE: dict[str, str] = {"op1_embedding_neardup": NEAR_VECTORS, "op4_ngram_jaccard": JACCARD, "op5_suffix_dedup": SUFFIXES, "op7_mixing": MIXING, "op8_chat": CHAT, "op11_source_divergence": DIVERGENCE}
+_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+RANKED = f"""
+WITH d AS (SELECT row_number() OVER () AS doc, doc_id, {_WORDS} AS w FROM documents),
+s AS (SELECT count(*) AS n, sum(len(w))::BIGINT AS l FROM d WHERE len(w) > 0),
+tf AS (SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest(w) AS term FROM d) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+i AS (SELECT row_number() OVER () AS item, item_id, {_WORDS} AS w FROM benchmark),
+q AS (SELECT item, item_id, term, count(*) AS times FROM (SELECT item, item_id, unnest(w) AS term FROM i) GROUP BY ALL),
+wq AS (SELECT item, item_id, term, times, floor(1000 * ln((2 * n + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS weight FROM q JOIN df USING (term), s),
+scored AS (
+  SELECT item, item_id, doc_id, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * len(w) * n) // l))))::BIGINT AS score
+  FROM wq JOIN tf USING (term) JOIN d USING (doc), s GROUP BY item, item_id, doc, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+ORACLE: dict[str, str] = {"op1_embedding_neardup": NEAR_VECTORS, "op4_ngram_jaccard": JACCARD, "op5_suffix_dedup": SUFFIXES, "op7_mixing": MIXING, "op8_chat": CHAT, "op11_source_divergence": DIVERGENCE, "op12_ranked_search": RANKED}
