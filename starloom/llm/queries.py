@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import balltree, bpe, chat, divergence, jaccard, langid, mixing, neighbours, parsing, suffixes, surrogates, tokencount
+from starloom.llm import balltree, bpe, chat, divergence, jaccard, langid, mixing, neighbours, packing, parsing, suffixes, surrogates, tokencount
 from starloom.llm.common import table
 
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -76,4 +76,9 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balltree.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_embedding_neardup, op2_pii_surrogates, op3_token_counts, op4_ngram_jaccard, op5_suffix_dedup, op6_fingerprints, op7_mixing, op8_chat, op9_byte_bpe, op10_language_id, op11_source_divergence, op12_ranked_search)}
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in training windows."""
+    return packing.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), PATTERN)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_embedding_neardup, op2_pii_surrogates, op3_token_counts, op4_ngram_jaccard, op5_suffix_dedup, op6_fingerprints, op7_mixing, op8_chat, op9_byte_bpe, op10_language_id, op11_source_divergence, op12_ranked_search, op13_packing)}
