@@ -19,8 +19,12 @@ from pyspark.sql import functions as F
 from ..operators import align_columns, build_fact, day_spine, int_spine, union_aligned
 from ..sources import (
     PART_TOKEN,
+    Delivery,
+    current,
+    deliver,
     read_by_header,
     read_delimited,
+    read_delivered,
     read_layer,
     read_positional,
     write_counted,
@@ -33,31 +37,48 @@ from . import vocab as V
 def ingest_vaccination(spark: SparkSession, raw: str | Sequence[str], out: str,
                        part_token: str = PART_TOKEN, max_records_per_file: int | None = None,
                        columns: Sequence[str] | None = None,
-                       sort_within: Sequence[str] = ("paciente_endereco_uf",)) -> int:
+                       sort_within: Sequence[str] = ("paciente_endereco_uf",), root: str = "") -> int:
     """Raw vaccination CSV files -> conformed rows, one
-    ``parte=<token>/arquivo=<file name>`` partition per file. Returns the
+    ``parte=<token>/arquivo=<path>`` partition per file. Returns the
     rows written.
 
     A run replaces the partitions of the files it reads and no others: files
     that share a token, in one run or in several, stand beside each other,
-    and a file delivered again replaces itself (files are known by name). A
-    file name without a token fails the run. Files may differ in the order
-    of their columns and in further columns (one scan for each header);
+    and a file delivered again replaces itself. Files are known by their path
+    below ``root``, by default by their whole path: files of one name in two
+    folders are two. A file name without a token fails the run. Files may
+    differ in the order, the spelling and the number of their columns (one
+    scan for each header, one job to find them);
     ``columns`` names the header that all files have, which saves reading
     the headers and checks every file against it. ``sort_within``: rows of a
     file are stored by these columns, so that the tables of one state read
     the row groups that hold it.
     """
     if columns is not None:
-        scan = read_delimited(spark, raw, columns, part_token=part_token, file_column="arquivo")
+        scan = read_delimited(spark, raw, columns, part_token=part_token, file_column="arquivo", root=root)
     else:
-        scan = read_by_header(spark, raw, part_token=part_token, file_column="arquivo")
+        scan = read_by_header(spark, raw, part_token=part_token, file_column="arquivo", root=root)
     return write_counted(star.conform_vaccination(scan), out, partition_by=["parte", "arquivo"],
                          max_records_per_file=max_records_per_file, sort_within=sort_within)
 
 
+def deliver_vaccination(spark: SparkSession, root: str, layer: str, part_token: str = PART_TOKEN,
+                        columns: Sequence[str] | None = None, drop_withdrawn: bool = False,
+                        sort_within: Sequence[str] = ("paciente_endereco_uf",),
+                        max_records_per_file: int | None = None) -> Delivery:
+    """Bring a layer of conformed vaccination rows up to date with the raw
+    files below ``root``: only new and changed files are read, by the ledger
+    beside the layer, and one commit puts the result in force (see
+    :func:`starloom.sources.deliver`)."""
+    return deliver(spark, root, layer, star.conform_vaccination, part_token=part_token, columns=columns,
+                   drop_withdrawn=drop_withdrawn, sort_within=sort_within, max_records_per_file=max_records_per_file)
+
+
 def read_vaccination_layer(spark: SparkSession, prestructured: str) -> DataFrame:
-    """The layer that :func:`ingest_vaccination` writes."""
+    """The layer that :func:`ingest_vaccination` or
+    :func:`deliver_vaccination` writes."""
+    if current(spark, prestructured)[0]:
+        return read_delivered(spark, prestructured)
     return read_layer(spark, prestructured, {"parte": "string", "arquivo": "string"})
 
 

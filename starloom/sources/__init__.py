@@ -1,12 +1,24 @@
 """Scans (CSV variants, Parquet layers) and sinks (Parquet writes)."""
 
-from .csv import PART_TOKEN, list_files, read_by_header, read_delimited, read_positional, string_schema, with_source
+from .csv import (
+    PART_TOKEN,
+    header_groups,
+    list_files,
+    read_by_header,
+    read_delimited,
+    read_positional,
+    string_schema,
+    with_source,
+)
+from .ledger import Delivery, compare, deliver, listing, read_delivered, read_ledger
 from .parquet import read_layer
 from .scratch import drop_scratch, path_exists, scratch_path, shared_root
 from .sinks import write_counted, write_parquet
+from .versions import current, prune, read_replaced, replace_parquet
 
 __all__ = [
-    "PART_TOKEN", "drop_scratch", "list_files", "path_exists", "read_by_header", "read_delimited", "read_layer",
-    "read_positional", "scratch_path", "shared_root", "string_schema", "with_source",
+    "PART_TOKEN", "Delivery", "compare", "current", "deliver", "drop_scratch", "header_groups", "list_files", "listing",
+    "path_exists", "prune", "read_by_header", "read_delimited", "read_delivered", "read_layer", "read_ledger",
+    "read_positional", "read_replaced", "replace_parquet", "scratch_path", "shared_root", "string_schema", "with_source",
     "write_counted", "write_parquet",
 ]

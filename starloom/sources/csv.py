@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import csv
+import re
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -28,6 +29,8 @@ def read_delimited(
     token_column: str = "parte",
     token_source: str = "file_name",
     file_column: str | None = None,
+    root: str | None = None,
+    check_header: bool = True,
 ) -> DataFrame:
     """Header CSV scan (one file, a glob or a list), all columns text.
 
@@ -41,19 +44,48 @@ def read_delimited(
     ``token_source='file_path'``), adding ``token_column``: one scan over
     all files replaces a loop over a file listing. A file whose name has no
     token fails the read, naming the file. ``file_column`` adds the source
-    file's name.
+    file's name, or its path (see :func:`with_source`).
+    ``check_header=False``: the caller knows that every file has ``columns``
+    in this order, however it spells them.
     """
     reader = (spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
-              .option("enforceSchema", False).option("mode", "PERMISSIVE"))
+              .option("enforceSchema", not check_header).option("mode", "PERMISSIVE"))
     if columns is not None:
         reader = reader.schema(string_schema(columns))
     df = reader.csv(path if isinstance(path, str) else list(path))
-    return with_source(df, part_token, token_column, token_source, file_column)
+    return with_source(df, part_token, token_column, token_source, file_column, root)
+
+
+_SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:/+"
+
+
+def file_path() -> Column:
+    """The source file's path as it is written (``_metadata`` has it as a URL)."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
+def exactly(path: str) -> str:
+    """A path that is read as it is, not as a glob."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+def path_below(spark: SparkSession, path: Column, root: str) -> Column:
+    """``path`` without its scheme, below ``root`` ('' for no root). A path
+    that is not below it fails the read, naming the path."""
+    plain = F.regexp_replace(path, _SCHEME, "")
+    if not root:
+        return plain
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(root)
+    whole = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(hadoop).toString()
+    prefix = F.concat(F.regexp_replace(F.lit(whole), _SCHEME, ""), F.lit("/"))
+    return F.when(F.startswith(plain, prefix), F.substr(plain, F.length(prefix) + 1)).otherwise(
+        F.raise_error(F.concat(F.lit("not below the root: "), path)).cast("string"))
 
 
 def with_source(df: DataFrame, part_token: str | None, token_column: str = "parte",
-                token_source: str = "file_name", file_column: str | None = None) -> DataFrame:
-    """``df`` (a file scan) with the part token and the name of its files."""
+                token_source: str = "file_name", file_column: str | None = None, root: str | None = None) -> DataFrame:
+    """``df`` (a file scan) with the part token and the name of its files, or
+    their path below ``root`` (the whole path if that is '')."""
     added = {}
     if part_token is not None:
         source = F.col(f"_metadata.{token_source}")
@@ -61,7 +93,8 @@ def with_source(df: DataFrame, part_token: str | None, token_column: str = "part
         added[token_column] = F.when(token != "", token).otherwise(
             F.raise_error(F.concat(F.lit("no part token in the file name "), source)).cast("string"))
     if file_column is not None:
-        added[file_column] = F.col("_metadata.file_name")
+        added[file_column] = (F.col("_metadata.file_name") if root is None
+                              else path_below(df.sparkSession, file_path(), root))
     return df.withColumns(added) if added else df
 
 
@@ -71,6 +104,36 @@ def list_files(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
     return sorted(r["path"] for r in found.collect())
 
 
+def file_heads(spark: SparkSession, path: str | Sequence[str], encoding: str = "UTF-8") -> DataFrame:
+    """``file, head``: the first line of every file that has any, in one job.
+
+    The executors read the files' first blocks as text, and each task keeps
+    the first line that it meets of a file: it is the file's first, since one
+    task reads a block from its start. The second aggregate has Spark keep
+    these lines in a hash map; with ``first`` alone it would sort all lines.
+    """
+    lines = (spark.read.option("encoding", encoding).text(path if isinstance(path, str) else list(path))
+             .where("_metadata.file_block_start = 0").select(file_path().alias("file"), "value"))
+    heads = lines.groupBy("file").agg(F.first("value").alias("head"), F.collect_set(F.lit(1)).alias("seen"))
+    return heads.where(F.size("seen") == 1).select("file", F.regexp_replace("head", "^\uFEFF", "").alias("head"))
+
+
+def header_groups(spark: SparkSession, path: str | Sequence[str], sep: str = ";",
+                  encoding: str = "UTF-8") -> list[tuple[list[str], list[str]]]:
+    """The distinct headers, each with its files. Names that differ in letter
+    case, surrounding blanks or a byte order mark are one; the spelling is
+    that of the first file. Only headers and file names reach the driver."""
+    found = file_heads(spark, path, encoding).groupBy("head").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
+    groups: dict[tuple[str, ...], tuple[list[str], list[str]]] = {}
+    for row in sorted(found, key=lambda r: r["files"][0]):
+        names = [n.strip() for n in next(csv.reader([row["head"].rstrip("\r")], delimiter=sep, skipinitialspace=True), [])]
+        folded = tuple(n.lower() for n in names)
+        if len(set(folded)) < len(folded):
+            raise ValueError(f"{row['files'][0]} names a column twice: {names}")
+        groups.setdefault(folded, (names, []))[1].extend(row["files"])
+    return list(groups.values())
+
+
 def read_by_header(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -78,37 +141,32 @@ def read_by_header(
     *,
     sep: str = ";",
     encoding: str = "UTF-8",
-    header_jobs: int = 16,
     **source,
 ) -> DataFrame:
-    """Header CSV scan of files whose columns differ in order or number.
-
-    Each file's header line is read first (a job of one task a file,
-    ``header_jobs`` at a time); files of one header are one scan, and the
-    scans are united by name. ``columns`` picks and orders the result, a
-    column that a file lacks being NULL; by default it is every column, in
-    the order of the first file that has it. ``source``: as for
-    :func:`read_delimited`.
+    """Header CSV scan of files whose columns differ in order, number or
+    spelling.
+
+    The header lines are read first, in one job (:func:`header_groups`);
+    files of one header are one scan, and the scans are united by name,
+    letter case aside. ``columns`` picks and orders the result, a column that
+    a file lacks being NULL; by default it is every column, in the order and
+    spelling of the first file that has it. Files without any line give no
+    rows. ``source``: as for :func:`read_delimited`.
     """
-    files = list_files(spark, path)
-    if not files:
-        raise ValueError(f"no files at {path}")
-
-    def header(file: str) -> tuple[str, ...]:
-        return tuple(spark.read.option("header", True).option("sep", sep).option("encoding", encoding).csv(file).columns)
-
-    with ThreadPoolExecutor(max_workers=header_jobs) as pool:
-        headers = list(pool.map(header, files))
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for file, names in zip(files, headers):
-        by_header.setdefault(names, []).append(file)
-    wanted = list(columns) if columns is not None else list(dict.fromkeys(c for names in by_header for c in names))
+    groups = header_groups(spark, path, sep, encoding)
+    if not groups:
+        raise ValueError(f"no files with a header at {path}")
+    spelled: dict[str, str] = {}
+    for names, _ in groups:
+        for name in names:
+            spelled.setdefault(name.lower(), name)
+    wanted = list(columns) if columns is not None else list(spelled.values())
     scans = []
-    for names, own in by_header.items():
-        scan = read_delimited(spark, own, names, sep=sep, encoding=encoding, **source)
+    for names, files in groups:
+        scan = read_delimited(spark, [exactly(f) for f in files], names, sep=sep, encoding=encoding, check_header=False, **source)
         added = [c for c in scan.columns if c not in names]
         have = {c.lower() for c in names}
-        scans.append(scan.select(*[F.col(c) if c.lower() in have else F.lit(None).cast("string").alias(c) for c in wanted], *added))
+        scans.append(scan.select(*[F.col(f"`{c}`").alias(c) if c.lower() in have else F.lit(None).cast("string").alias(c) for c in wanted], *added))
     return reduce(DataFrame.unionByName, scans)
 
 

@@ -202,13 +202,24 @@ def test_a_token_in_two_runs_keeps_both_files(spark, workdir):
     rows = [r for _, r in fx.vaccination_rows()]
     for name, own in (("a", rows[:5]), ("b", rows[5:8])):
         fx.write_csv(f"{workdir}/{name}/vacinacao-07-{name}.csv", fx.VACC_COLUMNS, own)
-        jobs.ingest_vaccination(spark, f"{workdir}/{name}/*.csv", f"{workdir}/pre")
+        jobs.ingest_vaccination(spark, f"{workdir}/{name}/*.csv", f"{workdir}/pre", root=f"{workdir}/{name}")
     assert parts(spark, f"{workdir}/pre") == [("07", "vacinacao-07-a.csv", 5), ("07", "vacinacao-07-b.csv", 3)]
     fx.write_csv(f"{workdir}/again/vacinacao-07-b.csv", fx.VACC_COLUMNS, rows[5:9])
-    jobs.ingest_vaccination(spark, f"{workdir}/again/*.csv", f"{workdir}/pre")  # a file replaces itself alone
+    jobs.ingest_vaccination(spark, f"{workdir}/again/*.csv", f"{workdir}/pre", root=f"{workdir}/again")  # a file replaces itself alone
     assert parts(spark, f"{workdir}/pre") == [("07", "vacinacao-07-a.csv", 5), ("07", "vacinacao-07-b.csv", 4)]
 
 
+def test_one_file_name_in_two_folders_is_two_files(spark, workdir):
+    rows = [r for _, r in fx.vaccination_rows()]
+    for name, own in (("jan", rows[:5]), ("feb", rows[5:8])):
+        fx.write_csv(f"{workdir}/raw/{name}/vacinacao-01.csv", fx.VACC_COLUMNS, own)
+        jobs.ingest_vaccination(spark, f"{workdir}/raw/{name}/*.csv", f"{workdir}/pre", part_token=r"-([0-9]+)")
+    below = workdir.lstrip("/")
+    assert parts(spark, f"{workdir}/pre") == [("01", f"{below}/raw/feb/vacinacao-01.csv", 3), ("01", f"{below}/raw/jan/vacinacao-01.csv", 5)]
+    jobs.ingest_vaccination(spark, f"{workdir}/raw/*/*.csv", f"{workdir}/other", part_token=r"-([0-9]+)", root=f"{workdir}/raw")
+    assert parts(spark, f"{workdir}/other") == [("01", "feb/vacinacao-01.csv", 3), ("01", "jan/vacinacao-01.csv", 5)]
+
+
 def test_a_file_name_without_token_fails_the_ingest(spark, workdir):
     fx.write_csv(f"{workdir}/raw/vacinacao.csv", fx.VACC_COLUMNS, [r for _, r in fx.vaccination_rows()][:5])
     with pytest.raises(Exception, match="vacinacao.csv"):
