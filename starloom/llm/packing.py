@@ -61,7 +61,7 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
-def encoder(path: str, pattern: str) -> Callable[[list[str]], list[list[int]]]:
+def encoder(path: str, pattern: str) -> Callable[[list[str]], list[np.ndarray]]:
     """Texts -> the ids that ``tokenizers`` gives them with the file at
     ``path``, without special tokens added.
 
@@ -87,34 +87,34 @@ def encoder(path: str, pattern: str) -> Callable[[list[str]], list[list[int]]]:
         simple = all(c in letters for t in vocab for c in t) and ids == sorted(set(ids)) and min(ids) >= 256 and len(vocab) == 256 + len(ids)
     if not simple:
         whole = Tokenizer.from_file(path)
-        return lambda texts: [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
+        return lambda texts: [np.array(e.ids, np.uint32) for e in whole.encode_batch(texts, add_special_tokens=False)]
     ranks = {bytes(letters[c] for c in t): i for t, i in vocab.items()}
     fast = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
     special = {a["content"]: a["id"] for a in added}
-    if not special:
-        return lambda texts: [fast.encode_ordinary(t) for t in texts]
-    cut = re.compile("(" + "|".join(re.escape(s) for s in sorted(special, key=len, reverse=True)) + ")")
-
-    def run(texts: list[str]) -> list[list[int]]:
-        out = []
-        for text in texts:
-            pieces = cut.split(text)
-            ids = fast.encode_ordinary(pieces[0])
-            for mark, piece in zip(pieces[1::2], pieces[2::2]):
-                ids.append(special[mark])
-                ids += fast.encode_ordinary(piece)
-            out.append(ids)
-        return out
+    cut = re.compile("(" + "|".join(re.escape(s) for s in sorted(special, key=len, reverse=True)) + ")") if special else None
 
-    return run
+    def plain(text: str) -> np.ndarray:
+        return fast.encode_to_numpy(text, disallowed_special=())
+
+    def one(text: str) -> np.ndarray:
+        if cut is None or not cut.search(text):
+            return plain(text)
+        pieces = cut.split(text)
+        ids = [plain(pieces[0])]
+        for mark, piece in zip(pieces[1::2], pieces[2::2]):
+            ids += [np.array([special[mark]], np.uint32), plain(piece)]
+        return np.concatenate(ids)
+
+    return lambda texts: list(map(one, texts))
 
 
-_ENCODERS: dict[tuple[str, str], Callable[[list[str]], list[list[int]]]] = {}
+_ENCODERS: dict[tuple[str, str], Callable[[list[str]], list[np.ndarray]]] = {}
 
-#: ``n``: the document's ids; ``body``: they, compressed; ``key``: locality;
-#: rows of frequencies have ``token`` and ``df``.
-ENCODED = pa.schema([("doc_id", pa.int64()), ("hash", pa.int64()), ("n", pa.int64()), ("body", pa.binary()), *[(f"key{k}", pa.int32()) for k in range(KEYS)]])
-ENCODED_DDL = "doc_id long, hash long, n long, body binary, " + ", ".join(f"key{k} int" for k in range(KEYS))
+#: ``n``: the document's ids; ``body``: they, compressed; ``key``: locality.
+#: The last row of a task has ``counts`` alone: in how many of its documents
+#: each id stands.
+ENCODED = pa.schema([("doc_id", pa.int64()), ("hash", pa.int64()), ("n", pa.int64()), ("body", pa.binary()), ("counts", pa.binary()), *[(f"key{k}", pa.int32()) for k in range(KEYS)]])
+ENCODED_DDL = "doc_id long, hash long, n long, body binary, counts binary, " + ", ".join(f"key{k} int" for k in range(KEYS))
 
 
 def _mixed(tokens: np.ndarray, seed: int) -> np.ndarray:
@@ -124,48 +124,58 @@ def _mixed(tokens: np.ndarray, seed: int) -> np.ndarray:
     return (x ^ (x >> np.uint64(31))) >> np.uint64(33)
 
 
+def _packed_ids(ids: np.ndarray, press: zstandard.ZstdCompressor) -> bytes:
+    """Ids in two bytes each where they fit, else in four, compressed."""
+    return b"\2" + press.compress(ids.astype(np.uint16).tobytes()) if int(ids.max()) < 1 << 16 else b"\4" + press.compress(ids.tobytes())
+
+
+def ids_of(body: bytes) -> np.ndarray:
+    data = zstandard.ZstdDecompressor().decompress(body[1:])
+    return np.frombuffer(data, np.uint16).astype(np.uint32) if body[0] == 2 else np.frombuffer(data, np.uint32)
+
+
 def _encoded(path: str, pattern: str):
     """Documents -> their ids and locality key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _ENCODERS.get((path, pattern)) or _ENCODERS.setdefault((path, pattern), encoder(path, pattern))
-        press = zstandard.ZstdCompressor(level=3)
+        press = zstandard.ZstdCompressor(level=1)
+        mixed = [_mixed(np.arange(1 << 16), k) for k in range(KEYS)]
+        docs = np.zeros(1 << 16, np.int64)
         for batch in batches:
-            docs, hashes, texts = (batch.column(c).to_pylist() for c in range(3))
+            names, hashes, texts = (batch.column(c).to_pylist() for c in range(3))
             at = 0
             while at < len(texts):
                 end, size = at, 0  # a slice of the batch, by length
                 while end < len(texts) and size < 4 * FLUSH:
                     size += len(texts[end])
                     end += 1
-                rows: list[list] = [[] for _ in ENCODED]
-                for doc, h, ids in zip(docs[at:end], hashes[at:end], encode(texts[at:end])):
-                    ids = np.array([*ids, END], np.uint32)
+                rows: list[tuple] = []
+                for doc, h, ids in zip(names[at:end], hashes[at:end], encode(texts[at:end])):
+                    ids = np.append(ids, np.uint32(END))
                     own = np.unique(ids)
-                    cells = (doc, h, len(ids), press.compress(ids.tobytes()), *[int(_mixed(own, k).min()) for k in range(KEYS)])
-                    for column, value in zip(rows, cells):
-                        column.append(value)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, ENCODED.types)], schema=ENCODED)
+                    if own[-1] >= len(docs):
+                        docs = np.concatenate([docs, np.zeros(int(own[-1]) + 1 - len(docs), np.int64)])
+                    docs[own] += 1
+                    keys = [int((m[own] if own[-1] < 1 << 16 else _mixed(own, k)).min()) for k, m in enumerate(mixed)]
+                    rows.append((doc, h, len(ids), _packed_ids(ids, press), None, *keys))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), ENCODED.types)], schema=ENCODED)
                 at = end
+        found = np.flatnonzero(docs)
+        if len(found):
+            counts = press.compress(found.astype(np.uint32).tobytes() + docs[found].tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array([counts if f.name == "counts" else None], f.type) for f in ENCODED], schema=ENCODED)
 
     return run
 
 
-def ids_of(body: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(body), np.uint32)
-
-
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Ids of documents -> in how many of them each id stands."""
-    docs = np.zeros(1 << 16, np.int64)
+    """The counts of tasks, an id a row."""
     for batch in batches:
         for body in batch.column(0):
-            own = np.unique(ids_of(body.as_py()))
-            if own[-1] >= len(docs):
-                docs = np.concatenate([docs, np.zeros(int(own[-1]) + 1, np.int64)])
-            docs[own] += 1
-    at = np.flatnonzero(docs)
-    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(docs[at])], ["token", "df"])
+            data = zstandard.ZstdDecompressor().decompress(body.as_py())
+            n = len(data) // 12
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(data, np.uint32, n).astype(np.int64)), pa.array(np.frombuffer(data, np.int64, n, 4 * n))], ["token", "df"])
 
 
 # --- retrieval and packing -------------------------------------------------------
@@ -342,16 +352,16 @@ def pack(docs: DataFrame, path: str, pattern: str, window: int = WINDOW, id_col:
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(id_col).cast("long"), text).alias("hash"), text.alias("text"))
     encoded = write_cut(rows.mapInArrow(_encoded(path, pattern), ENCODED_DDL), "packing-ids")
-    n, total = encoded.agg(F.count("*"), F.sum("n")).first()
+    n, total = encoded.agg(F.count("n"), F.sum("n")).first()
     if not n:
         return docs.sparkSession.createDataFrame([], PACKED_DDL)
-    counted = encoded.select("body").mapInArrow(_frequencies, "token long, df long").groupBy("token").agg(F.sum("df").alias("df")).collect()
+    counted = encoded.where("counts is not null").select("counts").mapInArrow(_frequencies, "token long, df long").groupBy("token").agg(F.sum("df").alias("df")).collect()
     df = np.zeros(max(r["token"] for r in counted) + 1, np.int64)
     for r in counted:
         df[r["token"]] = r["df"]
     weight = docs.sparkSession.sparkContext.broadcast(idf(df, n))
     keys = [f"key{k}" for k in range(KEYS)]
-    near = encoded.repartitionByRange(*keys, "hash").sortWithinPartitions(*keys, "hash", "doc_id").select("doc_id", "body")
+    near = encoded.where("n is not null").repartitionByRange(*keys, "hash").sortWithinPartitions(*keys, "hash", "doc_id").select("doc_id", "body")
     return near.mapInArrow(_packed(weight, total / n, window, SHARD, SHARD_DOCS), PACKED_DDL)
 
 

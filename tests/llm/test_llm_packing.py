@@ -84,10 +84,18 @@ def test_ids_are_those_of_the_tokenizer():
     r = random.Random(4)
     letters = "abc ABC  \n\t'sé漢😀  ́<|endoftext|>019٣ⅷ!?.,_\x00\x85"
     texts = ["", " ", "<|endoftext|>", "a<|endoftext|><|endoftext|> b", "<|endoftext|", *["".join(r.choices(letters, k=r.randrange(60))) for _ in range(500)], "x" * 3000 + " y" * 2000]
-    assert encode(texts) == [e.ids for e in TOKENIZER.encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in encode(texts)] == [e.ids for e in TOKENIZER.encode_batch(texts, add_special_tokens=False)]
     other = public_tokenizers.path("word_bpe_49k.json")
     whole = Tokenizer.from_file(other)
-    assert packing.encoder(other, PATTERN)(texts) == [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in packing.encoder(other, PATTERN)(texts)] == [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_ids_of_four_bytes():
+    press = packing.zstandard.ZstdCompressor()
+    for ids in ([1], [0, 65535], [70000, 3, 1], list(range(5000))):
+        ids = np.array(ids, np.uint32)
+        found = packing.ids_of(packing._packed_ids(ids, press))
+        assert found.dtype == np.uint32 and found.tolist() == ids.tolist()
 
 
 def plain_scores(texts, weight, mean, seed):
