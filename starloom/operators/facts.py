@@ -58,10 +58,15 @@ def build_fact(df: DataFrame, spec: FactSpec) -> DataFrame:
     ids before it is counted. No group is ever collected into one place.
     """
     rows = df.filter(spec.where) if spec.where is not None else df
-    out = rows.groupBy(*spec.keys).agg(spec.measure.expr())
+    return finish_fact(rows.groupBy(*spec.keys).agg(spec.measure.expr()), spec)
+
+
+def finish_fact(grouped: DataFrame, spec: FactSpec) -> DataFrame:
+    """The spec's shifted and renamed keys, its measure and the rows that
+    ``having`` keeps, from one row per group of keys."""
     keys = []
     for k in spec.keys:
         c = F.col(k) + F.lit(spec.shift[k]) if k in spec.shift else F.col(k)
         keys.append(c.alias(spec.rename.get(k, k)))
-    out = out.select(*keys, spec.measure.alias)
+    out = grouped.select(*keys, spec.measure.alias)
     return out.filter(spec.having) if spec.having is not None else out

@@ -38,5 +38,10 @@ def lookup_dim(
     """
     keyed = rows.filter(where) if where is not None else rows
     codes = keyed.select(F.col(key).cast("int").alias(key)).filter(F.col(key).isNotNull()).distinct()
+    return describe_codes(codes, key, lookup, lookup_key, columns)
+
+
+def describe_codes(codes: DataFrame, key: str, lookup: DataFrame, lookup_key: str, columns: Mapping[str, Column]) -> DataFrame:
+    """The dimension of :func:`lookup_dim` from its distinct codes."""
     joined = codes.join(lookup, F.col(key) == F.col(lookup_key), "inner")
     return joined.select(*[c.alias(n) for n, c in columns.items()]).distinct()

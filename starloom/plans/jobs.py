@@ -22,11 +22,14 @@ from ..sources import (
     Delivery,
     current,
     deliver,
+    drop_scratch,
     read_by_header,
     read_delimited,
     read_delivered,
     read_layer,
     read_positional,
+    replace_parquet,
+    scratch_path,
     write_counted,
     write_parquet,
 )
@@ -69,8 +72,10 @@ def deliver_vaccination(spark: SparkSession, root: str, layer: str, part_token:
     """Bring a layer of conformed vaccination rows up to date with the raw
     files below ``root``: only new and changed files are read, by the ledger
     beside the layer, and one commit puts the result in force (see
-    :func:`starloom.sources.deliver`)."""
-    return deliver(spark, root, layer, star.conform_vaccination, part_token=part_token, columns=columns,
+    :func:`starloom.sources.deliver`). Texts that could not be read are
+    accounted for by file and column (:func:`starloom.sources.read_rejects`)."""
+    conform = lambda raw: star.conform_vaccination(raw, account=True)
+    return deliver(spark, root, layer, conform, part_token=part_token, columns=columns,
                    drop_withdrawn=drop_withdrawn, sort_within=sort_within, max_records_per_file=max_records_per_file)
 
 
@@ -84,26 +89,37 @@ def read_vaccination_layer(spark: SparkSession, prestructured: str) -> DataFrame
 
 def build_vaccination_tables(spark: SparkSession, prestructured: str, localities: str, out: str,
                              scope: star.Scope = star.DEFAULT_SCOPE, concurrent_writes: int = 4,
-                             max_files: int | None = None) -> dict[str, str]:
+                             max_files: int | None = None, one_name: bool = False,
+                             versioned: bool = False) -> dict[str, str]:
     """Vaccination fact + eleven dimensions from the prestructured layer.
 
     The localities file is read by its own header; five of its columns are
-    used, in whatever order and beside whatever others. Each table reads
-    only the columns it uses from the Parquet layer (column pruning), so
-    twelve narrow scans cost about one wide one; the layer is not cached
-    because at scale it does not fit in memory. Up to ``concurrent_writes``
-    tables are submitted as concurrent Spark jobs, so the small dimensions
-    fill the slots the fact's tail leaves idle.
+    used, in whatever order and beside whatever others. The layer is scanned
+    once: one aggregate finds the distinct rows of all tables, which are
+    written, and each table is finished from its part of them
+    (:func:`starloom.plans.star.vaccination_pass`). Up to
+    ``concurrent_writes`` tables are finished at a time.
+
+    ``one_name``: a code with several descriptions has one row, that of most
+    source rows, where the source system keeps a row for each.
+    ``versioned``: tables are replaced atomically and read with
+    :func:`starloom.sources.read_replaced`.
     """
-    conformed = read_vaccination_layer(spark, prestructured)
     raw = read_delimited(spark, localities).select(*star.LOCALITY_COLUMNS)
-    tables = star.vaccination_star(conformed, star.localities_lookup(raw, scope.state_name), scope)
+    lookup = star.localities_lookup(raw, scope.state_name, one_name)
+    once = star.vaccination_pass(read_vaccination_layer(spark, prestructured), scope)
+    found = scratch_path(spark, "vaccination-pass")
+    once.rows.write.partitionBy("tabela").parquet(found)
+    rows = spark.read.schema(once.rows.schema).parquet(found)
+    tables = star.vaccination_tables(once, rows, lookup, scope, one_name)
     paths = {name: f"{out.rstrip('/')}/{name}" for name in tables}
+    write = replace_parquet if versioned else write_parquet
     with ThreadPoolExecutor(max_workers=max(1, concurrent_writes)) as pool:
         caps = {"fato_vacinas": max_files}
-        for done in [pool.submit(write_parquet, df, paths[name], max_files=caps.get(name))
+        for done in [pool.submit(write, df, paths[name], max_files=caps.get(name))
                      for name, df in tables.items()]:
             done.result()
+    drop_scratch(spark, found)
     return paths
 
 

@@ -8,7 +8,7 @@ generic builders in :mod:`starloom.operators`.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,11 +18,19 @@ from ..operators import (
     DimSpec,
     FactSpec,
     Measure,
+    OnePass,
     build_dim,
     build_fact,
+    chosen,
     collapse_lookup,
+    describe_codes,
+    dim_columns,
+    dim_filter,
     fill_sentinels,
+    finish_dim,
+    finish_fact,
     lookup_dim,
+    rejected_values,
 )
 from . import vocab as V
 
@@ -60,8 +68,18 @@ def municipality_code(c: str | Column) -> Column:
     return X.to_int(F.coalesce(X.none_as_zero(c), F.lit(V.NO_CODE)))
 
 
-def conform_vaccination(raw: DataFrame) -> DataFrame:
-    """Add the ``cod_*`` keys and application dates to vaccination rows."""
+#: Raw vaccination columns read as numbers or days, and where the value goes.
+VACCINATION_READ = {
+    "estabelecimento_valor": "cod_estabelecimento", "vacina_grupoAtendimento_codigo": "cod_grupo",
+    "vacina_categoria_codigo": "cod_categoria", "vacina_codigo": "cod_vacina", "paciente_racaCor_codigo": "cod_raca",
+    "paciente_idade": "cod_idade", "paciente_endereco_coIbgeMunicipio": "cod_municipio_paciente",
+    "estabelecimento_municipio_codigo": "cod_municipio_estab", "vacina_dataAplicacao": "data_aplicacao",
+}
+
+
+def conform_vaccination(raw: DataFrame, account: bool = False) -> DataFrame:
+    """Add the ``cod_*`` keys and application dates to vaccination rows.
+    ``account``: and ``rejeitos``, the texts that could not be read."""
     applied = X.to_date(X.clean("vacina_dataAplicacao"))
     df = raw.withColumns({
         "cod_sistema_origem": F.substring(X.clean_upper("sistema_origem"), 1, 3),
@@ -79,6 +97,10 @@ def conform_vaccination(raw: DataFrame) -> DataFrame:
         "data_aplicacao": applied,
         "data": applied,
     })
+    if account:
+        born = X.to_date("paciente_dataNascimento")
+        read = {c: (c, value) for c, value in VACCINATION_READ.items()}
+        df = df.withColumn("rejeitos", rejected_values({**read, "paciente_dataNascimento": ("paciente_dataNascimento", born)}))
     return fill_sentinels(df, V.VACCINATION_SENTINELS)
 
 
@@ -145,10 +167,13 @@ def vaccination_dim_specs() -> dict[str, DimSpec]:
 LOCALITY_COLUMNS = V.LOCALITY_COLUMNS
 
 
-def localities_lookup(raw: DataFrame, state_name: str | None = V.STATE_NAME) -> DataFrame:
+def localities_lookup(raw: DataFrame, state_name: str | None = V.STATE_NAME, one_name: bool = False) -> DataFrame:
     """Municipality lookup: 6-digit code, names, coordinates (decimal comma
     repaired, float). Several localities of one municipality collapse to
-    the maximum latitude/longitude. ``state_name=None`` keeps every state."""
+    the maximum latitude/longitude. ``state_name=None`` keeps every state.
+    ``one_name``: a code that localities give several names has one row, with
+    the name that most of them give (the least of equals) and the maxima over
+    all; by default it has a row a name."""
     df = raw.select(
         X.code_prefix("CD_GEOCODDS").alias("cod_municipio"),
         X.clean("NM_MUNICIPIO").alias("desc_municipio"),
@@ -158,44 +183,64 @@ def localities_lookup(raw: DataFrame, state_name: str | None = V.STATE_NAME) ->
     )
     if state_name is not None:
         df = df.filter(F.col("desc_uf") == state_name)
+    if one_name:
+        counted = df.groupBy("cod_municipio", "desc_municipio", "desc_uf").agg(F.count(F.lit(1)).alias("_linhas"))
+        names = chosen(counted, ["cod_municipio"])
+        return collapse_lookup(df, ["cod_municipio"], ["latitude", "longitude"]).join(names, "cod_municipio").select(
+            "cod_municipio", "desc_municipio", "desc_uf", "latitude", "longitude")
     return collapse_lookup(df, ["cod_municipio", "desc_municipio", "desc_uf"], ["latitude", "longitude"])
 
 
+def _estab_columns(key: str) -> dict[str, Column]:
+    zero = F.col(key) == 0
+    return {
+        key: F.col(key),
+        "desc_municipio_estab": F.when(zero, F.lit(V.NO_STATE)).otherwise(F.col("desc_municipio")),
+        "desc_uf_estab": F.when(zero, F.lit(V.NO_STATE)).otherwise(F.col("desc_uf")),
+        "latitude": F.col("latitude"),
+        "longitude": F.col("longitude"),
+    }
+
+
+def _patient_columns(key: str) -> dict[str, Column]:
+    zero = F.col(key) == 0
+    return {
+        key: F.col(key),
+        "desc_municipio": F.when(zero, F.lit(V.NO_INFO)).otherwise(F.col("desc_municipio")),
+        "desc_uf": F.when(zero, F.lit(V.NO_STATE)).otherwise(F.col("desc_uf")),
+        "desc_pais": F.when(zero, F.lit(V.NO_STATE)).otherwise(F.lit(V.COUNTRY)),
+        "latitude": F.col("latitude"),
+        "longitude": F.col("longitude"),
+    }
+
+
 def establishment_region_dim(rows: DataFrame, lookup: DataFrame, uf_column: str = "estabelecimento_uf",
                              key: str = "cod_municipio_estab", scope: Scope = DEFAULT_SCOPE) -> DataFrame:
-    zero = F.col(key) == 0
-    return lookup_dim(
-        rows, key, lookup, "cod_municipio",
-        columns={
-            key: F.col(key),
-            "desc_municipio_estab": F.when(zero, F.lit(V.NO_STATE)).otherwise(F.col("desc_municipio")),
-            "desc_uf_estab": F.when(zero, F.lit(V.NO_STATE)).otherwise(F.col("desc_uf")),
-            "latitude": F.col("latitude"),
-            "longitude": F.col("longitude"),
-        },
-        where=F.col(uf_column).isin(scope.state_code, V.NO_STATE),
-    )
+    return lookup_dim(rows, key, lookup, "cod_municipio", columns=_estab_columns(key),
+                      where=F.col(uf_column).isin(scope.state_code, V.NO_STATE))
 
 
 def patient_region_dim(rows: DataFrame, lookup: DataFrame, uf_column: str = "paciente_endereco_uf",
                        key: str = "cod_municipio_paciente", scope: Scope = DEFAULT_SCOPE) -> DataFrame:
-    zero = F.col(key) == 0
-    return lookup_dim(
-        rows, key, lookup, "cod_municipio",
-        columns={
-            key: F.col(key),
-            "desc_municipio": F.when(zero, F.lit(V.NO_INFO)).otherwise(F.col("desc_municipio")),
-            "desc_uf": F.when(zero, F.lit(V.NO_STATE)).otherwise(F.col("desc_uf")),
-            "desc_pais": F.when(zero, F.lit(V.NO_STATE)).otherwise(F.lit(V.COUNTRY)),
-            "latitude": F.col("latitude"),
-            "longitude": F.col("longitude"),
-        },
-        where=F.col(uf_column).isin(scope.state_code, V.NO_STATE),
-    )
+    return lookup_dim(rows, key, lookup, "cod_municipio", columns=_patient_columns(key),
+                      where=F.col(uf_column).isin(scope.state_code, V.NO_STATE))
+
+
+#: Region dimensions: key, state column, described columns.
+_REGIONS = {
+    "dm_regiao_estab": ("cod_municipio_estab", "estabelecimento_uf", _estab_columns),
+    "dm_regiao_paciente": ("cod_municipio_paciente", "paciente_endereco_uf", _patient_columns),
+}
+
+
+def one_name_each(specs: dict[str, DimSpec]) -> dict[str, DimSpec]:
+    """The specs with one row for each value of their first column."""
+    return {n: replace(s, unique_by=(next(iter(s.columns)),)) for n, s in specs.items()}
 
 
 def vaccination_star(conformed: DataFrame, lookup: DataFrame, scope: Scope = DEFAULT_SCOPE) -> dict[str, DataFrame]:
-    """All twelve vaccination tables from one conformed input (lazy)."""
+    """All twelve vaccination tables from one conformed input (lazy), each
+    with a scan of its own."""
     out = {"fato_vacinas": build_fact(conformed, vaccination_fact_spec(scope))}
     for name, spec in vaccination_dim_specs().items():
         out[name] = build_dim(conformed, spec)
@@ -204,6 +249,36 @@ def vaccination_star(conformed: DataFrame, lookup: DataFrame, scope: Scope = DEF
     return out
 
 
+def vaccination_pass(conformed: DataFrame, scope: Scope = DEFAULT_SCOPE) -> OnePass:
+    """The distinct rows of all twelve tables from one scan: the fact's keys
+    with the document, the dimensions' columns, the region codes."""
+    fact = vaccination_fact_spec(scope)
+    tables: dict[str, tuple[dict, Column | None]] = {
+        "fato_vacinas": ({c: c for c in (*fact.keys, fact.measure.column)}, fact.where)}
+    for name, spec in vaccination_dim_specs().items():
+        tables[name] = (dim_columns(spec), dim_filter(spec))
+    for name, (key, uf, _) in _REGIONS.items():
+        code = F.col(key).cast("int")
+        tables[name] = ({key: code}, F.col(uf).isin(scope.state_code, V.NO_STATE) & code.isNotNull())
+    return OnePass(conformed, tables)
+
+
+def vaccination_tables(once: OnePass, rows: DataFrame, lookup: DataFrame, scope: Scope = DEFAULT_SCOPE,
+                       one_name: bool = False) -> dict[str, DataFrame]:
+    """All twelve tables from the distinct rows of :func:`vaccination_pass`
+    (``rows``: as written). ``one_name``: one row a code in each dimension,
+    that of most source rows."""
+    fact = vaccination_fact_spec(scope)
+    counted = once.table(rows, "fato_vacinas").groupBy(*fact.keys).agg(F.count(fact.measure.column).alias(fact.measure.alias))
+    out = {"fato_vacinas": finish_fact(counted, fact)}
+    specs = vaccination_dim_specs()
+    for name, spec in (one_name_each(specs) if one_name else specs).items():
+        out[name] = finish_dim(once.table(rows, name), spec)
+    for name, (key, _, described) in _REGIONS.items():
+        out[name] = describe_codes(once.table(rows, name).drop("_linhas"), key, lookup, "cod_municipio", described(key))
+    return out
+
+
 # ---------------------------------------------------------------------------
 # SRAG hospital cases: yearly rows -> conformed rows -> deaths fact
 # ---------------------------------------------------------------------------
@@ -241,11 +316,23 @@ def _srag_columns() -> dict[str, Column]:
     }
 
 
-def conform_srag(aligned: DataFrame) -> DataFrame:
+#: Raw SRAG columns read as numbers or days, and where the value goes.
+SRAG_READ = {
+    "NU_IDADE_N": "cod_idade", "CO_MUN_NOT": "cod_municipio_estab", "CO_MUN_RES": "cod_municipio_paciente",
+    "HOSPITAL": "cod_internacao", "UTI": "cod_uti", "VACINA_COV": "cod_vacinado",
+    "DT_DIGITA": "dat_encerramento", "DT_NOTIFIC": "dat_notificacao",
+}
+
+
+def conform_srag(aligned: DataFrame, account: bool = False) -> DataFrame:
     """Aligned SRAG rows with the sixteen conformed columns beside the raw
     ones, and the outcome as a number (``cod_evolucao_num``, NULL where it is
-    none), which the deaths fact filters on."""
-    out = fill_sentinels(aligned.withColumns(_srag_columns()), V.SRAG_SENTINELS)
+    none), which the deaths fact filters on. ``account``: and ``rejeitos``,
+    the texts that could not be read."""
+    rows = aligned.withColumns(_srag_columns())
+    if account:
+        rows = rows.withColumn("rejeitos", rejected_values({c: (c, value) for c, value in SRAG_READ.items()}))
+    out = fill_sentinels(rows, V.SRAG_SENTINELS)
     return out.withColumn("cod_evolucao_num", X.to_int("cod_evolucao"))
 
 

@@ -16,13 +16,14 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..plans.vocab import PART_TOKEN
+from ..operators.rejects import reject_account
 from . import versions
 from .csv import exactly, path_below, read_by_header, read_delimited
 
@@ -34,7 +35,7 @@ NEW, CHANGED, SAME, WITHDRAWN = "novo", "alterado", "igual", "retirado"
 @dataclass(frozen=True)
 class Delivery:
     """What a delivery did: files by state, rows written, the version now in
-    force (0: none yet)."""
+    force (0: none yet), and the texts that could not be read."""
 
     new: int
     changed: int
@@ -42,6 +43,7 @@ class Delivery:
     withdrawn: int
     rows: int
     version: int
+    rejected: int = field(default=0, compare=False)
 
 
 def listing(spark: SparkSession, root: str, glob: str = "*.csv", part_token: str | None = PART_TOKEN) -> DataFrame:
@@ -91,6 +93,11 @@ def deliver(spark: SparkSession, root: str, layer: str, conform: Callable[[DataF
     rows, unless ``drop_withdrawn``. A second run without news writes nothing.
     Only file names and counts reach the driver. ``columns``: the header that
     all files have; without it headers are discovered in one job.
+
+    If ``conform`` adds ``rejeitos`` (see
+    :func:`starloom.operators.rejected_values`), their number is observed
+    while the rows are written, and an account by file and column is written
+    beside them (:func:`read_rejects`).
     """
     layer = layer.rstrip("/")
     number, note = versions.current(spark, layer)
@@ -102,19 +109,27 @@ def deliver(spark: SparkSession, root: str, layer: str, conform: Callable[[DataF
     if not count(NEW) + count(CHANGED) + (count(WITHDRAWN) if drop_withdrawn else 0):
         return Delivery(0, 0, count(SAME), count(WITHDRAWN), 0, number)
     folder, data, schema = versions.stage(number + 1), f"{layer}/dados", note.get("schema")
+    rejected, accounts = 0, note.get("accounts", [])
     written = spark.createDataFrame([], "arquivo string, linhas long")
     paths = sorted(r["caminho"] for r in news.select("caminho").collect())
     if paths:
         source = dict(part_token=part_token, file_column="arquivo", root=root, sep=sep, encoding=encoding)
         rows = conform(read_delimited(spark, [exactly(p) for p in paths], columns, **source) if columns is not None
                        else read_by_header(spark, [exactly(p) for p in paths], **source))
-        writer = rows.sortWithinPartitions("parte", "arquivo", *sort_within).write.partitionBy("parte", "arquivo")
+        seen = Observation()
+        bad = F.sum(F.size("rejeitos")) if "rejeitos" in rows.columns else F.max(F.lit(0))
+        watched = rows.observe(seen, F.count(F.lit(1)).alias("linhas"), F.coalesce(bad, F.lit(0)).cast("long").alias("rejeitados"))
+        writer = watched.sortWithinPartitions("parte", "arquivo", *sort_within).write.partitionBy("parte", "arquivo")
         if max_records_per_file:
             writer = writer.option("maxRecordsPerFile", max_records_per_file)
         writer.parquet(f"{data}/versao={folder}")
         schema = _merged(schema, rows.schema)
         fresh = spark.read.schema(rows.schema).parquet(f"{data}/versao={folder}")
         written = fresh.groupBy("arquivo").agg(F.count(F.lit(1)).alias("linhas"))
+        rejected = int(seen.get["rejeitados"])
+        if rejected:  # one narrow column of what was just written; the raw files are not read again
+            reject_account(fresh, "arquivo").write.parquet(f"{layer}/rejeitos/versao={folder}")
+            accounts = [*accounts, folder]
     kept = ledger.join(news.select("arquivo"), "arquivo", "left_anti")
     if drop_withdrawn:
         kept = kept.join(found.where(F.col("situacao") == WITHDRAWN).select("arquivo"), "arquivo", "left_anti")
@@ -122,9 +137,9 @@ def deliver(spark: SparkSession, root: str, layer: str, conform: Callable[[DataF
              .select("arquivo", "parte", "tamanho", "modificado", F.coalesce("linhas", F.lit(0).cast("long")).alias("linhas"),
                      F.lit(folder).alias("versao")))
     kept.select(*added.columns).unionByName(added).write.parquet(f"{layer}/livro/{folder}")
-    versions.commit(spark, layer, number + 1, {"folder": folder, "schema": schema})
-    total = read_ledger(spark, layer).where(F.col("versao") == folder).agg(F.sum("linhas")).first()[0] or 0
-    return Delivery(count(NEW), count(CHANGED), count(SAME), count(WITHDRAWN), total, number + 1)
+    versions.commit(spark, layer, number + 1, {"folder": folder, "schema": schema, "accounts": accounts})
+    total = int(seen.get["linhas"]) if paths else 0
+    return Delivery(count(NEW), count(CHANGED), count(SAME), count(WITHDRAWN), total, number + 1, rejected)
 
 
 def _merged(before: str | None, now: StructType) -> str:
@@ -140,6 +155,18 @@ def _merged(before: str | None, now: StructType) -> str:
     return have.json()
 
 
+def read_rejects(spark: SparkSession, layer: str) -> DataFrame:
+    """``arquivo, coluna, valores, exemplo``: the texts that could not be read
+    in the files that the ledger names."""
+    _, note = versions.current(spark, layer)
+    base = f"{layer.rstrip('/')}/rejeitos"
+    if not note.get("accounts"):
+        return spark.createDataFrame([], "arquivo string, coluna string, valores long, exemplo string")
+    schema = "arquivo string, coluna string, valores long, exemplo string, versao string"
+    rows = spark.read.schema(schema).option("basePath", base).parquet(*[f"{base}/versao={f}" for f in note["accounts"]])
+    return rows.join(read_ledger(spark, layer).select("arquivo", "versao"), ["arquivo", "versao"], "left_semi").drop("versao")
+
+
 def read_delivered(spark: SparkSession, layer: str, files: DataFrame | None = None, with_version: bool = False) -> DataFrame:
     """The rows of the layer that the ledger names; ``files`` (``arquivo,
     versao``) picks others. The versions at hand become a filter on the

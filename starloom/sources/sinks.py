@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 
 
 def write_parquet(
@@ -23,15 +24,18 @@ def write_parquet(
     * ``partition_by``: one ``col=value`` directory per value, and only the
       partitions present in ``df`` are replaced (dynamic overwrite), so a
       re-run of one part or year leaves the others alone.
-    * ``max_files`` caps the tasks of the write with ``coalesce``: it starts
-      no job of its own and never raises the file count, but the stage that
-      computes ``df`` runs in so few tasks too. Leave it unset at scale and
-      let AQE size the output partitions; ``max_records_per_file`` bounds
-      file size instead.
+    * ``max_files`` caps the files (of each partition): the rows are dealt by
+      their hash to at most so many groups, in a shuffle of its own, so the
+      stage that computes ``df`` keeps all its tasks. AQE joins groups that
+      are small, so the cap never raises the file count. Leave it unset at
+      scale; ``max_records_per_file`` bounds file size instead.
     * ``sort_within`` sorts each task's rows (no shuffle), so that row groups
       hold few values of these columns and filters on them skip the others.
     """
-    out = df.coalesce(max_files) if max_files else df
+    out = df
+    if max_files:
+        hashed = [f"`{f.name}`" for f in df.schema.fields if not isinstance(f.dataType, (MapType, VariantType))]
+        out = df.repartition(F.pmod(F.xxhash64(*hashed), F.lit(max_files))) if hashed else df.coalesce(max_files)
     if sort_within:
         out = out.sortWithinPartitions(*(partition_by or ()), *sort_within)
     writer = out.write.mode("overwrite").format("parquet")
