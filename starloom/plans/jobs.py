@@ -90,28 +90,37 @@ def read_vaccination_layer(spark: SparkSession, prestructured: str) -> DataFrame
 def build_vaccination_tables(spark: SparkSession, prestructured: str, localities: str, out: str,
                              scope: star.Scope = star.DEFAULT_SCOPE, concurrent_writes: int = 4,
                              max_files: int | None = None, one_name: bool = False,
-                             versioned: bool = False) -> dict[str, str]:
+                             versioned: bool = False, one_scan: bool = False) -> dict[str, str]:
     """Vaccination fact + eleven dimensions from the prestructured layer.
 
     The localities file is read by its own header; five of its columns are
-    used, in whatever order and beside whatever others. The layer is scanned
-    once: one aggregate finds the distinct rows of all tables, which are
-    written, and each table is finished from its part of them
-    (:func:`starloom.plans.star.vaccination_pass`). Up to
-    ``concurrent_writes`` tables are finished at a time.
-
+    used, in whatever order and beside whatever others. Each table reads
+    only the columns it uses from the Parquet layer (column pruning), so
+    twelve narrow scans cost about one wide one; the layer is not cached
+    because at scale it does not fit in memory. Up to ``concurrent_writes``
+    tables are submitted as concurrent Spark jobs, so the small dimensions
+    fill the slots the fact's tail leaves idle.
+
+    ``one_scan``: the layer is scanned once instead, one aggregate finds the
+    distinct rows of all tables, and each table is finished from its part of
+    them as written. This takes about half as much CPU time again, so it is
+    for layers whose reading costs more than that.
     ``one_name``: a code with several descriptions has one row, that of most
     source rows, where the source system keeps a row for each.
     ``versioned``: tables are replaced atomically and read with
     :func:`starloom.sources.read_replaced`.
     """
+    layer = read_vaccination_layer(spark, prestructured)
     raw = read_delimited(spark, localities).select(*star.LOCALITY_COLUMNS)
     lookup = star.localities_lookup(raw, scope.state_name, one_name)
-    once = star.vaccination_pass(read_vaccination_layer(spark, prestructured), scope)
-    found = scratch_path(spark, "vaccination-pass")
-    once.rows.write.partitionBy("tabela").parquet(found)
-    rows = spark.read.schema(once.rows.schema).parquet(found)
-    tables = star.vaccination_tables(once, rows, lookup, scope, one_name)
+    found = None
+    if one_scan:
+        once = star.vaccination_pass(layer, scope)
+        found = scratch_path(spark, "vaccination-pass")
+        once.rows.write.partitionBy("tabela").parquet(found)
+        tables = star.vaccination_tables(once, spark.read.schema(once.rows.schema).parquet(found), lookup, scope, one_name)
+    else:
+        tables = star.vaccination_star(layer, lookup, scope, one_name)
     paths = {name: f"{out.rstrip('/')}/{name}" for name in tables}
     write = replace_parquet if versioned else write_parquet
     with ThreadPoolExecutor(max_workers=max(1, concurrent_writes)) as pool:
@@ -119,7 +128,8 @@ def build_vaccination_tables(spark: SparkSession, prestructured: str, localities
         for done in [pool.submit(write, df, paths[name], max_files=caps.get(name))
                      for name, df in tables.items()]:
             done.result()
-    drop_scratch(spark, found)
+    if found:
+        drop_scratch(spark, found)
     return paths
 
 

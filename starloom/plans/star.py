@@ -238,11 +238,14 @@ def one_name_each(specs: dict[str, DimSpec]) -> dict[str, DimSpec]:
     return {n: replace(s, unique_by=(next(iter(s.columns)),)) for n, s in specs.items()}
 
 
-def vaccination_star(conformed: DataFrame, lookup: DataFrame, scope: Scope = DEFAULT_SCOPE) -> dict[str, DataFrame]:
+def vaccination_star(conformed: DataFrame, lookup: DataFrame, scope: Scope = DEFAULT_SCOPE,
+                     one_name: bool = False) -> dict[str, DataFrame]:
     """All twelve vaccination tables from one conformed input (lazy), each
-    with a scan of its own."""
+    with a scan of the columns that it uses. ``one_name``: one row a code in
+    each dimension, that of most source rows."""
     out = {"fato_vacinas": build_fact(conformed, vaccination_fact_spec(scope))}
-    for name, spec in vaccination_dim_specs().items():
+    specs = vaccination_dim_specs()
+    for name, spec in (one_name_each(specs) if one_name else specs).items():
         out[name] = build_dim(conformed, spec)
     out["dm_regiao_estab"] = establishment_region_dim(conformed, lookup, scope=scope)
     out["dm_regiao_paciente"] = patient_region_dim(conformed, lookup, scope=scope)

@@ -56,12 +56,12 @@ def read_delimited(
     return with_source(df, part_token, token_column, token_source, file_column, root)
 
 
-_SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:/+"
-
-
 def file_path() -> Column:
-    """The source file's path as it is written (``_metadata`` has it as a URL)."""
-    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    """The source file's path as it is written (``_metadata`` has it as a
+    URL; only a path with escapes is decoded)."""
+    url = F.col("_metadata.file_path")
+    decoded = F.url_decode(F.replace(url, F.lit("+"), F.lit("%2B")))
+    return F.when(F.contains(url, F.lit("%")), decoded).otherwise(url)
 
 
 def exactly(path: str) -> str:
@@ -71,14 +71,15 @@ def exactly(path: str) -> str:
 
 def path_below(spark: SparkSession, path: Column, root: str) -> Column:
     """``path`` without its scheme, below ``root`` ('' for no root). A path
-    that is not below it fails the read, naming the path."""
-    plain = F.regexp_replace(path, _SCHEME, "")
+    that is not below it fails the read, naming the path. (Plain searches,
+    no patterns: this runs for every row.)"""
     if not root:
-        return plain
+        return F.ltrim(F.substr(path, F.instr(path, ":/") + 1), F.lit("/"))
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(root)
     whole = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(hadoop).toString()
-    prefix = F.concat(F.regexp_replace(F.lit(whole), _SCHEME, ""), F.lit("/"))
-    return F.when(F.startswith(plain, prefix), F.substr(plain, F.length(prefix) + 1)).otherwise(
+    prefix = whole.split(":", 1)[1].rstrip("/") + "/"
+    at = F.instr(path, prefix)
+    return F.when(at > 0, F.substr(path, at + F.lit(len(prefix)))).otherwise(
         F.raise_error(F.concat(F.lit("not below the root: "), path)).cast("string"))
 
 
