@@ -23,6 +23,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.llm.common import begin, keeps
+
 #: A vocabulary file above this is refused: it is sent to every executor.
 MAX_VOCABULARY_BYTES = 64 << 20
 #: Entries of a worker's memo of encoded pre-tokens; at the bound it starts anew.
@@ -143,6 +145,9 @@ def encoder(blob: bytes, pattern: str) -> Encoder:
     return Encoder(read_ranks(blob), pattern)
 
 
+keeps("bpe", encoder.cache_clear)
+
+
 def vocabulary(df: DataFrame, path: str):
     """The rank file at ``path`` (read on the driver) as a broadcast of proven size."""
     with open(path, "rb") as f:
@@ -162,6 +167,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     blob = vocabulary(docs, ranks_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("bpe")
         e = encoder(blob.value, pattern)
         for batch in batches:
             ids = [e.encode(t) if t else b"" for t in map(pa.StringScalar.as_py, batch.column(1))]
@@ -179,6 +185,7 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     blob = vocabulary(encoded, ranks_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("bpe")
         e = encoder(blob.value, "")
         for batch in batches:
             texts = [e.decode(x) if x else b"" for x in batch.column(2).to_pylist()]
@@ -194,6 +201,7 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "do
     blob = vocabulary(docs, ranks_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("bpe")
         e = encoder(blob.value, pattern)
         for batch in batches:
             out: list[list] = [[], [], [], []]
@@ -211,5 +219,5 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "do
 
 def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256``: encode, then decode."""
-    done = decode(encode(docs, ranks_path, pattern), ranks_path)
-    return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    done = round_trip(docs, ranks_path, pattern)
+    return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "decoded_sha256")

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import uuid
 import weakref
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,8 +30,9 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def write_cut(df: DataFrame, name: str) -> DataFrame:
+def write_cut(df: DataFrame, name: str, kept: bool = False) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
+    ``kept``: it outlives a ``passing`` around it.
 
     Cuts the lineage with a table that outlives any executor. The columns
     keep their names and types.
@@ -34,6 +40,8 @@ def write_cut(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_root(df.sparkSession)}/starloom-llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
+    if _WITHIN and not kept:
+        _WITHIN[-1].append(path)
     _CUTS[id(out)] = (weakref.ref(out, lambda _, key=id(out): _CUTS.pop(key, None)), path)
     return out
 
@@ -47,9 +55,56 @@ def drop_cut(*tables: DataFrame) -> None:
     reader has been written itself: nothing reads them again, not even to
     recover a lost executor's work."""
     for table in tables:
-        spark, path = table.sparkSession, _CUTS.pop(id(table))[1]
-        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+        _delete(table.sparkSession, _CUTS.pop(id(table))[1])
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+#: Paths of the tables written within each open ``passing``.
+_WITHIN: list[list[str]] = []
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Tables of ``write_cut`` that are written inside are deleted at the
+    end: what is built from them must have been written by then, elsewhere."""
+    _WITHIN.append([])
+    try:
+        yield
+    finally:
+        for path in _WITHIN.pop():
+            _delete(spark, path)
+
+
+# What Python workers keep between tasks. Spark uses a worker again for the
+# next stage, whose operator has no use for the memos of the one before.
+_FORGET: dict[str, Callable[[], None]] = {}
+_OWNER: list[str | None] = [None]
+
+
+def keeps(owner: str, forget: Callable[[], None]) -> None:
+    """``forget`` frees what the module ``owner`` keeps in a worker."""
+    _FORGET[owner] = forget
+
+
+def begin(owner: str) -> None:
+    """Called by a task of ``owner``: what others keep in this worker is
+    freed, and the memory given back to the system."""
+    if _OWNER[0] == owner:
+        return
+    _OWNER[0] = owner
+    for other, forget in _FORGET.items():
+        if other != owner:
+            forget()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: it keeps what it has
+        pass
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import drop_cut, write_cut
+from starloom.llm.common import begin, drop_cut, keeps, write_cut
 from starloom.llm.links import block_pairs, components, groups, in_blocks, linked_batch, local_links
 
 WORDS = 5
@@ -38,8 +38,8 @@ TOLERANCE = 1e-7
 #: Words of a worker's memo of word hashes; at the bound it starts anew.
 MEMO_ENTRIES = 300_000
 #: Units of work whose members' sets have so many cells at most are compared
-#: by one matrix product.
-DENSE_CELLS = 1 << 25
+#: by matrix products, CHUNK_CELLS at a time.
+DENSE_CELLS, CHUNK_CELLS = 1 << 25, 1 << 21
 
 _R = np.random.Generator(np.random.PCG64(20240501))
 _A = _R.integers(0, 1 << 63, HASHES, np.uint64) << np.uint64(1) | np.uint64(1)
@@ -60,6 +60,9 @@ def word_hashes() -> WordHashes:
     return WordHashes()
 
 
+keeps("jaccard", word_hashes.cache_clear)
+
+
 def shingles(text: str | None) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct runs of five words of a text,
     lower case, split at white space; all its words if there are fewer."""
@@ -125,9 +128,15 @@ def verified(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray
     if len(i) > 4 * len(sets):
         known, at = np.unique(np.concatenate(sets), return_inverse=True)
         if len(known) * len(sets) <= DENSE_CELLS:
-            cells = np.zeros((len(sets), len(known)), np.float32)
-            cells[np.repeat(np.arange(len(sets)), sizes), at] = 1
-            common = (cells @ cells.T)[i, j].astype(np.int64)
+            row, order = np.repeat(np.arange(len(sets), dtype=np.int32), sizes), np.argsort(at, kind="stable")
+            row, at, width = row[order], at[order], max(1, CHUNK_CELLS // len(sets))
+            both = np.zeros((len(sets), len(sets)), np.int64)
+            for low in range(0, len(known), width):
+                a, b = np.searchsorted(at, (low, low + width))
+                cells = np.zeros((len(sets), width), np.float32)
+                cells[row[a:b], at[a:b] - low] = 1
+                both += (cells @ cells.T).astype(np.int64)
+            common = both[i, j]
         else:
             common = None
     else:
@@ -139,6 +148,7 @@ def verified(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    begin("jaccard")
     for batch in batches:
         fp, size, sig = [], [], []
         for text in batch.column(2):
@@ -153,6 +163,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _pruned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each unit of work in which pairs stay."""
+    begin("jaccard")
     kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.binary()]
     names = ["band", "bucket", "lo", "hi", "ids", "counts", "pairs"]
     out: list[tuple] = []
@@ -179,12 +190,14 @@ def _pruned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    begin("jaccard")
     for batch in batches:
         sets = [shingles(t.as_py()).tobytes() for t in batch.column(1)]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["fp", "set"])
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    begin("jaccard")
     out: list[tuple[bytes, int, bytes]] = []
     for g in groups(batches, ["band", "bucket", "lo", "hi"]):
         g = g.sort_by("at")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import ddl, drop_cut, write_cut
+from starloom.llm.common import begin, ddl, drop_cut, write_cut
 
 UNDETERMINED = "und"
 #: Rows of the bit-sliced table (a power of two) and hashes a gram.
@@ -68,6 +68,7 @@ def slots(codes: np.ndarray) -> Iterator[np.ndarray]:
 
 def _gram_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Per language: documents that hold each gram; gram -1 counts documents."""
+    begin("langid")
     held: dict[str, list[np.ndarray]] = {}
     seen: dict[str, int] = {}
     size = 0
@@ -191,6 +192,7 @@ def label(docs: DataFrame, filters: Filters, text_col: str = "text") -> DataFram
     at = rows.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("langid")
         f = model.value
         for batch in batches:
             found = [f.decide(t.as_py()) for t in batch.column(at)]

@@ -29,6 +29,9 @@ LEAF = 1024
 #: Half the overlap of two sides, in standard deviations of the projected
 #: distance of two unit vectors at the threshold.
 SPILL = 0.75
+#: A node whose two sides together would hold more than so many times its
+#: members is a leaf of any size.
+GROWTH = 1.3
 #: Levels after which a node is a leaf whatever its size.
 MAX_LEVELS = 48
 
@@ -77,9 +80,10 @@ def leaves(vectors: DataFrame, trees: int, leaf: int) -> DataFrame:
     """``fp, leaf, members``: the leaves of the forest over ``vectors``
     (``fp, label, dim, vec``, distinct), every vector in each tree.
 
-    One level a round: project, take each node's quantiles, split the nodes
-    that are too large. A node whose vectors lie so close that both sides
-    would get most of it is a leaf of any size (and compared in blocks).
+    One level a round: project, take each node's median, split the nodes
+    that are too large. A node whose vectors lie so close that its two sides
+    together would hold more than GROWTH times its members is a leaf of any
+    size (and compared in blocks, which is cheaper than splitting it).
     """
     roots = vectors.select("fp", F.explode(F.transform(F.sequence(F.lit(1), F.lit(trees)), lambda t: F.xxhash64(t, "label", "dim"))).alias("node"))
     half = SPILL * math.sqrt(2 * (1 - THRESHOLD))
@@ -99,17 +103,19 @@ def leaves(vectors: DataFrame, trees: int, leaf: int) -> DataFrame:
         placed = large.join(vectors.select("fp", "vec"), "fp").select("fp", "node", "vec").mapInArrow(_projected, "fp binary, node long, at double, dim int")
         placed = write_cut(placed, "forest-placed")
         spent += [sized, placed]
-        cut = placed.groupBy("node").agg(F.count("*").alias("members"), F.percentile_approx("at", [0.1, 0.5, 0.9], 2000).alias("q"))
+        cut = placed.groupBy("node").agg(F.count("*").alias("members"), F.percentile_approx("at", 0.5, 2000).alias("q"))
         margin = F.lit(half) / F.sqrt(F.lit(1.0) * F.col("dim"))
-        split = placed.join(cut, "node").withColumn("margin", margin)
-        tight = (F.col("q")[0] >= F.col("q")[1] - F.col("margin")) & (F.col("q")[2] <= F.col("q")[1] + F.col("margin"))
-        split = write_cut(split.withColumn("tight", tight), "forest-split")
+        left, right = F.col("at") <= F.col("q") + F.col("margin"), F.col("at") > F.col("q") - F.col("margin")
+        split = placed.join(cut, "node").withColumn("margin", margin).withColumn("left", left).withColumn("right", right)
+        split = write_cut(split, "forest-split")
         spent.append(split)
-        done.append(split.where("tight").select("fp", F.col("node").alias("leaf"), "members"))
+        grown = split.groupBy("node").agg(F.sum((F.col("left") & F.col("right")).cast("long")).alias("both"))
+        told = split.join(grown, "node").withColumn("tight", F.col("both") > (GROWTH - 1) * F.col("members"))
+        done.append(told.where("tight").select("fp", F.col("node").alias("leaf"), "members"))
         sides = F.array_compact(F.array(
-            F.when(F.col("at") <= F.col("q")[1] + F.col("margin"), F.xxhash64("node", F.lit(0))),
-            F.when(F.col("at") > F.col("q")[1] - F.col("margin"), F.xxhash64("node", F.lit(1)))))
-        now = write_cut(split.where("not tight").select("fp", F.explode(sides).alias("node")), "forest-nodes")
+            F.when(F.col("left"), F.xxhash64("node", F.lit(0))),
+            F.when(F.col("right"), F.xxhash64("node", F.lit(1)))))
+        now = write_cut(told.where("not tight").select("fp", F.explode(sides).alias("node")), "forest-nodes")
         spent.append(now)
     out = write_cut(reduce(DataFrame.unionByName, done), "forest-leaves")
     drop_cut(*spent)

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from starloom.llm.balltree import places
-from starloom.llm.common import write_cut
+from starloom.llm.common import begin, keeps, write_cut
 
 #: Ids of a sequence.
 WINDOW = 2048
@@ -109,6 +109,7 @@ def encoder(path: str, pattern: str) -> Callable[[list[str]], list[np.ndarray]]:
 
 
 _ENCODERS: dict[tuple[str, str], Callable[[list[str]], list[np.ndarray]]] = {}
+keeps("packing", _ENCODERS.clear)
 
 #: ``n``: the document's ids; ``body``: they, compressed; ``key``: locality.
 #: The last row of a task has ``counts`` alone: in how many of its documents
@@ -138,6 +139,7 @@ def _encoded(path: str, pattern: str):
     """Documents -> their ids and locality key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("packing")
         encode = _ENCODERS.get((path, pattern)) or _ENCODERS.setdefault((path, pattern), encoder(path, pattern))
         press = zstandard.ZstdCompressor(level=1)
         mixed = [_mixed(np.arange(1 << 16), k) for k in range(KEYS)]
@@ -272,6 +274,7 @@ def _packed(weight, mean: float, window: int, shard: int, shard_docs: int):
     """Encoded documents in the order of locality -> the pieces of sequences."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("packing")
         weights = weight.value
         number = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
         held: list[Piece] = []

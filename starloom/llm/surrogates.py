@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import ddl
+from starloom.llm.common import begin, ddl, keeps
 
 ROUNDS = 8
 #: The key of the registered queries, which must give equal results in every
@@ -333,6 +333,14 @@ def surrogate(key: bytes, kind: str, value: str) -> str:
     return SURROGATE[kind](key, value)
 
 
+def _forget() -> None:
+    for memo in (_round, _signs, surrogate):
+        memo.cache_clear()
+
+
+keeps("surrogates", _forget)
+
+
 def replaced(text: str, key: bytes) -> tuple[str, list[tuple[int, int, str, str, str]]]:
     """The text with surrogates, and for each entity its place in the new
     text, type, original and surrogate."""
@@ -361,6 +369,7 @@ def pseudonymise(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col:
         raise ValueError("the key must have 16 to 64 bytes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("surrogates")
         for batch in batches:
             at = batch.schema.get_field_index(text_col)
             done = [(None, []) if t is None else replaced(t, key) for t in batch.column(at).to_pylist()]
@@ -377,6 +386,7 @@ def collisions(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFrame
     originals of ``docs``, or for themselves. No rows if all is well."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("surrogates")
         for batch in batches:
             rows = {(k, old, new) for t in batch.column(0).to_pylist() if t for _, _, k, old, new in replaced(t, key)[1]}
             yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], pa.string()) for c in range(3)], ["type", "original", "surrogate"])

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.bpe import read_ranks, vocabulary
+from starloom.llm.common import begin, keeps
 
 #: Bytes of a pre-token that the trie holds; the scores of further bytes are
 #: computed each time.
@@ -111,6 +112,9 @@ def counter(blob: bytes, pattern: str) -> Counter:
     return Counter(read_ranks(blob), pattern)
 
 
+keeps("tokencount", counter.cache_clear)
+
+
 def count_tokens(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_pretokens, n_tokens`` for every row.
 
@@ -120,6 +124,7 @@ def count_tokens(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "
     blob = vocabulary(docs, ranks_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("tokencount")
         c = counter(blob.value, pattern)
         for batch in batches:
             found = []

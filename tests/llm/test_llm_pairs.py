@@ -162,3 +162,50 @@ def test_long_labels_are_told_apart():
     batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array(["x" * 64 + "a", "x" * 64 + "b", "x" * 64 + "a"]), pa.array([[1.0, 2.0]] * 3)], ["vec_id", "label", "vec"])
     fp = next(neighbours._clean(iter([batch]))).column(2).to_pylist()
     assert fp[0] == fp[2] != fp[1]
+
+
+def test_dense_label_makes_few_copies_and_loses_no_link(spark):
+    """Vectors of one label at pairwise cosine about 0.975: splitting would
+    copy nearly all of them to both sides, so the node is a leaf."""
+    ship(spark)
+    r = np.random.default_rng(3)
+    center = r.standard_normal(64)
+    center /= np.linalg.norm(center)
+    noise = r.standard_normal((6000, 64))
+    vectors = center + noise / np.linalg.norm(noise, axis=1, keepdims=True) * math.sqrt(1 / 0.975 - 1)
+    df = spark.createDataFrame([(k, v.tolist(), "one") for k, v in enumerate(vectors)], "vec_id long, embedding array<double>, label string")
+    rows = df.select("vec_id", "label", F.col("embedding").alias("v"))
+    clean = rows.mapInArrow(neighbours._clean, "vec_id long, label string, fp binary, dim int, vec binary")
+    placed = neighbours.leaves(clean.select("fp", "label", "dim", "vec"), 2, 1024)
+    assert placed.count() <= 2 * 2 * 6000
+    found = {x["vec_id"]: x["n_links"] for x in neighbours.near_dedup(df, trees=2).collect()}
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    near = (unit @ unit.T >= 0.98).sum(1) - 1
+    assert near.sum() > 1000 and [found[k] for k in range(6000)] == near.tolist()
+
+
+def test_recall_at_the_production_leaf_size(spark):
+    """12,000 vectors of one label, many levels of leaves of 1024: the links
+    found against brute force."""
+    ship(spark)
+    r = np.random.default_rng(4)
+    base = r.standard_normal((9000, 64))
+    near = base[:3000] + r.standard_normal((3000, 64)) * 0.17
+    vectors = np.concatenate([base, near])
+    df = spark.createDataFrame([(k, v.tolist(), "one") for k, v in enumerate(vectors)], "vec_id long, embedding array<double>, label string")
+    found = {x["vec_id"]: x["n_links"] for x in neighbours.near_dedup(df).collect()}
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    truth = (unit @ unit.T >= 0.98).sum(1) - 1
+    assert truth.sum() > 2000
+    assert sum(found.values()) >= 0.99 * truth.sum() and all(found[k] <= truth[k] for k in found)
+
+
+@pytest.mark.parametrize("width", [64, 1 << 21])
+def test_matrix_products_by_chunks_count_exactly(monkeypatch, width):
+    monkeypatch.setattr(jaccard, "CHUNK_CELLS", width)
+    r = np.random.default_rng(1)
+    sets = [np.unique(r.integers(0, 60, n)).astype(np.uint64) for n in (1, 5, 20, 40, 40, 60, 60)]
+    sets += [sets[-1][:-1], sets[-2][1:]]
+    i, j = np.triu_indices(len(sets), 1)
+    plain = [5 * len(np.intersect1d(sets[a], sets[b])) >= 4 * len(np.union1d(sets[a], sets[b])) for a, b in zip(i, j)]
+    assert jaccard.verified(sets, np.tile(i, 5), np.tile(j, 5)).tolist() == plain * 5

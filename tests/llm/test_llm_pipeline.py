@@ -103,7 +103,7 @@ def test_pipeline_of_an_empty_table(spark):
 
 def test_registered():
     assert set(QUERIES) | {"pipeline"} <= set(queries())
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
     assert {k for k in oracle_sql() if k.startswith("op")} == set(ORACLE)
 
 
