@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm import bpe, jaccard, langid, mixing, queries, surrogates
-from starloom.llm.common import ship, write_cut
+from starloom.llm.common import drop_cut, passing, ship, write_cut
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: The result's documents' rows are no SQL: language ID and PII have none.
@@ -66,8 +66,15 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents' token ids, decoded again, after all stages."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The documents' token ids, decoded again, after all stages. What a
+    stage writes for itself, and its input, are deleted once its result is
+    written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = write_cut(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with passing(spark):
+            result = stage(spark, docs, sf_dir)
+            docs = write_cut(result, f"pipeline-{name}", kept=True)
+        if before is not None:
+            drop_cut(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
