@@ -31,24 +31,27 @@ def in_blocks(members: DataFrame, size: str, key: str, block: int | None = None)
 
 
 def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """The groups of rows that are sorted by ``keys`` (not null), across batches."""
-    open_part: pa.Table | None = None
+    """The groups of rows that are sorted by ``keys`` (not null), across
+    batches. A group that many batches hold is put together once."""
+    held: list[pa.RecordBatch] = []
+    last: list | None = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        rows = pa.Table.from_batches([batch])
-        if open_part is not None:
-            rows = pa.concat_tables([open_part, rows]).combine_chunks()
-        changed = np.zeros(rows.num_rows - 1, bool)
+        changed = np.zeros(batch.num_rows - 1, bool)
         for key in keys:
-            values = rows.column(key).to_numpy()
+            values = batch.column(key).to_numpy(zero_copy_only=False)
             changed |= values[1:] != values[:-1]
-        starts = [0, *(np.flatnonzero(changed) + 1).tolist()]
+        starts = [0, *(np.flatnonzero(changed) + 1).tolist(), batch.num_rows]
+        first = [batch.column(key)[0].as_py() for key in keys]
         for at, end in zip(starts, starts[1:]):
-            yield rows.slice(at, end - at)
-        open_part = rows.slice(starts[-1])
-    if open_part is not None:
-        yield open_part
+            if held and (at > 0 or first != last):
+                yield pa.Table.from_batches(held).combine_chunks()
+                held = []
+            held.append(batch.slice(at, end - at))
+        last = [batch.column(key)[batch.num_rows - 1].as_py() for key in keys]
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
 
 
 def block_pairs(own: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:

@@ -19,10 +19,14 @@ is sent on, the others are given out as its repeats.
 
 A k-gram that very many places share (a common line, the edge of a common
 passage) would bring all of them to one part. A first pass over a sample
-finds these k-grams; they are anchors only of windows that hold no other.
-Such windows, wherever their contexts differ, go on one by one, each to the
-part of its own hash. The sample decides how the work is dealt, never what
-is found: windows that are equal choose alike.
+finds these k-grams, at most ``MAX_HOT`` of them; they are anchors only of
+windows that hold no other. Such windows, wherever their contexts differ, go
+on one by one, each to the part of its own hash. The sample decides how the
+work is dealt, never what is found: windows that are equal choose alike.
+
+A part is dealt in units that a task reads one after the other. An anchor
+of more windows than fit (``CHUNK``) is treated as single windows, some
+ranges of their hashes at a time.
 """
 
 from __future__ import annotations
@@ -35,7 +39,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import even_labels, utf8
+from starloom.llm.common import drop_cut, even_labels, utf8, write_cut
 from starloom.llm.links import groups
 
 #: Bytes of an anchor's k-gram.
@@ -45,18 +49,22 @@ ANCHOR = 24
 PIECE = 1 << 21
 #: Bytes of context that a map task gathers before it hands them on.
 FLUSH = 48 << 20
-#: Windows of a part that are treated at a time (whole anchors always).
+#: Windows of a unit that are treated at a time.
 CHUNK = 400_000
+#: Units of a part, read one after the other.
+UNITS = 4
 #: One of so many stretches of so many bytes is sampled for common k-grams.
 SAMPLE, STRETCH = 128, 4096
-#: Occurrences in the sample from which a k-gram is hot: about 6,400 in all.
-HOT = 50
+#: Occurrences in the sample from which a k-gram is hot (about 6,400 in all),
+#: and how many hot ones there may be: the first rises where it must, so what
+#: reaches the driver and the tasks is 8 MB at most.
+HOT, MAX_HOT = 50, 1 << 20
 #: The offset of a context that meets others by the hash of all its bytes.
 WHOLE = 0xFFFF
 #: Windows of hot anchors that a map task treats at a time.
 SINGLE = 200_000
-#: Stands for a null id in the order of documents.
-NO_ID = -(1 << 63)
+#: Rows, and bytes, that are handed to Spark at a time.
+HANDED, HANDED_BYTES = 256, 4 << 20
 
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
 _POSITION = np.uint64((1 << 24) - 1)
@@ -129,9 +137,10 @@ def gathered(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
 
 
-#: What a row of a blob holds: a document (its id, and 32 bits of the hash of
-#: id and text), a place in it, a number of windows or bytes, a name, a flag.
-ROW = np.dtype([("doc", "<i8"), ("key", "<u4"), ("name", "<u8"), ("start", "<u4"), ("size", "<u4"), ("first", "?")])
+#: What a row of a blob holds: a document (whether its id is null; the id, or
+#: a hash of the text; the hash of both), a place in it, a number of windows or
+#: bytes, a name, a flag.
+ROW = np.dtype([("none", "?"), ("doc", "<i8"), ("key", "<u8"), ("name", "<u8"), ("start", "<u4"), ("size", "<u4"), ("first", "?")])
 ROWS = np.empty(0, ROW)
 
 
@@ -158,27 +167,42 @@ def unpack(blob: bytes) -> np.ndarray:
     return out
 
 
-MAPPED = pa.schema([("part", pa.int64()), ("head", pa.binary()), ("body", pa.binary())])
-SENT = "part long, head binary, body binary"
+MAPPED = pa.schema([("part", pa.int64()), ("unit", pa.int32()), ("head", pa.binary()), ("body", pa.binary())])
+SENT = "part long, unit int, head binary, body binary"
+#: A row of it.
+Blob = tuple[int, int, bytes, bytes | None]
 
 
-def mapped(part: int, rows: np.ndarray, body: bytes | None) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((part, pack(rows), body), MAPPED.types)], schema=MAPPED)
+def handed(blobs: Iterator[Blob]) -> Iterator[pa.RecordBatch]:
+    """Blobs, some at a time."""
+    held: list[Blob] = []
+    size = 0
+    for blob in blobs:
+        held.append(blob)
+        size += len(blob[2]) + len(blob[3] or b"")
+        if len(held) >= HANDED or size >= HANDED_BYTES:
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*held), MAPPED.types)], schema=MAPPED)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*held), MAPPED.types)], schema=MAPPED)
 
 
-def by_part(rows: np.ndarray, part: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Indices of ``rows`` for each part that has any."""
-    order = np.argsort(part, kind="stable")
-    edges = np.searchsorted(part[order], np.arange(parts + 1))
-    for p in np.flatnonzero(np.diff(edges)).tolist():
-        yield p, order[edges[p] : edges[p + 1]]
+def by_unit(h: np.ndarray, labels: list[int]) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Part (its label), unit and indices of the hashes ``h`` for each unit
+    that has any."""
+    n = len(labels) * UNITS
+    at = (h % np.uint64(n)).astype(np.int64)
+    order = np.argsort(at, kind="stable")
+    edges = np.searchsorted(at[order], np.arange(n + 1))
+    for k in np.flatnonzero(np.diff(edges)).tolist():
+        yield labels[k % len(labels)], k // len(labels), order[edges[k] : edges[k + 1]]
 
 
 class Contexts:
     """Contexts gathered by a map task, to be handed on by part."""
 
     def __init__(self, n: int, labels: list[int], hot: np.ndarray) -> None:
-        self.n, self.labels, self.parts, self.hot = n, labels, len(labels), Hot(hot)
+        self.n, self.labels, self.hot = n, labels, Hot(hot)
         self.clear()
 
     def clear(self) -> None:
@@ -188,17 +212,17 @@ class Contexts:
         self.offset: list[np.ndarray] = []
         self.text: list[np.ndarray] = []
 
-    def add(self, doc: int, key: int, offset: int, data: np.ndarray) -> None:
+    def add(self, none: bool, doc: int, key: int, offset: int, data: np.ndarray) -> None:
         first, count, place, anchor, hot, mixed = anchors(data, self.n, self.hot)
         ends = span_hash(mixed, self.n, np.concatenate([first, first + count - 1]))
         name = ends[: len(first)] * _M[3] ^ ends[len(first) :] * _M[4] ^ count.astype(np.uint64)
-        self.rows.append(table(doc=np.full(len(first), doc), key=key, name=name, start=first + offset, size=count))
+        self.rows.append(table(doc=np.full(len(first), doc), none=none, key=np.uint64(key), name=name, start=first + offset, size=count))
         self.anchor.append(anchor)
         self.offset.append(np.where(hot, WHOLE, place - first).astype(np.uint16))
         self.text.append(data[gathered(first, count + self.n - 1)])
         self.size += len(self.text[-1])
 
-    def flush(self) -> Iterator[pa.RecordBatch]:
+    def flush(self) -> Iterator[Blob]:
         if not self.rows:
             return
         rows, anchor, offset, text = (np.concatenate(x) for x in (self.rows, self.anchor, self.offset, self.text))
@@ -211,7 +235,7 @@ class Contexts:
         yield from self.sent(rows[~whole], anchor[~whole], offset[~whole], text, at[~whole])
         yield from self.singles(rows[whole], text, at[whole])
 
-    def singles(self, rows: np.ndarray, text: np.ndarray, at: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def singles(self, rows: np.ndarray, text: np.ndarray, at: np.ndarray) -> Iterator[Blob]:
         """Windows of hot anchors, each a context of its own."""
         ends = np.cumsum(rows["size"].astype(np.int64))
         for low in range(0, int(ends[-1]) if len(ends) else 0, SINGLE):
@@ -227,33 +251,33 @@ class Contexts:
             again = yield from self.repeats(own, body, start, length)
             yield from self.sent(own[~again], h[~again], np.full(int((~again).sum()), WHOLE, np.uint16), body, start[~again])
 
-    def repeats(self, rows: np.ndarray, text: np.ndarray, at: np.ndarray, length: np.ndarray) -> Generator[pa.RecordBatch, None, np.ndarray]:
+    def repeats(self, rows: np.ndarray, text: np.ndarray, at: np.ndarray, length: np.ndarray) -> Generator[Blob, None, np.ndarray]:
         """Gives out the contexts that equal an earlier one, and tells which."""
         again, same_row = self.combined(rows, text, at, length)
         if (again & ~same_row).any():
             found = rows[again & ~same_row]
             found["size"] = length[again & ~same_row]
-            for p, own in by_part(found, (found["key"] % self.parts).astype(np.int64), self.parts):
-                yield mapped(self.labels[p], found[own], None)
+            for part, unit, own in by_unit(found["key"], self.labels):
+                yield part, unit, pack(found[own]), None
         return again
 
-    def sent(self, rows: np.ndarray, meet: np.ndarray, offset: np.ndarray, text: np.ndarray, at: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def sent(self, rows: np.ndarray, meet: np.ndarray, offset: np.ndarray, text: np.ndarray, at: np.ndarray) -> Iterator[Blob]:
         """Contexts, to the part of the hash by which they ``meet``."""
         press = zstandard.ZstdCompressor(level=6)
         length = rows["size"].astype(np.int64) + self.n - 1
         rows["name"] = 0
-        for p, own in by_part(rows, (meet % np.uint64(self.parts)).astype(np.int64), self.parts):
-            yield mapped(self.labels[p], rows[own], press.compress(offset[own].tobytes() + text[gathered(at[own], length[own])].tobytes()))
+        for part, unit, own in by_unit(meet, self.labels):
+            yield part, unit, pack(rows[own]), press.compress(offset[own].tobytes() + text[gathered(at[own], length[own])].tobytes())
 
     def combined(self, rows: np.ndarray, text: np.ndarray, at: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which contexts equal one that starts earlier here (or at the same
         place of a repeated row: the second result)."""
-        order = np.lexsort((rows["start"], rows["key"], rows["doc"], rows["name"]))
+        order = np.lexsort((rows["start"], rows["key"], rows["doc"], ~rows["none"], rows["name"]))
         same = np.concatenate(([False], rows["name"][order][1:] == rows["name"][order][:-1]))
         lead = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))]
         out, same_row = np.zeros(len(rows), bool), np.zeros(len(rows), bool)
         copies, heads = order[same], lead[same]
-        same_row[copies] = (rows["doc"][copies] == rows["doc"][heads]) & (rows["key"][copies] == rows["key"][heads]) & (rows["start"][copies] == rows["start"][heads])
+        same_row[copies] = np.all([rows[c][copies] == rows[c][heads] for c in ("none", "doc", "key", "start")], axis=0)
         fits = length[copies] == length[heads]
         copies, heads = copies[fits], heads[fits]
         for k in range(0, len(copies), 20_000):  # names may collide: the bytes decide
@@ -264,21 +288,21 @@ class Contexts:
 
 
 def _contexts(n: int, labels: list[int], hot: np.ndarray = np.empty(0, np.uint64)):
-    """Map side: (doc, key, bytes) -> contexts, and the repeats combined here."""
+    """Map side: (none, doc, key, bytes) -> contexts, and the repeats combined here."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def blobs(batches: Iterator[pa.RecordBatch]) -> Iterator[Blob]:
         held = Contexts(n, labels, hot)
         for batch in batches:
-            docs, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for doc, key, value in zip(docs, keys, batch.column(2)):
+            names = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_numpy().view(np.uint64).tolist())
+            for (none, doc, key), value in zip(names, batch.column(3)):
                 data = np.frombuffer(value.as_buffer(), np.uint8)
                 for at in range(0, len(data) - n + 1, PIECE):
-                    held.add(doc, key, at, data[at : at + PIECE + n - 1])
+                    held.add(none, doc, key, at, data[at : at + PIECE + n - 1])
                     if held.size >= FLUSH:
                         yield from held.flush()
         yield from held.flush()
 
-    return run
+    return lambda batches: handed(blobs(batches))
 
 
 def intervals(lcp: list[int], left: list[int], rank: list[int], n: int) -> Iterator[tuple[int, int, int, int]]:
@@ -348,7 +372,7 @@ def maximal(rows: np.ndarray, data: np.ndarray, n: int) -> Iterator[tuple[np.nda
         window = np.arange(n)
         equal[k : k + 50_000] &= (data[a[:, None] + window] == data[b[:, None] + window]).all(1)
     lcp = np.concatenate(([0], np.where(equal, shared, 0)))
-    triple = (rows["start"][of] + place, rows["key"][of], rows["doc"][of])
+    triple = (rows["start"][of] + place, rows["key"][of], rows["doc"][of], ~rows["none"][of])
     by = np.lexsort(triple)
     rank = np.empty(len(of), np.int64)  # equal for the same place of repeated rows
     rank[by] = np.concatenate(([0], np.cumsum(np.any([x[by][1:] != x[by][:-1] for x in triple], axis=0))))
@@ -389,7 +413,7 @@ def _repeats(n: int, labels: list[int], every: bool):
                 order = order[keep]
                 of, place, length, name = of[order], place[order], length[order], name[order]
                 first = np.zeros(len(of), bool)
-            yield table(doc=rows["doc"][of], key=rows["key"][of], name=name, start=rows["start"][of] + place, size=length, first=first)
+            yield table(doc=rows["doc"][of], none=rows["none"][of], key=rows["key"][of], name=name, start=rows["start"][of] + place, size=length, first=first)
 
     def one(heads: list[np.ndarray], bodies: list[bytes]) -> Iterator[np.ndarray]:
         rows = np.concatenate(heads)
@@ -411,41 +435,72 @@ def _repeats(n: int, labels: list[int], every: bool):
         edge = np.concatenate(([0], np.flatnonzero(np.diff(anchor[order])) + 1, [len(order)]))
         several = np.diff(edge) > 1
         windows = np.add.reduceat(rows["size"][order].astype(np.int64), edge[:-1]) * several
+        for k in np.flatnonzero(windows > CHUNK).tolist():
+            yield from singly(rows, text, at, order[edge[k] : edge[k + 1]])
+        several &= windows <= CHUNK
+        windows *= several
         chunk = np.cumsum(windows) // CHUNK
         for c in np.unique(chunk[several]).tolist():
             own = np.flatnonzero((chunk == c) & several)
             picked = order[gathered(edge[own], edge[own + 1] - edge[own])]
             yield from settle(rows[picked], text[gathered(at[picked], length[picked])])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def singly(rows: np.ndarray, text: np.ndarray, at: np.ndarray, picked: np.ndarray) -> Iterator[np.ndarray]:
+        """The windows of one large anchor, each a context of its own, by
+        ranges of their hashes."""
+        count = rows["size"][picked].astype(np.int64)
+        h = np.empty(int(count.sum()), np.uint64)
+        ends = np.cumsum(count)
+        for low in range(0, len(picked), 4096):
+            own, high = picked[low : low + 4096], min(low + 4096, len(picked))
+            length = count[low:high] + n - 1
+            begin = np.cumsum(length) - length
+            mixed = words(text[gathered(at[own], length)])
+            h[ends[low] - count[low] : ends[high - 1]] = span_hash(mixed, n, gathered(begin, count[low:high]))
+        slices = -(-len(h) // (CHUNK // 2))
+        kind = ((h >> np.uint64(20)) % np.uint64(slices)).astype(np.int32)
+        del h
+        for k in range(slices):
+            window = np.flatnonzero(kind == k)
+            if not len(window):
+                continue
+            of = np.searchsorted(ends, window, "right")
+            place = window - (ends[of] - count[of])
+            own = rows[picked[of]]
+            own["start"] += place.astype(np.uint32)
+            own["size"] = 1
+            yield from settle(own, text[gathered(at[picked[of]] + place, np.full(len(of), n))])
+
+    def blobs(batches: Iterator[pa.RecordBatch]) -> Iterator[Blob]:
         held: list[np.ndarray] = []
-        for g in groups(batches, ["part"]):
+        for g in groups(batches, ["part", "unit"]):
             heads, bodies = [unpack(h) for h in g.column("head").to_pylist()], g.column("body").to_pylist()
             held += [h for h, b in zip(heads, bodies) if b is None]
             sent = [k for k, b in enumerate(bodies) if b is not None]
             if sent:
                 held += one([heads[k] for k in sent], [bodies[k] for k in sent])
             if sum(map(len, held)) >= 1_000_000:
-                yield from handed(held)
+                yield from given(held)
                 held = []
-        yield from handed(held)
+        yield from given(held)
 
-    def handed(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    def given(held: list[np.ndarray]) -> Iterator[Blob]:
         found = np.concatenate([ROWS, *held])
         if not every:
             found["name"] = 0
-        for p, own in by_part(found, (found["key"] % len(labels)).astype(np.int64), len(labels)):
-            yield mapped(labels[p], found[own], None)
+        for part, unit, own in by_unit(found["key"], labels):
+            yield part, unit, pack(found[own]), None
 
-    return run
+    return lambda batches: handed(blobs(batches))
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc, key, data``: a document's id (NO_ID for null, which comes first)
-    and 32 bits of the hash of id and text."""
+    """``none, doc, key, data``: whether the id is null; the id, or a hash of
+    the text in its place; 64 bits of the hash of id and text. So rows without
+    an id are told apart by 128 bits. Null ids come first in their order."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(text_col).alias("data"))
-    key = F.pmod(F.xxhash64("doc_id", "data"), F.lit(1 << 32))
-    return rows.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), key.alias("key"), "data")
+    return rows.select(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.xxhash64(F.lit(7), "data")).alias("doc"),
+                       F.xxhash64("doc_id", "data").alias("key"), "data")
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -462,15 +517,21 @@ def hot_anchors(keyed: DataFrame, n: int) -> np.ndarray:
                       lambda k: F.pmod(F.xxhash64("doc", "key", k), F.lit(SAMPLE)) == 0)
     cut = F.transform(picked, lambda k: F.substring("data", k * STRETCH + 1, F.lit(STRETCH + ANCHOR - 1)))
     sample = keyed.where(F.length("data") >= n).select(F.explode(cut).alias("data")).mapInArrow(_counted, "h long, times long")
-    common = sample.groupBy("h").agg(F.sum("times").alias("times")).where(F.col("times") >= HOT).select("h").toArrow()
+    grams = sample.groupBy("h").agg(F.sum("times").alias("times")).where(F.col("times") >= HOT)
+    grams = write_cut(grams, "suffix-hot")
+    # so many at most have as many occurrences as this: all of them have HOT
+    # times MAX_HOT together
+    least = max(HOT, -(-(grams.agg(F.sum("times")).first()[0] or 0) // MAX_HOT))
+    common = grams.where(F.col("times") >= least).select("h").toArrow()
+    drop_cut(grams)
     return np.sort(common.column(0).to_numpy().astype(np.int64).view(np.uint64))
 
 
 def _found(keyed: DataFrame, n: int, labels: list[int], every: bool) -> DataFrame:
     if not ANCHOR + 8 <= n <= 1 << 16:
         raise ValueError(f"min_length must be from {ANCHOR + 8} to {1 << 16}")
-    contexts = keyed.where(F.length("data") >= n).select("doc", "key", "data").mapInArrow(_contexts(n, labels, hot_anchors(keyed, n)), SENT)
-    return contexts.repartition("part").sortWithinPartitions("part").mapInArrow(_repeats(n, labels, every), SENT)
+    contexts = keyed.where(F.length("data") >= n).select("none", "doc", "key", "data").mapInArrow(_contexts(n, labels, hot_anchors(keyed, n)), SENT)
+    return contexts.repartition("part").sortWithinPartitions("part", "unit").mapInArrow(_repeats(n, labels, every), SENT)
 
 
 def maximal_repeats(docs: DataFrame, min_length: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -483,10 +544,10 @@ def maximal_repeats(docs: DataFrame, min_length: int = 100, id_col: str = "doc_i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for head in batch.column(1).to_pylist():
+            for head in batch.column(2).to_pylist():
                 rows = unpack(head)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows["name"].view(np.int64)), pa.array(rows["size"].astype(np.int64)), pa.array(rows["doc"]),
+                    [pa.array(rows["name"].view(np.int64)), pa.array(rows["size"].astype(np.int64)), pa.array(rows["doc"], mask=rows["none"]),
                      pa.array(rows["start"].astype(np.int64)), pa.array(rows["first"])], ["repeat", "length", "doc_id", "start", "first"])
 
     found = _found(_keyed(docs, id_col, text_col), min_length, labels, True)
@@ -494,18 +555,18 @@ def maximal_repeats(docs: DataFrame, min_length: int = 100, id_col: str = "doc_i
 
 
 def _texts(labels: list[int]):
-    """Whole texts, packed by the part of their document."""
+    """Whole texts, packed by the unit of their document."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def blobs(batches: Iterator[pa.RecordBatch]) -> Iterator[Blob]:
         press = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            doc, key = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            data = batch.column(2).to_pylist()
-            rows = table(doc=doc, key=key, size=np.array([len(x) for x in data], np.int64))
-            for p, own in by_part(rows, key % len(labels), len(labels)):
-                yield mapped(labels[p], rows[own], press.compress(b"".join([data[k] for k in own.tolist()])))
+            none, doc, key = (batch.column(c).to_numpy(zero_copy_only=False) for c in range(3))
+            data = batch.column(3).to_pylist()
+            rows = table(doc=doc, none=none, key=key.view(np.uint64), size=np.array([len(x) for x in data], np.int64))
+            for part, unit, own in by_unit(rows["key"], labels):
+                yield part, unit, pack(rows[own]), press.compress(b"".join([data[k] for k in own.tolist()]))
 
-    return run
+    return lambda batches: handed(blobs(batches))
 
 
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -513,7 +574,7 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "n_bytes", "spans", "kept"]
     kinds = [pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary()]
     expand = zstandard.ZstdDecompressor()
-    for g in groups(batches, ["part"]):
+    for g in groups(batches, ["part", "unit"]):
         heads, bodies = [unpack(h) for h in g.column("head").to_pylist()], g.column("body").to_pylist()
         spans = np.concatenate([ROWS, *[h for h, b in zip(heads, bodies) if b is None]])
         spans = spans[np.argsort(spans["key"], kind="stable")]
@@ -523,11 +584,11 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             data, at = expand.decompress(body), 0
             begin, end = np.searchsorted(spans["key"], rows["key"], "left"), np.searchsorted(spans["key"], rows["key"], "right")
             out: list[list] = [[], [], [], []]
-            for doc, size, a, b in zip(rows["doc"].tolist(), rows["size"].tolist(), begin.tolist(), end.tolist()):
+            for none, doc, size, a, b in zip(rows["none"].tolist(), rows["doc"].tolist(), rows["size"].tolist(), begin.tolist(), end.tolist()):
                 text = data[at : at + size]
                 at += size
                 own = spans[a:b]
-                own = own[own["doc"] == doc]
+                own = own[(own["doc"] == doc) & (own["none"] == none)]
                 edges = []
                 if len(own):
                     step = np.zeros(size + 1, np.int32)
@@ -538,7 +599,7 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     turn = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False]))))
                     edges = [{"start": int(x), "end": int(y)} for x, y in zip(turn[::2], turn[1::2])]
                     text = np.frombuffer(text, np.uint8)[~gone].tobytes()
-                for column, value in zip(out, (None if doc == NO_ID else doc, size, edges, text)):
+                for column, value in zip(out, (None if none else doc, size, edges, text)):
                     column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds)], names)
 
@@ -557,8 +618,8 @@ def dedup(docs: DataFrame, min_length: int = 100, id_col: str = "doc_id", text_c
     """
     labels = even_labels(docs.sparkSession)
     keyed = _keyed(docs, id_col, text_col)
-    texts = keyed.select("doc", "key", "data").mapInArrow(_texts(labels), SENT)
-    both = texts.unionByName(_found(keyed, min_length, labels, False)).repartition("part").sortWithinPartitions("part")
+    texts = keyed.select("none", "doc", "key", "data").mapInArrow(_texts(labels), SENT)
+    both = texts.unionByName(_found(keyed, min_length, labels, False)).repartition("part").sortWithinPartitions("part", "unit")
     return both.mapInArrow(_removed, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
 
 

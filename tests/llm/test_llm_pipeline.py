@@ -115,8 +115,10 @@ def test_query_matches_sql(spark, key):
 
 @pytest.mark.parametrize("key", sorted(set(QUERIES) - set(ORACLE)))
 def test_query_without_sql_returns_every_row(spark, key):
-    table = "documents"
-    assert queries()[key](spark, SF_SMALL).count() == spark.read.parquet(f"{SF_SMALL}/{table}.parquet").count()
+    found = queries()[key](spark, SF_SMALL)
+    if key.startswith("op13"):  # a row a piece
+        found = found.select("doc_id").distinct()
+    assert found.count() == spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
 
 
 def test_rest_works_without_this_subpackage(tmp_path):

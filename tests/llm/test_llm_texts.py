@@ -50,7 +50,14 @@ def test_removal_equals_brute_force(spark, seed, monkeypatch):
     assert removed(documents(spark, rows).repartition(3)) == brute_removed(rows)
 
 
-@pytest.mark.parametrize(("flush", "piece", "chunk"), [(2000, 1 << 21, 400_000), (10**7, 150, 300)])
+def keyed_batch(rows):
+    import pyarrow as pa
+
+    ids = pa.array([k for k, _ in rows], pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array([False] * len(rows)), ids, ids, pa.array([t.encode() for _, t in rows], pa.binary())], ["none", "doc", "key", "data"])
+
+
+@pytest.mark.parametrize(("flush", "piece", "chunk"), [(2000, 1 << 21, 400_000), (10**7, 150, 300), (10**7, 1 << 21, 4)])
 def test_bounds_change_nothing(monkeypatch, flush, piece, chunk):
     """Small flushes, pieces and chunks give the same removed bytes."""
     import pyarrow as pa
@@ -59,9 +66,9 @@ def test_bounds_change_nothing(monkeypatch, flush, piece, chunk):
         out = []
         for seed in range(6):
             rows = [(k, t) for k, t in repeated_texts(seed, 14) if len(t.encode()) >= 100]
-            batch = pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows]), pa.array([k for k, _ in rows]), pa.array([t.encode() for _, t in rows], pa.binary())], ["doc", "key", "data"])
-            sent = pa.Table.from_batches(list(suffixes._contexts(100, [0, 1, 2])(iter([batch]))), schema=suffixes.MAPPED).sort_by("part")
-            found = np.concatenate([suffixes.unpack(x["head"][0].as_py()) for x in suffixes._repeats(100, [0, 1, 2], False)(iter(sent.to_batches()))])
+            batch = keyed_batch(rows)
+            sent = pa.Table.from_batches(list(suffixes._contexts(100, [0, 1, 2])(iter([batch]))), schema=suffixes.MAPPED).sort_by([("part", "ascending"), ("unit", "ascending")])
+            found = np.concatenate([suffixes.unpack(h) for x in suffixes._repeats(100, [0, 1, 2], False)(iter(sent.to_batches())) for h in x["head"].to_pylist()])
             out.append({(int(x["doc"]), k) for x in found for k in range(x["start"], x["start"] + x["size"])})
         return out
 
@@ -83,6 +90,49 @@ def test_removal_edge_rows(spark):
     assert [r for r in twice if r[0] == 5] == [r for r in brute_removed(distinct) if r[0] == 5] * 2
 
 
+def test_rows_without_id_are_told_apart(spark):
+    """20,000 rows of null id, of other lengths each, that share passages in
+    pairs: one of a pair loses the passage, and no other byte goes."""
+    ship(spark)
+    r = random.Random(8)
+    make = lambda n: "".join(r.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+    rows, want = [], {}
+    for pair in range(10_000):
+        passage = make(150)
+        for k in (0, 1):
+            head, tail = make(20 + pair % 45) + "AB"[k], "CD"[k] + make(30 + (pair * 7 + k) % 50)
+            rows.append((None, head + passage + tail))
+            want[head + passage + tail] = (pair, head + tail)
+    rows += [(None, None), (None, "")] + rows[:3]  # equal rows are one document
+    lost = {}
+    for x in suffixes.dedup(documents(spark, rows).repartition(5)).collect():
+        assert x["doc_id"] is None
+        kept = bytes(x["kept"]).decode()
+        if x["n_bytes"] and kept not in want:
+            lost[kept] = lost.get(kept, 0) + 1
+    rests = {}
+    for pair, rest in want.values():
+        rests.setdefault(pair, []).append(rest)
+    again = {t for t in (want[x][1] for _, x in rows[-3:])}
+    for pair, both in rests.items():
+        gone = [t for t in both if t in lost]
+        assert len(gone) == 1 and lost[gone[0]] == (2 if gone[0] in again else 1), pair
+    assert len(lost) == 10_000
+
+
+def test_hot_grams_are_bounded(spark, monkeypatch):
+    ship(spark)
+    r = random.Random(2)
+    lines = ["".join(r.choices("abcdefgh", k=40)) for _ in range(30)]
+    docs = documents(spark, [(k, "".join(r.choices(lines, k=8))) for k in range(300)])
+    monkeypatch.setattr(suffixes, "SAMPLE", 1)
+    monkeypatch.setattr(suffixes, "HOT", 5)
+    keyed = suffixes._keyed(docs, "doc_id", "text")
+    many = len(suffixes.hot_anchors(keyed, 100))
+    monkeypatch.setattr(suffixes, "MAX_HOT", 200)
+    assert many > 400 and len(suffixes.hot_anchors(keyed, 100)) <= 200
+
+
 def test_common_line_spreads_over_anchors(spark, monkeypatch):
     """A line below the least length in every document, a passage above it in
     half of them: the same removal, and no anchor with a large share."""
@@ -98,12 +148,12 @@ def test_common_line_spreads_over_anchors(spark, monkeypatch):
     monkeypatch.setattr(suffixes, "HOT", 15)
     hot = suffixes.hot_anchors(suffixes._keyed(docs, "doc_id", "text"), 100)
     assert len(hot) > 200
-    batch = pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows]), pa.array([k for k, _ in rows]), pa.array([t.encode() for _, t in rows], pa.binary())], ["doc", "key", "data"])
+    batch = keyed_batch(rows)
     most = []
     for found in (hot[:0], hot):
         sent = pa.Table.from_batches(list(suffixes._contexts(100, list(range(97)), found)(iter([batch]))), schema=suffixes.MAPPED)
         windows = np.zeros(97, int)
-        for part, head, body in zip(*(c.to_pylist() for c in sent.columns)):
+        for part, _, head, body in zip(*(c.to_pylist() for c in sent.columns)):
             windows[part] += 0 if body is None else int(suffixes.unpack(head)["size"].sum())
         most.append(windows.max() / windows.mean())
     assert most[0] > 8 and most[1] < 3
