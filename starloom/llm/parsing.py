@@ -13,6 +13,8 @@ sketch of the phrase names.
 from __future__ import annotations
 
 import hashlib
+import json
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +23,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.common import even_labels
-from starloom.llm.links import groups
 
 #: Levels whose phrase names are sketched, the lowest left out: its phrases
 #: are a few characters long and common to all texts of a language.
@@ -168,6 +169,50 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return rows.mapInArrow(run, "doc_id long, n_chars long, fingerprint string")
 
 
+def bounds(rows: DataFrame, parts: int) -> list[tuple[bool, int, int]]:
+    """At most ``parts`` - 1 borders in the order of ``rows`` (``rank, h``):
+    (null, rank, h) from which the next stretch begins. Quantiles of the
+    rank; a rank that several of them name is cut by ranges of its texts'
+    hashes, and so are the null ranks, by their share."""
+    at = [k / parts for k in range(1, parts)]
+    if not at:
+        return []
+    found = rows.agg(F.count("*").alias("n"), F.count("rank").alias("ranked"), F.percentile_approx("rank", at, 20_000).alias("q")).first()
+    if not found["n"]:
+        return []
+    nulls = found["n"] - found["ranked"]
+    pieces = max(1, round(parts * nulls / found["n"])) if nulls else 0
+    ranked, q = parts - pieces, sorted(found["q"] or [])
+    cut = [q[min(len(q) - 1, k * len(q) // ranked)] for k in range(1, ranked)] if q else []
+    out: list[tuple[bool, int, int]] = []
+    for rank in sorted(set(cut)):
+        n = cut.count(rank)
+        out += [(False, rank, _LEAST + k * (2**64 // n)) for k in range(n)]
+    out += [(True, 0, _LEAST + k * (2**64 // pieces)) for k in range(pieces)]
+    return out[: parts - 1]
+
+
+_LEAST = -(1 << 63)
+
+
+def constant(values: list, ddl: str):
+    """A list as one constant (many literals would swell the plan)."""
+    return F.from_json(F.lit(json.dumps(values)), f"array<{ddl}>")
+
+
+def stretch(borders: list[tuple[bool, int, int]]):
+    """How many of the sorted ``borders`` a row (``rank, h``) is not before:
+    first among every so many of them, then within one run of these."""
+    if not borders:
+        return F.lit(0)
+    width = max(1, math.isqrt(len(borders)))
+    kind = "struct<n:boolean,r:bigint,h:bigint>"
+    rows = [{"n": n, "r": r, "h": h} for n, r, h in borders]
+    here = F.struct(F.col("rank").isNull().alias("n"), F.coalesce("rank", F.lit(0).cast("long")).alias("r"), F.col("h").alias("h"))
+    coarse = F.size(F.filter(constant(rows[width - 1 :: width], kind), lambda b: b <= here))
+    return coarse * width + F.size(F.filter(F.slice(constant(rows, kind), coarse * width + 1, F.lit(width)), lambda b: b <= here))
+
+
 def in_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``part, lead, rank, h, doc_id, text``: the rows of ``docs`` dealt in
     stretches of their order, each stretch a part of its own, and the first
@@ -175,36 +220,27 @@ def in_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     The order is by descending id, null last, ties by a hash of the text;
     the row after the last is the first. Stretches are ranges of ids between
-    quantiles. These and the first row's id and hash of each stretch come to
-    the driver: no more than there are shuffle partitions.
+    quantiles, or of hashes within an id of many rows (``bounds``). These and
+    the first row's id and hash of each stretch come to the driver: no more
+    than there are shuffle partitions.
     """
     labels = even_labels(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.withColumn("rank", F.bitwise_not("doc_id")).withColumn("h", F.xxhash64("text"))
-    at = [k / len(labels) for k in range(1, len(labels))]
-    cut = rows.agg(F.percentile_approx("rank", at, 20_000).alias("q")).collect()[0]["q"] if at else None
-    cut = sorted(set(cut or []))
-    number = F.size(F.filter(longs(cut), lambda b: b <= F.col("rank"))) if cut else F.lit(0)
-    rows = rows.withColumn("number", F.when(F.col("rank").isNull(), len(cut)).otherwise(number))
+    borders = bounds(rows, len(labels))
+    rows = rows.withColumn("number", stretch(borders))
     found = rows.groupBy("number").agg(F.min(F.struct(F.col("rank").isNull(), "rank", "h")).alias("first")).collect()
     found = {r["number"]: r["first"] for r in found}
     filled = sorted(found)
     earlier = {n: filled[k - 1] for k, n in enumerate(filled)}
-    every = range(len(cut) + 1)
-    rank = F.get(longs([found[n]["rank"] if n in found else None for n in every]), F.col("number"))
-    h = F.get(longs([found[n]["h"] if n in found else None for n in every]), F.col("number"))
-    part = F.get(longs(labels), F.col("number"))
-    before = F.get(longs([labels[earlier[n]] if n in earlier else None for n in every]), F.col("number"))
-    own = F.struct(part.alias("part"), F.lit(False).alias("lead"))
-    first = F.col("rank").eqNullSafe(rank) & (F.col("h") == h)
-    to = F.when(first, F.array(own, F.struct(before.alias("part"), F.lit(True).alias("lead")))).otherwise(F.array(own))
+    told = [{"p": labels[n], "b": labels[earlier[n]], "r": found[n]["rank"], "h": found[n]["h"]} if n in found else None for n in range(len(borders) + 1)]
+    at = F.get(constant(told, "struct<p:bigint,b:bigint,r:bigint,h:bigint>"), F.col("number"))
+    own = F.struct(at["p"].alias("part"), F.lit(False).alias("lead"))
+    first = F.col("rank").eqNullSafe(at["r"]) & (F.col("h") == at["h"])
+    to = F.when(first, F.array(own, F.struct(at["b"].alias("part"), F.lit(True).alias("lead")))).otherwise(F.array(own))
     return rows.withColumn("to", F.explode(to)).select("to.part", "to.lead", "rank", "h", "doc_id", "text")
 
 
-def longs(values: list[int | None]):
-    return F.array(*[F.lit(v).cast("long") for v in values])
-
-
 def edited(text: str, following: str) -> str:
     """The last floor(n / 2) code points replaced by the first as many (or
     all) of the following text."""
@@ -213,21 +249,26 @@ def edited(text: str, following: str) -> str:
 
 
 def _beside_next(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for g in groups(batches, ["part"]):
-        lead = g.column("lead").to_pylist()
-        n = len(lead) - sum(lead)
-        ids, column = g.column("doc_id"), g.column("text")
-        for at in range(0, n, 500):
-            end = min(n, at + 500)
-            texts = column.slice(at, end - at + 1).to_pylist()  # and the row after
+    """Rows sorted by part, their lead behind them: a row needs the one
+    after it alone, so some hundred are held at a time."""
+    before: tuple[int, bool, int | None, str] | None = None
+    for batch in batches:
+        for low in range(0, batch.num_rows, 500):
+            some = batch.slice(low, 500)
+            rows = list(zip(*(some.column(c).to_pylist() for c in ("part", "lead", "doc_id", "text"))))
+            rows = [before, *rows] if before else rows
+            before = rows[-1]
+            texts = [r[3] for r in rows]
             own = fingerprints(texts)
-            changed = [edited(a, b) for a, b in zip(texts, texts[1:])]
+            # the row after a lead is of another part, or a lead again
+            at = [k for k in range(len(rows) - 1) if not rows[k][1] and rows[k][0] == rows[k + 1][0]]
+            changed = [edited(texts[k], texts[k + 1]) for k in at]
             other = fingerprints(changed)
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(at, end - at).combine_chunks(), pa.array([len(t) for t in texts[:-1]], pa.int64()),
-                 pa.array([hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in changed]),
-                 pa.array([f.hex() for f in own[:-1]]), pa.array([f.hex() for f in other]),
-                 pa.array([likeness(a, b) for a, b in zip(own, other)]), pa.array([likeness(a, b) for a, b in zip(own, own[1:])])],
+                [pa.array([rows[k][2] for k in at], pa.int64()), pa.array([len(texts[k]) for k in at], pa.int64()),
+                 pa.array([hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in changed], pa.string()),
+                 pa.array([own[k].hex() for k in at], pa.string()), pa.array([f.hex() for f in other], pa.string()),
+                 pa.array([likeness(own[k], b) for k, b in zip(at, other)], pa.float64()), pa.array([likeness(own[k], own[k + 1]) for k in at], pa.float64())],
                 ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
 

@@ -373,3 +373,72 @@ def test_collisions_stop_the_query(spark, monkeypatch):
     monkeypatch.setattr(surrogates, "collisions", lambda *_: spark.sql("select 'iban' type, 'x' surrogate, 2L originals"))
     with pytest.raises(ValueError, match="iban"):
         surrogates.checked(docs, KEY)
+
+
+def plain_fingerprint(text):
+    """The parser said symbol by symbol, in whole numbers."""
+    mask = 2**64 - 1
+    m, a, b = ([int(x) for x in xs] for xs in (parsing._M, parsing._A, parsing._B))
+
+    def mixed(x):
+        x = (x ^ x >> 32) * m[0] & mask
+        x = (x ^ x >> 29) * m[1] & mask
+        return x ^ x >> 32
+
+    place = [mixed(k * m[2] & mask) for k in range(1, 33)]
+    if not text:
+        return b""
+    symbols = [mixed(ord(c) + 1) for c in text]
+    least = [mask] * parsing.VALUES
+    for n in range(1, parsing.LEVELS + 1):
+        runs = []
+        for x in symbols:
+            if runs and runs[-1][0] == x:
+                runs[-1][1] += 1
+            else:
+                runs.append([x, 1])
+        symbols = [mixed(x ^ mixed(k * m[2] & mask)) if k > 1 else x for x, k in runs]
+        labels, bits = symbols, 64
+        for _ in range(5):
+            new = []
+            for k, x in enumerate(labels):
+                differ = x ^ (labels[k - 1] if k else ~x & (2**bits - 1))
+                i = (differ & -differ).bit_length() - 1
+                new.append(2 * i + (x >> i & 1))
+            labels, bits = new, 8
+        starts = [k for k in range(len(labels)) if k == 0 or k + 1 < len(labels) and labels[k - 1] < labels[k] > labels[k + 1]]
+        phrases = [symbols[p:q] for p, q in zip(starts, [*starts[1:], len(symbols)])]
+        symbols = [mixed(sum((x ^ place[min(j, 31)]) * (place[min(j, 31)] | 1) for j, x in enumerate(p)) & mask) for p in phrases]
+        if n >= parsing.FIRST_LEVEL:
+            seen = {}
+            for x in symbols:
+                k = seen[x] = seen.get(x, -1) + 1
+                marked = mixed(x + place[n] + k * m[0] & mask)
+                least = [min(old, marked * a[v] + b[v] & mask) for v, old in enumerate(least)]
+            if len(symbols) == 1:
+                break
+    return b"".join((mixed(x) >> 32).to_bytes(4, "big") for x in least)
+
+
+def test_fingerprints_equal_a_plain_parser(spark):
+    r = random.Random(6)
+    texts = ["", "a", "aa", "ab", "aaaa" * 50, "abcabcabc" * 30, "été 漢字 😀 " * 9, *["".join(r.choices("abc de", k=r.randrange(400))) for _ in range(40)]]
+    texts += [t or "" for t in (x["text"] for x in spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(8).collect())]
+    assert parsing.fingerprints(texts) == [plain_fingerprint(t) for t in texts]
+
+
+def test_one_id_and_null_ids_are_spread(spark):
+    """A third of the rows under one id, a third without any: no stretch
+    holds many, and every row has its next."""
+    ship(spark)
+    rows = [(77, f"text {k} of the one id " * 3) for k in range(400)] + [(None, f"text {k} without id " * 3) for k in range(400)] + [(k, f"text {k} " * 5) for k in range(1000, 1400)]
+    docs = documents(spark, rows).repartition(7)
+    placed = parsing.in_order(docs)
+    sizes = [x["count"] for x in placed.where("not lead").groupBy("part").count().collect()]
+    assert sum(sizes) == 1200 and max(sizes) < 2.2 * 1200 / 8
+    order = sorted(rows, key=lambda x: (x[0] is None, -(x[0] or 0)))
+    hashes = {t: h for t, h in docs.selectExpr("text", "xxhash64(text)").collect()}
+    order.sort(key=lambda x: (x[0] is None, -(x[0] or 0), hashes[x[1]]))
+    following = {t: order[(k + 1) % 1200][1] for k, (_, t) in enumerate(order)}
+    found = sorted(x["edited_sha256"] for x in parsing.beside_next(docs).collect())
+    assert found == sorted(sha256(parsing.edited(t, following[t]).encode()).hexdigest() for _, t in rows)
