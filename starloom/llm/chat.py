@@ -16,31 +16,40 @@ from starloom.llm.common import write_cut
 
 
 def _turns(conversations: DataFrame) -> DataFrame:
-    """``conv, at, role, text``: turns numbered from 1 in their order."""
+    """``conv, at, n, role, text``: turns numbered from 1 in their order, and
+    how many their conversation has. A row without ``conv_id`` is a
+    conversation of its own, so none of these meet in one window."""
     rows = conversations.select(F.col("conv_id").alias("conv"), "turn", "role", "text")
     order = Window.partitionBy("conv").orderBy(F.asc_nulls_first("turn"), F.asc_nulls_first("role"), F.asc_nulls_first("text"))
-    return rows.select("conv", F.row_number().over(order).alias("at"), "role", "text")
+    named = rows.where("conv is not null").select(
+        "conv", F.row_number().over(order).alias("at"), F.count("*").over(Window.partitionBy("conv")).alias("n"), "role", "text")
+    return named.unionByName(rows.where("conv is null").select("conv", F.lit(1).alias("at"), F.lit(1).cast("long").alias("n"), "role", "text"))
+
+
+def _hashed(turns: DataFrame) -> DataFrame:
+    """``turns`` with ``x, y``, 128 bits of a hash of position, role and text."""
+    turn = [F.col("at"), F.col("role").isNull(), F.coalesce("role", F.lit("")), F.col("text").isNull(), F.coalesce("text", F.lit(""))]
+    return turns.withColumns({"x": F.xxhash64(F.lit(1), *turn), "y": F.xxhash64(F.lit(2), *turn)})
 
 
 def prefix_hashes(conversations: DataFrame) -> DataFrame:
     """``conv, at, n, a, b``: for each turn, the 128-bit hash of the prefix
     that ends there. Each turn's hash is salted with its position, so the
     running XOR of turn hashes names the sequence."""
-    turn = [F.col("at"), F.col("role").isNull(), F.coalesce("role", F.lit("")), F.col("text").isNull(), F.coalesce("text", F.lit(""))]
-    hashed = _turns(conversations).select("conv", "at", F.xxhash64(F.lit(1), *turn).alias("x"), F.xxhash64(F.lit(2), *turn).alias("y"))
+    hashed = _hashed(_turns(conversations))
     so_far = Window.partitionBy("conv").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    return hashed.select(
-        "conv", "at", F.count("*").over(Window.partitionBy("conv")).alias("n"),
-        F.bit_xor("x").over(so_far).alias("a"), F.bit_xor("y").over(so_far).alias("b"))
+    named = hashed.where("conv is not null").select("conv", "at", "n", F.bit_xor("x").over(so_far).alias("a"), F.bit_xor("y").over(so_far).alias("b"))
+    return named.unionByName(hashed.where("conv is null").select("conv", "at", "n", F.col("x").alias("a"), F.col("y").alias("b")))
 
 
 def maximal(conversations: DataFrame) -> DataFrame:
-    """``conv, n, logged``: the conversations that prefix no longer one.
-    Equal conversations collapse to the smallest id; ``logged`` counts them."""
+    """``conv, n, logged, a, b``: the conversations that prefix no longer one,
+    with their hash. Equal conversations collapse to the smallest id (null
+    where none has any); ``logged`` counts them."""
     prefixes = write_cut(prefix_hashes(conversations), "chat-prefixes")
     whole = prefixes.where("at = n").groupBy("n", "a", "b").agg(F.min("conv").alias("conv"), F.count("*").alias("logged"))
     inner = prefixes.where("at < n").select(F.col("at").alias("n"), "a", "b").distinct()
-    return whole.join(inner, ["n", "a", "b"], "left_anti").select("conv", "n", "logged")
+    return whole.join(inner, ["n", "a", "b"], "left_anti").select("conv", "n", "logged", "a", "b")
 
 
 def render(conversations: DataFrame) -> DataFrame:
@@ -49,13 +58,18 @@ def render(conversations: DataFrame) -> DataFrame:
 
     Turns stand in the order of ``turn``; ties by role, then text, nulls
     first; a repeated turn stays. A null role or text is rendered empty but
-    differs from an empty one when conversations are compared. Rows with a
-    null ``conv_id`` form one conversation. No rows give no rows.
+    differs from an empty one when conversations are compared. A row with a
+    null ``conv_id`` is a conversation of one turn. No rows give no rows.
     """
     kept = maximal(conversations).withColumnRenamed("conv", "kept")
     line = F.concat(F.lit("<|im_start|>"), F.coalesce("role", F.lit("")), F.lit("\n"), F.coalesce("text", F.lit("")), F.lit("<|im_end|>\n"))
-    turns = _turns(conversations).select("conv", F.struct("at", line.alias("line")).alias("t"))
-    return (turns.join(kept, F.col("conv").eqNullSafe(F.col("kept")))
-            .groupBy("conv", "n", "logged").agg(F.sort_array(F.collect_list("t")).alias("t"))
-            .select(F.col("conv").alias("conv_id"), F.col("n").alias("n_turns"), F.col("logged").alias("n_logged"),
-                    F.concat_ws("", F.col("t.line")).alias("text")))
+    turns = _turns(conversations)
+    named = turns.where("conv is not null").select("conv", F.struct("at", line.alias("line")).alias("t"))
+    named = (named.join(kept.select("kept", F.col("n").alias("turns"), "logged").where("kept is not null"), F.col("conv") == F.col("kept"))
+             .groupBy("conv", "turns", "logged").agg(F.sort_array(F.collect_list("t")).alias("t"))
+             .select(F.col("conv").alias("conv_id"), F.col("turns").alias("n_turns"), F.col("logged").alias("n_logged"),
+                     F.concat_ws("", F.col("t.line")).alias("text")))
+    single = _hashed(turns.where("conv is null")).select("conv", F.col("x").alias("a"), F.col("y").alias("b"), line.alias("line"))
+    single = single.groupBy("a", "b").agg(F.min("conv").alias("conv"), F.min("line").alias("line"))
+    single = single.join(kept.where("kept is null"), ["a", "b"])
+    return named.unionByName(single.select(F.col("conv").alias("conv_id"), F.col("n").alias("n_turns"), F.col("logged").alias("n_logged"), F.col("line").alias("text")))

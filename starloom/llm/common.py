@@ -7,7 +7,7 @@ import gc
 import os
 import uuid
 import weakref
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 import pyarrow as pa
@@ -133,3 +133,10 @@ def even_labels(spark: SparkSession) -> list[int]:
 def ddl(df: DataFrame, *more: str) -> str:
     """The columns of ``df`` and further ones as a schema string."""
     return ", ".join([f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema.fields] + list(more))
+
+
+def free(name: str, taken: Sequence[str]) -> str:
+    """``name``, with as many ``_`` before it as it takes to be new."""
+    while name in taken:
+        name = "_" + name
+    return name

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import begin, drop_cut, keeps, write_cut
+from starloom.llm.common import begin, drop_cut, free, keeps, write_cut
 from starloom.llm.links import block_pairs, components, groups, in_blocks, linked_batch, local_links
 
 WORDS = 5
@@ -267,10 +267,12 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 def representatives(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` (``doc_id, text`` and any others) that name their
     near-duplicate class, one of each; equal rows are one."""
+    a, b, nth = (free(name, docs.columns) for name in ("_a", "_b", "_nth"))
+
     def keyed(df: DataFrame, text_hash) -> DataFrame:
-        return df.withColumn("_a", F.xxhash64("doc_id", text_hash)).withColumn("_b", F.xxhash64(F.lit(1), "doc_id", text_hash))
+        return df.withColumn(a, F.xxhash64("doc_id", text_hash)).withColumn(b, F.xxhash64(F.lit(1), "doc_id", text_hash))
 
-    kept = keyed(join(docs).where("kept"), F.col("text_hash")).select("_a", "_b").distinct()
-    first = Window.partitionBy("_a", "_b").orderBy(*[F.col(c) for c in docs.columns if c != "text"])
-    found = keyed(docs, F.xxhash64("text")).join(kept, ["_a", "_b"])
-    return found.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").select(*docs.columns)
+    kept = keyed(join(docs).where("kept"), F.col("text_hash")).select(a, b).distinct()
+    first = Window.partitionBy(a, b).orderBy(*[F.col(c) for c in docs.columns if c != "text"])
+    found = keyed(docs, F.xxhash64("text")).join(kept, [a, b])
+    return found.withColumn(nth, F.row_number().over(first)).where(F.col(nth) == 1).select(*docs.columns)

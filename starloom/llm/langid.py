@@ -17,20 +17,20 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.common import begin, ddl, drop_cut, write_cut
 
 UNDETERMINED = "und"
-#: Rows of the bit-sliced table (a power of two) and hashes a gram.
-SLOTS, HASHES = 1 << 18, 3
-#: A language holds a gram that is in this share of its documents at least,
-MIN_RATE = 0.01
-#: ... if that share is this fraction at least of the gram's highest share,
+#: Rows of the bit-sliced table (a power of two) and hashes a gram. Any number
+#: of grams goes in; more of them raise the false-positive rate, which is known
+#: and taken out of the counts.
+SLOTS, HASHES = 1 << 20, 3
+#: A language holds a gram that so many of its documents have at least,
+MIN_DOCS = 3
+#: ... if their share is this fraction at least of the gram's highest share.
 OF_BEST = 0.3
-#: ... and keeps at most so many grams, the most frequent ones.
-PROFILE = 20_000
 #: More languages than this are refused: the table is sent to every executor.
 MAX_LANGUAGES = 256
 #: Code points treated at once, and distinct grams gathered before a flush.
@@ -51,6 +51,7 @@ def grams(text: str) -> Iterator[np.ndarray]:
         return
     points = np.where(is_letter, points, 32)
     points = points[np.concatenate(([True], is_letter[1:] | is_letter[:-1]))]
+    points = points[int(points[0] == 32) : len(points) - int(points[-1] == 32)]
     points = np.concatenate(([32], points, [32])).astype(np.uint64)
     for at in range(0, len(points) - 2, SLICE):
         p = points[at : at + SLICE + 2]
@@ -102,29 +103,45 @@ def profiles(labelled: DataFrame) -> DataFrame:
               .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     counts = write_cut(counts, "langid-counts")
     total = counts.where("gram = -1").select("lang", F.col("n").alias("docs"))
-    rate = counts.where("gram >= 0").join(total, "lang").select("lang", "gram", (F.col("n") / F.col("docs")).alias("rate"))
+    rate = counts.where("gram >= 0").join(total, "lang").select("lang", "gram", "n", (F.col("n") / F.col("docs")).alias("rate"))
     best = rate.groupBy("gram").agg(F.max("rate").alias("best"))
-    kept = rate.where(F.col("rate") >= MIN_RATE).join(best, "gram").where(F.col("rate") >= OF_BEST * F.col("best"))
-    order = Window.partitionBy("lang").orderBy(F.desc("rate"), "gram")
-    kept = kept.withColumn("at", F.row_number().over(order)).where(F.col("at") <= PROFILE).select("lang", "gram", "rate")
+    kept = rate.where(F.col("n") >= MIN_DOCS).join(best, "gram").where(F.col("rate") >= OF_BEST * F.col("best")).select("lang", "gram", "rate")
     kept = write_cut(kept, "langid-profiles")
     drop_cut(counts)
     return kept
 
 
+def _bits(langs: list[str]):
+    """Grams of languages -> the bits that they set: word, slot, mask."""
+    number = {lang: l for l, lang in enumerate(langs)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            l = np.array([number[x] for x in batch.column(0).to_pylist()], np.int64)
+            codes = batch.column(1).to_numpy().view(np.uint64)
+            at = np.concatenate(list(slots(codes)))
+            masks = np.tile((np.uint64(1) << (l & 63).astype(np.uint64)).view(np.int64), HASHES)
+            yield pa.RecordBatch.from_arrays([pa.array(np.tile(l >> 6, HASHES)), pa.array(at), pa.array(masks)], ["word", "slot", "mask"])
+
+    return run
+
+
 class Filters:
     """The bit-sliced table: ``rows[slot, word]``, bit l of the words for language l."""
 
-    def __init__(self, langs: list[str], fallback: str, grams_of: dict[str, np.ndarray]) -> None:
-        self.langs, self.fallback = langs, fallback
-        self.rows = np.zeros((SLOTS, max(1, -(-len(langs) // 64))), np.uint64)
-        fill = []
+    def __init__(self, langs: list[str], fallback: str, rows: np.ndarray) -> None:
+        self.langs, self.fallback, self.rows = langs, fallback, rows
+        fill = [np.count_nonzero(rows[:, l >> 6] & (np.uint64(1) << np.uint64(l & 63))) / SLOTS for l in range(len(langs))]
+        self.false_rate = np.array(fill) ** HASHES
+
+    @classmethod
+    def of(cls, langs: list[str], fallback: str, grams_of: dict[str, np.ndarray]) -> Filters:
+        """The filters of sets of grams at hand."""
+        rows = np.zeros((SLOTS, max(1, -(-len(langs) // 64))), np.uint64)
         for l, lang in enumerate(langs):
-            word, bit = l >> 6, np.uint64(1) << np.uint64(l & 63)
             for at in slots(grams_of[lang]):
-                self.rows[at, word] |= bit
-            fill.append(np.count_nonzero(self.rows[:, word] & bit) / SLOTS)
-        self.false_rate = np.array(fill) ** HASHES
+                rows[at, l >> 6] |= np.uint64(1) << np.uint64(l & 63)
+        return cls(langs, fallback, rows)
 
     def languages_of(self, codes: np.ndarray) -> list[np.ndarray]:
         """Bitmasks of the languages that hold each gram, 64 languages a word."""
@@ -156,7 +173,7 @@ class Filters:
             counts += self.popcounts(codes)
         if not n or not self.langs:
             return UNDETERMINED, 0.0
-        real = np.clip((counts - n * self.false_rate) / (1 - self.false_rate), 0, n)
+        real = np.clip((counts - n * self.false_rate) / np.maximum(1 - self.false_rate, 1e-9), 0, n)
         best = int(np.argmax(real))
         return (self.langs[best], float(real[best] / n)) if real[best] > 0 else (self.fallback, 0.0)
 
@@ -164,19 +181,22 @@ class Filters:
 def learn(labelled: DataFrame) -> Filters:
     """Filters from all rows of ``labelled`` (``lang, text``).
 
-    What reaches the driver is bounded: PROFILE grams for each of at most
-    MAX_LANGUAGES languages.
+    The bits of all grams are united by Spark; what reaches the driver is
+    the table itself, SLOTS rows for 64 of at most MAX_LANGUAGES languages,
+    however many grams they hold.
     """
     kept = profiles(labelled)
-    held = kept.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()
-    if len(held) > MAX_LANGUAGES:
+    found = kept.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()
+    if len(found) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    langs = sorted(r["lang"] for r in found)
     most = labelled.where("lang is not null and text is not null").groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(1).collect()
-    found = kept.select("lang", "gram").toPandas()
-    grams_of = {lang: part["gram"].to_numpy(np.int64).astype(np.uint64) for lang, part in found.groupby("lang")}
-    langs = sorted(grams_of)
+    bits = kept.select("lang", "gram").mapInArrow(_bits(langs), "word long, slot long, mask long").groupBy("word", "slot").agg(F.bit_or("mask").alias("mask")).toArrow()
+    rows = np.zeros((SLOTS, max(1, -(-len(langs) // 64))), np.uint64)
+    word, slot, mask = (bits.column(c).to_numpy() for c in range(3))
+    rows[slot, word] = mask.view(np.uint64)
     drop_cut(kept)
-    return Filters(langs, most[0]["lang"] if most else UNDETERMINED, grams_of)
+    return Filters(langs, most[0]["lang"] if most else UNDETERMINED, rows)
 
 
 def label(docs: DataFrame, filters: Filters, text_col: str = "text") -> DataFrame:

@@ -17,6 +17,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starloom.llm.common import free
+
 #: Hash buckets of a leaf's epoch order: hex digits of the order hash.
 BUCKET_DIGITS = 3
 
@@ -77,8 +79,15 @@ def select(docs: DataFrame, levels: Sequence[str], weights: Mapping[str, Column]
     tokens. Running totals are summed over hash buckets first, so a leaf
     with a third of all rows is spread over many tasks. Null levels are
     values like others; rows without tokens stand in the order and use no
-    budget; repeated rows count each; no rows give no rows.
+    budget; repeated rows count each; no rows give no rows. A column
+    ``copies`` of ``docs`` is replaced; columns named like ``_full``,
+    ``_rest``, ``_order``, ``_bucket``, ``_own``, ``_at``, ``_before`` or a
+    level behind ``_`` are not allowed.
     """
+    docs = docs.drop("copies")
+    taken_names = {"_full", "_rest", "_order", "_bucket", "_own", "_at", "_before", *(f"_{c}" for c in levels), *(f"__{c}" for c in levels)}
+    if clash := sorted(taken_names & set(docs.columns)):
+        raise ValueError(f"columns of these names cannot be kept: {clash}")
     leaves = docs.groupBy(*levels).agg(F.sum("n_tokens").alias("tokens"))
     plan = budgets(leaves, levels, weights or {}, share, max_epochs)
     plan = plan.select(
@@ -132,9 +141,11 @@ def take(docs: DataFrame) -> DataFrame:
     the numbers of ``copies``. Rows equal in these four are one kind, taken
     as often as they are together."""
     kind = ["doc_id", "text", "lang", "source"]
-    keyed = docs.withColumn("_a", F.xxhash64(*kind, *[F.col(c).isNull() for c in kind])).withColumn("_b", F.xxhash64(F.lit(1), *kind, *[F.col(c).isNull() for c in kind]))
-    rows = keyed.select("_a", "_b", "doc_id", source_domain().alias("domain"), "lang", "source", n_tokens().alias("n_tokens"))
-    chosen = select(rows, LEVELS, document_weights()).groupBy("_a", "_b").agg(F.sum("copies").cast("int").alias("_copies")).where("_copies > 0")
-    own = Window.partitionBy("_a", "_b").orderBy("_copies")
-    found = keyed.join(chosen, ["_a", "_b"]).withColumn("_nth", F.row_number().over(own)).where("_nth = 1")
-    return found.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(*docs.columns)
+    a, b, copies, nth = (free(name, docs.columns) for name in ("_a", "_b", "_copies", "_nth"))
+    keyed = docs.withColumn(a, F.xxhash64(*kind, *[F.col(c).isNull() for c in kind])).withColumn(b, F.xxhash64(F.lit(1), *kind, *[F.col(c).isNull() for c in kind]))
+    rows = keyed.select(F.col(a).alias("a"), F.col(b).alias("b"), "doc_id", source_domain().alias("domain"), "lang", "source", n_tokens().alias("n_tokens"))
+    chosen = select(rows, LEVELS, document_weights()).groupBy("a", "b").agg(F.sum("copies").cast("int").alias(copies)).where(F.col(copies) > 0)
+    chosen = chosen.select(F.col("a").alias(a), F.col("b").alias(b), copies)
+    own = Window.partitionBy(a, b).orderBy(copies)
+    found = keyed.join(chosen, [a, b]).withColumn(nth, F.row_number().over(own)).where(F.col(nth) == 1)
+    return found.withColumn(nth, F.explode(F.sequence(F.lit(1), copies))).select(*docs.columns)

@@ -38,8 +38,9 @@ SELECT doc_id, domain, lang, source, n_tokens, (full_epochs + CASE WHEN upto <=
 
 CHAT = """
 WITH t AS (
-  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS p FROM conversations),
-c AS (SELECT conv_id, count(*) AS n, list({'r': role, 't': text} ORDER BY p) AS l FROM t GROUP BY conv_id),
+  SELECT conv_id, lone, role, text, row_number() OVER (PARTITION BY conv_id, lone ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS p
+  FROM (SELECT *, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS lone FROM conversations)),
+c AS (SELECT conv_id, count(*) AS n, list({'r': role, 't': text} ORDER BY p) AS l FROM t GROUP BY conv_id, lone),
 w AS (SELECT min(conv_id) AS conv_id, n, l, count(*) AS logged FROM c GROUP BY n, l)
 SELECT conv_id, n::BIGINT AS n_turns, logged AS n_logged,
        array_to_string(list_transform(l, lambda x: '<|im_start|>' || coalesce(x.r, '') || chr(10) || coalesce(x.t, '') || '<|im_end|>' || chr(10)), '') AS text

@@ -99,14 +99,14 @@ def rendered(turns):
 
 def brute_chat(rows):
     by = {}
-    for conv, turn, role, text in rows:
-        by.setdefault(conv, []).append(((turn is not None, turn), (role is not None, role), (text is not None, text)))
+    for k, (conv, turn, role, text) in enumerate(rows):  # a row without conv_id stands alone
+        by.setdefault(("row", k) if conv is None else conv, []).append(((turn is not None, turn), (role is not None, role), (text is not None, text)))
     logs = {c: tuple((r[1], t[1]) for _, r, t in sorted(turns)) for c, turns in by.items()}
     out = []
     for log in set(logs.values()):
         if not any(len(o) > len(log) and o[: len(log)] == log for o in logs.values()):
             same = [c for c, o in logs.items() if o == log]
-            named = [c for c in same if c is not None]
+            named = [c for c in same if not isinstance(c, tuple)]
             out.append((min(named) if named else -1, len(log), len(same), rendered(log)))
     return sorted(out)
 
@@ -123,6 +123,7 @@ def test_snapshots_collapse(spark):
             rows += [(k, *turn) for turn in log[:n]]
             k += 1
     rows += [(900, 0, None, "x"), (901, 0, "", "x"), (902, 0, "user", None), (903, 0, "user", ""), (903, 0, "user", ""), (None, 3, "user", "no conversation"),
+             (None, 4, "user", "no conversation"), (None, None, None, None), (None, 1, "user", "text 1 first"), (None, 9, "user", None), *[(None, k, "user", "alone") for k in range(50)],
              (904, None, "user", "a"), (904, 1, "user", "b"), (905, 1, "user", "b"), (905, 1, "user", "a"), (906, 5, "user", "a"), (906, 7, "user", "b"), (907, 0, "user", "long " * 50_000)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     assert chats(df) == brute_chat(rows)

@@ -258,7 +258,7 @@ def test_language_does_not_read_label_source_or_id(spark):
 
 def test_more_than_one_mask_word():
     grams = {f"l{k:02}": np.arange(k * 50, k * 50 + 50, dtype=np.uint64) for k in range(80)}
-    f = langid.Filters(sorted(grams), "l00", grams)
+    f = langid.Filters.of(sorted(grams), "l00", grams)
     for k in (0, 40, 79):
         counts = f.popcounts(grams[f"l{k:02}"])
         assert int(np.argmax(counts)) == k and counts[k] == 50
@@ -442,3 +442,65 @@ def test_one_id_and_null_ids_are_spread(spark):
     following = {t: order[(k + 1) % 1200][1] for k, (_, t) in enumerate(order)}
     found = sorted(x["edited_sha256"] for x in parsing.beside_next(docs).collect())
     assert found == sorted(sha256(parsing.edited(t, following[t]).encode()).hexdigest() for _, t in rows)
+
+
+def plain_grams(text):
+    low = "".join(c if c.isalpha() else " " for c in text.lower())
+    words = " ".join(low.split())
+    return [f" {words} "[k : k + 3] for k in range(len(words))] if words else []
+
+
+def plain_slots(gram):
+    code, mask = sum(ord(c) << 21 * k for k, c in enumerate(gram)), 2**64 - 1
+    h = (code ^ code >> 29) * 0x9E3779B97F4A7C15 & mask
+    h = (h ^ h >> 32) * 0xD6E8FEB86659FD93 & mask
+    return [h >> 64 - 20 * (k + 1) & (1 << 20) - 1 for k in range(3)]
+
+
+def test_language_id_equals_a_plain_version(spark):
+    """Documents that hold a gram, the grams a language keeps, its bits, the
+    popcounts and the decision, said with sets and dictionaries."""
+    from collections import Counter
+
+    ship(spark)
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").unionByName(documents(spark, EDGE))
+    rows = [tuple(r) for r in docs.select("doc_id", "text", "lang", (langid.fold() == 1).alias("out")).collect()]
+    total, having = Counter(), Counter()
+    for i, text, lang, out in rows:
+        if out is False and text is not None and lang is not None:
+            total[lang] += 1
+            having.update((lang, g) for g in set(plain_grams(text)))
+    share = {key: n / total[key[0]] for key, n in having.items()}
+    best = {}
+    for (lang, g), x in share.items():
+        best[g] = max(best.get(g, 0), x)
+    bits = {lang: set() for lang in total}
+    for (lang, g), n in having.items():
+        if n >= 3 and share[lang, g] >= 0.3 * best[g]:
+            bits[lang].update(plain_slots(g))
+    langs = sorted(lang for lang in bits if bits[lang])
+    false = {lang: (len(bits[lang]) / 2**20) ** 3 for lang in langs}
+    want = []
+    for i, text, _, out in rows:
+        found = plain_grams(text or "")
+        if not found:
+            want.append((i or -1, bool(out), "und", 0.0))
+            continue
+        where = [plain_slots(g) for g in found]
+        real = [max(0.0, (sum(all(x in bits[lang] for x in w) for w in where) - len(found) * false[lang]) / (1 - false[lang])) for lang in langs]
+        k = real.index(max(real))
+        common = min(total, key=lambda lang: (-total[lang], lang))
+        want.append((i or -1, bool(out), langs[k] if real[k] else common, round(real[k] / len(found), 9)))
+    got = [(r["doc_id"] or -1, r["held_out"], r["lang_pred"], round(r["score"], 9)) for r in langid.identify(docs).collect()]
+    assert sorted(got) == sorted(want)
+
+
+def test_large_scripts_are_learned(spark):
+    """Two languages in one script of 6,000 characters: few trigrams recur, and held-out texts are told apart."""
+    ship(spark)
+    r = random.Random(3)
+    words = {lang: ["".join(chr(0x4E00 + r.randrange(3000) + 1500 * k) for _ in range(r.randrange(2, 4))) for _ in range(1500)] for k, lang in enumerate(("xa", "xb"))}
+    rows = [(k, "".join(r.choices(words[lang], k=120)), lang, "s", None) for k, lang in enumerate(["xa", "xb"] * 150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = langid.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
+    assert len(found) > 60 and all(x["lang_pred"] == x["lang"] and x["score"] > 0 for x in found)
