@@ -21,11 +21,12 @@ ORACLE_SQL = None
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of no determined language go; ``lang`` becomes the predicted one."""
+    """Documents of no determined language go, those among them in which no
+    learned language has any evidence; ``lang`` becomes the predicted one."""
     ship(spark)
     filters = langid.learn(docs.where(langid.fold() != 1).select("lang", "text"))
     found = langid.label(docs.select(*COLUMNS), filters)
-    return found.where(F.col("lang_pred") != langid.UNDETERMINED).select(
+    return found.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") > 0)).select(
         "doc_id", "text", F.col("lang_pred").alias("lang"), "source", "n_chars")
 
 
