@@ -22,7 +22,7 @@ def op1_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole document text with surrogates for personal data."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return surrogates.pseudonymise(surrogates.checked(docs, surrogates.EXAMPLE_KEY), surrogates.EXAMPLE_KEY).withColumn("n_entities", F.size("entities").cast("long"))
+    return surrogates.pseudonymise_checked(docs, surrogates.EXAMPLE_KEY).withColumn("n_entities", F.size("entities").cast("long"))
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
