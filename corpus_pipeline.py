@@ -39,7 +39,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and secrets get surrogates."""
     ship(spark)
-    done = surrogates.pseudonymise(surrogates.checked(docs.select(*COLUMNS), surrogates.EXAMPLE_KEY), surrogates.EXAMPLE_KEY)
+    done = surrogates.pseudonymise_checked(docs.select(*COLUMNS), surrogates.EXAMPLE_KEY)
     return done.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 
