@@ -37,7 +37,7 @@ def test_language_stage(spark, source):
     got = STAGE["language_id"](spark, source, SF_SMALL)
     assert got.columns == COLUMNS
     filters = langid.learn(source.where(langid.fold() != 1).select("lang", "text"))
-    want = [(i, t, filters.decide(t)[0], s, n) for i, t, _, s, n in rows(source) if filters.decide(t)[0] != "und"]
+    want = [(i, t, filters.decide(t)[0], s, n) for i, t, _, s, n in rows(source) if filters.decide(t)[0] != "und" and filters.decide(t)[1] > 0]
     assert rows(got) == sorted(want, key=repr)
     assert not any(t is None or not any(c.isalpha() for c in t) for _, t, *_ in want)
 
