@@ -130,3 +130,35 @@ def test_rest_works_without_this_subpackage(tmp_path):
     code = "import __spark_entry__ as e; assert e.queries() and set(e.oracle_sql()) == set(e.queries()); print(len(e.queries()))"
     r = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120, env={"PATH": "/usr/bin:/bin"})
     assert r.returncode == 0, r.stderr[-2000:]
+
+
+@pytest.mark.parametrize("package", ["xxhash", "regex", "public_tokenizers"])
+def test_a_missing_package_leaves_the_other_queries(package):
+    """Whatever the subpackage cannot import, the rest stays registered."""
+    code = f"import sys; sys.modules['{package}'] = None; import __spark_entry__ as e; q = e.queries(); assert len(q) >= 75 and not any(k.startswith('op') for k in q) and set(e.oracle_sql()) == set(q)"
+    r = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=120)
+    assert r.returncode == 0 and "left out" in r.stderr, r.stderr[-2000:]
+
+
+def test_other_tests_work_without_these_folders(tmp_path):
+    """With the subpackage, its tests and the pipeline gone, every other test is found and a part of them is run."""
+    import shutil
+
+    for name in ("__spark_entry__.py", "bench.py"):
+        shutil.copy(f"{ROOT}/{name}", tmp_path)
+    for name in ("starloom", "tests"):
+        shutil.copytree(f"{ROOT}/{name}", tmp_path / name, ignore=shutil.ignore_patterns("llm", "__pycache__", ".pytest_cache"))
+    run = lambda *a: subprocess.run([sys.executable, "-m", "pytest", "-q", "-p", "no:cacheprovider", *a], cwd=tmp_path, capture_output=True, text=True, timeout=600)
+    found = run("--collect-only", "tests")
+    assert found.returncode == 0, found.stdout[-2000:]
+    some = run("tests/test_functions.py", "tests/test_deliveries.py", "-k", "test_functions or one_row_a_code or registered_once or rejected_values")
+    assert some.returncode == 0 and "passed" in some.stdout, some.stdout[-2000:]
+
+
+@pytest.mark.parametrize("key", sorted(QUERIES))
+def test_plans_hold_no_cross_join(spark, key):
+    from conftest import plan_text
+
+    text = plan_text(QUERIES[key](spark, SF_SMALL), "formatted")
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+    assert "BatchEvalPython" not in text  # no function a row
