@@ -1,6 +1,7 @@
 """Command line for the batch jobs (``spark-submit -m``-style entry).
 
     python -m starloom vaccination-ingest --raw '<raw>/vacinacao/*.csv' --out <prestructured>/vacinacao
+    python -m starloom vaccination-deliver --root <raw>/vacinacao --layer <prestructured>/vacinacao [--drop-withdrawn]
     python -m starloom vaccination-tables --prestructured ... --localities ... --out .../structured/vacinacao
     python -m starloom srag-ingest --source 2020=.../INFLUD20.csv --source 2021=... [--year 2021] --out ...
     python -m starloom deaths --prestructured ... --out ...
@@ -17,6 +18,7 @@ The session comes from the environment (``spark-submit`` / cluster config).
 from __future__ import annotations
 
 import argparse
+import dataclasses
 import json
 
 from pyspark.sql import SparkSession
@@ -38,10 +40,16 @@ def main(argv=None) -> None:
     p = sub.add_parser("vaccination-ingest")
     p.add_argument("--raw", required=True)
     p.add_argument("--out", required=True)
+    p = sub.add_parser("vaccination-deliver")
+    p.add_argument("--root", required=True, help="folder of the raw files, at any depth")
+    p.add_argument("--layer", required=True)
+    p.add_argument("--drop-withdrawn", action="store_true", help="files that are gone lose their rows")
     p = sub.add_parser("vaccination-tables")
     p.add_argument("--prestructured", required=True)
     p.add_argument("--localities", required=True)
     p.add_argument("--out", required=True)
+    p.add_argument("--one-name", action="store_true", help="one row a code: the description of most rows")
+    p.add_argument("--versioned", action="store_true", help="replace each table atomically")
     p = sub.add_parser("srag-ingest")
     p.add_argument("--source", action="append", required=True, help="YEAR=PATH")
     p.add_argument("--year", action="append", type=int, default=[], help="repeatable; 0 or none = every year")
@@ -68,9 +76,11 @@ def main(argv=None) -> None:
     fact_cap = V.MAX_FILES_FACT if a.source_caps else None
     if a.job == "vaccination-ingest":
         result = {"rows": jobs.ingest_vaccination(spark, a.raw, a.out)}
+    elif a.job == "vaccination-deliver":
+        result = dataclasses.asdict(jobs.deliver_vaccination(spark, a.root, a.layer, drop_withdrawn=a.drop_withdrawn))
     elif a.job == "vaccination-tables":
         result = jobs.build_vaccination_tables(spark, a.prestructured, a.localities, a.out, scope,
-                                               max_files=fact_cap)
+                                               max_files=fact_cap, one_name=a.one_name, versioned=a.versioned)
     elif a.job == "srag-ingest":
         sources = {int(y): path for y, path in (s.split("=", 1) for s in a.source)}
         years = [y for y in a.year if y != 0] or None

@@ -130,8 +130,8 @@ def continued_fact(spark: SparkSession, state: str, spec: FactSpec, distinct: st
 
 def compact(spark: SparkSession, state: str) -> None:
     """Write the partials and ids in force as one folder each, without those
-    of replaced files. The old folders stay until :func:`versions.prune`-like
-    cleaning; readers of older versions are not disturbed."""
+    of replaced files. The old folders stay: readers of older versions are
+    not disturbed."""
     state = state.rstrip("/")
     number, note = versions.current(spark, state)
     if not number or not note.get("partials"):

@@ -136,7 +136,7 @@ def build_vaccination_tables(spark: SparkSession, prestructured: str, localities
 def ingest_srag(spark: SparkSession, sources: Mapping[int, str], out: str,
                 years: Sequence[int] | None = None, fill=None, replace: Mapping[int, Sequence[str]] | None = None,
                 columns: Mapping[int, Sequence[str]] | None = None,
-                scope: star.Scope = star.DEFAULT_SCOPE) -> int:
+                scope: star.Scope = star.DEFAULT_SCOPE, account: bool = False) -> int:
     """Yearly SRAG CSV files -> state COVID-19 cases aligned to one column
     list, with their conformed columns, written as ``ano=<year>`` partitions
     (dynamic overwrite: a run for one year leaves the other years in place).
@@ -145,7 +145,9 @@ def ingest_srag(spark: SparkSession, sources: Mapping[int, str], out: str,
     Columns a year lacks are filled with ``fill`` (NULL by default; the
     source system used the text '0'), and so are those that ``replace``
     names for the year although it has them. ``columns`` (a year's header)
-    saves its inference and has every file checked against it.
+    saves its inference and has every file checked against it. ``account``
+    keeps the texts that could not be read beside each row (``rejeitos``, for
+    :func:`starloom.operators.reject_account`).
     """
     unknown = sorted(set(years or ()) - set(sources))
     if unknown:
@@ -156,7 +158,7 @@ def ingest_srag(spark: SparkSession, sources: Mapping[int, str], out: str,
         cases = read_delimited(spark, sources[year], (columns or {}).get(year)).filter(star.srag_case_filter(scope))
         aligned = align_columns(cases, V.SRAG_COLUMNS, fill, replace=(replace or {}).get(year, ()))
         frames.append(aligned.withColumn("ano", F.lit(str(year))))
-    return write_counted(star.conform_srag(union_aligned(frames, [*V.SRAG_COLUMNS, "ano"])), out, partition_by=["ano"])
+    return write_counted(star.conform_srag(union_aligned(frames, [*V.SRAG_COLUMNS, "ano"]), account), out, partition_by=["ano"])
 
 
 def build_deaths_fact(spark: SparkSession, prestructured: str, out: str, max_files: int | None = None,

@@ -163,7 +163,11 @@ def read_rejects(spark: SparkSession, layer: str) -> DataFrame:
     if not note.get("accounts"):
         return spark.createDataFrame([], "arquivo string, coluna string, valores long, exemplo string")
     schema = "arquivo string, coluna string, valores long, exemplo string, versao string"
-    rows = spark.read.schema(schema).option("basePath", base).parquet(*[f"{base}/versao={f}" for f in note["accounts"]])
+    used = {r["versao"] for r in read_ledger(spark, layer).select("versao").distinct().collect()}
+    paths = [f"{base}/versao={f}" for f in note["accounts"] if f in used]
+    if not paths:
+        return spark.createDataFrame([], "arquivo string, coluna string, valores long, exemplo string")
+    rows = spark.read.schema(schema).option("basePath", base).parquet(*paths)
     return rows.join(read_ledger(spark, layer).select("arquivo", "versao"), ["arquivo", "versao"], "left_semi").drop("versao")
 
 
@@ -183,3 +187,29 @@ def read_delivered(spark: SparkSession, layer: str, files: DataFrame | None = No
     out = rows.where(F.col("versao").isin(used)).join(live, ["versao", "arquivo"], "left_semi")
     columns = [f.name for f in schema.fields if with_version or f.name != "versao"]
     return out.select(*columns)
+
+
+def drop_unused(spark: SparkSession, layer: str) -> list[str]:
+    """Delete what no reader of the layer needs: folders of rows of which the
+    ledger names no file (replaced by now, or of a failed delivery), and the
+    ledgers and accounts of older versions. Returns the versions dropped.
+    Only when no reader or writer is at work on an older version; a version
+    of which one file is still in force stays whole."""
+    layer = layer.rstrip("/")
+    number, note = versions.current(spark, layer)
+    if not number:
+        return []
+    used = {r["versao"] for r in read_ledger(spark, layer).select("versao").distinct().collect()}
+    gone: set[str] = set()
+    for name, keep, lead in (("dados", used, "versao="), ("livro", {note["folder"]}, ""), ("rejeitos", used, "versao=")):
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{layer}/{name}")
+        fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not fs.exists(hadoop):
+            continue
+        for status in fs.listStatus(hadoop):
+            folder = status.getPath().getName()
+            version = folder[len(lead):] if folder.startswith(lead) else ""
+            if status.isDirectory() and version[:1].isdigit() and version not in keep:
+                fs.delete(status.getPath(), True)
+                gone.add(version)
+    return sorted(gone)

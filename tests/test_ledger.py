@@ -11,6 +11,7 @@ from starloom.sources import (
     Delivery,
     current,
     deliver,
+    drop_unused,
     header_groups,
     prune,
     read_by_header,
@@ -169,3 +170,52 @@ def test_jobs_do_not_grow_with_the_files(spark, workdir):
         return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
 
     assert jobs_of(200) == jobs_of(80) < 12  # (Spark lists more than 32 paths in a job)
+
+
+def test_versions_that_nothing_needs_are_dropped(spark, workdir):
+    layer = f"{workdir}/layer"
+    run = lambda: jobs.deliver_vaccination(spark, f"{workdir}/raw", layer, TOKEN)
+    lay(workdir, "vac-01.csv", ROWS[:3], at=1000)
+    lay(workdir, "vac-02.csv", ROWS[3:5], at=1000)
+    run()
+    lay(workdir, "vac-01.csv", ROWS[:4], at=2000)
+    run()
+    assert drop_unused(spark, layer) and held(spark, layer) == {"vac-01.csv": 4, "vac-02.csv": 2}  # an old ledger
+    lay(workdir, "vac-02.csv", ROWS[3:9], at=3000)
+    run()
+    assert len(os.listdir(f"{layer}/dados")) >= 3
+    assert len(drop_unused(spark, layer)) == 2 and drop_unused(spark, layer) == []
+    assert held(spark, layer) == {"vac-01.csv": 4, "vac-02.csv": 6}
+    assert sorted(d[:12] for d in os.listdir(f"{layer}/dados") if d.startswith("versao=")) == ["versao=00000"] * 2
+
+
+def test_cli_delivery(workdir):
+    import json
+    import subprocess
+    import sys
+
+    fx.write_csv(f"{workdir}/raw/jan/vacinacao.csv", fx.VACC_COLUMNS, ROWS[:5])
+    args = [sys.executable, "-m", "starloom", "vaccination-deliver", "--root", f"{workdir}/raw", "--layer", f"{workdir}/layer"]
+    r = subprocess.run(args, cwd=fx.__file__.rsplit("/tests/", 1)[0], capture_output=True, text=True, timeout=300)
+    assert r.returncode != 0 and "no part token" in r.stderr  # the name has none that the layout knows
+    os.rename(f"{workdir}/raw/jan/vacinacao.csv", f"{workdir}/raw/jan/vacinacao-01-x.csv")
+    r = subprocess.run(args, cwd=fx.__file__.rsplit("/tests/", 1)[0], capture_output=True, text=True, timeout=300)
+    assert r.returncode == 0, r.stderr[-2000:]
+    told = json.loads(r.stdout.strip().splitlines()[-1])
+    assert (told["new"], told["rows"], told["version"]) == (1, 5, 1)
+
+
+def test_srag_layer_keeps_what_was_not_read(spark, workdir):
+    from starloom.operators import reject_account
+    from starloom.sources import read_layer
+
+    sources = fx.write_srag(workdir)
+    assert jobs.ingest_srag(spark, sources, f"{workdir}/pre", account=True) == 7
+    layer = read_layer(spark, f"{workdir}/pre", {"ano": "string"})
+    account = {(r["ano"], r["coluna"]): r["valores"] for r in reject_account(layer, "ano").collect()}
+    want = {}
+    for r in layer.collect():
+        for column, value in star.SRAG_READ.items():
+            if r[column] is not None and r[column].strip() and any(x["coluna"] == column for x in r["rejeitos"]):
+                want[r["ano"], column] = want.get((r["ano"], column), 0) + 1
+    assert account == want
