@@ -221,6 +221,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     rows of it all say so; ``text_hash`` tells two texts of one id apart). A
     null or wordless text links with nothing. A null id comes last and
     names a class only where no other row is in it. No rows give no rows.
+    Texts are read whole, whatever their length; other columns are not read.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     signed = write_cut(texts.mapInArrow(_signatures, "doc_id long, text_hash long, fp binary, size long, sig binary"), "jaccard-signed")

@@ -163,7 +163,8 @@ def near_dedup(embeddings: DataFrame, id_col: str = "vec_id", vec_col: str = "em
     length. Equal vectors of a label are compared once. Repeated ids: every
     row counts; ``component_id`` is the least id of the rows that a row
     reaches. A null id names a component only where no row has one. No rows
-    give no rows.
+    give no rows. Vectors of any length are compared whole; other columns are
+    not read.
     """
     rows = embeddings.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("string").alias("label"), F.col(vec_col).cast("array<double>").alias("v"))
     clean = write_cut(rows.mapInArrow(_clean, "vec_id long, label string, fp binary, dim int, vec binary"), "near-clean")

@@ -26,7 +26,9 @@ def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Unigram token count of every whole document text."""
+    """Unigram token count of every whole document text. The costs are Zipf's
+    law of a token's rank in the vocabulary: a stand-in, not a model fitted to
+    a corpus (the vocabularies at hand have no unigram probabilities)."""
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), RANKS, PATTERN)
 
 
