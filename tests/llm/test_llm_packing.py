@@ -83,7 +83,9 @@ def test_ids_are_those_of_the_tokenizer():
     encode = packing.encoder(PATH, PATTERN)
     r = random.Random(4)
     letters = "abc ABC  \n\t'sé漢😀  ́<|endoftext|>019٣ⅷ!?.,_\x00\x85"
-    texts = ["", " ", "<|endoftext|>", "a<|endoftext|><|endoftext|> b", "<|endoftext|", *["".join(r.choices(letters, k=r.randrange(60))) for _ in range(500)], "x" * 3000 + " y" * 2000]
+    texts = ["", " ", "<|endoftext|>", "a<|endoftext|><|endoftext|> b", "<|endoftext|", *["".join(r.choices(letters, k=r.randrange(60))) for _ in range(500)],
+             *["".join(r.choices("ab é\n \t\r\x0b\x0c\x1c", k=r.randrange(40))) for _ in range(800)], *["".join(r.choices("a1. \n\xa0\u2003\u3000", k=r.randrange(30))) for _ in range(300)],
+             "  a", "a  ", " \n ", "\n\na", "a\n\n b", "a \n", "  ", "x   y", "'s  's", "x" * 3000 + " y" * 2000]
     assert [x.tolist() for x in encode(texts)] == [e.ids for e in TOKENIZER.encode_batch(texts, add_special_tokens=False)]
     other = public_tokenizers.path("word_bpe_49k.json")
     whole = Tokenizer.from_file(other)
