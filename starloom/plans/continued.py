@@ -11,9 +11,11 @@ Measures merge exactly:
 
 * ``count`` and ``sum``: partial counts and sums are added;
 * ``count_distinct``: the ids are numbered once, in a dictionary that grows
-  with the deliveries, and each group keeps bitmaps of 32,768 numbers that
-  are united with a bitwise or (``bitmaps``, for groups of many ids), or the
-  distinct ids themselves (``pairs``, for groups of few).
+  with the deliveries, and each group keeps the words of its bitmap that are
+  not empty, 64 numbers each, united with a bitwise or (``bitmaps``), or the
+  distinct ids themselves (``pairs``, for groups of few). A group never has
+  more words than ids, so the state grows with the rows however few ids of
+  one stretch of numbers fall into a group.
 
 Layout below the state: ``parciais/estado=<v>``, ``ids/estado=<v>``,
 ``livro/<v>`` (the file versions whose partials are there) and the commits
@@ -32,7 +34,7 @@ _FILE = ("arquivo", "versao")
 
 
 def _partials(rows: DataFrame, spec: FactSpec, distinct: str) -> DataFrame:
-    """One row per file version and group (and bucket, or id)."""
+    """One row per file version and group (and word, or id)."""
     by = rows.groupBy(*_FILE, *spec.keys)
     kind, column = spec.measure.kind, spec.measure.column
     if kind == "count":
@@ -41,8 +43,8 @@ def _partials(rows: DataFrame, spec: FactSpec, distinct: str) -> DataFrame:
         return by.agg(F.sum(column).alias("parcial"))
     if distinct == "pairs":
         return rows.select(*_FILE, *spec.keys, F.col(column).alias("parcial")).distinct()
-    return (rows.groupBy(*_FILE, *spec.keys, F.bitmap_bucket_number("numero").alias("balde"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("numero")).alias("parcial")))
+    bit = F.expr("shiftleft(1L, cast(numero & 63 as int))")
+    return rows.groupBy(*_FILE, *spec.keys, F.shiftright("numero", 6).alias("palavra")).agg(F.bit_or(bit).alias("parcial"))
 
 
 def _merged(partials: DataFrame, spec: FactSpec, distinct: str) -> DataFrame:
@@ -55,8 +57,9 @@ def _merged(partials: DataFrame, spec: FactSpec, distinct: str) -> DataFrame:
     elif distinct == "pairs":
         out = by.agg(F.count_distinct("parcial").alias("_medida"))
     else:
-        united = partials.groupBy(*spec.keys, "balde").agg(F.bitmap_or_agg("parcial").alias("parcial"))
-        out = united.groupBy(*spec.keys).agg(F.sum(F.bitmap_count("parcial")).alias("_medida"))
+        united = partials.groupBy(*spec.keys, "palavra").agg(F.bit_or("parcial").alias("parcial"))
+        ids = F.sum(F.bit_count("parcial").cast("long"))  # a group of null ids alone has none
+        out = united.groupBy(*spec.keys).agg(F.coalesce(ids, F.lit(0).cast("long")).alias("_medida"))
     value = F.col("_medida").cast(measure.cast) if measure.cast else F.col("_medida")
     return finish_fact(out.withColumn(measure.alias, value), spec)
 
@@ -93,7 +96,8 @@ def continue_fact(spark: SparkSession, layer: str, state: str, spec: FactSpec, d
     if distinct not in ("bitmaps", "pairs"):
         raise ValueError(f"distinct must be bitmaps or pairs, not {distinct!r}")
     state = state.rstrip("/")
-    mark = repr((tuple(spec.keys), spec.measure, distinct if spec.measure.kind == "count_distinct" else None, str(spec.where)))
+    kept = {"bitmaps": "words", "pairs": "pairs"}[distinct]  # states of whole bitmaps, as once kept, are another spec's
+    mark = repr((tuple(spec.keys), spec.measure, kept if spec.measure.kind == "count_distinct" else None, str(spec.where)))
     number, note = versions.current(spark, state)
     if note.get("spec", mark) != mark:
         raise ValueError(f"{state} was begun with another spec: {note['spec']}")

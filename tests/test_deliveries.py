@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import fixtures as fx
 from starloom.operators import DimSpec, FactSpec, Measure, OnePass, build_dim, build_fact, dim_conflicts, reject_account, rejected_values
-from starloom.plans import jobs, star
+from starloom.plans import continued, jobs, star
 from starloom.plans.continued import compact, continue_fact, continued_fact
 from starloom.plans.delivery_oracle import DELIVERY_ORACLE
 from starloom.plans.delivery_queries import DELIVERY_QUERIES
@@ -95,6 +95,20 @@ def test_continued_facts_equal_the_rebuild(spark, workdir, kind):
         continue_fact(spark, layer, state, FactSpec(("cod_idade",), spec.measure), distinct)
 
 
+def test_bitmaps_take_no_more_room_than_their_ids(spark):
+    """A group of few ids, far apart, keeps a word for each; a dense one a word for 64."""
+    spec = FactSpec(("k",), Measure("count_distinct", "n", "id"))
+    sparse = spark.range(300).selectExpr("'f' as arquivo", "'1' as versao", "cast(id as int) as k", "id * 40000 + (1L << 33) as numero")
+    dense = spark.range(6400).selectExpr("'f' as arquivo", "'1' as versao", "-1 as k", "id as numero")
+    null = spark.range(1).selectExpr("'f' as arquivo", "'1' as versao", "-2 as k", "cast(null as long) as numero")
+    parts = continued._partials(sparse.union(dense).union(dense).union(null), spec, "bitmaps")
+    kept = {r["k"]: (r["rows"], r["bytes"]) for r in parts.groupBy("k").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.length(F.hex("parcial")) / 2).alias("bytes")).collect()}
+    assert all(kept[k][0] == 1 and kept[k][1] <= 8 for k in range(300)) and kept[-1] == (100, 800)
+    found = {r["k"]: r["n"] for r in continued._merged(parts.unionByName(parts), spec, "bitmaps").collect()}
+    assert found == {**dict.fromkeys(range(300), 1), -1: 6400, -2: 0}
+
+
 def test_a_failed_continuation_leaves_the_state(spark, workdir):
     spec, _ = SPECS["count"]
     layer, state = f"{workdir}/layer", f"{workdir}/state"
