@@ -40,7 +40,7 @@ def decimal_comma(c: str | Column) -> Column:
 
 def none_as_zero(c: str | Column) -> Column:
     """Replace the literal text ``None`` (a null written as text) by ``0``."""
-    return F.regexp_replace(clean(c), V.NONE_TEXT, V.NO_CODE)
+    return F.replace(clean(c), F.lit(V.NONE_TEXT), F.lit(V.NO_CODE))
 
 
 def hash_key(c: str | Column) -> Column:

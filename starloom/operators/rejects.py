@@ -11,14 +11,16 @@ from pyspark.sql import functions as F
 def rejected_values(checks: Mapping[str, tuple[Column | str, Column | str]]) -> Column:
     """``array<struct<coluna, texto>>``: for each name the source text that is
     not blank although its value is NULL. Computed in the projection that
-    makes the values, so it costs no pass of its own."""
-    found = []
+    makes the values, so it costs no pass of its own. Only rows with such a
+    text build the array."""
+    found, bad = [], F.lit(False)
     for name, (text, value) in checks.items():
         text = F.col(text) if isinstance(text, str) else text
         value = F.col(value) if isinstance(value, str) else value
         unreadable = text.isNotNull() & (F.trim(text) != "") & value.isNull()
         found.append(F.when(unreadable, F.struct(F.lit(name).alias("coluna"), text.alias("texto"))))
-    return F.array_compact(F.array(*found))
+        bad = bad | unreadable
+    return F.when(bad, F.array_compact(F.array(*found))).otherwise(F.array().cast("array<struct<coluna:string,texto:string>>"))
 
 
 def reject_account(rows: DataFrame, *by: str, rejects: str = "rejeitos") -> DataFrame:

@@ -572,7 +572,7 @@ def _vaccination_text(spark, d) -> DataFrame:
     ln, rf, ls = F.col("l_linenumber"), F.col("l_returnflag"), F.col("l_linestatus")
     qty = F.col("l_quantity").cast("int")
     muni = _s(F.col("l_suppkey") + 280000)
-    applied = F.date_format(F.add_months(F.to_date("l_shipdate"), 300), "yyyy-MM-dd")
+    applied = _s(F.add_months(F.to_date("l_shipdate"), 300))  # as yyyy-MM-dd, without a formatter
     return li.select(
         _s(F.col("l_orderkey")).alias("document_id"),
         F.when(ln == 7, _null()).when(ls == "O", F.lit(" novo pni ")).otherwise(F.lit("esus ab")).alias("sistema_origem"),

@@ -30,6 +30,7 @@ def read_delimited(
     token_source: str = "file_name",
     file_column: str | None = None,
     root: str | None = None,
+    files: DataFrame | None = None,
     check_header: bool = True,
 ) -> DataFrame:
     """Header CSV scan (one file, a glob or a list), all columns text.
@@ -44,7 +45,8 @@ def read_delimited(
     ``token_source='file_path'``), adding ``token_column``: one scan over
     all files replaces a loop over a file listing. A file whose name has no
     token fails the read, naming the file. ``file_column`` adds the source
-    file's name, or its path (see :func:`with_source`).
+    file's name, or its path (see :func:`with_source`). ``files`` gives these
+    columns instead, found once a file (see :func:`with_listed`).
     ``check_header=False``: the caller knows that every file has ``columns``
     in this order, however it spells them.
     """
@@ -53,6 +55,8 @@ def read_delimited(
     if columns is not None:
         reader = reader.schema(string_schema(columns))
     df = reader.csv(path if isinstance(path, str) else list(path))
+    if files is not None:
+        return with_listed(df, files)
     return with_source(df, part_token, token_column, token_source, file_column, root)
 
 
@@ -99,6 +103,18 @@ def with_source(df: DataFrame, part_token: str | None, token_column: str = "part
     return df.withColumns(added) if added else df
 
 
+def with_listed(df: DataFrame, files: DataFrame) -> DataFrame:
+    """``df`` (a file scan) with the columns that ``files`` has beside ``url``
+    (a file's path as ``_metadata`` gives it): a lookup in one row a file in
+    place of searches in each row's path. A row of a file that is not among
+    them fails the read."""
+    added = [c for c in files.columns if c != "url"]
+    known = files.select(F.col("url").alias("_url"), F.struct(*added).alias("_file"))
+    found = df.withColumn("_path", F.col("_metadata.file_path")).join(F.broadcast(known), F.col("_path") == F.col("_url"), "left")
+    lost = F.raise_error(F.concat(F.lit("not a listed file: "), F.col("_path"))).cast("string")
+    return found.select(*df.columns, *[F.when(F.col("_file").isNull(), lost).otherwise(F.col(f"_file.{c}")).alias(c) for c in added])
+
+
 def list_files(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
     """The files of a path, a glob or a list of them (names only are read)."""
     found = spark.read.format("binaryFile").load(path if isinstance(path, str) else list(path)).select("path")

@@ -47,18 +47,18 @@ class Delivery:
 
 
 def listing(spark: SparkSession, root: str, glob: str = "*.csv", part_token: str | None = PART_TOKEN) -> DataFrame:
-    """``arquivo, caminho, parte, tamanho, modificado`` of the files below
-    ``root``, at any depth. Nothing of their content is read. A file without
+    """``arquivo, caminho, url, parte, tamanho, modificado`` of the files below
+    ``root``, at any depth (``url``: the path as a scan's ``_metadata`` has it). Nothing of their content is read. A file without
     any byte counts as not there."""
     found = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob)
-             .load(root).select("path", "length", "modificationTime"))
+             .load(root).select("path", F.col("_metadata.file_path").alias("url"), "length", "modificationTime"))
     name = F.element_at(F.split("path", "/"), -1)
     token: Column = F.lit(None).cast("string")
     if part_token is not None:
         part = F.regexp_extract(name, part_token, 1)
         token = F.when(part != "", part).otherwise(
             F.raise_error(F.concat(F.lit("no part token in the file name "), name)).cast("string"))
-    return found.select(path_below(spark, F.col("path"), root).alias("arquivo"), F.col("path").alias("caminho"),
+    return found.select(path_below(spark, F.col("path"), root).alias("arquivo"), F.col("path").alias("caminho"), "url",
                         token.alias("parte"), F.col("length").alias("tamanho"), F.col("modificationTime").alias("modificado"))
 
 
@@ -66,10 +66,16 @@ def read_ledger(spark: SparkSession, layer: str) -> DataFrame:
     """The ledger in force; empty before the first delivery."""
     number, note = versions.current(spark, layer)
     if not number:
-        return spark.createDataFrame([], LEDGER)
+        return _empty(spark, LEDGER)
     return spark.read.schema(LEDGER).parquet(f"{layer.rstrip('/')}/livro/{note['folder']}")
 
 
+def _empty(spark: SparkSession, schema: str) -> DataFrame:
+    """No rows of this schema, without a job or a Python worker."""
+    fields = [c.strip().split(" ") for c in schema.split(",")]
+    return spark.range(1).where("false").select(*[F.lit(None).cast(t).alias(n) for n, t in fields])
+
+
 def compare(listed: DataFrame, ledger: DataFrame) -> DataFrame:
     """The listing beside the ledger: ``situacao`` is ``novo``, ``alterado``
     (another length or time), ``igual`` or ``retirado`` (listed no more)."""
@@ -110,16 +116,19 @@ def deliver(spark: SparkSession, root: str, layer: str, conform: Callable[[DataF
         return Delivery(0, 0, count(SAME), count(WITHDRAWN), 0, number)
     folder, data, schema = versions.stage(number + 1), f"{layer}/dados", note.get("schema")
     rejected, accounts = 0, note.get("accounts", [])
-    written = spark.createDataFrame([], "arquivo string, linhas long")
+    written = _empty(spark, "arquivo string, linhas long")
     paths = sorted(r["caminho"] for r in news.select("caminho").collect())
     if paths:
-        source = dict(part_token=part_token, file_column="arquivo", root=root, sep=sep, encoding=encoding)
-        rows = conform(read_delimited(spark, [exactly(p) for p in paths], columns, **source) if columns is not None
-                       else read_by_header(spark, [exactly(p) for p in paths], **source))
+        source = dict(files=news.select("url", "parte", "arquivo"), sep=sep, encoding=encoding)
+        scan = (read_delimited(spark, [exactly(p) for p in paths], columns, **source) if columns is not None
+                else read_by_header(spark, [exactly(p) for p in paths], **source))
+        order = ["parte", "arquivo", *sort_within]
+        early = {c.lower() for c in sort_within} <= {c.lower() for c in scan.columns}
+        rows = conform(scan.sortWithinPartitions(*order) if early else scan)  # the raw columns are half as wide to sort
         seen = Observation()
         bad = F.sum(F.size("rejeitos")) if "rejeitos" in rows.columns else F.max(F.lit(0))
         watched = rows.observe(seen, F.count(F.lit(1)).alias("linhas"), F.coalesce(bad, F.lit(0)).cast("long").alias("rejeitados"))
-        writer = watched.sortWithinPartitions("parte", "arquivo", *sort_within).write.partitionBy("parte", "arquivo")
+        writer = (watched if early else watched.sortWithinPartitions(*order)).write.partitionBy("parte", "arquivo")
         if max_records_per_file:
             writer = writer.option("maxRecordsPerFile", max_records_per_file)
         writer.parquet(f"{data}/versao={folder}")
@@ -161,12 +170,12 @@ def read_rejects(spark: SparkSession, layer: str) -> DataFrame:
     _, note = versions.current(spark, layer)
     base = f"{layer.rstrip('/')}/rejeitos"
     if not note.get("accounts"):
-        return spark.createDataFrame([], "arquivo string, coluna string, valores long, exemplo string")
+        return _empty(spark, "arquivo string, coluna string, valores long, exemplo string")
     schema = "arquivo string, coluna string, valores long, exemplo string, versao string"
     used = {r["versao"] for r in read_ledger(spark, layer).select("versao").distinct().collect()}
     paths = [f"{base}/versao={f}" for f in note["accounts"] if f in used]
     if not paths:
-        return spark.createDataFrame([], "arquivo string, coluna string, valores long, exemplo string")
+        return _empty(spark, "arquivo string, coluna string, valores long, exemplo string")
     rows = spark.read.schema(schema).option("basePath", base).parquet(*paths)
     return rows.join(read_ledger(spark, layer).select("arquivo", "versao"), ["arquivo", "versao"], "left_semi").drop("versao")
 

@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from conftest import plan_text
 from pyspark.sql import functions as F
 
 import fixtures as fx
@@ -36,6 +37,21 @@ def held(spark, layer):
     return {r["arquivo"]: r["count"] for r in read_delivered(spark, layer).groupBy("arquivo").count().collect()}
 
 
+def test_raw_rows_are_sorted_and_find_their_file_in_a_lookup(spark, workdir):
+    """What a row carries through the sort is the raw text, and its path is not searched."""
+    seen = []
+    conform = lambda raw: seen.append(raw) or star.conform_vaccination(raw, account=True)
+    lay(workdir, "jan/vac-01.csv", ROWS[:5])
+    lay(workdir, "feb/vac-01.csv", ROWS[5:8], list(reversed(fx.VACC_COLUMNS)))
+    assert deliver(spark, f"{workdir}/raw", f"{workdir}/layer", conform, part_token=TOKEN, sort_within=["paciente_endereco_uf"]).rows == 8
+    nodes = plan_text(seen[0], "formatted").split("\n\n")
+    assert "Sort" in nodes[0] and "BroadcastHashJoin" in nodes[0]
+    assert held(spark, f"{workdir}/layer") == {"jan/vac-01.csv": 5, "feb/vac-01.csv": 3}
+    late = lambda raw: star.conform_vaccination(raw).withColumn("doc2", F.reverse("document_id"))
+    assert deliver(spark, f"{workdir}/raw", f"{workdir}/other", late, part_token=TOKEN, sort_within=["doc2"]).rows == 8
+    assert held(spark, f"{workdir}/other") == {"jan/vac-01.csv": 5, "feb/vac-01.csv": 3}
+
+
 def test_deliveries(spark, workdir):
     """Equal names in two folders, a changed file, a withdrawn one, one that lost its rows."""
     layer, raw = f"{workdir}/layer", f"{workdir}/raw"
