@@ -98,9 +98,9 @@ def conform_vaccination(raw: DataFrame, account: bool = False) -> DataFrame:
         "data": applied,
     })
     if account:
-        born = X.to_date("paciente_dataNascimento")
-        read = {c: (c, value) for c, value in VACCINATION_READ.items()}
-        df = df.withColumn("rejeitos", rejected_values({**read, "paciente_dataNascimento": ("paciente_dataNascimento", born)}))
+        read = {c: (c, value) for c, value in {**VACCINATION_READ, "paciente_dataNascimento": "_nascimento"}.items()}
+        df = df.withColumn("_nascimento", X.to_date("paciente_dataNascimento"))
+        df = df.withColumn("rejeitos", rejected_values(read)).drop("_nascimento")
     return fill_sentinels(df, V.VACCINATION_SENTINELS)
 
 

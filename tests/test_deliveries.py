@@ -3,9 +3,10 @@
 import contextlib
 import io
 import os
+import re
 
 import pytest
-from conftest import SF_SMALL
+from conftest import SF_SMALL, plan_text
 from oracle_check import compare, duck
 from pyspark.sql import functions as F
 
@@ -157,6 +158,23 @@ def test_rejected_values_of_any_projection(spark):
     assert {r["coluna"] for r in srag.first()["rejeitos"]} == set(star.SRAG_READ)
 
 
+def test_only_rows_with_rejects_build_the_array(spark):
+    raw = spark.createDataFrame([tuple("1" for _ in fx.VACC_COLUMNS), tuple(None for _ in fx.VACC_COLUMNS)], ", ".join(f"`{c}` string" for c in fx.VACC_COLUMNS))
+    rows = star.conform_vaccination(raw, account=True)
+    few = spark.createDataFrame([("x", None)], "t string, v int").select(rejected_values({"t": ("t", "v")}).alias("rejeitos"))
+    assert re.search(r"THEN filter\(array\(", plan_text(few))
+    assert "_nascimento" not in rows.columns and [len(r["rejeitos"]) for r in rows.collect()] == [2, 0]
+
+
+def test_ingest_sorts_the_raw_columns(spark, workdir, monkeypatch):
+    seen, whole = [], star.conform_vaccination
+    monkeypatch.setattr(star, "conform_vaccination", lambda raw: seen.append(raw) or whole(raw))
+    raw = fx.write_vaccination(workdir)
+    written = jobs.ingest_vaccination(spark, raw, f"{workdir}/pre")
+    assert "Sort" in plan_text(seen[0], "formatted").split("\n\n")[0]
+    assert jobs.read_vaccination_layer(spark, f"{workdir}/pre").count() == written > 0
+
+
 def test_one_scan_gives_the_same_tables(spark, workdir):
     raw, loc = fx.write_vaccination(workdir), fx.write_localities(workdir)
     jobs.ingest_vaccination(spark, raw, f"{workdir}/pre")
