@@ -61,8 +61,11 @@ def ingest_vaccination(spark: SparkSession, raw: str | Sequence[str], out: str,
         scan = read_delimited(spark, raw, columns, part_token=part_token, file_column="arquivo", root=root)
     else:
         scan = read_by_header(spark, raw, part_token=part_token, file_column="arquivo", root=root)
+    early = {c.lower() for c in sort_within} <= {c.lower() for c in scan.columns}
+    if early:  # the raw columns are half as wide to sort
+        scan = scan.sortWithinPartitions("parte", "arquivo", *sort_within)
     return write_counted(star.conform_vaccination(scan), out, partition_by=["parte", "arquivo"],
-                         max_records_per_file=max_records_per_file, sort_within=sort_within)
+                         max_records_per_file=max_records_per_file, sort_within=() if early else sort_within)
 
 
 def deliver_vaccination(spark: SparkSession, root: str, layer: str, part_token: str = PART_TOKEN,
