@@ -26,12 +26,13 @@ def to_int(c: str | Column) -> Column:
 
 
 def _to_integral(c: str | Column, t: str) -> Column:
-    # The input stands here once: filters and conform projections copy this
-    # expression, so whatever feeds it is not multiplied. Text is read as a
-    # decimal and truncated; both steps give NULL for what doesn't fit. An
-    # exponent is no number here, so its letter is spoilt first.
-    text = F.translate(F.trim(col_of(c).cast("string")), "eE", "xx")
-    return text.try_cast("decimal(38,10)").try_cast(t)
+    # Text is read as a decimal and truncated; both steps give NULL for what
+    # doesn't fit. A word costs the decimal an exception, so only text that
+    # begins as a number may gets there (and no exponent: it is no number here).
+    # What feeds this is copied a few times: keep it cheap.
+    text = F.trim(col_of(c).cast("string"))
+    may = (text < ":") | (text > "\x7f")  # a sign, a point, a digit or a control character; or a digit beyond ASCII
+    return F.when(may & ~F.contains(text, F.lit("e")) & ~F.contains(text, F.lit("E")), text.try_cast("decimal(38,10)").try_cast(t))
 
 
 def to_long(c: str | Column) -> Column:

@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from conftest import plan_text
 from pyspark.sql import functions as F
 
 from starloom import functions as X
@@ -177,3 +178,14 @@ def test_to_int_matches_python_model_on_random_text(spark):
         assert got == [_lenient_int_model(v) for v in values]
 
     check()
+
+
+def test_words_are_not_tried_as_decimals(spark):
+    """Only text that may be a number reaches the decimal; what is read stays the same."""
+    texts = ["x", "None", "", " ", "12", " 12\t", "+7", "-0.5", ".5", ".", "12.", "10.99999999999", "1e3", "E", "١٢", "\x7f12", "12\x7f", "\x1f12", "9" * 40, "2147483648", "a9", "9a"]
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "t string")
+    spoilt = F.translate(F.trim("t"), "eE", "xx").try_cast("decimal(38,10)").try_cast("int")  # every text through a decimal
+    got = df.select(X.to_int("t").alias("n"), spoilt.alias("m"))
+    assert [r["n"] for r in got.collect()] == [r["m"] for r in got.collect()]
+    shown = plan_text(df.select(X.to_int("t").alias("n")))
+    assert "translate" not in shown and "CASE WHEN" in shown and "< :" in shown
