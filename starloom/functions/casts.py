@@ -27,10 +27,14 @@ def to_int(c: str | Column) -> Column:
 
 def _to_integral(c: str | Column, t: str) -> Column:
     # Text is read as a decimal and truncated; both steps give NULL for what
-    # doesn't fit. A word costs the decimal an exception, so only text that
-    # begins as a number may gets there (and no exponent: it is no number here).
-    # What feeds this is copied a few times: keep it cheap.
+    # doesn't fit, and an exponent is no number here. A word costs the decimal
+    # an exception, so of a column only text that begins as a number may gets
+    # there. An expression stands here once, with the exponent's letter spoilt
+    # instead: filters and conform projections copy this, and whatever feeds
+    # it must not be multiplied.
     text = F.trim(col_of(c).cast("string"))
+    if not isinstance(c, str):
+        return F.translate(text, "eE", "xx").try_cast("decimal(38,10)").try_cast(t)
     may = (text < ":") | (text > "\x7f")  # a sign, a point, a digit or a control character; or a digit beyond ASCII
     return F.when(may & ~F.contains(text, F.lit("e")) & ~F.contains(text, F.lit("E")), text.try_cast("decimal(38,10)").try_cast(t))
 
