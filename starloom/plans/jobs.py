@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..operators import align_columns, build_fact, day_spine, int_spine, union_aligned
 from ..sources import (
+    LAYER_CODEC,
     PART_TOKEN,
     Delivery,
     current,
@@ -30,6 +31,7 @@ from ..sources import (
     read_positional,
     replace_parquet,
     scratch_path,
+    shuffles_released,
     write_counted,
     write_parquet,
 )
@@ -65,20 +67,21 @@ def ingest_vaccination(spark: SparkSession, raw: str | Sequence[str], out: str,
     if early:  # the raw columns are half as wide to sort
         scan = scan.sortWithinPartitions("parte", "arquivo", *sort_within)
     return write_counted(star.conform_vaccination(scan), out, partition_by=["parte", "arquivo"],
-                         max_records_per_file=max_records_per_file, sort_within=() if early else sort_within)
+                         max_records_per_file=max_records_per_file, sort_within=() if early else sort_within, compression=LAYER_CODEC)
 
 
 def deliver_vaccination(spark: SparkSession, root: str, layer: str, part_token: str = PART_TOKEN,
                         columns: Sequence[str] | None = None, drop_withdrawn: bool = False,
                         sort_within: Sequence[str] = ("paciente_endereco_uf",),
-                        max_records_per_file: int | None = None) -> Delivery:
+                        max_records_per_file: int | None = None, glob: str = "*.csv") -> Delivery:
     """Bring a layer of conformed vaccination rows up to date with the raw
-    files below ``root``: only new and changed files are read, by the ledger
+    files below ``root`` (those that ``glob`` matches; packed ones are read
+    by their ending, one task a file): only new and changed files are read, by the ledger
     beside the layer, and one commit puts the result in force (see
     :func:`starloom.sources.deliver`). Texts that could not be read are
     accounted for by file and column (:func:`starloom.sources.read_rejects`)."""
     conform = lambda raw: star.conform_vaccination(raw, account=True)
-    return deliver(spark, root, layer, conform, part_token=part_token, columns=columns,
+    return deliver(spark, root, layer, conform, glob=glob, part_token=part_token, columns=columns,
                    drop_withdrawn=drop_withdrawn, sort_within=sort_within, max_records_per_file=max_records_per_file)
 
 
@@ -120,13 +123,14 @@ def build_vaccination_tables(spark: SparkSession, prestructured: str, localities
     if one_scan:
         once = star.vaccination_pass(layer, scope)
         found = scratch_path(spark, "vaccination-pass")
-        once.rows.write.partitionBy("tabela").parquet(found)
+        with shuffles_released(spark):
+            once.rows.write.partitionBy("tabela").parquet(found)
         tables = star.vaccination_tables(once, spark.read.schema(once.rows.schema).parquet(found), lookup, scope, one_name)
     else:
         tables = star.vaccination_star(layer, lookup, scope, one_name)
     paths = {name: f"{out.rstrip('/')}/{name}" for name in tables}
     write = replace_parquet if versioned else write_parquet
-    with ThreadPoolExecutor(max_workers=max(1, concurrent_writes)) as pool:
+    with shuffles_released(spark), ThreadPoolExecutor(max_workers=max(1, concurrent_writes)) as pool:
         caps = {"fato_vacinas": max_files}
         for done in [pool.submit(write, df, paths[name], max_files=caps.get(name))
                      for name, df in tables.items()]:

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, VariantType
 
+#: Layers and states hold every raw column, many of them ids: about half of snappy's size.
+LAYER_CODEC = "zstd"
+
 
 def write_parquet(
     df: DataFrame,
@@ -17,6 +20,7 @@ def write_parquet(
     max_files: int | None = None,
     max_records_per_file: int | None = None,
     sort_within: Sequence[str] = (),
+    compression: str | None = None,
 ) -> None:
     """Overwrite ``path`` with ``df`` as Parquet.
 
@@ -31,6 +35,7 @@ def write_parquet(
       scale; ``max_records_per_file`` bounds file size instead.
     * ``sort_within`` sorts each task's rows (no shuffle), so that row groups
       hold few values of these columns and filters on them skip the others.
+    * ``compression``: the files' codec, by default the session's.
     """
     out = df
     if max_files:
@@ -41,6 +46,8 @@ def write_parquet(
     writer = out.write.mode("overwrite").format("parquet")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
+    if compression:
+        writer = writer.option("compression", compression)
     if partition_by:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     writer.save(path)

@@ -3,7 +3,9 @@
 import contextlib
 import io
 import os
+import time
 
+import pyarrow.parquet as pq
 import pytest
 from conftest import SF_SMALL, plan_text
 from oracle_check import compare, duck
@@ -11,11 +13,11 @@ from pyspark.sql import functions as F
 
 import fixtures as fx
 from starloom.operators import DimSpec, FactSpec, Measure, OnePass, build_dim, build_fact, dim_conflicts, reject_account, rejected_values
-from starloom.plans import continued, jobs, star
+from starloom.plans import continued, jobs, queries, star
 from starloom.plans.continued import compact, continue_fact, continued_fact
 from starloom.plans.delivery_oracle import DELIVERY_ORACLE
 from starloom.plans.delivery_queries import DELIVERY_QUERIES
-from starloom.sources import current, read_delivered, read_rejects, read_replaced
+from starloom.sources import current, read_delivered, read_rejects, read_replaced, shared_root, shuffles_released
 
 TOKEN = r"^[^-]*-([^-.]+)"
 ROWS = [r for _, r in fx.vaccination_rows()]
@@ -212,3 +214,54 @@ def test_one_row_a_code(spark):
     assert sorted(map(tuple, dim_conflicts(df, spec).collect())) == [(1, 2, 3, 1), (2, 2, 2, 1), (3, 2, 3, 1)]
     assert build_dim(df, DimSpec({"k": "k", "v": "v"})).count() == 7
     assert sorted(r["k"] for r in build_dim(df, DimSpec({"k": "k"}, not_null=("k",), unique_by=("k",))).collect()) == [1, 2, 3]
+
+
+def scratch_tables(spark):
+    base = f"{shared_root(spark)}/starloom".removeprefix("file:")
+    return {n for n in os.listdir(base)} if os.path.isdir(base) else set()
+
+
+def codecs(path):
+    files = [os.path.join(r, f) for r, _, fs in os.walk(path.removeprefix("file:")) for f in fs if f.endswith(".parquet")]
+    return {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files if pq.ParquetFile(f).metadata.num_row_groups}
+
+
+def test_writes_release_their_shuffle_files(spark, workdir):
+    where = [str(d) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {os.path.join(r, f) for d in where for r, _, fs in os.walk(d) for f in fs if f.startswith("shuffle_")}
+    key, before = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", files()
+    with shuffles_released(spark):
+        assert spark.conf.get(key) == "true"
+        spark.range(1000).groupBy(F.col("id") % 7).count().write.parquet(f"{workdir}/t")
+    for _ in range(50):  # they are deleted behind the write
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before and spark.conf.get(key) == "false"
+    with pytest.raises(ZeroDivisionError), shuffles_released(spark):
+        1 / 0
+    assert spark.conf.get(key) == "false"
+
+
+def test_tables_are_built_without_the_raw_files(spark, monkeypatch):
+    seen, whole, before = {}, queries.build_vaccination_tables, scratch_tables(spark)
+    write = queries._write_raw_csv
+
+    def laid(df, path, **kw):
+        write(df, path, **kw)
+        seen[path.rsplit("/", 1)[1].split("-")[0]] = {n.split(".", 1)[1] for n in os.listdir(path.removeprefix("file:")) if n.startswith("part")}
+
+    def built(spark, layer, *a, **kw):
+        seen.update(left={n.split("-")[0] for n in scratch_tables(spark) - before}, codec=codecs(layer))
+        return whole(spark, layer, *a, **kw)
+
+    monkeypatch.setattr(queries, "build_vaccination_tables", built)
+    monkeypatch.setattr(queries, "_write_raw_csv", laid)
+    monkeypatch.setattr(queries, "PACKED_ROWS", 1000)
+    found = {r["tabela"]: r["linhas"] for r in queries.star_vaccination_tables(spark, SF_SMALL).collect()}
+    assert seen["tables_raw"] == {"csv.lz4"} and seen["left"] == {"tables_layer", "tables_loc"} and seen["codec"] == {"ZSTD"}
+    assert found["fato_vacinas"] == star_fact(spark).count() and len(found) == 12
+
+
+def star_fact(spark):
+    return build_fact(star.conform_vaccination(queries._vaccination_text(spark, SF_SMALL)), star.vaccination_fact_spec())
