@@ -22,21 +22,25 @@ from .continued import continue_fact, continued_fact
 from .jobs import deliver_vaccination
 
 
+_RAW = f".csv.{Q.PACKED}"
+
+
 def _lay(df: DataFrame, folder: str) -> None:
-    """Write ``df`` as raw CSV files ``vacinacao-01-<n>.csv`` in ``folder``."""
+    """Write ``df`` as packed raw CSV files ``vacinacao-01-<n>.csv.lz4`` in ``folder``."""
     spark, staged = df.sparkSession, scratch_path(df.sparkSession, "delivery_staged")
-    Q._write_raw_csv(df, staged)
+    Q._write_raw_csv(df, staged, packed=True)
     path = spark._jvm.org.apache.hadoop.fs.Path
     fs = path(staged).getFileSystem(spark._jsc.hadoopConfiguration())
     fs.mkdirs(path(folder))
-    names = sorted(s.getPath().getName() for s in fs.listStatus(path(staged)) if s.getPath().getName().endswith(".csv"))
+    names = sorted(s.getPath().getName() for s in fs.listStatus(path(staged)) if s.getPath().getName().endswith(_RAW))
     for n, name in enumerate(names):
-        fs.rename(path(f"{staged}/{name}"), path(f"{folder}/vacinacao-01-{n:05d}.csv"))
+        fs.rename(path(f"{staged}/{name}"), path(f"{folder}/vacinacao-01-{n:05d}{_RAW}"))
     drop_scratch(spark, staged)
 
 
 def _two_deliveries(spark: SparkSession, d: str, after: Callable[[str], None] = lambda layer: None) -> str:
-    """The layer after both deliveries; ``after`` runs behind each."""
+    """The layer after both deliveries; ``after`` runs behind each. Raw files
+    go as soon as no listing needs them, before ``after`` makes files of its own."""
     text = Q._vaccination_text(spark, d)
     line = F.col("vacina_grupoAtendimento_codigo").cast("int")  # the line's number
     raw, layer = scratch_path(spark, "delivery_raw"), scratch_path(spark, "delivery_layer")
@@ -45,16 +49,16 @@ def _two_deliveries(spark: SparkSession, d: str, after: Callable[[str], None] =
     _lay(text.where(line <= 3), f"{raw}/jan")
     _lay(text.where(line.isin(1, 4)), f"{raw}/feb")       # wrong: holds line 1 once more
     _lay(text.where(line <= 2), f"{raw}/jul")             # to be withdrawn
-    deliver_vaccination(spark, raw, layer)
-    after(layer)
+    deliver_vaccination(spark, raw, layer, glob=f"*{_RAW}")
     for folder in ("feb", "jul"):
         fs.delete(path(f"{raw}/{folder}"), True)
+    after(layer)
     other = text.where(line.isin(4, 5))
     _lay(other.select(*[F.col(c).alias(c.upper()) for c in reversed(other.columns)]), f"{raw}/feb")
     _lay(text.where(line > 5), f"{raw}/mar")
-    deliver_vaccination(spark, raw, layer, drop_withdrawn=True)
-    after(layer)
+    deliver_vaccination(spark, raw, layer, drop_withdrawn=True, glob=f"*{_RAW}")
     drop_scratch(spark, raw)
+    after(layer)
     return layer
 
 

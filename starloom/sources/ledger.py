@@ -26,6 +26,7 @@ from ..plans.vocab import PART_TOKEN
 from ..operators.rejects import reject_account
 from . import versions
 from .csv import exactly, path_below, read_by_header, read_delimited
+from .sinks import LAYER_CODEC
 
 LEDGER = "arquivo string, parte string, tamanho long, modificado timestamp, linhas long, versao string"
 #: What a file is to the ledger.
@@ -128,7 +129,7 @@ def deliver(spark: SparkSession, root: str, layer: str, conform: Callable[[DataF
         seen = Observation()
         bad = F.sum(F.size("rejeitos")) if "rejeitos" in rows.columns else F.max(F.lit(0))
         watched = rows.observe(seen, F.count(F.lit(1)).alias("linhas"), F.coalesce(bad, F.lit(0)).cast("long").alias("rejeitados"))
-        writer = (watched if early else watched.sortWithinPartitions(*order)).write.partitionBy("parte", "arquivo")
+        writer = (watched if early else watched.sortWithinPartitions(*order)).write.option("compression", LAYER_CODEC).partitionBy("parte", "arquivo")
         if max_records_per_file:
             writer = writer.option("maxRecordsPerFile", max_records_per_file)
         writer.parquet(f"{data}/versao={folder}")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import fixtures as fx
 from starloom.operators import DimSpec, FactSpec, Measure, OnePass, build_dim, build_fact, dim_conflicts, reject_account, rejected_values
-from starloom.plans import continued, jobs, queries, star
+from starloom.plans import continued, delivery_queries, jobs, queries, star
 from starloom.plans.continued import compact, continue_fact, continued_fact
 from starloom.plans.delivery_oracle import DELIVERY_ORACLE
 from starloom.plans.delivery_queries import DELIVERY_QUERIES
@@ -265,3 +265,22 @@ def test_tables_are_built_without_the_raw_files(spark, monkeypatch):
 
 def star_fact(spark):
     return build_fact(star.conform_vaccination(queries._vaccination_text(spark, SF_SMALL)), star.vaccination_fact_spec())
+
+
+def test_raw_files_go_before_the_state_is_continued(spark, monkeypatch):
+    """The state is made while no raw file is there that no listing needs, and
+    the layer is gone before the state is merged."""
+    before, seen = scratch_tables(spark), []
+    left = lambda: {n for n in scratch_tables(spark) - before}
+
+    def after(layer):
+        base = f"{shared_root(spark)}/starloom".removeprefix("file:")
+        raw = [n for n in left() if n.startswith("delivery_raw")]
+        seen.append(sorted(f for n in raw for f in os.listdir(f"{base}/{n}")))
+        seen.append(codecs(layer + "/dados"))
+
+    monkeypatch.setattr(queries, "PACKED_ROWS", 1000)
+    rows = read_delivered(spark, delivery_queries._two_deliveries(spark, SF_SMALL, after))
+    assert seen == [["jan"], {"ZSTD"}, [], {"ZSTD"}]
+    assert rows.count() == spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
+    assert rows.select("arquivo").distinct().count() > 3 and rows.where("arquivo not like '%.csv.lz4'").count() == 0
