@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.facts import FactSpec, finish_fact
-from ..sources import read_delivered, read_ledger, versions
+from ..sources import LAYER_CODEC, read_delivered, read_ledger, shuffles_released, versions
 
 _FILE = ("arquivo", "versao")
 
@@ -64,6 +64,11 @@ def _merged(partials: DataFrame, spec: FactSpec, distinct: str) -> DataFrame:
     return finish_fact(out.withColumn(measure.alias, value), spec)
 
 
+def _put(spark: SparkSession, rows: DataFrame, path: str) -> None:
+    with shuffles_released(spark):
+        rows.write.option("compression", LAYER_CODEC).parquet(path)
+
+
 def _parts(spark: SparkSession, state: str, name: str, folders: list[str]) -> DataFrame | None:
     paths = [f"{state}/{name}/estado={f}" for f in folders]
     return spark.read.option("basePath", f"{state}/{name}").parquet(*paths).drop("estado") if paths else None
@@ -77,7 +82,7 @@ def _numbered(spark: SparkSession, state: str, folder: str, note: dict, rows: Da
     if known is not None:
         new = new.join(known.select("id"), "id", "left_anti")
     first = note.get("next", 0)
-    new.select("id", (F.monotonically_increasing_id() + first).alias("numero")).write.parquet(f"{state}/ids/estado={folder}")
+    _put(spark, new.select("id", (F.monotonically_increasing_id() + first).alias("numero")), f"{state}/ids/estado={folder}")
     note = {**note, "ids": [*note.get("ids", []), folder]}
     added = spark.read.parquet(f"{state}/ids/estado={folder}")
     last = added.agg(F.max("numero")).first()[0]
@@ -115,7 +120,7 @@ def continue_fact(spark: SparkSession, layer: str, state: str, spec: FactSpec, d
             rows = rows.filter(spec.where)
         if spec.measure.kind == "count_distinct" and distinct == "bitmaps":
             rows, note = _numbered(spark, state, folder, note, rows, spec.measure.column)
-        _partials(rows, spec, distinct).write.parquet(f"{state}/parciais/estado={folder}")
+        _put(spark, _partials(rows, spec, distinct), f"{state}/parciais/estado={folder}")
         note["partials"] = [*note.get("partials", []), folder]
     live.write.parquet(f"{state}/livro/{folder}")
     versions.commit(spark, state, number + 1, note)
@@ -142,9 +147,9 @@ def compact(spark: SparkSession, state: str) -> None:
         return
     folder = versions.stage(number + 1)
     live = spark.read.schema("arquivo string, versao string").parquet(f"{state}/livro/{note['folder']}")
-    _parts(spark, state, "parciais", note["partials"]).join(live, [*_FILE], "left_semi").write.parquet(f"{state}/parciais/estado={folder}")
+    _put(spark, _parts(spark, state, "parciais", note["partials"]).join(live, [*_FILE], "left_semi"), f"{state}/parciais/estado={folder}")
     live.write.parquet(f"{state}/livro/{folder}")
     if note.get("ids"):
-        _parts(spark, state, "ids", note["ids"]).write.parquet(f"{state}/ids/estado={folder}")
+        _put(spark, _parts(spark, state, "ids", note["ids"]), f"{state}/ids/estado={folder}")
         note["ids"] = [folder]
     versions.commit(spark, state, number + 1, {**note, "folder": folder, "partials": [folder]})

@@ -103,7 +103,8 @@ def _distinct_spec() -> FactSpec:
 def _continued(spec: FactSpec, distinct: str = "bitmaps"):
     def run(spark, d):
         state = scratch_path(spark, "continued_state")
-        _two_deliveries(spark, d, lambda layer: continue_fact(spark, layer, state, spec, distinct))
+        layer = _two_deliveries(spark, d, lambda layer: continue_fact(spark, layer, state, spec, distinct))
+        drop_scratch(spark, layer)  # the fact is merged from the state alone
         return continued_fact(spark, state, spec, distinct)
     return run
 

@@ -284,3 +284,13 @@ def test_raw_files_go_before_the_state_is_continued(spark, monkeypatch):
     assert seen == [["jan"], {"ZSTD"}, [], {"ZSTD"}]
     assert rows.count() == spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
     assert rows.select("arquivo").distinct().count() > 3 and rows.where("arquivo not like '%.csv.lz4'").count() == 0
+
+
+@pytest.mark.parametrize("key", ["fact_distinct_continued", "star_vaccination_continued"])
+def test_a_continued_fact_leaves_its_state_alone(spark, key):
+    before = scratch_tables(spark)
+    assert DELIVERY_QUERIES[key](spark, SF_SMALL).count() > 0
+    left = scratch_tables(spark) - before
+    assert {n.split("-")[0] for n in left} == {"continued_state"}
+    base = f"{shared_root(spark)}/starloom"
+    assert codecs(f"{base}/{left.pop()}/parciais") == {"ZSTD"}
